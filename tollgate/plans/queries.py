@@ -37,6 +37,7 @@ from tollgate.operators.hierarchy import tree_attributes, tree_path
 from tollgate.operators.joins import scalar_lookup
 from tollgate.operators.valuation import impact_rows_with_rates, value_keys
 from tollgate.params import DEFAULT_PARAMS, ImpactMode, ReportParams
+from tollgate.plans.materialize import materialize
 from tollgate.plans.report import KEY_COLUMNS, filtered_milestones, report_rows, status_frames
 from tollgate.sources.tables import Tables
 from tollgate.sources.testdata import derive_tables
@@ -289,11 +290,17 @@ def exists_gate(spark, sf_dir):
 
 
 def _cache_parts(t: Tables, p: ReportParams) -> tuple[DataFrame, DataFrame]:
-    """(rows this run computes, the target table a previous run left)."""
+    """(rows this run computes, the target table a previous run left).
+
+    The previous run stored the rows of a subset of the needed projects; since a
+    project's rows depend on that project only, they are the same rows, so the
+    report is computed once and stored once for both."""
     needed = t.snapshot_needed
     prior_needed = needed.where(PRIOR_RUN)
-    target = C.cache_rows(report_rows(t, p, projects=prior_needed), prior_needed, p)
-    new_rows = C.cache_rows(report_rows(t, p, projects=needed), needed, p)
+    report = materialize(report_rows(t, p, projects=needed))
+    target = C.cache_rows(report.join(prior_needed.select(F.col("project_id").alias("A_FK_Project")),
+                                      "A_FK_Project", "left_semi"), prior_needed, p)
+    new_rows = C.cache_rows(report, needed, p)
     return new_rows, target
 
 

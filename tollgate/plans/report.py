@@ -16,7 +16,7 @@ key, so the sort-merge joins share that partitioning. Single-row dimensions
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tollgate.functions.labels import (
@@ -41,6 +41,7 @@ from tollgate.operators.filters import apply_impact_mode, due_window
 from tollgate.operators.joins import broadcast_checked, scalar_lookup
 from tollgate.operators.valuation import METRICS, value_keys
 from tollgate.params import ImpactMode, ReportParams
+from tollgate.plans.materialize import materialize
 from tollgate.sources.tables import Tables
 
 KEY_COLUMNS = ["program_id", "project_id", "roadmap_id", "milestone_id", "base_impact_id"]
@@ -57,12 +58,12 @@ REPORT_COLUMNS = [
 ]
 
 
-def filtered_milestones(t: Tables, p: ReportParams, projects: DataFrame | None = None) -> DataFrame:
-    """The report's roadmap x milestone set (one row per key).
+def milestone_base(t: Tables, p: ReportParams, projects: DataFrame | None = None) -> DataFrame:
+    """Roadmaps of the program x due milestones, restricted by the impact mode.
 
-    Columns: KEY_COLUMNS, milestone_name, datedif, the narrative attributes, and the
-    milestone fields the report shows (sort order, plan and update dates).
-    `projects` (frame with project_id) restricts the set to those projects first.
+    Columns: KEY_COLUMNS plus milestone_name, forecast_date, plan_date, update_date,
+    milestone_sort_order. `projects` (frame with project_id) restricts the set to
+    those projects before any join.
     """
     fr = t.filtered_roadmap.where(F.col("program_id") == p.program_id).select(
         "roadmap_id", "program_id", "project_id"
@@ -73,7 +74,17 @@ def filtered_milestones(t: Tables, p: ReportParams, projects: DataFrame | None =
         "roadmap_id", "milestone_id", "milestone_name", "forecast_date", "plan_date", "update_date",
         F.col("sort_order").alias("milestone_sort_order"),
     )
-    rows = apply_impact_mode(fr.join(ms, "roadmap_id"), t.impact, p)
+    return apply_impact_mode(fr.join(ms, "roadmap_id"), t.impact, p)
+
+
+def filtered_milestones(t: Tables, p: ReportParams, projects: DataFrame | None = None,
+                        base: DataFrame | None = None) -> DataFrame:
+    """The report's roadmap x milestone set with its narrative attributes (distinct rows).
+
+    Columns: KEY_COLUMNS, milestone_name, datedif, the narrative attributes, and the
+    milestone fields the report shows (sort order, plan and update dates).
+    """
+    rows = milestone_base(t, p, projects) if base is None else base
     attrs = attribute_pivot(t.milestone_attribute, rows)
     rows = rows.join(attrs, "milestone_id", "left")
     return rows.select(
@@ -102,9 +113,11 @@ def valued_keys(t: Tables, p: ReportParams, rows: DataFrame) -> DataFrame:
 def report_rows(t: Tables, p: ReportParams, projects: DataFrame | None = None) -> DataFrame:
     """The 48-column report (distinct rows) for the program, optionally restricted
     to `projects` before any work is done."""
-    spark = t.milestone.sparkSession
-    rows = filtered_milestones(t, p, projects)
-    s14, s7 = status_frames(t, p, rows)
+    # the driving set is read four times (attributes, two status cut-offs, keys):
+    # compute it once and cut its lineage
+    base = materialize(milestone_base(t, p, projects))
+    rows = filtered_milestones(t, p, base=base)
+    s14, s7 = status_frames(t, p, base)
     valued = valued_keys(t, p, rows)
     # narratives join on (roadmap, milestone, base impact) with plain equality:
     # a NULL base impact (UNSET / NONE) matches nothing, so they are NULL then
