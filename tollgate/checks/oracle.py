@@ -145,11 +145,15 @@ tree AS (
   FROM cust_prog),
 filtered_roadmap AS (SELECT o_orderkey AS roadmap_id, program_id, o_custkey AS project_id FROM order_prog),
 snapshot_in_report AS (
-  SELECT c_custkey AS project_id, CAST(1 + c_custkey % 5 AS INTEGER) AS snapshot_id,
+  SELECT c_custkey AS project_id, CAST(length(c_mktsegment) AS INTEGER) AS snapshot_id,
          TIMESTAMP '2024-01-01 00:00:00' + to_minutes(c_custkey) AS last_modified,
          (c_custkey * 7919) % 10007 AS subset_hash
   FROM customer),
-snapshot_needed AS (SELECT * FROM snapshot_in_report WHERE project_id % 3 <> 0)
+snapshot_needed AS (
+  SELECT c_custkey AS project_id, CAST(length(c_mktsegment) AS INTEGER) AS snapshot_id,
+         TIMESTAMP '2024-01-01 00:00:00' + to_minutes(c_custkey) AS last_modified,
+         (c_custkey * 7919) % 10007 AS subset_hash
+  FROM customer WHERE c_acctbal > 0)
 """
 
 def with_domain(*ctes: str) -> str:
@@ -393,7 +397,7 @@ def cache_ctes(p: ReportParams) -> list[str]:
     cols = ", ".join(CACHE_COLS)
     return [
         *result_ctes(p),
-        "prior_needed AS (SELECT * FROM snapshot_needed WHERE project_id % 4 = 1)",
+        "prior_needed AS (SELECT * FROM snapshot_needed WHERE snapshot_id = 8)",
         cache_src_cte(p, "res", "snapshot_needed", "src"),
         cache_src_cte(p, "res", "prior_needed", "target"),
         f"ins AS (SELECT s.* FROM src s WHERE NOT EXISTS (SELECT 1 FROM target t WHERE {on}))",

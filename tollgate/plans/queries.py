@@ -47,7 +47,8 @@ P_UNSET = P.with_(impact_mode=ImpactMode.UNSET, base_impact_id=None)
 P_NONE = P.with_(impact_mode=ImpactMode.NONE, base_impact_id=None)
 P_FACTOR = P.with_(numeric_factor=Decimal("2.5000"))
 # projects whose cache rows a previous run already stored (the merge target)
-PRIOR_RUN = (F.col("project_id") % 4) == 1
+# a previous run cached the needed projects of one market segment (snapshot id 8)
+PRIOR_RUN_SNAPSHOT = 8
 
 FM_COLUMNS = [*KEY_COLUMNS, "milestone_name", "datedif", *NARRATIVE_COLUMNS]
 METRIC_COLUMNS = ["Plan", "Actual", "Update", "Plan_To_Date", "Actual_To_Date", "Update_To_Date"]
@@ -296,7 +297,7 @@ def _cache_parts(t: Tables, p: ReportParams) -> tuple[DataFrame, DataFrame]:
     project's rows depend on that project only, they are the same rows, so the
     report is computed once and stored once for both."""
     needed = t.snapshot_needed
-    prior_needed = needed.where(PRIOR_RUN)
+    prior_needed = needed.where(F.col("snapshot_id") == PRIOR_RUN_SNAPSHOT)
     report = materialize(report_rows(t, p, projects=needed))
     target = C.cache_rows(report.join(prior_needed.select(F.col("project_id").alias("A_FK_Project")),
                                       "A_FK_Project", "left_semi"), prior_needed, p)

@@ -312,14 +312,18 @@ def derive_tables(spark: SparkSession, sf_dir: str) -> Tables:
         F.col("o_orderkey").alias("roadmap_id"), "program_id", F.col("o_custkey").alias("project_id")
     )
 
-    snapshot_in_report = customer.select(
+    # one snapshot per project; the snapshot id encodes the market segment (length of
+    # its name), so "the projects a previous run cached" can be a data predicate
+    snap_cols = [
         F.col("c_custkey").alias("project_id"),
-        (1 + F.col("c_custkey") % 5).cast("int").alias("snapshot_id"),
+        F.length("c_mktsegment").cast("int").alias("snapshot_id"),
         F.timestamp_add("MINUTE", F.col("c_custkey"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
         .alias("last_modified"),
         ((F.col("c_custkey") * 7919) % 10007).alias("subset_hash"),
-    )
-    snapshot_needed = snapshot_in_report.where(F.col("project_id") % 3 != 0)
+    ]
+    snapshot_in_report = customer.select(*snap_cols)
+    # projects whose data changed since their snapshot was cached: positive balance
+    snapshot_needed = customer.where(F.col("c_acctbal") > 0).select(*snap_cols)
 
     return Tables(
         program=program,
