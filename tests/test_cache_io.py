@@ -32,7 +32,8 @@ def test_run_report_miss_then_hit(spark, tables, tmp_path):
     # running the miss again inserts nothing new (all keys non-NULL in this mode)
     run_report(tables, DEFAULT_PARAMS, cache)
     assert cache.table().count() == n_cached
-    assert spark.read.parquet(cache.marker_path).count() == 2 * tables.snapshot_needed.count()
+    # markers are insert-if-absent: one per needed snapshot however often it ran
+    assert spark.read.parquet(cache.marker_path).count() == tables.snapshot_needed.count()
 
 
 def test_null_key_rows_are_reinserted(spark, tables, tmp_path):
@@ -62,3 +63,19 @@ def test_restricting_projects_early_equals_filtering_late(spark, tables):
     late = report_rows(tables, DEFAULT_PARAMS).join(
         needed.select(F.col("project_id").alias("A_FK_Project")), "A_FK_Project", "left_semi")
     assert sorted(map(tuple, early.collect())) == sorted(map(tuple, late.select(*early.columns).collect()))
+
+
+def test_stream_fills_cache_from_requests(spark, tables, tmp_path):
+    from tollgate.streaming.cache_fill import start_cache_fill
+
+    req = tmp_path / "requests"
+    needed = tables.snapshot_needed
+    # two request files; the second repeats part of the first
+    needed.where(F.col("snapshot_id") == 8).write.parquet(str(req / "a"))
+    needed.write.parquet(str(req / "b"))
+    cache = ReportCache(spark, str(tmp_path / "cache"))
+    q = start_cache_fill(spark, tables, DEFAULT_PARAMS, cache, str(req) + "/*", str(tmp_path / "ckpt"))
+    q.awaitTermination(300)
+    expected = compute_cache_rows(tables, DEFAULT_PARAMS, needed)
+    assert rows(cache.table()) == rows(expected)
+    assert spark.read.parquet(cache.marker_path).count() == needed.count()

@@ -40,6 +40,7 @@ CACHE_COLUMNS = [
 ]
 MERGE_KEY = [*ID_COLUMNS, *SNAPSHOT_COLUMNS, "P_ID", "A_FK_Milestone", "A_FK_BASE_IMPACT"]
 MARKER_COLUMNS = [*ID_COLUMNS, "project_id", "snapshot_id", "last_modified", "subset_hash", "marked_at"]
+MARKER_KEY = MARKER_COLUMNS[:-1]
 
 
 def snapshot_columns(snapshots: DataFrame) -> DataFrame:
@@ -148,9 +149,18 @@ class ReportCache:
         (rows.write.mode("append").partitionBy(*ID_COLUMNS).parquet(self.table_path))
 
     def mark(self, needed: DataFrame, p: ReportParams) -> None:
-        """Record the needed project snapshots as cached (after the merge committed)."""
-        markers(needed, p, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).write.mode(
-            "append").partitionBy(*ID_COLUMNS).parquet(self.marker_path)
+        """Record the needed project snapshots as cached (after the merge committed).
+        Insert-if-absent, so a replayed request adds no second marker."""
+        rows = markers(needed, p, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).dropDuplicates(
+            MARKER_KEY)
+        if self._exists(self.marker_path):
+            old = self.spark.read.parquet(self.marker_path).select(*MARKER_KEY)
+            cond = None
+            for k in MARKER_KEY:
+                c = rows[k] == old[k]
+                cond = c if cond is None else cond & c
+            rows = rows.join(old, cond, "left_anti")
+        rows.write.mode("append").partitionBy(*ID_COLUMNS).parquet(self.marker_path)
 
     def read_back(self, in_report: DataFrame, p: ReportParams) -> DataFrame | None:
         target = self.table()

@@ -180,47 +180,36 @@ def derive_tables(spark: SparkSession, sf_dir: str) -> Tables:
         )
     )
 
-    def bi_flags(key: Column) -> list[Column]:
+    def bi_node(key: Column, node_id: Column, parent: Column, program: Column, name: Column,
+                sort_order: Column, financial: Column | None = None) -> list[Column]:
         fin = (key % 2) == 1
         return [
+            node_id.alias("base_impact_id"),
+            parent.alias("parent_id"),
+            program.alias("program_id"),
+            name.alias("base_impact_name"),
             F.when(fin, "USD").otherwise("units").alias("unit"),
-            fin.alias("financial"),
+            sort_order.cast("decimal(10,2)").alias("sort_order"),
+            (fin if financial is None else financial).alias("financial"),
             ((key % 3) == 0).alias("calculated"),
             (1 + key % 2).cast("int").alias("timing"),
         ]
 
-    bi_r = region.select(
-        _id("R", F.col("r_regionkey")).alias("base_impact_id"),
-        F.lit(None).cast("string").alias("parent_id"),
-        F.col("r_regionkey").alias("program_id"),
-        F.col("r_name").alias("base_impact_name"),
-        *bi_flags(F.col("r_regionkey"))[:1],
-        F.col("r_regionkey").cast("decimal(10,2)").__add__(F.lit(0.7).cast("decimal(10,2)"))
-        .cast("decimal(10,2)").alias("sort_order"),
-        *bi_flags(F.col("r_regionkey"))[1:],
-    )
-    bi_n = nation.select(
-        _id("N", F.col("n_nationkey")).alias("base_impact_id"),
-        _id("R", F.col("n_regionkey")).alias("parent_id"),
-        F.col("n_regionkey").alias("program_id"),
-        F.col("n_name").alias("base_impact_name"),
-        *bi_flags(F.col("n_nationkey"))[:1],
-        F.col("n_nationkey").cast("decimal(10,2)").__add__(F.lit(0.25).cast("decimal(10,2)"))
-        .cast("decimal(10,2)").alias("sort_order"),
-        *bi_flags(F.col("n_nationkey"))[1:],
-    )
-    ck = F.col("c_custkey")
-    bi_c = cust_prog.select(
-        _id("C", ck).alias("base_impact_id"),
-        _id("N", F.col("c_nationkey")).alias("parent_id"),
-        F.when(ck % 9 == 0, ((F.col("program_id") + 1) % 5).cast("int"))
-        .otherwise(F.col("program_id")).alias("program_id"),
-        F.col("c_name").alias("base_impact_name"),
-        *bi_flags(ck)[:1],
-        ck.cast("decimal(10,2)").alias("sort_order"),
-        F.when(ck % 7 != 0, (ck % 2) == 1).alias("financial"),
-        *bi_flags(ck)[2:],
-    )
+    rk, nk, ck = F.col("r_regionkey"), F.col("n_nationkey"), F.col("c_custkey")
+    bi_r = region.select(*bi_node(
+        rk, _id("R", rk), F.lit(None).cast("string"), rk, F.col("r_name"),
+        _dec(rk, 10, 2) + F.lit(0.7).cast("decimal(10,2)"),
+    ))
+    bi_n = nation.select(*bi_node(
+        nk, _id("N", nk), _id("R", F.col("n_regionkey")), F.col("n_regionkey"), F.col("n_name"),
+        _dec(nk, 10, 2) + F.lit(0.25).cast("decimal(10,2)"),
+    ))
+    # every ninth customer node sits in another program than its root
+    bi_c = cust_prog.select(*bi_node(
+        ck, _id("C", ck), _id("N", F.col("c_nationkey")),
+        F.when(ck % 9 == 0, ((F.col("program_id") + 1) % 5).cast("int")).otherwise(F.col("program_id")),
+        F.col("c_name"), ck, financial=F.when(ck % 7 != 0, (ck % 2) == 1),
+    ))
     base_impact = bi_r.unionByName(bi_n).unionByName(bi_c)
 
     cur = F.explode(F.sequence(F.lit(0), F.lit(N_CURRENCIES - 1))).alias("program_currency_id")
