@@ -33,13 +33,19 @@ def broadcast_checked(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFr
     return broadcast_if_bounded(df, rows_at_most(df, limit))
 
 
-def scalar_lookup(df: DataFrame, column: str):
-    """Value of `column` in a lookup that yields at most one row (NULL for none).
+def row_lookup(df: DataFrame, *columns: str) -> dict:
+    """Values of `columns` in a lookup that yields at most one row ({col: None, ...}
+    for no row), in one small job.
 
-    More than one row is ambiguous (the source engine would pick any row), so
-    it is an error here. At most two rows reach the driver.
+    More than one row is ambiguous (the source engine would pick any row), so it
+    is an error here. At most two rows reach the driver.
     """
-    rows = df.select(column).limit(2).collect()
+    rows = df.select(*columns).limit(2).collect()
     if len(rows) > 1:
-        raise ValueError(f"lookup of {column!r} returned more than one row")
-    return rows[0][0] if rows else None
+        raise ValueError(f"lookup of {columns!r} returned more than one row")
+    return {c: (rows[0][c] if rows else None) for c in columns}
+
+
+def scalar_lookup(df: DataFrame, column: str):
+    """The value of one column in an at-most-one-row lookup (NULL for none)."""
+    return row_lookup(df, column)[column]

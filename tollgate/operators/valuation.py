@@ -7,8 +7,9 @@ Plan, in Spark terms:
      size is bounded by days x currencies, checked before it is broadcast;
   2. each impact row is unpivoted into its three dated measures (plan, actual,
      forecast) and looks its rates up in ONE broadcast hash join;
-  3. the base-impact factor is a broadcast lookup too, so the rows are aggregated
-     once, by (roadmap, factor), with map-side partial sums before the shuffle;
+  3. the base-impact factor is one value when a base impact is picked (else a
+     checked broadcast lookup), so the rows are aggregated once, by (roadmap,
+     factor), with map-side partial sums before the shuffle;
   4. the roadmap totals are joined to the milestone keys (a roadmap's total
      repeats for each of its milestones) and turned into the six metrics.
 """
@@ -18,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tollgate.operators.joins import broadcast_if_bounded, broadcast_checked, rows_at_most
+from tollgate.operators.joins import broadcast_checked, broadcast_if_bounded, rows_at_most, scalar_lookup
 from tollgate.params import ImpactMode, ReportParams
 
 KINDS = ("plan", "actual", "forecast")
@@ -110,7 +111,7 @@ def _contributions(p: ReportParams) -> dict[str, Column]:
     re_w = F.col("slope") * F.when(fin, F.col("fin_w")).otherwise(F.col("mul_w"))
     ot_t = F.col("intercept") * F.when(fin, F.col("ex_t")).otherwise(one)
     re_t = F.col("slope") * F.when(fin, F.col("fin_t")).otherwise(F.col("mul_t"))
-    null = F.lit(None)
+    null = F.lit(None).cast("decimal(38,10)")
     return {
         "ot_w": F.when(_between(d, p.one_time_start, p.one_time_end), ot_w) if p.include_one_time else null,
         "re_w": F.when(_between(d, p.recurring_start, p.recurring_end), re_w) if p.include_recurring else null,
@@ -128,12 +129,14 @@ def roadmap_totals(impact: DataFrame, multiplier_set_day: DataFrame, program_cur
     """(roadmap_id, numeric_factor, ot_<metric>, re_<metric> for 6 metrics): exact
     decimal sums of each half of each metric, per roadmap and factor."""
     rows = impact_rows_with_rates(impact, multiplier_set_day, program_currency, p)
-    factor = base_impact_factor.where(F.col("program_currency_id") == p.report_currency_id).select(
-        "base_impact_id", "numeric_factor"
-    )
+    factor = base_impact_factor.where(F.col("program_currency_id") == p.report_currency_id)
     if p.impact_mode is ImpactMode.SELECTED:
-        factor = factor.where(F.col("base_impact_id") == p.base_impact_id)
-    rows = rows.join(broadcast_checked(factor), "base_impact_id", "left")
+        # one base impact and one currency: the factor is a single value
+        value = scalar_lookup(factor.where(F.col("base_impact_id") == p.base_impact_id), "numeric_factor")
+        rows = rows.withColumn("numeric_factor", F.lit(value).cast("decimal(19,4)"))
+    else:
+        rows = rows.join(broadcast_checked(factor.select("base_impact_id", "numeric_factor")),
+                         "base_impact_id", "left")
     c = _contributions(p)
     sums = []
     for metric, (kind, to_date) in METRICS.items():

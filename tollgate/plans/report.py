@@ -38,7 +38,7 @@ from tollgate.operators.enrich import (
     stage_gate,
 )
 from tollgate.operators.filters import apply_impact_mode, due_window
-from tollgate.operators.joins import broadcast_checked, scalar_lookup
+from tollgate.operators.joins import broadcast_checked, row_lookup, scalar_lookup
 from tollgate.operators.valuation import METRICS, value_keys
 from tollgate.params import ImpactMode, ReportParams
 from tollgate.plans.materialize import materialize
@@ -143,20 +143,18 @@ def report_rows(t: Tables, p: ReportParams, projects: DataFrame | None = None) -
     stage = broadcast_checked(t.stage.select(F.col("stage_id").alias("rm_stage_id"), "stage_name"))
 
     # one-row dimensions of the report request: resolved once, used as constants
-    prog = t.program.where(F.col("program_id") == p.program_id)
-    pg_start = scalar_lookup(prog, "start_date")
-    pg_end = scalar_lookup(prog, "end_date")
-    pg_dice = scalar_lookup(prog, "dice_enabled")
+    prog = row_lookup(t.program.where(F.col("program_id") == p.program_id),
+                      "start_date", "end_date", "dice_enabled")
+    pg_start, pg_end, pg_dice = prog["start_date"], prog["end_date"], prog["dice_enabled"]
     currency_code = scalar_lookup(
         t.program_currency.where(F.col("program_currency_id") == p.report_currency_id)
         .join(t.currency, "currency_id"),
         "code",
     )
     if p.impact_mode is ImpactMode.SELECTED:
-        bi = t.base_impact.where(F.col("base_impact_id") == p.base_impact_id)
-        bi_name = scalar_lookup(bi, "base_impact_name")
-        bi_unit = scalar_lookup(bi, "unit")
-        bi_fin = scalar_lookup(bi, "financial")
+        bi = row_lookup(t.base_impact.where(F.col("base_impact_id") == p.base_impact_id),
+                        "base_impact_name", "unit", "financial")
+        bi_name, bi_unit, bi_fin = bi["base_impact_name"], bi["unit"], bi["financial"]
     else:
         bi_name = bi_unit = bi_fin = None
 
