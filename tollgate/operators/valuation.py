@@ -35,7 +35,8 @@ METRICS = {
 SUM_TYPE = "decimal(38,6)"
 
 
-def multiplier_rates(multiplier_set_day: DataFrame, program_currency: DataFrame, p: ReportParams) -> DataFrame:
+def multiplier_rates(multiplier_set_day: DataFrame, program_currency: DataFrame, p: ReportParams,
+                     n_currencies: int | None = None) -> DataFrame:
     """(day, program_currency_id, ex_w, fin_w, mul_w, ex_t, fin_t, mul_t): window-set
     (w) and to-date-set (t) rates, one row per day and currency, for the days the
     valuation windows cover. Precondition: (day, currency, set) is unique."""
@@ -58,7 +59,7 @@ def multiplier_rates(multiplier_set_day: DataFrame, program_currency: DataFrame,
         pick(st, "multiplier").alias("mul_t"),
     )
     # bound: one row per (day, currency); the currency count is a small dimension
-    n_cur = rows_at_most(program_currency, 100_000)
+    n_cur = rows_at_most(program_currency, 100_000) if n_currencies is None else n_currencies
     days = (hi - lo).days + 1
     return broadcast_if_bounded(rates, None if n_cur is None else days * n_cur)
 
@@ -87,14 +88,15 @@ def _between(d: Column, lo, hi) -> Column:
 
 
 def impact_rows_with_rates(impact: DataFrame, multiplier_set_day: DataFrame,
-                           program_currency: DataFrame, p: ReportParams) -> DataFrame:
+                           program_currency: DataFrame, p: ReportParams,
+                           n_currencies: int | None = None) -> DataFrame:
     """Unpivoted impact rows of the program (and picked base impact) with both
     sets' rates; a missing rate row leaves the rates NULL."""
     imp = impact.where(F.col("program_id") == p.program_id)
     if p.impact_mode is ImpactMode.SELECTED:
         imp = imp.where(F.col("base_impact_id") == p.base_impact_id)
     rows = unpivot_dates(imp, p)
-    rates = multiplier_rates(multiplier_set_day, program_currency, p)
+    rates = multiplier_rates(multiplier_set_day, program_currency, p, n_currencies)
     return rows.join(
         rates,
         (rows.d == rates.day) & (rows.program_currency_id == rates.program_currency_id),
@@ -125,14 +127,16 @@ def partial_sum_columns() -> list[str]:
 
 
 def roadmap_totals(impact: DataFrame, multiplier_set_day: DataFrame, program_currency: DataFrame,
-                   base_impact_factor: DataFrame, p: ReportParams) -> DataFrame:
+                   base_impact_factor: DataFrame, p: ReportParams, consts=None) -> DataFrame:
     """(roadmap_id, numeric_factor, ot_<metric>, re_<metric> for 6 metrics): exact
     decimal sums of each half of each metric, per roadmap and factor."""
-    rows = impact_rows_with_rates(impact, multiplier_set_day, program_currency, p)
+    rows = impact_rows_with_rates(impact, multiplier_set_day, program_currency, p,
+                                  None if consts is None else consts.n_currencies)
     factor = base_impact_factor.where(F.col("program_currency_id") == p.report_currency_id)
     if p.impact_mode is ImpactMode.SELECTED:
         # one base impact and one currency: the factor is a single value
-        value = scalar_lookup(factor.where(F.col("base_impact_id") == p.base_impact_id), "numeric_factor")
+        value = (scalar_lookup(factor.where(F.col("base_impact_id") == p.base_impact_id), "numeric_factor")
+                 if consts is None else consts.factor)
         rows = rows.withColumn("numeric_factor", F.lit(value).cast("decimal(19,4)"))
     else:
         rows = rows.join(broadcast_checked(factor.select("base_impact_id", "numeric_factor")),
@@ -165,7 +169,7 @@ def metric_columns(p: ReportParams) -> list[Column]:
     return out
 
 
-def value_keys(keys: DataFrame, tables, p: ReportParams) -> DataFrame:
+def value_keys(keys: DataFrame, tables, p: ReportParams, consts=None) -> DataFrame:
     """keys + numeric_factor + the six metrics.
 
     A key gets one row per distinct factor among its roadmap's impacts, or one
@@ -175,7 +179,7 @@ def value_keys(keys: DataFrame, tables, p: ReportParams) -> DataFrame:
     """
     if p.impact_mode is ImpactMode.SELECTED:
         totals = roadmap_totals(tables.impact, tables.multiplier_set_day, tables.program_currency,
-                                tables.base_impact_factor, p)
+                                tables.base_impact_factor, p, consts)
         joined = keys.join(totals, "roadmap_id", "left")
     else:
         joined = keys.select(

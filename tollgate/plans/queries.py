@@ -56,8 +56,21 @@ METRIC_COLUMNS = ["Plan", "Actual", "Update", "Plan_To_Date", "Actual_To_Date",
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+_TABLES: dict[tuple[int, str], tuple[SparkSession, Tables]] = {}
+
+
 def _t(spark: SparkSession, sf_dir: str) -> Tables:
-    return derive_tables(spark, sf_dir)
+    """The derived domain relations of `sf_dir`, defined once per session.
+
+    They are lazy plans, not data: every query still scans the parquet files and
+    derives the relations it uses; only the Python-side plan building is shared.
+    """
+    key = (id(spark), sf_dir)
+    hit = _TABLES.get(key)
+    if hit is None or hit[0] is not spark:
+        hit = (spark, derive_tables(spark, sf_dir))
+        _TABLES[key] = hit
+    return hit[1]
 
 
 # ---- step 1: the slice ------------------------------------------------------

@@ -38,9 +38,10 @@ from tollgate.operators.enrich import (
     stage_gate,
 )
 from tollgate.operators.filters import apply_impact_mode, due_window
-from tollgate.operators.joins import broadcast_checked, row_lookup, scalar_lookup
-from tollgate.operators.valuation import METRICS, value_keys
+from tollgate.operators.joins import broadcast_if_bounded
+from tollgate.operators.valuation import value_keys
 from tollgate.params import ImpactMode, ReportParams
+from tollgate.plans.constants import resolve_constants
 from tollgate.plans.materialize import materialize
 from tollgate.sources.tables import Tables
 
@@ -115,10 +116,12 @@ def report_rows(t: Tables, p: ReportParams, projects: DataFrame | None = None) -
     to `projects` before any work is done."""
     # the driving set is read four times (attributes, two status cut-offs, keys):
     # compute it once and cut its lineage
-    base = materialize(milestone_base(t, p, projects))
+    # the request's constants and the checkpoint of the driving set run concurrently
+    consts, extra = resolve_constants(t, p, {"base": lambda: materialize(milestone_base(t, p, projects))})
+    base = extra["base"]
     rows = filtered_milestones(t, p, base=base)
     s14, s7 = status_frames(t, p, base)
-    valued = valued_keys(t, p, rows)
+    valued = value_keys(rows, t, p, consts)
     # narratives join on (roadmap, milestone, base impact) with plain equality:
     # a NULL base impact (UNSET / NONE) matches nothing, so they are NULL then
     if p.impact_mode is not ImpactMode.SELECTED:
@@ -140,23 +143,13 @@ def report_rows(t: Tables, p: ReportParams, projects: DataFrame | None = None) -
         "holders", "ws_owner")
     pj = t.project.select("project_id", "project_name", "project_number", "parent_project_id",
                           F.col("project_id").alias("pj_id"))
-    stage = broadcast_checked(t.stage.select(F.col("stage_id").alias("rm_stage_id"), "stage_name"))
-
-    # one-row dimensions of the report request: resolved once, used as constants
-    prog = row_lookup(t.program.where(F.col("program_id") == p.program_id),
-                      "start_date", "end_date", "dice_enabled")
-    pg_start, pg_end, pg_dice = prog["start_date"], prog["end_date"], prog["dice_enabled"]
-    currency_code = scalar_lookup(
-        t.program_currency.where(F.col("program_currency_id") == p.report_currency_id)
-        .join(t.currency, "currency_id"),
-        "code",
-    )
-    if p.impact_mode is ImpactMode.SELECTED:
-        bi = row_lookup(t.base_impact.where(F.col("base_impact_id") == p.base_impact_id),
-                        "base_impact_name", "unit", "financial")
-        bi_name, bi_unit, bi_fin = bi["base_impact_name"], bi["unit"], bi["financial"]
-    else:
-        bi_name = bi_unit = bi_fin = None
+    stage = broadcast_if_bounded(t.stage.select(F.col("stage_id").alias("rm_stage_id"), "stage_name"),
+                                 consts.n_stages)
+
+    # one-row dimensions of the report request, resolved above, used as constants
+    pg_start, pg_end, pg_dice = (consts.program[k] for k in ("start_date", "end_date", "dice_enabled"))
+    currency_code = consts.currency_code
+    bi_name, bi_unit, bi_fin = (consts.base_impact[k] for k in ("base_impact_name", "unit", "financial"))
 
     j = (
         valued.join(rm, "roadmap_id", "left")
