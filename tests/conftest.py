@@ -24,6 +24,8 @@ def spark():
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
+    from tollgate.session import apply_recommended
+    apply_recommended(s)
     # tests own their checkpoint folder only when the session names none
     if s.sparkContext.getCheckpointDir() is None and not s.conf.get("spark.checkpoint.dir", None):
         s.sparkContext.setCheckpointDir(ckpt)

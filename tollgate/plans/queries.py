@@ -39,6 +39,7 @@ from tollgate.operators.valuation import impact_rows_with_rates, value_keys
 from tollgate.params import DEFAULT_PARAMS, ImpactMode, ReportParams
 from tollgate.plans.materialize import materialize
 from tollgate.plans.report import KEY_COLUMNS, filtered_milestones, report_rows, status_frames
+from tollgate.session import apply_recommended
 from tollgate.sources.tables import Tables
 from tollgate.sources.testdata import derive_tables
 
@@ -68,6 +69,7 @@ def _t(spark: SparkSession, sf_dir: str) -> Tables:
     key = (id(spark), sf_dir)
     hit = _TABLES.get(key)
     if hit is None or hit[0] is not spark:
+        apply_recommended(spark)
         hit = (spark, derive_tables(spark, sf_dir))
         _TABLES[key] = hit
     return hit[1]

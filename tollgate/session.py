@@ -5,12 +5,17 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 # Runtime SQL settings: adaptive execution re-plans joins from measured sizes, splits
-# skewed shuffle partitions and coalesces small ones. Timestamps in the report are
-# TIMESTAMP_NTZ; UTC keeps any zoned conversion stable across executors.
+# skewed shuffle partitions and coalesces small ones. An aggregate (the report's
+# DISTINCTs) shuffles on all of its keys instead of inheriting the partitioning of
+# the join below it: a project or milestone holding a third of the rows is then
+# spread over many tasks, and AQE stays free to split that skewed join (it does
+# not split a join whose output partitioning a later operator relies on).
+# Timestamps in the report are TIMESTAMP_NTZ; UTC keeps any zoned conversion stable.
 RECOMMENDED_SQL_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.requireAllClusterKeysForDistribution": "true",
     "spark.sql.session.timeZone": "UTC",
 }
 
