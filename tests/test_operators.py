@@ -178,3 +178,13 @@ def test_merge_key_semantics(spark):
     ins = C.rows_to_insert(src, target).collect()
     assert sorted((r.P_ID, r.A_FK_Milestone) for r in ins) == [(1, 11), (2, 20), (2, 20)]
     assert C.merged(src, target).count() == 5
+
+
+def test_impact_choice():
+    from tollgate.params import impact_choice
+
+    assert impact_choice([]) == (ImpactMode.UNSET, None)
+    assert impact_choice(["00000000-0000-0000-0000-000000000000"]) == (ImpactMode.NONE, None)
+    assert impact_choice(["N3"]) == (ImpactMode.SELECTED, "N3")
+    with pytest.raises(ValueError):
+        impact_choice(["a", "b"])

@@ -72,3 +72,23 @@ class ReportParams:
 
 
 DEFAULT_PARAMS = ReportParams()
+
+
+# Fixed value: the base-impact id that stands for "none" in a request.
+NONE_BASE_IMPACT_ID = "00000000-0000-0000-0000-000000000000"
+
+
+def impact_choice(base_impact_ids: list) -> tuple[ImpactMode, str | None]:
+    """Mode and base impact from a request's picked base impacts (0 or 1 ids).
+
+    No id -> UNSET; the all-zero id -> NONE; any other id -> SELECTED. Several ids
+    are ambiguous (the source picks an arbitrary one) and raise.
+    """
+    if len(base_impact_ids) > 1:
+        raise ValueError("at most one base impact can be picked")
+    if not base_impact_ids or base_impact_ids[0] is None:
+        return ImpactMode.UNSET, None
+    b = str(base_impact_ids[0])
+    if b.lower() == NONE_BASE_IMPACT_ID:
+        return ImpactMode.NONE, None
+    return ImpactMode.SELECTED, b

@@ -3,7 +3,7 @@
 Stages (each a lazy DataFrame; Catalyst plans the whole report as one job graph):
   filtered_milestones  roadmaps x due milestones, impact mode, narrative attributes
   status_frames        roadmap status 14 and 7 days before the as-of date
-  valued_keys          six impact metrics per milestone key
+  value_keys           six impact metrics per milestone key (operators/valuation.py)
   report_rows          labels, owners, dimensions -> the 48 report columns
 The cache stage (operators/cache.py) stores report rows per project snapshot and
 reads them back in tree order.
@@ -106,17 +106,12 @@ def status_frames(t: Tables, p: ReportParams, rows: DataFrame) -> tuple[DataFram
     return s14, s7
 
 
-def valued_keys(t: Tables, p: ReportParams, rows: DataFrame) -> DataFrame:
-    """Milestone rows with the six metrics (and the factor that split them)."""
-    return value_keys(rows, t, p)
-
-
 def report_rows(t: Tables, p: ReportParams, projects: DataFrame | None = None) -> DataFrame:
     """The 48-column report (distinct rows) for the program, optionally restricted
     to `projects` before any work is done."""
-    # the driving set is read four times (attributes, two status cut-offs, keys):
-    # compute it once and cut its lineage
-    # the request's constants and the checkpoint of the driving set run concurrently
+    # The driving set is read four times (attributes, two status cut-offs, keys):
+    # it is computed once and its lineage cut. That job and the small lookups of the
+    # request's constants run concurrently.
     consts, extra = resolve_constants(t, p, {"base": lambda: materialize(milestone_base(t, p, projects))})
     base = extra["base"]
     rows = filtered_milestones(t, p, base=base)
