@@ -52,7 +52,25 @@ def rows_of_duckdb(con, sql):
     return cols, [tuple(_norm(r[i]) for i in idx) for r in data]
 
 
+DUCK_TO_SPARK = {"INTEGER": "int", "BIGINT": "bigint", "VARCHAR": "string", "DOUBLE": "double", "DATE": "date",
+                 "TIMESTAMP": "timestamp_ntz", "BOOLEAN": "boolean", "FLOAT": "float", "SMALLINT": "smallint"}
+
+
+def type_mismatches(df, con, sql) -> list[tuple[str, str, str]]:
+    """(column, spark type, duckdb type) for columns whose types differ."""
+    duck = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    out = []
+    for f in df.schema.fields:
+        d = duck.get(f.name)
+        if DUCK_TO_SPARK.get(d, (d or "").lower()) != f.dataType.simpleString():
+            out.append((f.name, f.dataType.simpleString(), d))
+    return out
+
+
 def compare(df, con, sql) -> tuple[bool, str]:
+    bad_types = type_mismatches(df, con, sql)
+    if bad_types:
+        return False, f"types differ: {bad_types[:5]}"
     sc, sr = rows_of_spark(df)
     oc, orows = rows_of_duckdb(con, sql)
     if sc != oc:

@@ -295,7 +295,7 @@ def status_cte(p: ReportParams, days: int, fm: str = "fm", name: str | None = No
     return f"""{name} AS (
   SELECT roadmap_id, traffic_light, audit_time, tl_rank FROM (
     SELECT a.roadmap_id, a.traffic_light, a.audit_time,
-           rank() OVER (PARTITION BY a.roadmap_id ORDER BY a.audit_time DESC) AS tl_rank
+           CAST(rank() OVER (PARTITION BY a.roadmap_id ORDER BY a.audit_time DESC) AS INTEGER) AS tl_rank
     FROM roadmap_audit a JOIN (SELECT DISTINCT roadmap_id FROM {fm}) fms ON fms.roadmap_id = a.roadmap_id
     WHERE date_diff('day', a.audit_time, {asof}) >= {days}) x
   WHERE tl_rank = 1)"""
@@ -334,7 +334,7 @@ def result_ctes(p: ReportParams, suffix: str = "", fm_where: str = "") -> list[s
     bi.base_impact_name AS BI_NAME, bi.unit AS BI_UNIT,
     CASE WHEN bi.financial THEN {code} ELSE '' END AS CURRENCY_CODE,
     stg.stage_name AS RM_STAGE, {sentinel('rs.plan_date')} AS G4_DueDate,
-    year(pg.start_date) AS PG_START_YEAR, year(pg.end_date) AS PG_END_YEAR,
+    CAST(year(pg.start_date) AS INTEGER) AS PG_START_YEAR, CAST(year(pg.end_date) AS INTEGER) AS PG_END_YEAR,
     {imp}.Plan, {imp}.Update, {imp}.Actual, {imp}.Plan_To_Date, {imp}.Actual_To_Date, {imp}.Update_To_Date,
     msv.milestone_id AS A_FK_Milestone, {imp}.project_id AS A_FK_Project, {imp}.base_impact_id AS A_FK_BASE_IMPACT,
     pg.dice_enabled AS A_DICE_ENABLED,
@@ -465,7 +465,7 @@ SELECT {KEYS}, CAST(numeric_factor AS DOUBLE) AS numeric_factor, {cols} FROM imp
     asof = f"TIMESTAMP '{P.status_as_of.isoformat()} 00:00:00'"
     o["status_asof_ties"] = W() + f"""
 SELECT roadmap_id, traffic_light, audit_time, tl_rank FROM (
-  SELECT roadmap_id, traffic_light, audit_time, rank() OVER (PARTITION BY roadmap_id ORDER BY audit_time DESC) AS tl_rank
+  SELECT roadmap_id, traffic_light, audit_time, CAST(rank() OVER (PARTITION BY roadmap_id ORDER BY audit_time DESC) AS INTEGER) AS tl_rank
   FROM (SELECT roadmap_id, traffic_light, date_trunc('day', audit_time) AS audit_time FROM roadmap_audit) a
   WHERE date_diff('day', audit_time, {asof}) >= 14) x
 WHERE tl_rank = 1"""
@@ -493,8 +493,8 @@ LEFT JOIN s14 ON s14.roadmap_id = r.roadmap_id LEFT JOIN s7 ON s7.roadmap_id = r
   WHERE bi.program_id = {P.program_id})"""
     o["tree_attributes"] = W(tree_cte, attrs_sql) + "\nSELECT * FROM ta"
     o["tree_sorted"] = W(tree_cte, attrs_sql) + """
-SELECT *, row_number() OVER (PARTITION BY substr(BaseImpactPath, 1, 5) ORDER BY BaseImpactPath, BaseImpactID)
-       AS PathPosition FROM ta"""
+SELECT *, CAST(row_number() OVER (PARTITION BY substr(BaseImpactPath, 1, 5) ORDER BY BaseImpactPath, BaseImpactID)
+       AS INTEGER) AS PathPosition FROM ta"""
 
     o["attr_pivot"] = W(attr_cte()) + "\nSELECT * FROM attr"
     narr = ", ".join(f"n.{c}" for c in NARR)
@@ -515,7 +515,7 @@ SELECT milestone_id, {day_diff('plan_date', q(P.today))} AS DELAY_OVERDUE, {day_
        {sentinel('update_date')} AS A_Forecast
 FROM milestone WHERE program_id = {P.program_id}"""
     o["year_columns"] = W() + """
-SELECT program_id, year(start_date) AS PG_START_YEAR, year(end_date) AS PG_END_YEAR, dice_enabled AS A_DICE_ENABLED
+SELECT program_id, CAST(year(start_date) AS INTEGER) AS PG_START_YEAR, CAST(year(end_date) AS INTEGER) AS PG_END_YEAR, dice_enabled AS A_DICE_ENABLED
 FROM program"""
     o["url_build"] = W() + f"""
 SELECT fr.roadmap_id, fr.project_id,
