@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tollgate.operators.joins import restrict_to_keys
+
 
 def age_cutoff(as_of: dt.date, min_age_days: int) -> dt.datetime:
     """Audit rows strictly before this instant are at least `min_age_days` calendar
@@ -21,6 +23,7 @@ def status_as_of(
     as_of: dt.date,
     min_age_days: int,
     time_col: str = "audit_time",
+    n_roadmaps: int | None = None,
 ) -> DataFrame:
     """(roadmap_id, traffic_light, audit_time, tl_rank) of each roadmap's latest
     audit rows at least `min_age_days` old; ties on the time are all kept.
@@ -31,7 +34,8 @@ def status_as_of(
     """
     rows = audit.where(F.col(time_col) < F.lit(age_cutoff(as_of, min_age_days)).cast("timestamp_ntz"))
     if roadmaps is not None:
-        rows = rows.join(roadmaps.select("roadmap_id"), "roadmap_id", "left_semi")
+        pruned = restrict_to_keys(rows, roadmaps, "roadmap_id", n_roadmaps)
+        rows = pruned if pruned is not rows else rows.join(roadmaps.select("roadmap_id"), "roadmap_id", "left_semi")
     w = Window.partitionBy("roadmap_id").orderBy(F.col(time_col).desc())
     return (
         rows.select("roadmap_id", "traffic_light", F.col(time_col).alias("audit_time"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tollgate.operators.joins import restrict_to_keys
+
 # Attribute id -> report column (the seven narrative attributes).
 NARRATIVE_ATTRIBUTES = {
     1: "Milestone_Owner",
@@ -20,20 +22,26 @@ NARRATIVE_COLUMNS = list(NARRATIVE_ATTRIBUTES.values())
 VALUE_SEPARATOR = " | "
 
 
-def attribute_pivot(milestone_attribute: DataFrame, milestones: DataFrame | None = None) -> DataFrame:
+def attribute_pivot(milestone_attribute: DataFrame, milestones: DataFrame | None = None,
+                    n_milestones: int | None = None) -> DataFrame:
     """One row per milestone with a column per narrative attribute.
 
     A milestone with one value for an attribute gets that value; with several
     values, their distinct values sorted and joined by ' | ' (one row, not one row
     per combination); with none, NULL. `milestones` (a frame with milestone_id)
-    restricts the pivot to those milestones before the shuffle.
+    restricts the pivot to those milestones; with a checked count of them
+    (`n_milestones`) under the broadcast limit the restriction is a broadcast semi
+    join inside the scan stage, else a shuffled one.
 
     The sets are built map-side (partial aggregation), so a milestone with very
     many attribute rows is pre-combined in every task before the shuffle.
     """
     eav = milestone_attribute.where(F.col("attribute_id").isin(list(NARRATIVE_ATTRIBUTES)))
     if milestones is not None:
-        eav = eav.join(milestones.select("milestone_id").distinct(), "milestone_id", "left_semi")
+        pruned = restrict_to_keys(eav, milestones, "milestone_id", n_milestones)
+        if pruned is eav:
+            pruned = eav.join(milestones.select("milestone_id").distinct(), "milestone_id", "left_semi")
+        eav = pruned
     sets = [
         F.collect_set(F.when(F.col("attribute_id") == k, F.col("text_value"))).alias(name)
         for k, name in NARRATIVE_ATTRIBUTES.items()

@@ -19,7 +19,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tollgate.operators.joins import broadcast_checked, broadcast_if_bounded, rows_at_most, scalar_lookup
+from tollgate.operators.joins import (
+    broadcast_checked,
+    broadcast_if_bounded,
+    restrict_to_keys,
+    rows_at_most,
+    scalar_lookup,
+)
 from tollgate.params import ImpactMode, ReportParams
 
 KINDS = ("plan", "actual", "forecast")
@@ -169,7 +175,7 @@ def metric_columns(p: ReportParams) -> list[Column]:
     return out
 
 
-def value_keys(keys: DataFrame, tables, p: ReportParams, consts=None) -> DataFrame:
+def value_keys(keys: DataFrame, tables, p: ReportParams, consts=None, n_roadmaps: int | None = None) -> DataFrame:
     """keys + numeric_factor + the six metrics.
 
     A key gets one row per distinct factor among its roadmap's impacts, or one
@@ -178,7 +184,10 @@ def value_keys(keys: DataFrame, tables, p: ReportParams, consts=None) -> DataFra
     are roadmaps without impacts), so no impact is read at all.
     """
     if p.impact_mode is ImpactMode.SELECTED:
-        totals = roadmap_totals(tables.impact, tables.multiplier_set_day, tables.program_currency,
+        # only the keys' roadmaps are valued: with a checked count of them, the
+        # impact rows of other roadmaps are dropped in the scan stage
+        impact = restrict_to_keys(tables.impact, keys, "roadmap_id", n_roadmaps)
+        totals = roadmap_totals(impact, tables.multiplier_set_day, tables.program_currency,
                                 tables.base_impact_factor, p, consts)
         joined = keys.join(totals, "roadmap_id", "left")
     else:

@@ -38,7 +38,7 @@ from tollgate.operators.enrich import (
     stage_gate,
 )
 from tollgate.operators.filters import apply_impact_mode, due_window
-from tollgate.operators.joins import broadcast_if_bounded
+from tollgate.operators.joins import broadcast_if_bounded, distinct_counts, restrict_to_keys
 from tollgate.operators.valuation import value_keys
 from tollgate.params import ImpactMode, ReportParams
 from tollgate.plans.constants import resolve_constants
@@ -79,14 +79,14 @@ def milestone_base(t: Tables, p: ReportParams, projects: DataFrame | None = None
 
 
 def filtered_milestones(t: Tables, p: ReportParams, projects: DataFrame | None = None,
-                        base: DataFrame | None = None) -> DataFrame:
+                        base: DataFrame | None = None, counts: dict | None = None) -> DataFrame:
     """The report's roadmap x milestone set with its narrative attributes (distinct rows).
 
     Columns: KEY_COLUMNS, milestone_name, datedif, the narrative attributes, and the
     milestone fields the report shows (sort order, plan and update dates).
     """
     rows = milestone_base(t, p, projects) if base is None else base
-    attrs = attribute_pivot(t.milestone_attribute, rows)
+    attrs = attribute_pivot(t.milestone_attribute, rows, (counts or {}).get("milestone_id"))
     rows = rows.join(attrs, "milestone_id", "left")
     return rows.select(
         *KEY_COLUMNS,
@@ -97,12 +97,13 @@ def filtered_milestones(t: Tables, p: ReportParams, projects: DataFrame | None =
     ).distinct()
 
 
-def status_frames(t: Tables, p: ReportParams, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+def status_frames(t: Tables, p: ReportParams, rows: DataFrame,
+                  n_roadmaps: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Status 14 days (2 weeks) and 7 days (1 week) before the as-of date, for the
     roadmaps in `rows`."""
     roadmaps = rows.select("roadmap_id").distinct()
-    s14 = status_as_of(t.roadmap_audit, roadmaps, p.status_as_of, 14)
-    s7 = status_as_of(t.roadmap_audit, roadmaps, p.status_as_of, 7)
+    s14 = status_as_of(t.roadmap_audit, roadmaps, p.status_as_of, 14, n_roadmaps=n_roadmaps)
+    s7 = status_as_of(t.roadmap_audit, roadmaps, p.status_as_of, 7, n_roadmaps=n_roadmaps)
     return s14, s7
 
 
@@ -114,9 +115,17 @@ def report_rows(t: Tables, p: ReportParams, projects: DataFrame | None = None) -
     # request's constants run concurrently.
     consts, extra = resolve_constants(t, p, {"base": lambda: materialize(milestone_base(t, p, projects))})
     base = extra["base"]
-    rows = filtered_milestones(t, p, base=base)
-    s14, s7 = status_frames(t, p, base)
-    valued = value_keys(rows, t, p, consts)
+    # Distinct keys of the driving set, counted once from the checkpoint: when they
+    # are few enough, every large dimension is cut to them by a broadcast semi join
+    # in its scan stage, before it is shuffled for its join.
+    counts = distinct_counts(base, "roadmap_id", "milestone_id", "project_id")
+
+    def prune(df: DataFrame, key: str) -> DataFrame:
+        return restrict_to_keys(df, base, key, counts[key])
+
+    rows = filtered_milestones(t, p, base=base, counts=counts)
+    s14, s7 = status_frames(t, p, base, counts["roadmap_id"])
+    valued = value_keys(rows, t, p, consts, counts["roadmap_id"])
     # narratives join on (roadmap, milestone, base impact) with plain equality:
     # a NULL base impact (UNSET / NONE) matches nothing, so they are NULL then
     if p.impact_mode is not ImpactMode.SELECTED:
@@ -125,19 +134,22 @@ def report_rows(t: Tables, p: ReportParams, projects: DataFrame | None = None) -
               for c in valued.columns]
         )
 
-    rm = t.roadmap.select("roadmap_id", F.col("roadmap_id").alias("rm_id"), "roadmap_name", "description",
-                          F.col("stage_id").alias("rm_stage_id"))
-    rmv = t.roadmap_view.select("roadmap_id", "roadmap_number", "tl_dice", "tl_milestone", "tl_impact",
-                                F.col("tl_overall").alias("rm_tl_overall"))
-    gate = stage_gate(t.roadmap_view, t.roadmap_stage, p.gate_stage_id)
-    owners = role_holders(t.user_role, t.users, ROLE_ROADMAP_OWNER, "roadmap_id").withColumnRenamed(
+    rm = prune(t.roadmap, "roadmap_id").select(
+        "roadmap_id", F.col("roadmap_id").alias("rm_id"), "roadmap_name", "description",
+        F.col("stage_id").alias("rm_stage_id"))
+    rmv = prune(t.roadmap_view, "roadmap_id").select(
+        "roadmap_id", "roadmap_number", "tl_dice", "tl_milestone", "tl_impact",
+        F.col("tl_overall").alias("rm_tl_overall"))
+    gate = stage_gate(prune(t.roadmap_view, "roadmap_id"), prune(t.roadmap_stage, "roadmap_id"), p.gate_stage_id)
+    roadmap_roles = prune(t.user_role, "roadmap_id")
+    owners = role_holders(roadmap_roles, t.users, ROLE_ROADMAP_OWNER, "roadmap_id").withColumnRenamed(
         "holders", "rm_owner")
-    approvers = role_holders(t.user_role, t.users, ROLE_ROADMAP_APPROVER, "roadmap_id").withColumnRenamed(
+    approvers = role_holders(roadmap_roles, t.users, ROLE_ROADMAP_APPROVER, "roadmap_id").withColumnRenamed(
         "holders", "rm_approver")
-    ws = role_holders(t.user_role, t.users, ROLE_WORKSTREAM_OWNER, "project_id").withColumnRenamed(
-        "holders", "ws_owner")
-    pj = t.project.select("project_id", "project_name", "project_number", "parent_project_id",
-                          F.col("project_id").alias("pj_id"))
+    ws = role_holders(prune(t.user_role, "project_id"), t.users, ROLE_WORKSTREAM_OWNER,
+                      "project_id").withColumnRenamed("holders", "ws_owner")
+    pj = prune(t.project, "project_id").select(
+        "project_id", "project_name", "project_number", "parent_project_id", F.col("project_id").alias("pj_id"))
     stage = broadcast_if_bounded(t.stage.select(F.col("stage_id").alias("rm_stage_id"), "stage_name"),
                                  consts.n_stages)
 
