@@ -94,12 +94,15 @@ def markers(needed: DataFrame, p: ReportParams, marked_at: dt.datetime | None =
     )
 
 
+def _ids_match(p: ReportParams):
+    """The cache ids of a request: a partition filter on the cache table."""
+    return ((F.col("A_FK_REPORT_CACHE") == p.report_cache_id)
+            & (F.col("A_FK_REPORT_FILTER_CACHE") == p.report_filter_cache_id))
+
+
 def read_back(cache: DataFrame, in_report: DataFrame, p: ReportParams) -> DataFrame:
     """Cache rows of the report's project snapshots (all 52 columns)."""
-    c = cache.where(
-        (F.col("A_FK_REPORT_CACHE") == p.report_cache_id)
-        & (F.col("A_FK_REPORT_FILTER_CACHE") == p.report_filter_cache_id)
-    )
+    c = cache.where(_ids_match(p))
     r = snapshot_columns(in_report).withColumnRenamed("project_id", "r_project_id")
     cond = (
         (c.A_FK_SNAPSHOT == r.A_FK_SNAPSHOT)
@@ -140,11 +143,14 @@ class ReportCache:
             return None
         return self.spark.read.parquet(self.table_path)
 
-    def merge(self, new_rows: DataFrame) -> None:
-        """Append the rows whose key is not cached yet."""
+    def merge(self, new_rows: DataFrame, p: ReportParams | None = None) -> None:
+        """Append the rows whose key is not cached yet. With the request's params,
+        the comparison reads only the table partition of its cache ids."""
         target = self.table()
         rows = new_rows.select(*CACHE_COLUMNS)
         if target is not None:
+            if p is not None:
+                target = target.where(_ids_match(p))
             rows = rows_to_insert(rows, target)
         (rows.write.mode("append").partitionBy(*ID_COLUMNS).parquet(self.table_path))
 
@@ -154,7 +160,7 @@ class ReportCache:
         rows = markers(needed, p, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).dropDuplicates(
             MARKER_KEY)
         if self._exists(self.marker_path):
-            old = self.spark.read.parquet(self.marker_path).select(*MARKER_KEY)
+            old = self.spark.read.parquet(self.marker_path).where(_ids_match(p)).select(*MARKER_KEY)
             cond = None
             for k in MARKER_KEY:
                 c = rows[k] == old[k]
