@@ -78,6 +78,12 @@ def milestone_base(t: Tables, p: ReportParams, projects: DataFrame | None = None
     return apply_impact_mode(fr.join(ms, "roadmap_id"), t.impact, p)
 
 
+def driving_set(t: Tables, p: ReportParams, projects: DataFrame | None = None) -> tuple[DataFrame, dict]:
+    """The milestone base, checkpointed, and the exact distinct counts of its keys."""
+    base = materialize(milestone_base(t, p, projects))
+    return base, distinct_counts(base, "roadmap_id", "milestone_id", "project_id")
+
+
 def filtered_milestones(t: Tables, p: ReportParams, projects: DataFrame | None = None,
                         base: DataFrame | None = None, counts: dict | None = None) -> DataFrame:
     """The report's roadmap x milestone set with its narrative attributes (distinct rows).
@@ -85,7 +91,9 @@ def filtered_milestones(t: Tables, p: ReportParams, projects: DataFrame | None =
     Columns: KEY_COLUMNS, milestone_name, datedif, the narrative attributes, and the
     milestone fields the report shows (sort order, plan and update dates).
     """
-    rows = milestone_base(t, p, projects) if base is None else base
+    if base is None:
+        base, counts = driving_set(t, p, projects)
+    rows = base
     attrs = attribute_pivot(t.milestone_attribute, rows, (counts or {}).get("milestone_id"))
     rows = rows.join(attrs, "milestone_id", "left")
     return rows.select(
