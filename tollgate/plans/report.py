@@ -184,7 +184,8 @@ def report_rows(t: Tables, p: ReportParams, projects: DataFrame | None = None) -
     out = j.select(
         F.col("project_name").alias("PROJ_PARENT"),
         F.col("pj_id").alias("P_ID"),
-        owner_or_blank("ws_owner").alias("WS_OWNER"),
+        # the workstream owner is found through the project row: none without it
+        F.when(F.col("pj_id").isNull(), F.lit("")).otherwise(owner_or_blank("ws_owner")).alias("WS_OWNER"),
         F.col("project_number").alias("PJ_Num"),
         F.col("rm_id").alias("RM_ID"),
         traffic_light(F.col("tl_dice")).alias("RM_TL_DICE"),
