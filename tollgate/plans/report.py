@@ -38,7 +38,13 @@ from tollgate.operators.enrich import (
     stage_gate,
 )
 from tollgate.operators.filters import apply_impact_mode, due_window
-from tollgate.operators.joins import broadcast_if_bounded, distinct_counts, restrict_to_keys
+from tollgate.operators.joins import (
+    BROADCAST_ROW_LIMIT,
+    broadcast_if_bounded,
+    distinct_counts,
+    restrict_to_keys,
+    rows_at_most,
+)
 from tollgate.operators.valuation import value_keys
 from tollgate.params import ImpactMode, ReportParams
 from tollgate.plans.constants import resolve_constants
@@ -70,7 +76,11 @@ def milestone_base(t: Tables, p: ReportParams, projects: DataFrame | None = None
         "roadmap_id", "program_id", "project_id"
     )
     if projects is not None:
-        fr = fr.join(projects.select("project_id"), "project_id", "left_semi")
+        # a request's project list is a parameter relation: broadcast it when its
+        # checked size allows, so the restriction happens in the scan stage
+        n = rows_at_most(projects.select("project_id"), BROADCAST_ROW_LIMIT)
+        pruned = restrict_to_keys(fr, projects, "project_id", n)
+        fr = pruned if pruned is not fr else fr.join(projects.select("project_id"), "project_id", "left_semi")
     ms = due_window(t.milestone, p).select(
         "roadmap_id", "milestone_id", "milestone_name", "forecast_date", "plan_date", "update_date",
         F.col("sort_order").alias("milestone_sort_order"),
