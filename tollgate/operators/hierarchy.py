@@ -31,6 +31,10 @@ def tree_path(spark: SparkSession, base_impact: DataFrame, program_id: int) -> D
 
     The sort path is '::NNN' per level, NNN the last three digits of the integer
     sort order, so text order is pre-order within a level's first 1000 siblings.
+
+    Each recursion level is one distributed join of the hierarchy with the previous
+    level. A cycle stops at the session's recursion level limit (100 by default);
+    the row cap must be lifted for large hierarchies (session.RECOMMENDED_SQL_CONF).
     """
     bi = base_impact.select("base_impact_id", "parent_id", "program_id", "sort_order")
     return spark.sql(_TREE_SQL, bi=bi, program_id=int(program_id))
