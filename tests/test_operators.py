@@ -188,3 +188,11 @@ def test_impact_choice():
     assert impact_choice(["N3"]) == (ImpactMode.SELECTED, "N3")
     with pytest.raises(ValueError):
         impact_choice(["a", "b"])
+
+
+def test_status_label_folds_ties(spark):
+    from tollgate.operators.asof import status_label
+
+    s = spark.createDataFrame([(1, 3), (1, 4), (1, 3), (2, None)], "roadmap_id bigint, traffic_light int")
+    got = {r.roadmap_id: r.label for r in status_label(s).collect()}
+    assert got == {1: "Green; Yellow", 2: "Red"}

@@ -301,6 +301,13 @@ def status_cte(p: ReportParams, days: int, fm: str = "fm", name: str | None = No
   WHERE tl_rank = 1)"""
 
 
+def label_cte(status: str, name: str) -> str:
+    """Latest-status label per roadmap; tied labels listed, sorted, in one cell."""
+    return f"""{name} AS (
+  SELECT roadmap_id, string_agg(DISTINCT {tl('traffic_light')}, '; ' ORDER BY {tl('traffic_light')}) AS label
+  FROM {status} GROUP BY roadmap_id)"""
+
+
 def holders_cte(role: int, key: str, name: str) -> str:
     nm = person("u.last_name", "u.first_name")
     return f"""{name} AS (
@@ -327,7 +334,7 @@ def result_ctes(p: ReportParams, suffix: str = "", fm_where: str = "") -> list[s
     {tl('rmv.tl_impact')} AS RM_TL_IM, {tl('rmv.tl_overall')} AS RM_TL_OVERALL,
     rmv.roadmap_number AS RM_NUMBER, COALESCE(rmo.holders, '') AS RM_OWNER, COALESCE(rma.holders, '') AS RM_APPROVER,
     rm.roadmap_name AS MEMBER_NAME, {strip_html('rm.description')} AS ROADMAP_DESCRIPTION,
-    {tl(s14 + '.traffic_light')} AS Status_2Weeks_ago, {tl(s7 + '.traffic_light')} AS Status_1Weeks_ago,
+    COALESCE(l14.label, 'Red') AS Status_2Weeks_ago, COALESCE(l7.label, 'Red') AS Status_1Weeks_ago,
     msv.milestone_name AS A_Milestone, msv.sort_order AS Milestone_Sort_order,
     {sentinel('msv.plan_date')} AS A_Plan, {sentinel('msv.update_date')} AS A_Forecast,
     {day_diff('msv.plan_date', q(p.today))} AS DELAY_OVERDUE, {p.due_in_next_n_days} AS MilestoneDueInNextNDays,
@@ -348,8 +355,8 @@ def result_ctes(p: ReportParams, suffix: str = "", fm_where: str = "") -> list[s
   LEFT JOIN roadmap_view rmv ON rmv.roadmap_id = {imp}.roadmap_id
   LEFT JOIN milestone msv ON {imp}.roadmap_id = msv.roadmap_id AND {imp}.milestone_id = msv.milestone_id
   LEFT JOIN base_impact bi ON bi.base_impact_id = {imp}.base_impact_id
-  LEFT JOIN {s14} ON {s14}.roadmap_id = {imp}.roadmap_id
-  LEFT JOIN {s7} ON {s7}.roadmap_id = {imp}.roadmap_id
+  LEFT JOIN {s14}_label l14 ON l14.roadmap_id = {imp}.roadmap_id
+  LEFT JOIN {s7}_label l7 ON l7.roadmap_id = {imp}.roadmap_id
   LEFT JOIN {fm} frms ON frms.roadmap_id = {imp}.roadmap_id AND frms.milestone_id = {imp}.milestone_id
                      AND frms.base_impact_id = {imp}.base_impact_id
   LEFT JOIN stage stg ON rm.stage_id = stg.stage_id
@@ -360,7 +367,8 @@ def result_ctes(p: ReportParams, suffix: str = "", fm_where: str = "") -> list[s
   LEFT JOIN h6 rma ON rma.roadmap_id = {imp}.roadmap_id
   LEFT JOIN h4 wso ON wso.project_id = pj.project_id
   WHERE {imp}.program_id = {p.program_id})"""
-    return [fmc, imp_cte(p, fm, imp), status_cte(p, 14, fm, s14), status_cte(p, 7, fm, s7), res_sql]
+    return [fmc, imp_cte(p, fm, imp), status_cte(p, 14, fm, s14), status_cte(p, 7, fm, s7),
+            label_cte(s14, f"{s14}_label"), label_cte(s7, f"{s7}_label"), res_sql]
 
 
 COMMON = [attr_cte(), holders_cte(5, "roadmap_id", "h5"), holders_cte(6, "roadmap_id", "h6"),
@@ -469,10 +477,11 @@ SELECT roadmap_id, traffic_light, audit_time, tl_rank FROM (
   FROM (SELECT roadmap_id, traffic_light, date_trunc('day', audit_time) AS audit_time FROM roadmap_audit) a
   WHERE date_diff('day', audit_time, {asof}) >= 14) x
 WHERE tl_rank = 1"""
-    o["status_trend"] = W(*COMMON, fm_cte(P_UNSET), status_cte(P, 14), status_cte(P, 7)) + f"""
-SELECT r.roadmap_id, {tl('s14.traffic_light')} AS Status_2Weeks_ago, {tl('s7.traffic_light')} AS Status_1Weeks_ago
+    o["status_trend"] = W(*COMMON, fm_cte(P_UNSET), status_cte(P, 14), status_cte(P, 7),
+                          label_cte("s14", "l14"), label_cte("s7", "l7")) + """
+SELECT r.roadmap_id, COALESCE(l14.label, 'Red') AS Status_2Weeks_ago, COALESCE(l7.label, 'Red') AS Status_1Weeks_ago
 FROM (SELECT DISTINCT roadmap_id FROM fm) r
-LEFT JOIN s14 ON s14.roadmap_id = r.roadmap_id LEFT JOIN s7 ON s7.roadmap_id = r.roadmap_id"""
+LEFT JOIN l14 ON l14.roadmap_id = r.roadmap_id LEFT JOIN l7 ON l7.roadmap_id = r.roadmap_id"""
 
     seg = "'::' || right('000' || rtrim(CAST(CAST(trunc(sort_order) AS INTEGER) AS VARCHAR)), 3)"
     tree_cte = f"""tp AS (

@@ -42,3 +42,22 @@ def status_as_of(
         .withColumn("tl_rank", F.rank().over(w))
         .where(F.col("tl_rank") == 1)
     )
+
+
+# Tied latest rows with different lights are listed in one cell, sorted.
+LABEL_SEPARATOR = "; "
+
+
+def status_label(status: DataFrame) -> DataFrame:
+    """(roadmap_id, label): the traffic-light label of each roadmap's latest status.
+
+    Rows tied on the latest time give their distinct labels, sorted, in one cell
+    (one row per roadmap, so ties never multiply report rows). A roadmap with no
+    row has no label here; the report shows 'Red' for it.
+    """
+    from tollgate.functions.labels import traffic_light
+
+    return status.groupBy("roadmap_id").agg(
+        F.array_join(F.array_sort(F.collect_set(traffic_light(F.col("traffic_light")))), LABEL_SEPARATOR)
+        .alias("label")
+    )

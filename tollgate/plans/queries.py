@@ -22,7 +22,7 @@ from tollgate.functions.labels import (
     traffic_light,
 )
 from tollgate.operators import cache as C
-from tollgate.operators.asof import status_as_of
+from tollgate.operators.asof import status_as_of, status_label
 from tollgate.operators.attributes import NARRATIVE_COLUMNS, attribute_pivot
 from tollgate.operators.enrich import (
     ROLE_ROADMAP_APPROVER,
@@ -148,10 +148,10 @@ def status_trend(spark, sf_dir):
     s14, s7 = status_frames(t, P_UNSET, rows)
     roadmaps = rows.select("roadmap_id").distinct()
     return (
-        roadmaps.join(s14.select("roadmap_id", F.col("traffic_light").alias("tl14")), "roadmap_id", "left")
-        .join(s7.select("roadmap_id", F.col("traffic_light").alias("tl7")), "roadmap_id", "left")
-        .select("roadmap_id", traffic_light(F.col("tl14")).alias("Status_2Weeks_ago"),
-                traffic_light(F.col("tl7")).alias("Status_1Weeks_ago"))
+        roadmaps.join(status_label(s14).withColumnRenamed("label", "l14"), "roadmap_id", "left")
+        .join(status_label(s7).withColumnRenamed("label", "l7"), "roadmap_id", "left")
+        .select("roadmap_id", F.coalesce("l14", F.lit("Red")).alias("Status_2Weeks_ago"),
+                F.coalesce("l7", F.lit("Red")).alias("Status_1Weeks_ago"))
     )
 
 

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tollgate.functions.labels import (
+    TRAFFIC_LIGHT_DEFAULT,
     day_diff,
     project_url,
     roadmap_url,
@@ -27,7 +28,7 @@ from tollgate.functions.labels import (
     strip_html,
     traffic_light,
 )
-from tollgate.operators.asof import status_as_of
+from tollgate.operators.asof import status_as_of, status_label
 from tollgate.operators.attributes import NARRATIVE_COLUMNS, attribute_pivot
 from tollgate.operators.enrich import (
     ROLE_ROADMAP_APPROVER,
@@ -182,8 +183,8 @@ def report_rows(t: Tables, p: ReportParams, projects: DataFrame | None = None) -
         .join(gate, "roadmap_id", "left")
         .join(owners, "roadmap_id", "left")
         .join(approvers, "roadmap_id", "left")
-        .join(s14.select("roadmap_id", F.col("traffic_light").alias("tl_14")), "roadmap_id", "left")
-        .join(s7.select("roadmap_id", F.col("traffic_light").alias("tl_7")), "roadmap_id", "left")
+        .join(status_label(s14).withColumnRenamed("label", "status_14"), "roadmap_id", "left")
+        .join(status_label(s7).withColumnRenamed("label", "status_7"), "roadmap_id", "left")
         .join(stage, "rm_stage_id", "left")
         .join(pj, "project_id", "left")
         .join(ws, "project_id", "left")
@@ -207,8 +208,8 @@ def report_rows(t: Tables, p: ReportParams, projects: DataFrame | None = None) -
         owner_or_blank("rm_approver").alias("RM_APPROVER"),
         F.col("roadmap_name").alias("MEMBER_NAME"),
         strip_html(F.col("description")).alias("ROADMAP_DESCRIPTION"),
-        traffic_light(F.col("tl_14")).alias("Status_2Weeks_ago"),
-        traffic_light(F.col("tl_7")).alias("Status_1Weeks_ago"),
+        F.coalesce(F.col("status_14"), F.lit(TRAFFIC_LIGHT_DEFAULT)).alias("Status_2Weeks_ago"),
+        F.coalesce(F.col("status_7"), F.lit(TRAFFIC_LIGHT_DEFAULT)).alias("Status_1Weeks_ago"),
         F.col("milestone_name").alias("A_Milestone"),
         F.col("milestone_sort_order").alias("Milestone_Sort_order"),
         sentinel_datetime(F.col("plan_date")).alias("A_Plan"),
