@@ -35,10 +35,16 @@ from tollgate.operators.enrich import (
 from tollgate.operators.filters import due_window
 from tollgate.operators.hierarchy import tree_attributes, tree_path
 from tollgate.operators.joins import scalar_lookup
-from tollgate.operators.valuation import impact_rows_with_rates, value_keys
+from tollgate.operators.valuation import impact_rows_with_rates
 from tollgate.params import DEFAULT_PARAMS, ImpactMode, ReportParams
 from tollgate.plans.materialize import materialize
-from tollgate.plans.report import KEY_COLUMNS, filtered_milestones, report_rows, status_frames
+from tollgate.plans.report import (
+    KEY_COLUMNS,
+    filtered_milestones,
+    report_rows,
+    status_frames,
+    valued_milestones,
+)
 from tollgate.session import apply_recommended
 from tollgate.sources.tables import Tables
 from tollgate.sources.testdata import derive_tables
@@ -98,8 +104,7 @@ def multiplier_lookup(spark, sf_dir):
 
 
 def _valued(t: Tables, p: ReportParams) -> DataFrame:
-    keys = filtered_milestones(t, p).select(*KEY_COLUMNS).distinct()
-    return value_keys(keys, t, p).withColumn("numeric_factor", F.col("numeric_factor").cast("double"))
+    return valued_milestones(t, p).withColumn("numeric_factor", F.col("numeric_factor").cast("double"))
 
 
 def impact_rollup_plan(spark, sf_dir):

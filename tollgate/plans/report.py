@@ -116,6 +116,16 @@ def filtered_milestones(t: Tables, p: ReportParams, projects: DataFrame | None =
     ).distinct()
 
 
+def valued_milestones(t: Tables, p: ReportParams, projects: DataFrame | None = None) -> DataFrame:
+    """Distinct milestone keys with their factor and six metrics (the valuation
+    alone), planned like the report: constants and driving set resolved
+    concurrently, impact rows pruned to the keys' roadmaps."""
+    consts, extra = resolve_constants(t, p, {"base": lambda: driving_set(t, p, projects)})
+    base, counts = extra["base"]
+    keys = base.select(*KEY_COLUMNS).distinct()
+    return value_keys(keys, t, p, consts, counts["roadmap_id"])
+
+
 def status_frames(t: Tables, p: ReportParams, rows: DataFrame,
                   n_roadmaps: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Status 14 days (2 weeks) and 7 days (1 week) before the as-of date, for the
@@ -132,12 +142,11 @@ def report_rows(t: Tables, p: ReportParams, projects: DataFrame | None = None) -
     # The driving set is read four times (attributes, two status cut-offs, keys):
     # it is computed once and its lineage cut. That job and the small lookups of the
     # request's constants run concurrently.
-    consts, extra = resolve_constants(t, p, {"base": lambda: materialize(milestone_base(t, p, projects))})
-    base = extra["base"]
-    # Distinct keys of the driving set, counted once from the checkpoint: when they
-    # are few enough, every large dimension is cut to them by a broadcast semi join
-    # in its scan stage, before it is shuffled for its join.
-    counts = distinct_counts(base, "roadmap_id", "milestone_id", "project_id")
+    # Distinct keys of the driving set are counted once from the checkpoint: when
+    # they are few enough, every large dimension is cut to them by a broadcast semi
+    # join in its scan stage, before it is shuffled for its join.
+    consts, extra = resolve_constants(t, p, {"base": lambda: driving_set(t, p, projects)})
+    base, counts = extra["base"]
 
     def prune(df: DataFrame, key: str) -> DataFrame:
         return restrict_to_keys(df, base, key, counts[key])
