@@ -196,3 +196,31 @@ def test_status_label_folds_ties(spark):
     s = spark.createDataFrame([(1, 3), (1, 4), (1, 3), (2, None)], "roadmap_id bigint, traffic_light int")
     got = {r.roadmap_id: r.label for r in status_label(s).collect()}
     assert got == {1: "Green; Yellow", 2: "Red"}
+
+
+def test_valuation_equals_literal_six_joins(spark):
+    """Metamorphic: the pre-aggregated, one-lookup valuation equals the source's
+    literal form (six rate joins per impact row, group by milestone key)."""
+    from tollgate.checks.literal import literal_valuation
+    from tollgate.plans.queries import KEY_COLUMNS
+    from tollgate.plans.queries import P as QP
+    from tollgate.plans.queries import _t
+    from tollgate.plans.report import filtered_milestones, valued_milestones
+
+    t = _t(spark, "/root/testdata/sf0.001")
+    ours = valued_milestones(t, QP).withColumn("numeric_factor", F.col("numeric_factor").cast("double"))
+    keys = filtered_milestones(t, QP).select(*KEY_COLUMNS).distinct()
+    lit = literal_valuation(t, QP, keys).select(*ours.columns)
+    a, b = sorted(map(tuple, ours.collect())), sorted(map(tuple, lit.collect()))
+    assert a == b and len(a) > 0
+
+
+def test_pivot_equals_joins_on_unique_attributes(spark):
+    from tollgate.checks.literal import literal_attribute_joins
+
+    eav = spark.createDataFrame([(m, a, f"v{m}-{a}") for m in range(1, 200) for a in range(1, 8) if (m + a) % 3],
+                                "milestone_id bigint, attribute_id int, text_value string")
+    ms = spark.createDataFrame([(m,) for m in range(1, 210)], "milestone_id bigint")
+    piv = ms.join(attribute_pivot(eav), "milestone_id", "left")
+    lit = literal_attribute_joins(ms, eav).select(*piv.columns)
+    assert sorted(map(tuple, piv.collect())) == sorted(map(tuple, lit.collect()))
