@@ -3,7 +3,6 @@
 import datetime as dt
 from decimal import Decimal
 
-from pyspark.sql import functions as F
 
 from helpers import make_tables
 from tollgate.operators.asof import status_as_of
