@@ -36,21 +36,16 @@ def broadcast_checked(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFr
 def restrict_to_keys(df: DataFrame, keys: DataFrame, key: str, n_keys: int | None) -> DataFrame:
     """Rows of df whose `key` occurs in `keys`, when that is cheap to do early.
 
-    With a checked count of distinct keys under the broadcast limit, the key set is
-    broadcast and a semi join drops the other rows of df inside its scan stage,
-    before any shuffle. Without such a bound df is returned unchanged (the later
-    join restricts it anyway, and a shuffled semi join would only add a shuffle).
+    `n_keys` is a checked upper bound of the rows of `keys`. Under the broadcast
+    limit the key column is broadcast as it is (a semi join needs no distinct
+    keys, so no shuffle builds it) and the other rows of df are dropped inside its
+    scan stage, before any shuffle. Without such a bound df is returned unchanged
+    (the later join restricts it anyway; a shuffled semi join would only add a
+    shuffle).
     """
     if n_keys is None or n_keys > BROADCAST_ROW_LIMIT:
         return df
-    return df.join(F.broadcast(keys.select(key).distinct()), key, "left_semi")
-
-
-def distinct_counts(df: DataFrame, *columns: str) -> dict[str, int]:
-    """Exact distinct counts of several columns in one job (for a materialised,
-    already reduced frame)."""
-    row = df.agg(*[F.countDistinct(c).alias(c) for c in columns]).first()
-    return {c: int(row[c]) for c in columns}
+    return df.join(F.broadcast(keys.select(key)), key, "left_semi")
 
 
 def row_lookup(df: DataFrame, *columns: str) -> dict:

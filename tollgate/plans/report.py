@@ -42,7 +42,6 @@ from tollgate.operators.filters import apply_impact_mode, due_window
 from tollgate.operators.joins import (
     BROADCAST_ROW_LIMIT,
     broadcast_if_bounded,
-    distinct_counts,
     restrict_to_keys,
     rows_at_most,
 )
@@ -90,9 +89,11 @@ def milestone_base(t: Tables, p: ReportParams, projects: DataFrame | None = None
 
 
 def driving_set(t: Tables, p: ReportParams, projects: DataFrame | None = None) -> tuple[DataFrame, dict]:
-    """The milestone base, checkpointed, and the exact distinct counts of its keys."""
+    """The milestone base, checkpointed, and its row count: an upper bound of its
+    distinct roadmap, milestone and project ids (one count over the checkpoint)."""
     base = materialize(milestone_base(t, p, projects))
-    return base, distinct_counts(base, "roadmap_id", "milestone_id", "project_id")
+    n = base.count()
+    return base, {"roadmap_id": n, "milestone_id": n, "project_id": n}
 
 
 def filtered_milestones(t: Tables, p: ReportParams, projects: DataFrame | None = None,
@@ -142,9 +143,9 @@ def report_rows(t: Tables, p: ReportParams, projects: DataFrame | None = None) -
     # The driving set is read four times (attributes, two status cut-offs, keys):
     # it is computed once and its lineage cut. That job and the small lookups of the
     # request's constants run concurrently.
-    # Distinct keys of the driving set are counted once from the checkpoint: when
-    # they are few enough, every large dimension is cut to them by a broadcast semi
-    # join in its scan stage, before it is shuffled for its join.
+    # The driving set's rows are counted once from the checkpoint: when they are few
+    # enough, every large dimension is cut to its keys by a broadcast semi join in
+    # its scan stage, before it is shuffled for its join.
     consts, extra = resolve_constants(t, p, {"base": lambda: driving_set(t, p, projects)})
     base, counts = extra["base"]
 
