@@ -90,3 +90,15 @@ def test_report_without_checkpoint_folder(spark, tables, monkeypatch):
     monkeypatch.setattr(M, "checkpoint_dir", lambda s: None)
     without = sorted(map(tuple, report_rows(tables, DEFAULT_PARAMS).collect()))
     assert with_ckpt == without and with_ckpt
+
+
+def test_report_from_stored_tables(spark, tables, tmp_path):
+    """The production path: domain relations stored as parquet, read lazily."""
+    from tollgate.plans.report import report_rows
+    from tollgate.sources import read_tables, write_tables
+
+    write_tables(tables, str(tmp_path / "tables"))
+    stored = read_tables(spark, str(tmp_path / "tables"))
+    a = sorted(map(tuple, report_rows(tables, DEFAULT_PARAMS).collect()))
+    b = sorted(map(tuple, report_rows(stored, DEFAULT_PARAMS).collect()))
+    assert a == b and a
