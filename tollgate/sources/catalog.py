@@ -7,6 +7,10 @@ computed side; the stored sides are never shuffled. Relations keyed otherwise ar
 bucketed on their own key (milestone attributes on milestone_id, projects on
 project_id). Tables are external (their files live under `root`), registered in
 the session catalog under `database`.
+
+A bucket is read by one task: with a key holding a large share of the rows (a hot
+roadmap) the plain layout of `read_tables` is safer, since AQE can split a skewed
+shuffle partition but not a bucket.
 """
 
 from __future__ import annotations
