@@ -127,3 +127,20 @@ def test_report_from_bucketed_tables(spark, tables, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert a == b and a
     assert n_bucketed < n_plain, (n_bucketed, n_plain)
+
+
+def test_command_line_request(spark, tables, tmp_path):
+    """The command-line entry: arguments -> params -> request over stored tables."""
+    from tollgate.__main__ import main, parser, params_from_args
+    from tollgate.params import ImpactMode
+    from tollgate.sources import write_tables
+
+    p = params_from_args(parser().parse_args(["--tables", "t", "--cache", "c", "--out", "o"]))
+    assert p.impact_mode is ImpactMode.UNSET and p.program_id == DEFAULT_PARAMS.program_id
+    write_tables(tables, str(tmp_path / "tables"))
+    main(["--tables", str(tmp_path / "tables"), "--cache", str(tmp_path / "cache"), "--out", str(tmp_path / "out"),
+          "--base-impact", DEFAULT_PARAMS.base_impact_id])
+    got = sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).select(*CACHE_COLUMNS).collect()))
+    ref = sorted(map(tuple, run_report(tables, DEFAULT_PARAMS, ReportCache(spark, str(tmp_path / "c2")))
+                     .select(*CACHE_COLUMNS).collect()))
+    assert got == ref and got
