@@ -556,6 +556,7 @@ LEFT JOIN roadmap_view rmv ON rmv.roadmap_id = rm.roadmap_id
 LEFT JOIN roadmap_stage rs ON rs.roadmap_id = rmv.roadmap_id AND rs.stage_id = {P.gate_stage_id}"""
     o["star_enrichment"] = W(*COMMON, *result_ctes(P_UNSET)) + "\nSELECT * FROM res"
     o["report_result"] = W(*COMMON, *result_ctes(P)) + "\nSELECT * FROM res"
+    o["report_mode_none"] = W(*COMMON, *result_ctes(P_NONE)) + "\nSELECT * FROM res"
 
     o["exists_gate"] = W() + "\nSELECT count(*) AS needed_projects, count(*) > 0 AS gate_open FROM snapshot_needed"
     cols = ", ".join(CACHE_COLS)

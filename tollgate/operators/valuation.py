@@ -180,10 +180,11 @@ def value_keys(keys: DataFrame, tables, p: ReportParams, consts=None, n_roadmaps
 
     A key gets one row per distinct factor among its roadmap's impacts, or one
     row with NULL sums when nothing matches (its metrics are then 0 / factor).
-    With UNSET or NONE no impact can match a key (UNSET matches nothing; NONE keys
-    are roadmaps without impacts), so no impact is read at all.
+    SELECTED values the picked base impact's rows, NONE any base impact's (for
+    keys from the NONE filter there are none, and the key pruning drops every
+    impact row in the scan), UNSET matches nothing, so no impact is read at all.
     """
-    if p.impact_mode is ImpactMode.SELECTED:
+    if p.impact_mode is not ImpactMode.UNSET:
         # only the keys' roadmaps are valued: with a checked count of them, the
         # impact rows of other roadmaps are dropped in the scan stage
         impact = restrict_to_keys(tables.impact, keys, "roadmap_id", n_roadmaps)

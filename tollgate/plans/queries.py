@@ -302,6 +302,11 @@ def report_result(spark, sf_dir):
     return report_rows(_t(spark, sf_dir), P)
 
 
+def report_mode_none(spark, sf_dir):
+    """The report for roadmaps without any impact (the "none" base impact)."""
+    return report_rows(_t(spark, sf_dir), P_NONE)
+
+
 # ---- step 8: cache ----------------------------------------------------------
 
 def exists_gate(spark, sf_dir):
@@ -388,6 +393,7 @@ QUERIES: dict[str, Query] = {
     "stage_gate": q_stage_gate,
     "star_enrichment": star_enrichment,
     "report_result": report_result,
+    "report_mode_none": report_mode_none,
     "exists_gate": exists_gate,
     "cache_insert_if_absent": cache_insert_if_absent,
     "cache_null_key_reinsert": cache_null_key_reinsert,
