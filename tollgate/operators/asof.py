@@ -7,7 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tollgate.operators.joins import restrict_to_keys
+from tollgate.functions.labels import traffic_light
+from tollgate.operators.joins import semi_join_keys
 
 
 def age_cutoff(as_of: dt.date, min_age_days: int) -> dt.datetime:
@@ -34,8 +35,7 @@ def status_as_of(
     """
     rows = audit.where(F.col(time_col) < F.lit(age_cutoff(as_of, min_age_days)).cast("timestamp_ntz"))
     if roadmaps is not None:
-        pruned = restrict_to_keys(rows, roadmaps, "roadmap_id", n_roadmaps)
-        rows = pruned if pruned is not rows else rows.join(roadmaps.select("roadmap_id"), "roadmap_id", "left_semi")
+        rows = semi_join_keys(rows, roadmaps, "roadmap_id", n_roadmaps)
     w = Window.partitionBy("roadmap_id").orderBy(F.col(time_col).desc())
     return (
         rows.select("roadmap_id", "traffic_light", F.col(time_col).alias("audit_time"))
@@ -55,8 +55,6 @@ def status_label(status: DataFrame) -> DataFrame:
     (one row per roadmap, so ties never multiply report rows). A roadmap with no
     row has no label here; the report shows 'Red' for it.
     """
-    from tollgate.functions.labels import traffic_light
-
     return status.groupBy("roadmap_id").agg(
         F.array_join(F.array_sort(F.collect_set(traffic_light(F.col("traffic_light")))), LABEL_SEPARATOR)
         .alias("label")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tollgate.operators.joins import restrict_to_keys
+from tollgate.operators.joins import semi_join_keys
 
 # Attribute id -> report column (the seven narrative attributes).
 NARRATIVE_ATTRIBUTES = {
@@ -38,10 +38,7 @@ def attribute_pivot(milestone_attribute: DataFrame, milestones: DataFrame | None
     """
     eav = milestone_attribute.where(F.col("attribute_id").isin(list(NARRATIVE_ATTRIBUTES)))
     if milestones is not None:
-        pruned = restrict_to_keys(eav, milestones, "milestone_id", n_milestones)
-        if pruned is eav:
-            pruned = eav.join(milestones.select("milestone_id").distinct(), "milestone_id", "left_semi")
-        eav = pruned
+        eav = semi_join_keys(eav, milestones, "milestone_id", n_milestones)
     sets = [
         F.collect_set(F.when(F.col("attribute_id") == k, F.col("text_value"))).alias(name)
         for k, name in NARRATIVE_ATTRIBUTES.items()

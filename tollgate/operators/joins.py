@@ -48,6 +48,14 @@ def restrict_to_keys(df: DataFrame, keys: DataFrame, key: str, n_keys: int | Non
     return df.join(F.broadcast(keys.select(key)), key, "left_semi")
 
 
+def semi_join_keys(df: DataFrame, keys: DataFrame, key: str, n_keys: int | None) -> DataFrame:
+    """Rows of df whose `key` occurs in `keys`: a broadcast semi join in df's scan
+    stage under a checked bound, else a shuffled semi join on the distinct keys."""
+    if n_keys is not None and n_keys <= BROADCAST_ROW_LIMIT:
+        return df.join(F.broadcast(keys.select(key)), key, "left_semi")
+    return df.join(keys.select(key).distinct(), key, "left_semi")
+
+
 def row_lookup(df: DataFrame, *columns: str) -> dict:
     """Values of `columns` in a lookup that yields at most one row ({col: None, ...}
     for no row), in one small job.

@@ -43,6 +43,7 @@ from tollgate.operators.joins import (
     BROADCAST_ROW_LIMIT,
     broadcast_if_bounded,
     restrict_to_keys,
+    semi_join_keys,
     rows_at_most,
 )
 from tollgate.operators.valuation import value_keys
@@ -79,8 +80,7 @@ def milestone_base(t: Tables, p: ReportParams, projects: DataFrame | None = None
         # a request's project list is a parameter relation: broadcast it when its
         # checked size allows, so the restriction happens in the scan stage
         n = rows_at_most(projects.select("project_id"), BROADCAST_ROW_LIMIT)
-        pruned = restrict_to_keys(fr, projects, "project_id", n)
-        fr = pruned if pruned is not fr else fr.join(projects.select("project_id"), "project_id", "left_semi")
+        fr = semi_join_keys(fr, projects, "project_id", n)
     ms = due_window(t.milestone, p).select(
         "roadmap_id", "milestone_id", "milestone_name", "forecast_date", "plan_date", "update_date",
         F.col("sort_order").alias("milestone_sort_order"),
