@@ -224,3 +224,20 @@ def test_pivot_equals_joins_on_unique_attributes(spark):
     piv = ms.join(attribute_pivot(eav), "milestone_id", "left")
     lit = literal_attribute_joins(ms, eav).select(*piv.columns)
     assert sorted(map(tuple, piv.collect())) == sorted(map(tuple, lit.collect()))
+
+
+def test_ordinal_is_a_total_order_position(spark):
+    from tollgate.operators.ordering import with_ordinal
+
+    rows = [(i % 7, f"k{i:05d}") for i in range(5000)]
+    df = spark.createDataFrame(rows, "g int, k string")
+    got = sorted((r.g, r.k, r.pos) for r in with_ordinal(df, ["g", "k"], "pos", n_partitions=6).collect())
+    assert [r[2] for r in got] == list(range(1, 5001))
+
+
+def test_ordinal_without_checkpoint_folder(spark, monkeypatch):
+    import tollgate.operators.ordering as O
+
+    monkeypatch.setattr(O, "checkpoint_dir", lambda s: None)
+    df = spark.createDataFrame([(3,), (1,), (2,)], "k int")
+    assert [(r.k, r.pos) for r in O.with_ordinal(df, ["k"], "pos").orderBy("k").collect()] == [(1, 1), (2, 2), (3, 3)]

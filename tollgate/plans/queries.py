@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollgate.functions.labels import (
@@ -35,6 +35,7 @@ from tollgate.operators.enrich import (
 from tollgate.operators.filters import due_window
 from tollgate.operators.hierarchy import tree_attributes, tree_path
 from tollgate.operators.joins import scalar_lookup
+from tollgate.operators.ordering import with_ordinal
 from tollgate.operators.valuation import impact_rows_with_rates
 from tollgate.params import DEFAULT_PARAMS, ImpactMode, ReportParams
 from tollgate.plans.materialize import materialize
@@ -171,10 +172,10 @@ def q_tree_attributes(spark, sf_dir):
 
 
 def tree_sorted(spark, sf_dir):
-    """Base impacts in dropdown order: position within the root's subtree."""
+    """Base impacts in dropdown order: each one's position in the list sorted by
+    sort path (ties broken by id)."""
     attrs = tree_attributes(spark, _t(spark, sf_dir).base_impact, P.program_id)
-    w = Window.partitionBy(F.substring("BaseImpactPath", 1, 5)).orderBy("BaseImpactPath", "BaseImpactID")
-    return attrs.withColumn("PathPosition", F.row_number().over(w))
+    return with_ordinal(attrs, ["BaseImpactPath", "BaseImpactID"], "PathPosition")
 
 
 # ---- step 5: attributes -----------------------------------------------------
