@@ -241,3 +241,10 @@ def test_ordinal_without_checkpoint_folder(spark, monkeypatch):
     monkeypatch.setattr(O, "checkpoint_dir", lambda s: None)
     df = spark.createDataFrame([(3,), (1,), (2,)], "k int")
     assert [(r.k, r.pos) for r in O.with_ordinal(df, ["k"], "pos").orderBy("k").collect()] == [(1, 1), (2, 2), (3, 3)]
+
+
+def test_repeated_rate_rows_fail_loudly(spark):
+    d = D(1999, 6, 1)
+    msd = multipliers(spark, d) + multipliers(spark, d, rows=((1, "9.99", "9", "9"),))
+    with pytest.raises(Exception, match="repeats"):
+        value(spark, [impact_row(1, "B1", d, fin=True)], msd, PV)

@@ -56,6 +56,9 @@ def multiplier_rates(multiplier_set_day: DataFrame, program_currency: DataFrame,
     def pick(set_id: int, col: str) -> Column:
         return F.max(F.when(F.col("multiplier_set") == set_id, F.col(col)))
 
+    def rows_of(set_id: int) -> Column:
+        return F.count(F.when(F.col("multiplier_set") == set_id, F.lit(1)))
+
     rates = m.groupBy("day", "program_currency_id").agg(
         pick(sw, "exchange_rate").alias("ex_w"),
         pick(sw, "financial_multiplier").alias("fin_w"),
@@ -63,7 +66,16 @@ def multiplier_rates(multiplier_set_day: DataFrame, program_currency: DataFrame,
         pick(st, "exchange_rate").alias("ex_t"),
         pick(st, "financial_multiplier").alias("fin_t"),
         pick(st, "multiplier").alias("mul_t"),
+        rows_of(sw).alias("_n_w"),
+        rows_of(st).alias("_n_t"),
     )
+    # a repeated (day, currency, set) would make the sums ambiguous: fail the job
+    # (checked inside the plan, no extra pass over the data)
+    dup = (F.col("_n_w") > 1) | ((F.col("_n_t") > 1) & F.lit(sw != st))
+    rates = rates.withColumn(
+        "ex_w", F.when(dup, F.raise_error(F.lit("multiplier_set_day repeats a (day, currency, set)")).cast(
+            "decimal(18,6)")).otherwise(F.col("ex_w"))
+    ).drop("_n_w", "_n_t")
     # bound: one row per (day, currency); the currency count is a small dimension
     n_cur = rows_at_most(program_currency, 100_000) if n_currencies is None else n_currencies
     days = (hi - lo).days + 1
