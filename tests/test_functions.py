@@ -68,3 +68,13 @@ def test_strip_html_whole_text(spark):
     long = "<p>" + " ".join(["word"] * 50000) + "</p>"
     out = one(spark, strip_html(F.col("h")), "h string", [(long,)])[0]
     assert out.count("word") == 50000
+
+
+def test_distinct_rows_under_collation(spark):
+    from tollgate.functions.text import distinct_rows
+
+    df = spark.createDataFrame([("abc", 1), ("ABC ", 1), ("abd", 2), (None, 3)], "s string, n int")
+    assert distinct_rows(df).count() == 4
+    out = distinct_rows(df, "UNICODE_CI_RTRIM")
+    assert out.count() == 3
+    assert out.schema.simpleString() == "struct<s:string,n:int>"

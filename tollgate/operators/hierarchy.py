@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollgate.functions.labels import flag
+from tollgate.functions.text import distinct_rows
 
 # The anchor takes the program's roots; the recursive step follows children of any
 # program (a child is not re-filtered by program; the attribute list below is).
@@ -40,11 +41,12 @@ def tree_path(spark: SparkSession, base_impact: DataFrame, program_id: int) -> D
     return spark.sql(_TREE_SQL, bi=bi, program_id=int(program_id))
 
 
-def tree_attributes(spark: SparkSession, base_impact: DataFrame, program_id: int) -> DataFrame:
+def tree_attributes(spark: SparkSession, base_impact: DataFrame, program_id: int,
+                    text_collation: str | None = None) -> DataFrame:
     """Distinct base impacts of the program with flags, level and sort path."""
     paths = tree_path(spark, base_impact, program_id)
     bi = base_impact.where(F.col("program_id") == program_id)
-    return (
+    attrs = (
         bi.join(paths.select("base_impact_id", "sort_path", "depth"), "base_impact_id")
         .select(
             F.col("base_impact_id").alias("BaseImpactID"),
@@ -57,5 +59,5 @@ def tree_attributes(spark: SparkSession, base_impact: DataFrame, program_id: int
             F.col("sort_path").alias("BaseImpactPath"),
             F.col("parent_id").alias("BaseImpactParentBaseImpactID"),
         )
-        .distinct()
     )
+    return distinct_rows(attrs, text_collation)

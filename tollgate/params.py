@@ -53,6 +53,9 @@ class ReportParams:
     report_filter_cache_id: int = 7
     # the stage whose plan date is reported as the gate due date
     gate_stage_id: int = 4
+    # collation of text in the report's DISTINCTs; None = binary. The source
+    # database's is case-insensitive, trailing blanks ignored: 'UNICODE_CI_RTRIM'
+    text_collation: str | None = None
 
     def __post_init__(self) -> None:
         if self.impact_mode is ImpactMode.SELECTED and self.base_impact_id is None:

@@ -7,13 +7,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The cluster's shared checkpoint folder (`spark.checkpoint.dir`), if any."""
-    sc = spark.sparkContext
+    conf = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext, the server owns the folder
+        return conf
     d = sc.getCheckpointDir()
-    if d is None:
-        conf = spark.conf.get("spark.checkpoint.dir", None)
-        if conf:
-            sc.setCheckpointDir(conf)
-            d = sc.getCheckpointDir()
+    if d is None and conf:
+        sc.setCheckpointDir(conf)
+        d = sc.getCheckpointDir()
     return d
 
 

@@ -28,6 +28,7 @@ from tollgate.functions.labels import (
     strip_html,
     traffic_light,
 )
+from tollgate.functions.text import distinct_rows
 from tollgate.operators.asof import status_as_of, status_label
 from tollgate.operators.attributes import NARRATIVE_COLUMNS, attribute_pivot
 from tollgate.operators.enrich import (
@@ -108,13 +109,14 @@ def filtered_milestones(t: Tables, p: ReportParams, projects: DataFrame | None =
     rows = base
     attrs = attribute_pivot(t.milestone_attribute, rows, (counts or {}).get("milestone_id"))
     rows = rows.join(attrs, "milestone_id", "left")
-    return rows.select(
+    rows = rows.select(
         *KEY_COLUMNS,
         "milestone_name",
         day_diff(F.col("forecast_date"), F.lit(p.today)).alias("datedif"),
         *NARRATIVE_COLUMNS,
         "milestone_sort_order", "plan_date", "update_date",
-    ).distinct()
+    )
+    return distinct_rows(rows, p.text_collation)
 
 
 def valued_milestones(t: Tables, p: ReportParams, projects: DataFrame | None = None) -> DataFrame:
@@ -243,4 +245,4 @@ def report_rows(t: Tables, p: ReportParams, projects: DataFrame | None = None) -
         roadmap_url(lit(p.program_id), F.col("rm_id")).alias("RoadmapURL"),
     )
     assert out.columns == REPORT_COLUMNS, out.columns
-    return out.distinct()
+    return distinct_rows(out, p.text_collation)
