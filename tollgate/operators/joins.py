@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest row count we broadcast on a static bound. Above it (or with no bound)
-# the join is left to the planner, and AQE may still switch it to a broadcast
-# join at runtime from the measured size of the shuffled side.
-BROADCAST_ROW_LIMIT = 1_000_000
+# A broadcast must fit this budget: bound on rows x estimated bytes per row. Above
+# it (or with no bound) the join is left to the planner, and AQE may still switch
+# it to a broadcast join at runtime from the measured size of the shuffled side.
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+# Row widths (UnsafeRow: 8-byte null bitmap word + 8 bytes per fixed-width field).
+KEY_ROW_BYTES = 16     # one long key
+WIDE_ROW_BYTES = 96    # a day, a currency and six decimal(18,6) rates
+NAMED_ROW_BYTES = 64   # an id and a short name or a decimal
+# Row-count form of the budget for one-key relations (key sets, small dimensions).
+BROADCAST_ROW_LIMIT = BROADCAST_MAX_BYTES // KEY_ROW_BYTES
 
 
 def rows_at_most(df: DataFrame, limit: int) -> int | None:
@@ -21,16 +27,19 @@ def rows_at_most(df: DataFrame, limit: int) -> int | None:
     return n if n <= limit else None
 
 
-def broadcast_if_bounded(df: DataFrame, bound_rows: int | None) -> DataFrame:
-    """Broadcast df when its row count is known to be at most BROADCAST_ROW_LIMIT."""
-    if bound_rows is not None and bound_rows <= BROADCAST_ROW_LIMIT:
-        return F.broadcast(df)
-    return df
+def fits_broadcast(bound_rows: int | None, row_bytes: int = KEY_ROW_BYTES) -> bool:
+    return bound_rows is not None and bound_rows * row_bytes <= BROADCAST_MAX_BYTES
 
 
-def broadcast_checked(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Broadcast a dimension after checking its row count; else leave it to AQE."""
-    return broadcast_if_bounded(df, rows_at_most(df, limit))
+def broadcast_if_bounded(df: DataFrame, bound_rows: int | None, row_bytes: int = KEY_ROW_BYTES) -> DataFrame:
+    """Broadcast df when a proven row bound times the row width fits the budget."""
+    return F.broadcast(df) if fits_broadcast(bound_rows, row_bytes) else df
+
+
+def broadcast_checked(df: DataFrame, row_bytes: int = KEY_ROW_BYTES) -> DataFrame:
+    """Broadcast a dimension after checking its row count against the budget for
+    rows of this width; else leave it to the planner and AQE."""
+    return broadcast_if_bounded(df, rows_at_most(df, BROADCAST_MAX_BYTES // row_bytes), row_bytes)
 
 
 def restrict_to_keys(df: DataFrame, keys: DataFrame, key: str, n_keys: int | None) -> DataFrame:
@@ -43,7 +52,7 @@ def restrict_to_keys(df: DataFrame, keys: DataFrame, key: str, n_keys: int | Non
     (the later join restricts it anyway; a shuffled semi join would only add a
     shuffle).
     """
-    if n_keys is None or n_keys > BROADCAST_ROW_LIMIT:
+    if not fits_broadcast(n_keys):
         return df
     return df.join(F.broadcast(keys.select(key)), key, "left_semi")
 
@@ -51,7 +60,7 @@ def restrict_to_keys(df: DataFrame, keys: DataFrame, key: str, n_keys: int | Non
 def semi_join_keys(df: DataFrame, keys: DataFrame, key: str, n_keys: int | None) -> DataFrame:
     """Rows of df whose `key` occurs in `keys`: a broadcast semi join in df's scan
     stage under a checked bound, else a shuffled semi join on the distinct keys."""
-    if n_keys is not None and n_keys <= BROADCAST_ROW_LIMIT:
+    if fits_broadcast(n_keys):
         return df.join(F.broadcast(keys.select(key)), key, "left_semi")
     return df.join(keys.select(key).distinct(), key, "left_semi")
 

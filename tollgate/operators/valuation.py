@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tollgate.operators.joins import (
+    NAMED_ROW_BYTES,
+    WIDE_ROW_BYTES,
     broadcast_checked,
     broadcast_if_bounded,
     restrict_to_keys,
@@ -79,7 +81,7 @@ def multiplier_rates(multiplier_set_day: DataFrame, program_currency: DataFrame,
     # bound: one row per (day, currency); the currency count is a small dimension
     n_cur = rows_at_most(program_currency, 100_000) if n_currencies is None else n_currencies
     days = (hi - lo).days + 1
-    return broadcast_if_bounded(rates, None if n_cur is None else days * n_cur)
+    return broadcast_if_bounded(rates, None if n_cur is None else days * n_cur, WIDE_ROW_BYTES)
 
 
 def unpivot_dates(impact: DataFrame, p: ReportParams) -> DataFrame:
@@ -157,7 +159,7 @@ def roadmap_totals(impact: DataFrame, multiplier_set_day: DataFrame, program_cur
                  if consts is None else consts.factor)
         rows = rows.withColumn("numeric_factor", F.lit(value).cast("decimal(19,4)"))
     else:
-        rows = rows.join(broadcast_checked(factor.select("base_impact_id", "numeric_factor")),
+        rows = rows.join(broadcast_checked(factor.select("base_impact_id", "numeric_factor"), NAMED_ROW_BYTES),
                          "base_impact_id", "left")
     c = _contributions(p)
     sums = []

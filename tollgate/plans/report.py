@@ -42,6 +42,7 @@ from tollgate.operators.enrich import (
 from tollgate.operators.filters import apply_impact_mode, due_window
 from tollgate.operators.joins import (
     BROADCAST_ROW_LIMIT,
+    NAMED_ROW_BYTES,
     broadcast_if_bounded,
     restrict_to_keys,
     semi_join_keys,
@@ -182,7 +183,7 @@ def report_rows(t: Tables, p: ReportParams, projects: DataFrame | None = None) -
     pj = prune(t.project, "project_id").select(
         "project_id", "project_name", "project_number", "parent_project_id", F.col("project_id").alias("pj_id"))
     stage = broadcast_if_bounded(t.stage.select(F.col("stage_id").alias("rm_stage_id"), "stage_name"),
-                                 consts.n_stages)
+                                 consts.n_stages, NAMED_ROW_BYTES)
 
     # one-row dimensions of the report request, resolved above, used as constants
     pg_start, pg_end, pg_dice = (consts.program[k] for k in ("start_date", "end_date", "dice_enabled"))
