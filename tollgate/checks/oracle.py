@@ -523,8 +523,9 @@ SELECT milestone_id, {day_diff('plan_date', q(P.today))} AS DELAY_OVERDUE, {day_
        {sentinel('update_date')} AS A_Forecast
 FROM milestone WHERE program_id = {P.program_id}"""
     o["year_columns"] = W() + """
-SELECT program_id, CAST(year(start_date) AS INTEGER) AS PG_START_YEAR, CAST(year(end_date) AS INTEGER) AS PG_END_YEAR, dice_enabled AS A_DICE_ENABLED
-FROM program"""
+SELECT pj.project_id, pj.program_id, CAST(year(pg.start_date) AS INTEGER) AS PG_START_YEAR,
+       CAST(year(pg.end_date) AS INTEGER) AS PG_END_YEAR, pg.dice_enabled AS A_DICE_ENABLED
+FROM project pj LEFT JOIN program pg ON pg.program_id = pj.program_id"""
     o["url_build"] = W() + f"""
 SELECT fr.roadmap_id, fr.project_id,
   'ng-program-tree/project?programId=' || lower('{P.program_id}') || '&projectId=' ||

@@ -34,7 +34,7 @@ from tollgate.operators.enrich import (
 )
 from tollgate.operators.filters import due_window
 from tollgate.operators.hierarchy import tree_attributes, tree_path
-from tollgate.operators.joins import scalar_lookup
+from tollgate.operators.joins import NAMED_ROW_BYTES, broadcast_checked, scalar_lookup
 from tollgate.operators.ordering import with_ordinal
 from tollgate.operators.valuation import impact_rows_with_rates
 from tollgate.params import DEFAULT_PARAMS, ImpactMode, ReportParams
@@ -236,9 +236,12 @@ def delay_days(spark, sf_dir):
 
 
 def year_columns(spark, sf_dir):
-    pg = _t(spark, sf_dir).program
-    return pg.select("program_id", F.year("start_date").alias("PG_START_YEAR"),
-                     F.year("end_date").alias("PG_END_YEAR"), F.col("dice_enabled").alias("A_DICE_ENABLED"))
+    """Program start / end year and DICE flag per project, through its program."""
+    t = _t(spark, sf_dir)
+    pg = broadcast_checked(t.program.select("program_id", "start_date", "end_date", "dice_enabled"), NAMED_ROW_BYTES)
+    return t.project.join(pg, "program_id", "left").select(
+        "project_id", "program_id", F.year("start_date").alias("PG_START_YEAR"),
+        F.year("end_date").alias("PG_END_YEAR"), F.col("dice_enabled").alias("A_DICE_ENABLED"))
 
 
 def url_build(spark, sf_dir):
