@@ -134,7 +134,7 @@ def status_frames(t: Tables, p: ReportParams, rows: DataFrame,
                   n_roadmaps: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Status 14 days (2 weeks) and 7 days (1 week) before the as-of date, for the
     roadmaps in `rows`."""
-    roadmaps = rows.select("roadmap_id").distinct()
+    roadmaps = rows.select("roadmap_id")  # broadcast as is, or made distinct by the shuffled semi join
     s14 = status_as_of(t.roadmap_audit, roadmaps, p.status_as_of, 14, n_roadmaps=n_roadmaps)
     s7 = status_as_of(t.roadmap_audit, roadmaps, p.status_as_of, 7, n_roadmaps=n_roadmaps)
     return s14, s7
