@@ -153,3 +153,16 @@ def test_report_with_case_insensitive_distinct(spark, tables):
     a = sorted(map(tuple, report_rows(tables, DEFAULT_PARAMS).collect()))
     b = sorted(map(tuple, report_rows(tables, DEFAULT_PARAMS.with_(text_collation="UNICODE_CI_RTRIM")).collect()))
     assert a == b and a
+
+
+def test_needed_snapshots_from_markers(spark, tables, tmp_path):
+    cache = ReportCache(spark, str(tmp_path))
+    in_report = tables.snapshot_in_report
+    assert cache.needed(in_report, DEFAULT_PARAMS).count() == in_report.count()
+    run_report(tables, DEFAULT_PARAMS, cache)  # marks the needed snapshots
+    left = cache.needed(in_report, DEFAULT_PARAMS)
+    expected = in_report.join(tables.snapshot_needed.select("project_id"), "project_id", "left_anti")
+    assert sorted(map(tuple, left.collect())) == sorted(map(tuple, expected.collect()))
+    # a snapshot that changed (new last-modified) is needed again
+    bumped = in_report.withColumn("last_modified", F.timestamp_add("DAY", F.lit(1), "last_modified"))
+    assert cache.needed(bumped, DEFAULT_PARAMS).count() == in_report.count()

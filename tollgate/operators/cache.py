@@ -168,6 +168,18 @@ class ReportCache:
             rows = rows.join(old, cond, "left_anti")
         rows.write.mode("append").partitionBy(*ID_COLUMNS).parquet(self.marker_path)
 
+    def needed(self, in_report: DataFrame, p: ReportParams) -> DataFrame:
+        """The report's project snapshots that have no completion marker yet (the
+        `snapshot_needed` relation of a request), by an anti join on the marker key."""
+        if not self._exists(self.marker_path):
+            return in_report
+        done = self.spark.read.parquet(self.marker_path).where(_ids_match(p)).select(
+            F.col("project_id").alias("m_project_id"), F.col("snapshot_id").alias("m_snapshot_id"),
+            F.col("last_modified").alias("m_last_modified"), F.col("subset_hash").alias("m_subset_hash"))
+        cond = ((in_report.project_id == done.m_project_id) & (in_report.snapshot_id == done.m_snapshot_id)
+                & (in_report.last_modified == done.m_last_modified) & (in_report.subset_hash == done.m_subset_hash))
+        return in_report.join(done, cond, "left_anti")
+
     def read_back(self, in_report: DataFrame, p: ReportParams) -> DataFrame | None:
         target = self.table()
         if target is None:
