@@ -16,6 +16,8 @@ Plan, in Spark terms:
 
 from __future__ import annotations
 
+from typing import TYPE_CHECKING
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +32,10 @@ from tollgate.operators.joins import (
 )
 from tollgate.params import ImpactMode, ReportParams
 
+if TYPE_CHECKING:  # imported for annotations only (plans depend on operators)
+    from tollgate.plans.constants import RequestConstants
+    from tollgate.sources.tables import Tables
+
 KINDS = ("plan", "actual", "forecast")
 # metric column -> (date kind, to-date?)
 METRICS = {
@@ -147,7 +153,8 @@ def partial_sum_columns() -> list[str]:
 
 
 def roadmap_totals(impact: DataFrame, multiplier_set_day: DataFrame, program_currency: DataFrame,
-                   base_impact_factor: DataFrame, p: ReportParams, consts=None) -> DataFrame:
+                   base_impact_factor: DataFrame, p: ReportParams,
+                   consts: RequestConstants | None = None) -> DataFrame:
     """(roadmap_id, numeric_factor, ot_<metric>, re_<metric> for 6 metrics): exact
     decimal sums of each half of each metric, per roadmap and factor."""
     rows = impact_rows_with_rates(impact, multiplier_set_day, program_currency, p,
@@ -189,7 +196,8 @@ def metric_columns(p: ReportParams) -> list[Column]:
     return out
 
 
-def value_keys(keys: DataFrame, tables, p: ReportParams, consts=None, n_roadmaps: int | None = None) -> DataFrame:
+def value_keys(keys: DataFrame, tables: Tables, p: ReportParams, consts: RequestConstants | None = None,
+               n_roadmaps: int | None = None) -> DataFrame:
     """keys + numeric_factor + the six metrics.
 
     A key gets one row per distinct factor among its roadmap's impacts, or one
