@@ -23,7 +23,7 @@ checks/oracle.py states the same rules in DuckDB SQL.
   users, user_role   supplier, lineitem, customer
   tree               customer                    path program / project
   filtered_roadmap   orders                      every roadmap
-  snapshot_*         customer                    snapshot keys per project
+  snapshot_*         customer                    snapshot keys per project; needed = positive balance
 """
 
 from __future__ import annotations
