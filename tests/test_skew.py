@@ -64,3 +64,42 @@ def test_final_distinct_shuffles_on_all_columns(spark):
     assert "HashAggregate" in plan[0]
     assert "Exchange hashpartitioning" in plan[1], plan[:3]
     assert "HashAggregate" in plan[2], plan[:3]
+
+
+def test_hot_project_join_is_split_by_aqe(spark):
+    """A project holding half the report rows: AQE splits that join (the headers are
+    read from a shuffle), and the rows are the same as without the split."""
+    import sys
+    import os
+
+    from pyspark.sql import functions as F
+
+    from tollgate.params import DEFAULT_PARAMS
+    from tollgate.plans.queries import _t
+    from tollgate.plans.report import report_rows
+
+    sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
+    from plan_summary import final_only
+
+    t = _t(spark, "/root/testdata/sf0.01")
+    hot = t.replace(filtered_roadmap=t.filtered_roadmap.withColumn(
+        "project_id", F.when(F.col("roadmap_id") % 2 == 0, F.lit(1)).otherwise(F.col("project_id"))))
+    expected = sorted(map(tuple, report_rows(hot, DEFAULT_PARAMS).collect()))
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1024",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1024",
+             "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        df = report_rows(hot, DEFAULT_PARAMS)
+        qe = df._jdf.queryExecution()
+        got = sorted(map(tuple, df.collect()))
+        qe.toRdd().count()
+        plan = final_only(qe.executedPlan().toString())
+    finally:
+        for k in confs:
+            spark.conf.unset(k)
+    assert got == expected and got
+    assert "skew=true" in plan

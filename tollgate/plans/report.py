@@ -50,7 +50,7 @@ from tollgate.operators.joins import (
 )
 from tollgate.operators.valuation import value_keys
 from tollgate.params import ImpactMode, ReportParams
-from tollgate.plans.constants import resolve_constants
+from tollgate.plans.constants import resolve_constants, run_concurrently
 from tollgate.plans.materialize import materialize
 from tollgate.sources.tables import Tables
 
@@ -157,13 +157,12 @@ def report_rows(t: Tables, p: ReportParams, projects: DataFrame | None = None) -
 
     rows = filtered_milestones(t, p, base=base, counts=counts)
     s14, s7 = status_frames(t, p, base, counts["roadmap_id"])
-    valued = value_keys(rows, t, p, consts, counts["roadmap_id"])
     # narratives join on (roadmap, milestone, base impact) with plain equality:
     # a NULL base impact (UNSET / NONE) matches nothing, so they are NULL then
     if p.impact_mode is not ImpactMode.SELECTED:
-        valued = valued.select(
+        rows = rows.select(
             *[F.lit(None).cast("string").alias(c) if c in NARRATIVE_COLUMNS else F.col(c)
-              for c in valued.columns]
+              for c in rows.columns]
         )
 
     rm = prune(t.roadmap, "roadmap_id").select(
@@ -190,8 +189,16 @@ def report_rows(t: Tables, p: ReportParams, projects: DataFrame | None = None) -
     currency_code = consts.currency_code
     bi_name, bi_unit, bi_fin = (consts.base_impact[k] for k in ("base_impact_name", "unit", "financial"))
 
-    j = (
-        valued.join(rm, "roadmap_id", "left")
+    # Headers: everything the report shows per roadmap (valuation included) and per
+    # project, each built from the driving set's distinct ids. Every side of those
+    # joins has at most one row per id (per factor for the valuation), so they are
+    # skew-free whatever the data. The milestone rows, where a hot roadmap or
+    # project lives, then meet each header in exactly one join that reads straight
+    # from a shuffle, which is what AQE needs to split a skewed partition.
+    roadmap_ids = base.select("roadmap_id").distinct()
+    roadmap_header = (
+        value_keys(roadmap_ids, t, p, consts, counts["roadmap_id"])
+        .join(rm, "roadmap_id", "left")
         .join(rmv, "roadmap_id", "left")
         .join(gate, "roadmap_id", "left")
         .join(owners, "roadmap_id", "left")
@@ -199,9 +206,20 @@ def report_rows(t: Tables, p: ReportParams, projects: DataFrame | None = None) -
         .join(status_label(s14).withColumnRenamed("label", "status_14"), "roadmap_id", "left")
         .join(status_label(s7).withColumnRenamed("label", "status_7"), "roadmap_id", "left")
         .join(stage, "rm_stage_id", "left")
+    )
+    project_header = (
+        base.select("project_id").distinct()
         .join(pj, "project_id", "left")
         .join(ws, "project_id", "left")
     )
+    # AQE splits a skewed sort-merge join only when both sides are read from a
+    # shuffle; a header built by joins on the same key arrives without one. The
+    # headers (id-level, far smaller than the milestone rows) are checkpointed,
+    # concurrently, so the final joins shuffle both sides and stay splittable.
+    headers = run_concurrently({"roadmap": lambda: materialize(roadmap_header),
+                                "project": lambda: materialize(project_header)})
+    roadmap_header, project_header = headers["roadmap"], headers["project"]
+    j = rows.join(roadmap_header, "roadmap_id", "left").join(project_header, "project_id", "left")
     lit = F.lit
     # financial base impact -> the report currency's code, otherwise (or no base impact) ''
     currency_label = lit(currency_code if bi_fin is True else "").cast("string")
