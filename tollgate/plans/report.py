@@ -127,7 +127,11 @@ def valued_milestones(t: Tables, p: ReportParams, projects: DataFrame | None = N
     consts, extra = resolve_constants(t, p, {"base": lambda: driving_set(t, p, projects)})
     base, counts = extra["base"]
     keys = base.select(*KEY_COLUMNS).distinct()
-    return value_keys(keys, t, p, consts, counts["roadmap_id"])
+    # roadmap-level metrics first (one row per roadmap and factor), checkpointed so
+    # the join with the milestone keys reads both sides from a shuffle (splittable
+    # by AQE for a roadmap with very many milestones)
+    per_roadmap = materialize(value_keys(base.select("roadmap_id").distinct(), t, p, consts, counts["roadmap_id"]))
+    return keys.join(per_roadmap, "roadmap_id", "left").select(*KEY_COLUMNS, *per_roadmap.columns[1:])
 
 
 def status_frames(t: Tables, p: ReportParams, rows: DataFrame,
