@@ -1,17 +1,20 @@
 """The due / overdue / upcoming milestone report, wired from the operators.
 
-Stages (each a lazy DataFrame; Catalyst plans the whole report as one job graph):
-  filtered_milestones  roadmaps x due milestones, impact mode, narrative attributes
-  status_frames        roadmap status 14 and 7 days before the as-of date
-  value_keys           six impact metrics per milestone key (operators/valuation.py)
-  report_rows          labels, owners, dimensions -> the 48 report columns
+Jobs of one report:
+  1. driving set   roadmaps x due milestones in the impact mode, checkpointed and
+                   counted; the request's one-row lookups run at the same time
+  2. headers       per roadmap: valuation totals, roadmap, view, gate, owners,
+                   statuses, stage; per project: name, number, workstream owner.
+                   Built from the driving set's ids (each side unique per id, so
+                   skew-free), large inputs pruned to those ids by broadcast semi
+                   joins, both checkpointed concurrently
+  3. report        milestone rows (with their narrative attributes) x roadmap
+                   header x project header, one join each, both sides read from a
+                   shuffle (AQE can split a hot roadmap or project), then DISTINCT
+                   with its own exchange on all columns
+Single-row dimensions (program, picked base impact, currency code) are constants.
 The cache stage (operators/cache.py) stores report rows per project snapshot and
 reads them back in tree order.
-
-Partitioning: the milestone keys are shuffled by roadmap once; the roadmap totals,
-roadmap, roadmap view, stage gate, owners and status relations join on the same
-key, so the sort-merge joins share that partitioning. Single-row dimensions
-(program, picked base impact, currency code) are constants or broadcasts.
 """
 
 from __future__ import annotations
