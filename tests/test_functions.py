@@ -78,3 +78,12 @@ def test_distinct_rows_under_collation(spark):
     out = distinct_rows(df, "UNICODE_CI_RTRIM")
     assert out.count() == 3
     assert out.schema.simpleString() == "struct<s:string,n:int>"
+
+
+def test_scale_conf_for_100_tb():
+    from tollgate.session import scale_conf
+
+    c = scale_conf(100 * 2**40)
+    assert c["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
+    assert int(c["spark.sql.shuffle.partitions"]) == 40960   # 10 TB shuffled / 256 MB
+    assert int(scale_conf(10 * 2**30)["spark.sql.shuffle.partitions"]) == 200  # small runs keep the floor

@@ -41,3 +41,24 @@ def local_session(cpus: int = 8, shuffle_partitions: int | None = None, app: str
     )
     spark.sparkContext.setLogLevel("ERROR")
     return apply_recommended(spark)
+
+
+def scale_conf(input_bytes: int, shuffled_fraction: float = 0.1, target_partition_bytes: int = 256 << 20,
+               max_shuffle_partitions: int = 200_000) -> dict[str, str]:
+    """Sizes for a run over `input_bytes` of parquet.
+
+    Scan splits of `target_partition_bytes`; initial shuffle partitions sized so the
+    largest shuffle (about `shuffled_fraction` of the input: the report shuffles
+    pruned, projected rows, not whole tables) lands near that size per partition,
+    with AQE coalescing small partitions back to the same advisory size. Partitions
+    of this size sort and aggregate in executor memory without spilling on
+    typical 4-8 GB per-core executors.
+    """
+    shuffled = max(1, int(input_bytes * shuffled_fraction))
+    partitions = min(max_shuffle_partitions, max(200, -(-shuffled // target_partition_bytes)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    }
