@@ -42,6 +42,8 @@ def parser() -> argparse.ArgumentParser:
     ap.add_argument("--numeric-factor", type=Decimal, default=None)
     ap.add_argument("--exclude-one-time", action="store_true")
     ap.add_argument("--exclude-recurring", action="store_true")
+    ap.add_argument("--text-collation", default=None,
+                    help="collation of text in the report's DISTINCTs, e.g. UNICODE_CI_RTRIM (default: binary)")
     for f in DATE_FIELDS:
         ap.add_argument("--" + f.replace("_", "-"), type=_date, default=getattr(DEFAULT_PARAMS, f))
     for f in INT_FIELDS:
@@ -55,6 +57,7 @@ def params_from_args(args: argparse.Namespace) -> ReportParams:
     return ReportParams(
         **values, impact_mode=mode, base_impact_id=bi, numeric_factor=args.numeric_factor,
         include_one_time=not args.exclude_one_time, include_recurring=not args.exclude_recurring,
+        text_collation=args.text_collation,
     )
 
 
