@@ -21,6 +21,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tollgate.operators.joins import BROADCAST_ROW_LIMIT, rows_at_most, semi_join_keys
 from tollgate.params import ReportParams
 
 SNAPSHOT_COLUMNS = ["A_FK_SNAPSHOT", "A_LAST_MODIFIED_FOR_CACHE_UTC", "A_ROADMAP_SUBSET_HASH"]
@@ -143,14 +144,22 @@ class ReportCache:
             return None
         return self.spark.read.parquet(self.table_path)
 
-    def merge(self, new_rows: DataFrame, p: ReportParams | None = None) -> None:
-        """Append the rows whose key is not cached yet. With the request's params,
-        the comparison reads only the table partition of its cache ids."""
+    def merge(self, new_rows: DataFrame, p: ReportParams | None = None, needed: DataFrame | None = None) -> None:
+        """Append the rows whose key is not cached yet.
+
+        With the request's params the comparison reads only the table partition of
+        its cache ids; with its needed snapshots (project_id) only the cached rows of
+        those projects, since no other row can share a key with the new ones: the
+        table grows with every project cached, a request touches a few of them.
+        """
         target = self.table()
         rows = new_rows.select(*CACHE_COLUMNS)
         if target is not None:
             if p is not None:
                 target = target.where(_ids_match(p))
+            if needed is not None:
+                projects = needed.select(F.col("project_id").alias("P_ID"))
+                target = semi_join_keys(target, projects, "P_ID", rows_at_most(projects, BROADCAST_ROW_LIMIT))
             rows = rows_to_insert(rows, target)
         (rows.write.mode("append").partitionBy(*ID_COLUMNS).parquet(self.table_path))
 

@@ -26,7 +26,7 @@ def compute_cache_rows(t: Tables, p: ReportParams, needed: DataFrame) -> DataFra
 def run_report(t: Tables, p: ReportParams, cache: ReportCache) -> DataFrame:
     needed = t.snapshot_needed
     if not needed.isEmpty():
-        cache.merge(compute_cache_rows(t, p, needed), p)
+        cache.merge(compute_cache_rows(t, p, needed), p, needed)
         cache.mark(needed, p)
     rows = cache.read_back(t.snapshot_in_report, p)
     if rows is None:  # nothing cached and nothing needed: an empty report

@@ -29,7 +29,7 @@ def fill_batch(tables: Tables, params: ReportParams, cache: ReportCache):
         try:
             if needed.isEmpty():
                 return
-            cache.merge(compute_cache_rows(tables, params, needed), params)
+            cache.merge(compute_cache_rows(tables, params, needed), params, needed)
             cache.mark(needed, params)
         finally:
             needed.unpersist()
