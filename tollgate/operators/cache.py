@@ -21,7 +21,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollgate.operators.joins import BROADCAST_ROW_LIMIT, rows_at_most, semi_join_keys
+from tollgate.operators.joins import BROADCAST_ROW_LIMIT, restrict_to_keys, rows_at_most, semi_join_keys
 from tollgate.params import ReportParams
 
 SNAPSHOT_COLUMNS = ["A_FK_SNAPSHOT", "A_LAST_MODIFIED_FOR_CACHE_UTC", "A_ROADMAP_SUBSET_HASH"]
@@ -101,9 +101,12 @@ def _ids_match(p: ReportParams):
             & (F.col("A_FK_REPORT_FILTER_CACHE") == p.report_filter_cache_id))
 
 
-def read_back(cache: DataFrame, in_report: DataFrame, p: ReportParams) -> DataFrame:
-    """Cache rows of the report's project snapshots (all 52 columns)."""
-    c = cache.where(_ids_match(p))
+def read_back(cache: DataFrame, in_report: DataFrame, p: ReportParams, n_in_report: int | None = None) -> DataFrame:
+    """Cache rows of the report's project snapshots (all 52 columns). With a checked
+    count of the report's snapshots, the cache partition is first cut to their
+    projects by a broadcast semi join in its scan stage."""
+    c = restrict_to_keys(cache.where(_ids_match(p)), in_report.select(F.col("project_id").alias("P_ID")), "P_ID",
+                         n_in_report)
     r = snapshot_columns(in_report).withColumnRenamed("project_id", "r_project_id")
     cond = (
         (c.A_FK_SNAPSHOT == r.A_FK_SNAPSHOT)
@@ -193,4 +196,4 @@ class ReportCache:
         target = self.table()
         if target is None:
             return None
-        return read_back(target, in_report, p)
+        return read_back(target, in_report, p, rows_at_most(in_report, BROADCAST_ROW_LIMIT))
