@@ -41,6 +41,7 @@ from tollgate.params import DEFAULT_PARAMS, ImpactMode, ReportParams
 from tollgate.plans.materialize import materialize
 from tollgate.plans.report import (
     KEY_COLUMNS,
+    driving_set,
     filtered_milestones,
     report_rows,
     status_frames,
@@ -137,8 +138,9 @@ def numeric_factor(spark, sf_dir):
 def _status(days: int) -> Query:
     def q(spark, sf_dir):
         t = _t(spark, sf_dir)
-        rows = filtered_milestones(t, P_UNSET)
-        return status_as_of(t.roadmap_audit, rows.select("roadmap_id").distinct(), P.status_as_of, days)
+        base, counts = driving_set(t, P_UNSET)
+        return status_as_of(t.roadmap_audit, base.select("roadmap_id"), P.status_as_of, days,
+                            n_roadmaps=counts["roadmap_id"])
     return q
 
 
