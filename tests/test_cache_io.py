@@ -81,17 +81,6 @@ def test_stream_fills_cache_from_requests(spark, tables, tmp_path):
     assert spark.read.parquet(cache.marker_path).count() == needed.count()
 
 
-def test_report_without_checkpoint_folder(spark, tables, monkeypatch):
-    """With no checkpoint folder configured the driving set stays lazy; same rows."""
-    import tollgate.plans.materialize as M
-    from tollgate.plans.report import report_rows
-
-    with_ckpt = sorted(map(tuple, report_rows(tables, DEFAULT_PARAMS).collect()))
-    monkeypatch.setattr(M, "checkpoint_dir", lambda s: None)
-    without = sorted(map(tuple, report_rows(tables, DEFAULT_PARAMS).collect()))
-    assert with_ckpt == without and with_ckpt
-
-
 def test_report_from_stored_tables(spark, tables, tmp_path):
     """The production path: domain relations stored as parquet, read lazily."""
     from tollgate.plans.report import report_rows

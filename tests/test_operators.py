@@ -235,12 +235,31 @@ def test_ordinal_is_a_total_order_position(spark):
     assert [r[2] for r in got] == list(range(1, 5001))
 
 
-def test_ordinal_without_checkpoint_folder(spark, monkeypatch):
-    import tollgate.operators.ordering as O
+def test_checkpoint_folder_on_a_cluster_must_be_named():
+    """No folder named: a local master gets its own, a cluster is told to name one."""
+    from types import SimpleNamespace
 
-    monkeypatch.setattr(O, "checkpoint_dir", lambda s: None)
-    df = spark.createDataFrame([(3,), (1,), (2,)], "k int")
-    assert [(r.k, r.pos) for r in O.with_ordinal(df, ["k"], "pos").orderBy("k").collect()] == [(1, 1), (2, 2), (3, 3)]
+    from tollgate.plans.materialize import checkpoint_dir
+
+    class Context:
+        folder = None
+
+        def __init__(self, master):
+            self.master = master
+
+        def getCheckpointDir(self):
+            return self.folder
+
+        def setCheckpointDir(self, folder):
+            self.folder = folder
+
+    def session(master, **conf):
+        return SimpleNamespace(sparkContext=Context(master), conf=conf)
+
+    assert checkpoint_dir(session("local[2]"))
+    assert checkpoint_dir(session("spark://x", **{"spark.checkpoint.dir": "/shared"})) == "/shared"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(session("spark://x"))
 
 
 def test_repeated_rate_rows_fail_loudly(spark):

@@ -502,7 +502,7 @@ LEFT JOIN l14 ON l14.roadmap_id = r.roadmap_id LEFT JOIN l7 ON l7.roadmap_id = r
   WHERE bi.program_id = {P.program_id})"""
     o["tree_attributes"] = W(tree_cte, attrs_sql) + "\nSELECT * FROM ta"
     o["tree_sorted"] = W(tree_cte, attrs_sql) + """
-SELECT *, CAST(row_number() OVER (ORDER BY BaseImpactPath, BaseImpactID) AS INTEGER) AS PathPosition FROM ta"""
+SELECT *, row_number() OVER (ORDER BY BaseImpactPath, BaseImpactID) AS PathPosition FROM ta"""
 
     o["attr_pivot"] = W(attr_cte()) + "\nSELECT * FROM attr"
     narr = ", ".join(f"n.{c}" for c in NARR)
