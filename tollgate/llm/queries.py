@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tollgate.llm import language_id, toxicity
+from tollgate.llm.byte_bpe import round_trip
 from tollgate.llm.common import table
 from tollgate.llm.exact_dedup import exact_dedup
 from tollgate.llm.fingerprint import fingerprint_edits
+from tollgate.llm.mixing import mix
+from tollgate.llm.near_dedup import near_groups
 from tollgate.llm.secret_scan import scan_secrets, span_list
 from tollgate.llm.sharding import place
 from tollgate.llm.url_filter import judge_urls
@@ -45,14 +50,46 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return place(place(docs, "doc_id", SHARDS), "doc_id", SHARDS[:-1], name="shard_without_last")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labels only tell toxic from clean; low quality makes a toxic document the worse:
+    grade 0 is clean, 1 toxic, 2 toxic and of low quality (where such rows occur)."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    grade = F.when(F.col("toxic") == 0, 0).when(F.col("toxic") == 1, F.when(F.col("quality") == 0, 2).otherwise(1))
+    graded = docs.select("doc_id", "text").join(labels.select("doc_id", grade.alias("grade")), "doc_id")
+    return toxicity.score(docs, toxicity.fit(graded, ["doc_id"]), ["doc_id"])
+
+
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                      public_tokenizers.PATTERN)
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).drop("row")
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """class_id: the id of the document of the group that stays."""
+    return near_groups(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.col("keep_id").alias("class_id"), "group_size", "kept")
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
 def op9_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    told = docs.withColumn("held_out", language_id.held_out(F.col("doc_id")))
+    model = language_id.fit(told.where(~F.col("held_out")), ["doc_id"])
+    return language_id.predict(told, model, ["doc_id", "held_out"])
+
+
 LLM_QUERIES = {f.__name__: f for f in (
-    op1_url_filter, op2_secret_scan, op3_sharding, op6_exact_dedup, op9_fingerprint)}
+    op1_url_filter, op2_secret_scan, op3_sharding, op4_toxicity, op5_byte_bpe, op6_exact_dedup, op7_near_dedup,
+    op8_mixing, op9_fingerprint, op10_language_id)}
 LLM_ORACLES: dict[str, str] = {}
