@@ -51,11 +51,11 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The labels only tell toxic from clean; low quality makes a toxic document the worse:
-    grade 0 is clean, 1 toxic, 2 toxic and of low quality (where such rows occur)."""
+    """The labels only tell toxic from clean: toxic documents are graded 1 or 2 by their
+    density of words that toxic documents have."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    grade = F.when(F.col("toxic") == 0, 0).when(F.col("toxic") == 1, F.when(F.col("quality") == 0, 2).otherwise(1))
-    graded = docs.select("doc_id", "text").join(labels.select("doc_id", grade.alias("grade")), "doc_id")
+    told = docs.select("doc_id", "text").join(labels.select("doc_id", "toxic"), "doc_id")
+    graded = toxicity.density_grades(told, ["doc_id"])
     return toxicity.score(docs, toxicity.fit(graded, ["doc_id"]), ["doc_id"])
 
 

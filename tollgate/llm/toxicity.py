@@ -1,8 +1,8 @@
 r"""Toxicity severity by cumulative-link ordinal regression on sparse text features.
 
-Features are words (hashed) that occur in a larger part of the graded toxic documents than
-of the others; a document's value for such a word is ln(1 + 100 * count / words). One weight
-per word is shared by all thresholds: P(grade <= k) = 1 / (1 + exp(w.x - theta_k)) with
+Features are words and beginnings of words (hashed) that occur in a larger part of the
+graded toxic documents than of the others; a document's value for one that it has is 1 + ln(1 +
+100 * count / words). One weight per feature is shared by all thresholds: P(grade <= k) = 1 / (1 + exp(w.x - theta_k)) with
 theta_0 < theta_1 < ... The output is the probability of each grade, their mean (the
 expected severity), and whether grade 1 or more is likelier than grade 0.
 
@@ -26,20 +26,22 @@ from tollgate.llm.common import hash_fraction, text_of
 from tollgate.llm.words import WordHasher, chunks
 
 BITS = 20
+PREFIXES = (4, 6)  # bytes of a word's beginning that are features besides the word
 FIT_TASKS = 12
 
 
 def word_counts(texts: list[str], hasher: WordHasher) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
-    """(distinct word buckets, counts, number of words) of each text."""
+    """(distinct buckets of words and beginnings, counts, number of words) of each text."""
     for a, b in chunks(texts):
-        words, at = hasher(texts[a:b])
-        cells = (words >> np.uint64(64 - BITS)).astype(np.int64)
+        kinds, at = hasher.with_prefixes(texts[a:b], PREFIXES)
+        cells = [(h >> np.uint64(64 - BITS)).astype(np.int64) for h in kinds]
         for i in range(b - a):
-            yield *np.unique(cells[at[i]:at[i + 1]], return_counts=True), int(at[i + 1] - at[i])
+            own = np.concatenate([c[at[i]:at[i + 1]] for c in cells])
+            yield *np.unique(own, return_counts=True), int(at[i + 1] - at[i])
 
 
 def values(counts: np.ndarray, n: int) -> np.ndarray:
-    return np.log1p(100.0 * counts / n)
+    return 1 + np.log1p(100.0 * counts / n)
 
 
 class Model:
@@ -64,7 +66,7 @@ class Model:
 
 
 def fit_ordinal(rows: np.ndarray, cols: np.ndarray, vals: np.ndarray, grade: np.ndarray, weight: np.ndarray,
-                n_features: int, ridge: float = 1e-3, steps: int = 600, rate: float = 0.1) -> tuple[np.ndarray, np.ndarray]:
+                n_features: int, ridge: float = 2e-4, steps: int = 600, rate: float = 0.1) -> tuple[np.ndarray, np.ndarray]:
     """Weights and thresholds that minimise the weighted negative log likelihood plus
     ridge / 2 * |w|^2, by Adam. Thresholds are a first one and positive gaps."""
     k = int(grade.max())
@@ -150,15 +152,47 @@ def training_rows(sample: DataFrame, cells: np.ndarray) -> tuple[np.ndarray, ...
             np.array([r["count"] for r in merged], dtype=np.float64))
 
 
+def bounded_sample(rows: DataFrame, key: list[str], max_rows: int, seed: int) -> DataFrame:
+    """About `max_rows` of the rows, drawn by a hash of the key columns and the text."""
+    share = min(1.0, max_rows / max(rows.count(), 1))
+    return rows.where(hash_fraction(*key, "text", seed=seed) < share).repartition(FIT_TASKS)
+
+
+def density_grades(labelled: DataFrame, key: list[str], text_col: str = "text", toxic_col: str = "toxic", levels: int = 2,
+                   max_rows: int = 40_000, min_documents: int = 4, min_ratio: float = 8.0, max_features: int = 4096,
+                   seed: int = 5) -> DataFrame:
+    """Severity grades from labels that only say toxic (1) or not (0): the key columns,
+    text and grade of a sample of about `max_rows` rows. Toxic documents are graded 1 to
+    `levels` by quantiles of the share of their words and beginnings that are
+    associated with toxic documents; others are grade 0. Rows with a null label go."""
+    usable = labelled.where(F.col(toxic_col).isin(0, 1)).select(
+        *key, text_of(text_col).alias("text"), F.col(toxic_col).cast("int").alias("grade"))
+    sample = bounded_sample(usable, key, max_rows, seed)
+    cells = associated_words(sample.select("text", "grade"), min_documents, min_ratio, max_features)
+    sent = labelled.sparkSession.sparkContext.broadcast(Model(cells, np.zeros(len(cells)), np.zeros(0)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, model = WordHasher(), sent.value
+        for batch in batches:
+            found = word_counts(batch.column(len(key)).to_pylist(), hasher)
+            shares = [float(c[np.isin(x, model.cells)].sum()) / max(n, 1) for x, c, n in found]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shares, pa.float64())],
+                                             names=[*key, "text", "grade", "_share"])
+
+    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in sample.schema)
+    shares = sample.mapInArrow(run, f"{kinds}_share double")
+    cuts = shares.where("grade = 1").approxQuantile("_share", [i / levels for i in range(1, levels)], 0.01)
+    above = sum([F.when(F.col("_share") > c, 1).otherwise(0) for c in cuts], F.lit(0))
+    return shares.select(*key, "text", F.when(F.col("grade") == 1, 1 + above).otherwise(0).alias("grade"))
+
+
 def fit(graded: DataFrame, key: list[str], text_col: str = "text", grade_col: str = "grade", max_rows: int = 40_000,
-        min_documents: int = 5, min_ratio: float = 8.0, max_features: int = 4096, seed: int = 5) -> Model:
+        min_documents: int = 4, min_ratio: float = 8.0, max_features: int = 4096, seed: int = 5) -> Model:
     """Learn from `graded` (key columns, text, grade 0, 1, ...). Documented bound: about
     `max_rows` of its rows, drawn by hash."""
     usable = graded.where(F.col(grade_col).isNotNull()).select(
         *key, text_of(text_col).alias("text"), F.col(grade_col).cast("int").alias("grade"))
-    n = usable.count()
-    sample = usable.where(hash_fraction(*key, "text", seed=seed) < min(1.0, max_rows / max(n, 1))).select(
-        "text", "grade").repartition(FIT_TASKS)
+    sample = bounded_sample(usable, key, max_rows, seed).select("text", "grade")
     cells = associated_words(sample, min_documents, min_ratio, max_features)
     none = Model(cells[:0], np.zeros(0), np.zeros(0))
     if len(cells) == 0:

@@ -46,6 +46,23 @@ class WordHasher:
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(hash of every word, offset of each text's first word plus the end)."""
+        first, last, at, total = self._cut(texts)
+        return self._hash(first, last, total), at
+
+    def with_prefixes(self, texts: list[str], lengths: tuple[int, ...]) -> tuple[list[np.ndarray], np.ndarray]:
+        """Hashes of every word and, for each length, of its first so many bytes (of the
+        whole word where it is shorter), in one array each; offsets as above."""
+        first, last, at, total = self._cut(texts)
+        out = [self._hash(first, last, total)]
+        for k in lengths:
+            out.append(mix(self._hash(first, np.minimum(first + k, last), total) + np.uint64(k)))
+        return out, at
+
+    def _hash(self, first: np.ndarray, last: np.ndarray, total: np.ndarray) -> np.ndarray:
+        return mix((total[last] - total[first]) * self.down[first] + (last - first).astype(np.uint64))
+
+    def _cut(self, texts: list[str]) -> tuple[np.ndarray, ...]:
+        """First and last byte of the words, offsets of the texts' words, and running sums."""
         raw = [t.lower().encode("utf-8", "surrogatepass") for t in texts]
         ends = np.cumsum(np.fromiter(map(len, raw), dtype=np.int64, count=len(raw)) + 1)
         data = np.frombuffer(b"\n".join(raw) + b"\n", dtype=np.uint8)
@@ -57,8 +74,7 @@ class WordHasher:
         first, last = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
         total = np.zeros(len(data) + 1, dtype=np.uint64)
         np.cumsum(self.value[data] * self.up[: len(data)], out=total[1:])
-        hashes = mix((total[last] - total[first]) * self.down[first] + (last - first).astype(np.uint64))
-        return hashes, np.concatenate(([0], np.searchsorted(first, ends)))
+        return first, last, np.concatenate(([0], np.searchsorted(first, ends))), total
 
 
 def chunks(texts: list[str], most_chars: int = 200_000):
