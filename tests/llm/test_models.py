@@ -184,6 +184,7 @@ def test_bpe_encode_and_decode_odd_texts(spark, name):
     plain = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     df = spark.createDataFrame([*enumerate(ODD), (None, None)], "doc_id bigint, text string")
     enc = B.encode(df, path, public_tokenizers.PATTERN)
+    assert all(r.exact and r.n_tokens == len(r.ids) for r in enc.collect())
     rows = {r.doc_id: r.ids for r in enc.collect()}
     assert rows == {**{i: plain.encode_ordinary(t) for i, t in enumerate(ODD)}, None: []}
     back = {r.doc_id: bytes(r.decoded) for r in B.decode(enc, path, public_tokenizers.PATTERN).collect()}

@@ -139,42 +139,47 @@ def _parts(batch: pa.RecordBatch, most_chars: int = 1_000_000) -> Iterator[tuple
         yield a, texts[a:b]
 
 
-def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id and `ids` (array<int>) of each document."""
-    make = _codec_maker(docs.sparkSession, path, pattern)
+def _kinds(df: DataFrame, columns: list[str]) -> str:
+    return "".join(f"`{c}` {df.schema[c].dataType.simpleString()}, " for c in columns)
+
+
+def encode(docs: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
+    """The `keep` columns, `ids` (array<int>), `n_tokens`, and `exact`: the ids decode to the text."""
+    make, keep = _codec_maker(docs.sparkSession, path, pattern), list(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = make()
         for batch in batches:
             for at, part in _parts(batch):
-                ids = pa.array(codec.encode(part), type=pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(part)), ids], names=[id_col, "ids"])
+                ids = codec.encode(part)
+                exact = [codec.decode(x) == t.encode() for x, t in zip(ids, part)]
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(i).slice(at, len(part)) for i in range(len(keep))), pa.array(ids, pa.list_(pa.int32())),
+                     pa.array(list(map(len, ids)), pa.int64()), pa.array(exact, pa.bool_())],
+                    names=[*keep, "ids", "n_tokens", "exact"])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_of(text_col).alias("_text")).mapInArrow(run, f"`{id_col}` {kind}, ids array<int>")
+    return docs.select(*keep, text_of(text_col).alias("_text")).mapInArrow(
+        run, f"{_kinds(docs, keep)}ids array<int>, n_tokens bigint, exact boolean")
 
 
-def decode(encoded: DataFrame, path: str, pattern: str, id_col: str = "doc_id") -> DataFrame:
-    """id and `decoded` (binary) of each row of `encode`'s result (null ids: empty)."""
-    make = _codec_maker(encoded.sparkSession, path, pattern)
+def decode(encoded: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The `keep` columns and `decoded` (binary) of each row of `ids` (null: empty)."""
+    make, keep = _codec_maker(encoded.sparkSession, path, pattern), list(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = make()
         for batch in batches:
-            out = pa.array([codec.decode(ids or []) for ids in batch.column(1).to_pylist()], type=pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), out], names=[id_col, "decoded"])
+            out = pa.array([codec.decode(ids or []) for ids in batch.column(len(keep)).to_pylist()], type=pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], out], names=[*keep, "decoded"])
 
-    kind = encoded.schema[id_col].dataType.simpleString()
-    return encoded.select(id_col, "ids").mapInArrow(run, f"`{id_col}` {kind}, decoded binary")
+    return encoded.select(*keep, "ids").mapInArrow(run, f"{_kinds(encoded, keep)}decoded binary")
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
-               keep: list[str] | None = None) -> DataFrame:
-    """The `keep` columns (default: the id), n_tokens, ids_sha256, decoded_sha256 and
-    `exact` (the decoded bytes are the text's): encode, then decode the ids, without
-    moving the ids out of the task."""
-    make = _codec_maker(docs.sparkSession, path, pattern)
-    keep = [id_col] if keep is None else keep
+def round_trip(docs: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
+    """The `keep` columns, n_tokens, ids_sha256, decoded_sha256 and `exact` (the decoded
+    bytes are the text's): encode, then decode the ids, without moving the ids out of
+    the task."""
+    make, keep = _codec_maker(docs.sparkSession, path, pattern), list(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = make()
@@ -187,9 +192,8 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
                     rows.append((len(ids), hashlib.sha256(" ".join(map(names.__getitem__, ids)).encode()).hexdigest(),
                                  hashlib.sha256(back).hexdigest(), back == text.encode()))
             found = [pa.array([r[i] for r in rows], type=t) for i, t in enumerate((pa.int64(), pa.string(), pa.string(), pa.bool_()))]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *found], names=[
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *found], names=[
                 *keep, "n_tokens", "ids_sha256", "decoded_sha256", "exact"])
 
-    kinds = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep)
     return docs.select(*keep, text_of(text_col).alias("_text")).mapInArrow(
-        run, f"{kinds}n_tokens bigint, ids_sha256 string, decoded_sha256 string, exact boolean")
+        run, f"{_kinds(docs, keep)}n_tokens bigint, ids_sha256 string, decoded_sha256 string, exact boolean")

@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import string
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tollgate.operators.joins import fits_broadcast
+from tollgate.plans.materialize import materialize
+
+DECISION_BYTES = 64  # of a decision in a broadcast table
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -30,9 +35,23 @@ def hash_fraction(*columns: str | Column, seed: int = 0) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), *columns), F.lit(1 << 52)) / F.lit(float(1 << 52))
 
 
-def same_key(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
-    """Equality of the named columns in which null equals null."""
-    cond = F.lit(True)
-    for c in columns:
-        cond = cond & left[c].eqNullSafe(right[c])
-    return cond
+def apply_copies(docs: DataFrame, decided: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of `docs` as often as decided, with their own columns.
+
+    `decided` has a row (id, text_key, copies) for every row of `docs`, in any order;
+    text_key is xxhash64 of the text (empty for null). Rows that share both are
+    interchangeable: one of them stands for the sum of their copies. The decisions are
+    broadcast where their checked number allows it; else both sides are shuffled.
+    """
+    keyed = materialize(decided.groupBy(F.col(id_col).alias("_id"), F.col("text_key").alias("_decided_key")).agg(
+        F.sum("copies").cast("int").alias("_copies"), F.count("*").alias("_rows")))
+    facts = keyed.agg(F.count("*").alias("n"), F.max("_rows").alias("most")).first()
+    side = keyed.where("_copies > 0").drop("_rows")
+    if fits_broadcast(facts["n"], DECISION_BYTES):
+        side = F.broadcast(side)
+    rows = docs.withColumn("_key", F.xxhash64(text_of(text_col)))
+    rows = rows.join(side, rows[id_col].eqNullSafe(side["_id"]) & (rows["_key"] == side["_decided_key"]))
+    if (facts["most"] or 1) > 1:
+        rows = rows.withColumn("_n", F.row_number().over(Window.partitionBy(id_col, "_key").orderBy("_copies"))).where("_n = 1")
+    copied = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    return copied.select(*docs.columns)

@@ -77,12 +77,12 @@ def name_pairs(names: DataFrame) -> DataFrame:
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_chars: int = BLOCK_CHARS,
              normalise: Callable[[Column], Column] = lower_ascii,
              block_hash: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
-    """One row per document: row, id, text_sha256 (of the normalised text), n_blocks and
-    name; (n_blocks, name) is its identity."""
+    """One row per document: row, id, text_key (64-bit hash of the text as it is), text_sha256
+    (of the normalised text), n_blocks and name; (n_blocks, name) is its identity."""
     texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col),
-                        normalise(text_of(text_col)).alias("norm"))
+                        F.xxhash64(text_of(text_col)).alias("text_key"), normalise(text_of(text_col)).alias("norm"))
     hashes = F.transform(blocks_of(F.col("norm"), block_chars), lambda b: block_hash(b))
-    rows = materialize(texts.select("row", id_col, F.sha2("norm", 256).alias("text_sha256"), hashes.alias("hashes"))
+    rows = materialize(texts.select("row", id_col, "text_key", F.sha2("norm", 256).alias("text_sha256"), hashes.alias("hashes"))
                        .withColumn("n_blocks", F.size("hashes")))
     names = name_blocks(texts, rows, block_chars, block_hash)
     sizes = rows.select("row", "n_blocks")
@@ -96,7 +96,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bl
         longer = left.where(F.col("n_blocks") > level)
         left = materialize(name_pairs(longer.select("row", "pos", "name")).join(sizes, "row"))
         level *= 2
-    done = rows.select("row", id_col, "text_sha256", "n_blocks")
+    done = rows.select("row", id_col, "text_key", "text_sha256", "n_blocks")
     if not ended:
         return done.withColumn("name", F.lit(0).cast("bigint"))
     identity = ended[0]
@@ -106,12 +106,12 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bl
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """One row per document, dropped ones too: row, id, keep_id, group_size, kept and
-    text_sha256. Of equal texts the row with the largest id stays."""
+    """One row per document, dropped ones too: row, id, text_key, keep_id, group_size, kept
+    and text_sha256. Of equal texts the row with the largest id stays."""
     identified = materialize(identify(docs, id_col, text_col, **options))
     groups = identified.groupBy("n_blocks", "name").agg(
         F.max(F.struct(F.col(id_col).alias("id"), (-F.col("row")).alias("first"))).alias("keep"),
         F.count("*").alias("group_size"))
     return identified.join(groups, ["n_blocks", "name"]).select(
-        "row", id_col, F.col("keep.id").alias("keep_id"), "group_size",
+        "row", id_col, "text_key", F.col("keep.id").alias("keep_id"), "group_size",
         (F.col("row") == -F.col("keep.first")).alias("kept"), "text_sha256")

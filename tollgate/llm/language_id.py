@@ -20,11 +20,12 @@ the first by name. Only the named columns are read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollgate.llm.common import hash_fraction, text_of
@@ -188,28 +189,26 @@ def fit(labelled: DataFrame, key: list[str], text_col: str = "text", lang_col: s
     return Model(languages, landmarks.grams, (landmarks.matrix.astype(np.float64) @ weights).astype(np.float32))
 
 
-def predict(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text",
-            lang_name: str = "lang_pred", score_name: str = "score") -> DataFrame:
-    """The `keep` columns plus the predicted language and its score, from the text alone."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+def detector(spark: SparkSession, model: Model) -> Callable[[Column], Column]:
+    """A function of a text column: a struct of lang_pred and score, from the text alone.
+    Only the text goes to the Python worker and only the result comes back."""
+    sent = spark.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.pandas_udf("lang_pred string, score double")
+    def detect(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         grams, mine = Grams(), sent.value
-        for batch in batches:
-            texts = batch.column(len(keep)).to_pylist()
-            names: list[str] = []
-            scores: list[float] = []
-            for at in range(0, len(texts), 256):
-                n, s = mine.predict(texts[at:at + 256], grams)
-                names += n
-                scores += s.tolist()
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in range(len(keep))), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                names=[*keep, lang_name, score_name])
-
-    kinds = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep)
-    return docs.select(*keep, text_of(text_col).alias("_text")).mapInArrow(
-        run, f"{kinds}`{lang_name}` string, `{score_name}` double")
+        for texts in batches:
+            found = [mine.predict(texts[at:at + 256].tolist(), grams) for at in range(0, len(texts), 256)]
+            yield pd.DataFrame({"lang_pred": [x for names, _ in found for x in names],
+                                "score": np.concatenate([s for _, s in found]) if found else np.zeros(0)})
+
+    return lambda text: detect(text_of(text))
+
+
+def predict(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:
+    """The `keep` columns plus lang_pred and score."""
+    detect = detector(docs.sparkSession, model)
+    return docs.select(*keep, detect(F.col(text_col)).alias("_found")).select(*keep, "_found.lang_pred", "_found.score")
 
 
 def held_out(doc_id: Column) -> Column:

@@ -27,6 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tollgate.llm.common import text_of
 from tollgate.operators.ordering import with_ordinal
 from tollgate.plans.materialize import materialize
 
@@ -112,20 +113,20 @@ def _round_groups(frame: DataFrame, keys: list[str], seed: int, last: bool) -> D
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 11,
         group_rows: int = GROUP_ROWS, fan_in: int = FAN_IN, **targets) -> DataFrame:
-    """One row per document: id, text_hash, size, source_size, target, copies and taken (copies
+    """One row per document: id, text_key, size, source_size, target, copies and taken (copies
     * size). `targets` are options of source_targets."""
     sized = materialize(docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(id_col), F.col(source_col).alias("source"),
-        F.xxhash64(text_col).alias("text_hash"), n_words(F.col(text_col)).alias("size")))
+        F.xxhash64(text_of(text_col)).alias("text_key"), n_words(F.col(text_col)).alias("size")))
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("_rows"))
     aims = materialize(source_targets(sizes, **targets)).withColumnRenamed("source", "_source")
     wanted = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     # the tree's leaves: as many groups as the source's rows need; a document's group
     # depends on its id and text only
-    key = F.xxhash64(F.lit(seed), id_col, "text_hash")
+    key = F.xxhash64(F.lit(seed), id_col, "text_key")
     groups = F.ceil(F.col("_rows") / group_rows)
     rows = materialize(sized.join(aims, F.col("source").eqNullSafe(F.col("_source"))).select(
-        "row", id_col, "text_hash", "size", "source_size", "target", F.floor(wanted).alias("whole"),
+        "row", id_col, "text_key", "size", "source_size", "target", F.floor(wanted).alias("whole"),
         (wanted - F.floor(wanted)).alias("share"), F.xxhash64("source", F.col("source").isNull()).alias("source_key"),
         key.alias("key"), F.pmod(key, groups).alias("group"), groups.alias("groups")))
     most = rows.agg(F.max("groups")).first()[0] or 1
@@ -143,5 +144,5 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         rounded = rounded.unionByName(more)
     copies = F.col("whole") + F.coalesce("up", F.lit(0))
     return rows.join(rounded, "row", "left").select(
-        id_col, "text_hash", "size", "source_size", "target", copies.alias("copies"),
+        id_col, "text_key", "size", "source_size", "target", copies.alias("copies"),
         (copies * F.col("size")).alias("taken"))

@@ -65,7 +65,7 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup(table(spark, sf_dir, "documents")).drop("row")
+    return exact_dedup(table(spark, sf_dir, "documents")).drop("row", "text_key")
 
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
