@@ -17,9 +17,8 @@ from tollgate.llm import byte_bpe, exact_dedup, language_id, mixing, near_dedup
 from tollgate.llm.common import apply_copies, table
 from tollgate.plans.materialize import checkpoint_dir
 
-# a language's regression value at its rejection limit is far below those of real texts
-# (0.5 is the value of a text that looks like no language more than another)
-MIN_LANGUAGE_SCORE = 0.55
+# a text with a smaller part of its n-grams in any landmark resembles no learned language
+MIN_KNOWN = 0.35
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,12 +26,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     one that resembles no learned language, goes. Learns from rows that are not held out
     and name a language; where none does, only texts without letters go."""
     model = language_id.fit(docs.where(~language_id.held_out(F.col("doc_id"))), ["doc_id"])
-    found = docs.withColumn("_found", language_id.detector(spark, model)(F.col("text")))
     if model.languages:
-        kept = found.where((F.col("_found.lang_pred") != language_id.UNDETERMINED)
-                           & (F.col("_found.score") >= MIN_LANGUAGE_SCORE))
+        found = docs.withColumn("_found", language_id.detector(spark, model)(F.col("text")))
+        kept = found.where((F.col("_found.lang_pred") != language_id.UNDETERMINED) & (F.col("_found.known") >= MIN_KNOWN))
     else:
-        kept = found.where(F.col("text").rlike(r"\p{L}"))
+        kept = docs.where(F.col("text").rlike(r"\p{L}"))
     return kept.select(*docs.columns)
 
 

@@ -115,8 +115,9 @@ class Model:
     def __init__(self, languages: list[str], grams: np.ndarray, weights: np.ndarray) -> None:
         self.languages, self.grams, self.weights = languages, grams, weights
 
-    def predict(self, texts: list[str], grams: Grams) -> tuple[list[str], np.ndarray]:
-        names, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
+    def predict(self, texts: list[str], grams: Grams) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Language, score, and the share of the text's n-grams that some landmark has."""
+        names, scores, known = [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
         told = [i for i, t in enumerate(texts) if has_letter(t)] if self.languages else []
         if told:
             presence = np.empty((len(told), len(self.grams)), dtype=np.float32)
@@ -128,9 +129,10 @@ class Model:
             values = (presence @ self.weights) / np.sqrt(own)[:, None]
             best = values.argmax(axis=1)
             scores[told] = _spread(values, best)
+            known[told] = presence.sum(axis=1) / own
             for row, i in enumerate(told):
                 names[i] = self.languages[best[row]]
-        return names, scores
+        return names, scores, known
 
 
 def sample_by_language(labelled: DataFrame, sizes: DataFrame, key: list[str], per_language: int, seed: int) -> DataFrame:
@@ -190,25 +192,28 @@ def fit(labelled: DataFrame, key: list[str], text_col: str = "text", lang_col: s
 
 
 def detector(spark: SparkSession, model: Model) -> Callable[[Column], Column]:
-    """A function of a text column: a struct of lang_pred and score, from the text alone.
-    Only the text goes to the Python worker and only the result comes back."""
+    """A function of a text column: a struct of lang_pred, score and known, from the text alone.
+    `known`, the share of the text's n-grams that some landmark has, tells texts of
+    languages that were never learned. Only the text goes to the Python worker and only
+    the result comes back."""
     sent = spark.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double, known double")
     def detect(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         grams, mine = Grams(), sent.value
         for texts in batches:
             found = [mine.predict(texts[at:at + 256].tolist(), grams) for at in range(0, len(texts), 256)]
-            yield pd.DataFrame({"lang_pred": [x for names, _ in found for x in names],
-                                "score": np.concatenate([s for _, s in found]) if found else np.zeros(0)})
+            yield pd.DataFrame({"lang_pred": [x for names, _, _ in found for x in names],
+                                "score": [x for _, scores, _ in found for x in scores],
+                                "known": [x for _, _, known in found for x in known]})
 
     return lambda text: detect(text_of(text))
 
 
 def predict(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:
-    """The `keep` columns plus lang_pred and score."""
+    """The `keep` columns plus lang_pred, score and known."""
     detect = detector(docs.sparkSession, model)
-    return docs.select(*keep, detect(F.col(text_col)).alias("_found")).select(*keep, "_found.lang_pred", "_found.score")
+    return docs.select(*keep, detect(F.col(text_col)).alias("_found")).select(*keep, "_found.*")
 
 
 def held_out(doc_id: Column) -> Column:

@@ -35,7 +35,7 @@ from tollgate.plans.materialize import materialize
 WEIGHTS = (3.0, 1.0, 2.0)
 TOTAL_SHARE = 1.5
 MAX_COPIES = 2.0
-GROUP_ROWS = 4096
+GROUP_ROWS = 1024
 FAN_IN = 256
 
 
