@@ -109,9 +109,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row per document, dropped ones too: row, id, text_key, keep_id, group_size, kept
     and text_sha256. Of equal texts the row with the largest id stays."""
     identified = materialize(identify(docs, id_col, text_col, **options))
-    groups = identified.groupBy("n_blocks", "name").agg(
+    groups = materialize(identified.groupBy("n_blocks", "name").agg(
         F.max(F.struct(F.col(id_col).alias("id"), (-F.col("row")).alias("first"))).alias("keep"),
-        F.count("*").alias("group_size"))
+        F.count("*").alias("group_size")))  # on its own, so that a join with a large group can split
     return identified.join(groups, ["n_blocks", "name"]).select(
         "row", id_col, "text_key", F.col("keep.id").alias("keep_id"), "group_size",
         (F.col("row") == -F.col("keep.first")).alias("kept"), "text_sha256")
