@@ -257,7 +257,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.max_by(F.struct("text_key", "weight", "samples", "bands"), "row").alias("x")).select("class", "x.*"))
     # buckets with more than one class
     placed = classes.select("class", F.explode("bands").alias("band"))
-    stars = placed.groupBy("band").agg(F.min("class").alias("center"), F.count("*").alias("n")).where("n > 1")
+    stars = materialize(placed.groupBy("band").agg(F.min("class").alias("center"), F.count("*").alias("n")).where("n > 1"))
     members = materialize(placed.join(stars.select("band", "center"), "band"))
     first = materialize(members.where("class <> center").select(F.col("class").alias("a"), F.col("center").alias("b")).distinct())
     texts = class_texts(docs, text_col, classes, members)
@@ -279,8 +279,9 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         roots = components(links.union(more))
     grouped = materialize(signed.select("row", id_col, "text_key", "class").join(roots, "class", "left").select(
         "row", id_col, "text_key", F.coalesce("root", "class").alias("group")))
-    keep = grouped.groupBy("group").agg(
-        F.max(F.struct(F.col(id_col).alias("id"), (-F.col("row")).alias("first"))).alias("keep"), F.count("*").alias("group_size"))
+    # on its own, so that the join can split a large group
+    keep = materialize(grouped.groupBy("group").agg(
+        F.max(F.struct(F.col(id_col).alias("id"), (-F.col("row")).alias("first"))).alias("keep"), F.count("*").alias("group_size")))
     return grouped.join(keep, "group").select(
         "row", id_col, "text_key", "group", F.col("keep.id").alias("keep_id"), "group_size",
         (F.col("row") == -F.col("keep.first")).alias("kept"))
