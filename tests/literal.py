@@ -47,15 +47,16 @@ def _grouped(j, p):
                     F.col(f"{k}_intercept") * F.when(fin, F.col(f"{k}_{tag}_ex")).otherwise(F.lit(1)))
         re = F.when(d.between(F.lit(p.recurring_start), F.lit(re_end)),
                     F.col(f"{k}_slope") * F.when(fin, F.col(f"{k}_{tag}_fin")).otherwise(F.col(f"{k}_{tag}_mul")))
-        aggs.append(F.sum(ot).cast("decimal(38,6)").alias(f"ot_{name}"))
-        aggs.append(F.sum(re).cast("decimal(38,6)").alias(f"re_{name}"))
+        aggs.append(F.sum(ot).cast("decimal(38,10)").alias(f"ot_{name}"))
+        aggs.append(F.sum(re).cast("decimal(38,10)").alias(f"re_{name}"))
     g = j.groupBy("program_id", "project_id", "base_impact_id", "roadmap_id", "milestone_id", "numeric_factor").agg(*aggs)
     out = [c for c in ("program_id", "project_id", "base_impact_id", "roadmap_id", "milestone_id")]
     metrics = []
+    per_year = F.lit(p.multiplier_per_year).cast("decimal(4,0)")
     for name in ("Plan", "Actual", "Update", "Plan_To_Date", "Actual_To_Date", "Update_To_Date"):
-        metrics.append(((F.coalesce(F.col(f"ot_{name}").cast("double"), F.lit(0.0))
-                         + F.coalesce(F.col(f"re_{name}").cast("double") / float(p.multiplier_per_year), F.lit(0.0)))
-                        / F.col("numeric_factor").cast("double")).alias(name))
+        ot, re = (F.coalesce(F.col(f"{half}_{name}"), F.lit(0)).cast("decimal(30,10)") for half in ("ot", "re"))
+        metrics.append(((ot * per_year + re).cast("decimal(38,10)") / (per_year * F.col("numeric_factor")))
+                       .cast("decimal(38,6)").alias(name))
     return g.select(*out, F.col("numeric_factor").cast("double").alias("numeric_factor"), *metrics)
 
 

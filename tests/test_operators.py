@@ -194,14 +194,14 @@ def test_status_label_folds_ties(spark):
     from tollgate.operators.asof import status_label
 
     s = spark.createDataFrame([(1, 3), (1, 4), (1, 3), (2, None)], "roadmap_id bigint, traffic_light int")
-    got = {r.roadmap_id: r.label for r in status_label(s).collect()}
+    got = {r.roadmap_id: r.label for r in status_label(s, fold=True).collect()}
     assert got == {1: "Green; Yellow", 2: "Red"}
 
 
 def test_valuation_equals_literal_six_joins(spark):
     """Metamorphic: the pre-aggregated, one-lookup valuation equals the source's
     literal form (six rate joins per impact row, group by milestone key)."""
-    from tollgate.checks.literal import literal_valuation
+    from literal import literal_valuation
     from tollgate.plans.queries import KEY_COLUMNS
     from tollgate.plans.queries import P as QP
     from tollgate.plans.queries import _t
@@ -216,7 +216,7 @@ def test_valuation_equals_literal_six_joins(spark):
 
 
 def test_pivot_equals_joins_on_unique_attributes(spark):
-    from tollgate.checks.literal import literal_attribute_joins
+    from literal import literal_attribute_joins
 
     eav = spark.createDataFrame([(m, a, f"v{m}-{a}") for m in range(1, 200) for a in range(1, 8) if (m + a) % 3],
                                 "milestone_id bigint, attribute_id int, text_value string")
@@ -267,3 +267,59 @@ def test_repeated_rate_rows_fail_loudly(spark):
     msd = multipliers(spark, d) + multipliers(spark, d, rows=((1, "9.99", "9", "9"),))
     with pytest.raises(Exception, match="repeats"):
         value(spark, [impact_row(1, "B1", d, fin=True)], msd, PV)
+
+
+def test_repeated_rate_rows_fail_loudly_without_one_time(spark):
+    """The check hangs on the join key, so no setting prunes it away."""
+    d = D(1999, 6, 1)
+    msd = multipliers(spark, d) + multipliers(spark, d, rows=((1, "9.99", "9", "9"),))
+    with pytest.raises(Exception, match="repeats"):
+        value(spark, [impact_row(1, "B1", d, fin=True)], msd, PV.with_(include_one_time=False))
+
+
+def test_large_sums_stay_exact(spark):
+    """Sums beyond 10^12 keep every decimal."""
+    d = D(1999, 6, 1)
+    rows = [impact_row(1, "B1", d, ic="999999999999.1234", sl="0") for _ in range(7)]
+    got = value(spark, rows, multipliers(spark, d), PV)
+    assert got[0]["Plan"] == 7 * Decimal("999999999999.1234") / 2
+
+
+def test_roles_and_ties_one_row_each_or_folded(spark):
+    from tollgate.operators.asof import status_label, two_statuses
+    from tollgate.operators.enrich import named_roles, role_holders
+    from tollgate.operators.joins import KeyBound
+
+    users = spark.createDataFrame([(1, "A", None), (2, "B", "x"), (3, "A", " ")], "user_id bigint, last_name string, first_name string")
+    roles = spark.createDataFrame([(1, None, 5, 1), (1, None, 5, 2), (1, None, 5, 2), (2, None, 5, 9), (None, 7, 4, 1), (3, None, 4, 1)],
+                                  "roadmap_id bigint, project_id bigint, role int, user_id bigint")
+    named = named_roles(roles, users, {4: "project_id", 5: "roadmap_id"})
+    assert sorted(map(tuple, role_holders(named, 5, "roadmap_id").collect())) == [(1, "A"), (1, "B, x"), (2, "")]
+    assert sorted(map(tuple, role_holders(named, 5, "roadmap_id", fold=True).collect())) == [(1, "A; B, x"), (2, "")]
+    assert [tuple(r) for r in role_holders(named, 4, "project_id").collect()] == [(7, "A")]
+    at = dt.datetime
+    audit = spark.createDataFrame([(1, 3, at(2024, 1, 1)), (1, 4, at(2024, 1, 1)), (1, 1, at(2024, 1, 10)), (2, 2, at(2024, 1, 11)),
+                                   (3, 3, at(2024, 1, 2)), (1, 1, at(2024, 1, 19))],
+                                  "roadmap_id bigint, traffic_light int, audit_time timestamp_ntz")
+    ids = spark.createDataFrame([(1,), (2,), (3,)], "roadmap_id bigint")
+    for bound in (KeyBound(3), KeyBound(1 << 60)):  # broadcast, and the way beyond it
+        old, new = two_statuses(audit, ids, D(2024, 1, 20), 14, 7, bound)
+        assert sorted(map(tuple, status_label(old).collect())) == [(1, "Green"), (1, "Yellow"), (3, "Green")]
+        assert sorted(map(tuple, status_label(old, fold=True).collect())) == [(1, "Green; Yellow"), (3, "Green")]
+        assert sorted(map(tuple, status_label(new).collect())) == [(1, "Black"), (2, "White"), (3, "Green")]
+
+
+def test_repeated_milestone_keys_fail_loudly(spark):
+    from tollgate.plans.report import driving_set
+
+    t = make_tables(spark, milestone=[ms_row(1, D(2000, 1, 1)), ms_row(1, D(1999, 12, 1))], filtered_roadmap=[(1, 1, 1)])
+    with pytest.raises(ValueError, match="repeats"):
+        driving_set(t, P.with_(impact_mode=ImpactMode.UNSET, base_impact_id=None))
+
+
+def test_key_bounds_count_text_bytes(spark):
+    from tollgate.operators.joins import KeyBound, key_bounds
+
+    df = spark.createDataFrame([("a" * 36, 1), ("b", 2)], "t string, n bigint")
+    assert key_bounds(df, "t", "n") == {"t": KeyBound(2, 16 + 8 + 40), "n": KeyBound(2, 16)}
+    assert not KeyBound(1 << 30).fits

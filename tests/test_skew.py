@@ -3,12 +3,13 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
 
 from helpers import make_tables
 from tollgate.operators.asof import status_as_of
 from tollgate.operators.attributes import attribute_pivot
 from tollgate.operators.valuation import value_keys
-from tollgate.params import ReportParams
+from tollgate.params import ImpactMode, ReportParams
 
 
 def test_status_hot_roadmap(spark):
@@ -49,21 +50,61 @@ def test_valuation_hot_roadmap(spark):
                      one_time_end=dt.date(1999, 12, 31), recurring_start=dt.date(1999, 1, 1),
                      recurring_end=dt.date(1999, 12, 31), calculation_date_as_of=dt.date(1999, 12, 31))
     got = {r.roadmap_id: r.Plan for r in value_keys(keys, t, p).collect()}
-    assert got[1] == 6000 * 1.25
-    assert all(v == 2.0 for k, v in got.items() if k != 1)
+    assert got[1] == Decimal("7500")
+    assert all(v == 2 for k, v in got.items() if k != 1)
 
 
-def test_final_distinct_shuffles_on_all_columns(spark):
-    """The report's DISTINCT gets its own exchange, so a hot project is spread out."""
+def test_report_compares_no_wide_rows(spark):
+    """The DISTINCT is taken on the parts: nothing is aggregated after the last joins."""
     from tollgate.plans.queries import P, _t
     from tollgate.plans.report import report_rows
 
     df = report_rows(_t(spark, "/root/testdata/sf0.001"), P)
-    plan = [ln for ln in df._jdf.queryExecution().executedPlan().toString().splitlines()
-            if "AdaptiveSparkPlan" not in ln]
-    assert "HashAggregate" in plan[0]
-    assert "Exchange hashpartitioning" in plan[1], plan[:3]
-    assert "HashAggregate" in plan[2], plan[:3]
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Join")[0]
+    assert "HashAggregate" not in plan and "Exchange" not in plan
+    assert df.count() == df.distinct().count() > 0
+
+
+@pytest.mark.parametrize("mode", [ImpactMode.SELECTED, ImpactMode.NONE, ImpactMode.UNSET])
+def test_hot_roadmap_join_is_split_by_aqe(spark, mode, tmp_path):
+    """Half of the milestones on one roadmap: the driving join is split in every mode."""
+    import os
+    import sys
+
+    from pyspark.sql import functions as F
+
+    from tollgate.params import DEFAULT_PARAMS
+    from tollgate.plans.queries import _t
+    from tollgate.plans.report import milestone_base
+
+    sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
+    from plan_summary import final_only
+
+    p = DEFAULT_PARAMS.with_(impact_mode=mode, base_impact_id="N3" if mode is ImpactMode.SELECTED else None)
+    t = _t(spark, "/root/testdata/sf0.01")
+    hot_id = milestone_base(t, p).select("roadmap_id").first()[0]
+    ms = t.milestone.withColumn("roadmap_id", F.when(F.col("milestone_id") % 2 == 0, F.lit(hot_id)).otherwise(F.col("roadmap_id")))
+    ms.repartition(6).write.parquet(str(tmp_path / "milestone"))
+    hot = t.replace(milestone=spark.read.parquet(str(tmp_path / "milestone")))
+    expected = sorted(map(repr, milestone_base(hot, p).collect()))
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1024",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1024",
+             "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        df = milestone_base(hot, p)
+        qe = df._jdf.queryExecution()
+        got = sorted(map(repr, df.collect()))
+        qe.toRdd().count()
+        plan = final_only(qe.executedPlan().toString())
+    finally:
+        for k in confs:
+            spark.conf.unset(k)
+    assert got == expected and got
+    assert "skew=true" in plan
 
 
 def test_hot_project_join_is_split_by_aqe(spark):

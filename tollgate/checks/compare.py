@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import decimal
 import math
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -26,8 +25,6 @@ def _norm(v):
         if math.isnan(v):
             return None
         return v
-    if isinstance(v, decimal.Decimal):
-        return float(v)
     if isinstance(v, dt.datetime):
         return v.replace(tzinfo=None)
     return v

@@ -3,8 +3,9 @@
 The domain relations are re-derived from the test tables in plain SQL (the same
 rules as sources/testdata.py), and each query is written the way the source
 report states it: six literal multiplier joins instead of one unpivoted lookup,
-a program filter at the end instead of at the start, a milestone re-join, and so
-on. The driver registers the test tables as views and runs these strings.
+plain left joins to role holders and tied statuses, a milestone re-join, and so
+on. One thing is folded here as in the library: several values of a milestone's
+attribute stand in one cell, sorted, where the source makes a row per combination. The driver registers the test tables as views and runs these strings.
 """
 
 from __future__ import annotations
@@ -79,7 +80,7 @@ impact AS (
          CAST(CAST(l_extendedprice AS DECIMAL(19,4)) + CAST(p_retailprice AS DECIMAL(19,4)) AS DECIMAL(19,4)) AS forecast_intercept,
          CAST(CAST(l_quantity AS DECIMAL(19,4)) + 1 AS DECIMAL(19,4)) AS forecast_slope
   FROM lineitem JOIN part ON l_partkey = p_partkey JOIN order_prog ON l_orderkey = o_orderkey
-  WHERE l_discount > 0),
+  WHERE l_discount > 0 AND l_orderkey % 4 <> 0),
 base_impact AS (
   SELECT 'R' || CAST(r_regionkey AS VARCHAR) AS base_impact_id, CAST(NULL AS VARCHAR) AS parent_id,
          r_regionkey AS program_id, r_name AS base_impact_name,
@@ -138,7 +139,9 @@ user_role AS (
   FROM lineitem WHERE l_linenumber <= 2
   UNION ALL
   SELECT CAST(NULL AS BIGINT), c_custkey, 4, s_suppkey
-  FROM customer JOIN supplier ON c_nationkey = s_nationkey AND c_custkey % 3 = s_suppkey % 3),
+  FROM (SELECT c_custkey, c_custkey // 15 + 1 AS owner FROM customer UNION ALL
+        SELECT c_custkey, c_custkey // 15 + 2 FROM customer WHERE c_custkey % 3 = 0) o
+  JOIN supplier ON s_suppkey = owner),
 tree AS (
   SELECT c_custkey AS project_id,
          lpad(CAST(program_id AS VARCHAR), 6, '0') || '/' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS path
@@ -238,6 +241,19 @@ METRIC_DEFS = [
 ]
 
 
+def unscaled(decimal: str, scale: int, default: int | None = 0) -> str:
+    """A decimal's digits as an integer (DuckDB divides decimals as doubles)."""
+    digits = f"CAST(replace(CAST(CAST({decimal} AS DECIMAL(38,{scale})) AS VARCHAR), '.', '') AS HUGEINT)"
+    return digits if default is None else f"COALESCE({digits}, {default})"
+
+
+def decimal_quotient(n: str, d: str) -> str:
+    """n / 10^10 over d / 10^4, rounded half away from zero to six decimals, by whole numbers."""
+    n, d = f"({n})", f"({d})"
+    size = f"((2 * abs({n}) + abs({d})) // (2 * abs({d})))"
+    return f"CAST(sign({n}) * sign({d}) * {size} AS DECIMAL(31,0)) * CAST(0.000001 AS DECIMAL(7,6))"
+
+
 def imp_cte(p: ReportParams, fm: str = "fm", name: str = "imp") -> str:
     """Valuation, literally: keys x impact x factor x six multiplier joins, grouped."""
     D = q(p.default_milestone_date)
@@ -251,8 +267,8 @@ def imp_cte(p: ReportParams, fm: str = "fm", name: str = "imp") -> str:
               f"THEN i.{k}_intercept * CASE WHEN i.financial THEN {m}.exchange_rate ELSE 1 END END")
         re = (f"CASE WHEN {dd} BETWEEN {q(p.recurring_start)} AND {re_end} AND {str(p.include_recurring).upper()} "
               f"THEN i.{k}_slope * CASE WHEN i.financial THEN {m}.financial_multiplier ELSE {m}.multiplier END END")
-        sums.append(f"CAST(SUM({ot}) AS DECIMAL(38,6)) AS ot_{metric}")
-        sums.append(f"CAST(SUM({re}) AS DECIMAL(38,6)) AS re_{metric}")
+        sums.append(f"SUM(CAST({ot} AS DECIMAL(38,10))) AS ot_{metric}")
+        sums.append(f"SUM(CAST({re} AS DECIMAL(38,10))) AS re_{metric}")
     joins = []
     for k in ("plan", "actual", "forecast"):
         for td, set_id in ((False, p.multiplier_set_id), (True, p.multiplier_set_id_to_date)):
@@ -269,9 +285,9 @@ def imp_cte(p: ReportParams, fm: str = "fm", name: str = "imp") -> str:
         on = "FALSE"
     nf = f"CAST({p.numeric_factor} AS DECIMAL(19,4))" if p.numeric_factor is not None else "f.numeric_factor"
     metrics = ",\n    ".join(
-        f"(COALESCE(CAST(ot_{m} AS DOUBLE), 0.0) + COALESCE(CAST(re_{m} AS DOUBLE) / {float(p.multiplier_per_year)}, 0.0))"
-        f" / CAST(COALESCE({nf.replace('f.numeric_factor', 'numeric_factor')}, NULL) AS DOUBLE) AS {m}"
-        for m, _, _ in METRIC_DEFS
+        decimal_quotient(f"{unscaled(f'ot_{m}', 10)} * {p.multiplier_per_year} + {unscaled(f're_{m}', 10)}",
+                         f"{p.multiplier_per_year} * {unscaled(nf.replace('f.numeric_factor', 'numeric_factor'), 4, None)}")
+        + f" AS {m}" for m, _, _ in METRIC_DEFS
     )
     s = ",\n    ".join(sums)
     j = "\n  ".join(joins)
@@ -301,22 +317,6 @@ def status_cte(p: ReportParams, days: int, fm: str = "fm", name: str | None = No
   WHERE tl_rank = 1)"""
 
 
-def label_cte(status: str, name: str) -> str:
-    """Latest-status label per roadmap; tied labels listed, sorted, in one cell."""
-    return f"""{name} AS (
-  SELECT roadmap_id, string_agg(DISTINCT {tl('traffic_light')}, '; ' ORDER BY {tl('traffic_light')}) AS label
-  FROM {status} GROUP BY roadmap_id)"""
-
-
-def holders_cte(role: int, key: str, name: str) -> str:
-    nm = person("u.last_name", "u.first_name")
-    return f"""{name} AS (
-  SELECT ur.{key}, string_agg(DISTINCT {nm}, '; ' ORDER BY {nm}) AS holders
-  FROM user_role ur LEFT JOIN users u ON u.user_id = ur.user_id
-  WHERE ur.role = {role} AND ur.{key} IS NOT NULL
-  GROUP BY ur.{key})"""
-
-
 def result_ctes(p: ReportParams, suffix: str = "", fm_where: str = "") -> list[str]:
     """CTEs up to `res{suffix}`, the 48-column report."""
     fm, imp, s14, s7, res = (f"fm{suffix}", f"imp{suffix}", f"s14{suffix}", f"s7{suffix}", f"res{suffix}")
@@ -328,13 +328,14 @@ def result_ctes(p: ReportParams, suffix: str = "", fm_where: str = "") -> list[s
     narr = ",\n    ".join(f"frms.{n}" for n in NARR)
     res_sql = f"""{res} AS (
   SELECT DISTINCT
-    pj.project_name AS PROJ_PARENT, pj.project_id AS P_ID, COALESCE(wso.holders, '') AS WS_OWNER,
+    pj.project_name AS PROJ_PARENT, pj.project_id AS P_ID, {person('u4.last_name', 'u4.first_name')} AS WS_OWNER,
     pj.project_number AS PJ_Num, rm.roadmap_id AS RM_ID,
     {tl('rmv.tl_dice')} AS RM_TL_DICE, {tl('rmv.tl_milestone')} AS RM_TL_MS,
     {tl('rmv.tl_impact')} AS RM_TL_IM, {tl('rmv.tl_overall')} AS RM_TL_OVERALL,
-    rmv.roadmap_number AS RM_NUMBER, COALESCE(rmo.holders, '') AS RM_OWNER, COALESCE(rma.holders, '') AS RM_APPROVER,
+    rmv.roadmap_number AS RM_NUMBER, {person('u5.last_name', 'u5.first_name')} AS RM_OWNER,
+    {person('u6.last_name', 'u6.first_name')} AS RM_APPROVER,
     rm.roadmap_name AS MEMBER_NAME, {strip_html('rm.description')} AS ROADMAP_DESCRIPTION,
-    COALESCE(l14.label, 'Red') AS Status_2Weeks_ago, COALESCE(l7.label, 'Red') AS Status_1Weeks_ago,
+    {tl('s14.traffic_light')} AS Status_2Weeks_ago, {tl('s7.traffic_light')} AS Status_1Weeks_ago,
     msv.milestone_name AS A_Milestone, msv.sort_order AS Milestone_Sort_order,
     {sentinel('msv.plan_date')} AS A_Plan, {sentinel('msv.update_date')} AS A_Forecast,
     {day_diff('msv.plan_date', q(p.today))} AS DELAY_OVERDUE, {p.due_in_next_n_days} AS MilestoneDueInNextNDays,
@@ -355,24 +356,22 @@ def result_ctes(p: ReportParams, suffix: str = "", fm_where: str = "") -> list[s
   LEFT JOIN roadmap_view rmv ON rmv.roadmap_id = {imp}.roadmap_id
   LEFT JOIN milestone msv ON {imp}.roadmap_id = msv.roadmap_id AND {imp}.milestone_id = msv.milestone_id
   LEFT JOIN base_impact bi ON bi.base_impact_id = {imp}.base_impact_id
-  LEFT JOIN {s14}_label l14 ON l14.roadmap_id = {imp}.roadmap_id
-  LEFT JOIN {s7}_label l7 ON l7.roadmap_id = {imp}.roadmap_id
+  LEFT JOIN {s14} s14 ON s14.roadmap_id = {imp}.roadmap_id
+  LEFT JOIN {s7} s7 ON s7.roadmap_id = {imp}.roadmap_id
   LEFT JOIN {fm} frms ON frms.roadmap_id = {imp}.roadmap_id AND frms.milestone_id = {imp}.milestone_id
                      AND frms.base_impact_id = {imp}.base_impact_id
   LEFT JOIN stage stg ON rm.stage_id = stg.stage_id
   LEFT JOIN roadmap_stage rs ON rs.roadmap_id = rmv.roadmap_id AND rs.stage_id = {p.gate_stage_id}
   LEFT JOIN program pg ON {imp}.program_id = pg.program_id
   LEFT JOIN project pj ON {imp}.project_id = pj.project_id
-  LEFT JOIN h5 rmo ON rmo.roadmap_id = {imp}.roadmap_id
-  LEFT JOIN h6 rma ON rma.roadmap_id = {imp}.roadmap_id
-  LEFT JOIN h4 wso ON wso.project_id = pj.project_id
+  LEFT JOIN user_role r5 ON r5.roadmap_id = {imp}.roadmap_id AND r5.role = 5 LEFT JOIN users u5 ON u5.user_id = r5.user_id
+  LEFT JOIN user_role r6 ON r6.roadmap_id = {imp}.roadmap_id AND r6.role = 6 LEFT JOIN users u6 ON u6.user_id = r6.user_id
+  LEFT JOIN user_role r4 ON r4.project_id = pj.project_id AND r4.role = 4 LEFT JOIN users u4 ON u4.user_id = r4.user_id
   WHERE {imp}.program_id = {p.program_id})"""
-    return [fmc, imp_cte(p, fm, imp), status_cte(p, 14, fm, s14), status_cte(p, 7, fm, s7),
-            label_cte(s14, f"{s14}_label"), label_cte(s7, f"{s7}_label"), res_sql]
+    return [fmc, imp_cte(p, fm, imp), status_cte(p, 14, fm, s14), status_cte(p, 7, fm, s7), res_sql]
 
 
-COMMON = [attr_cte(), holders_cte(5, "roadmap_id", "h5"), holders_cte(6, "roadmap_id", "h6"),
-          holders_cte(4, "project_id", "h4")]
+COMMON = [attr_cte()]
 
 CACHE_COLS = [
     "A_FK_REPORT_CACHE", "A_FK_REPORT_FILTER_CACHE", "A_FK_SNAPSHOT", "A_LAST_MODIFIED_FOR_CACHE_UTC",
@@ -477,11 +476,10 @@ SELECT roadmap_id, traffic_light, audit_time, tl_rank FROM (
   FROM (SELECT roadmap_id, traffic_light, date_trunc('day', audit_time) AS audit_time FROM roadmap_audit) a
   WHERE date_diff('day', audit_time, {asof}) >= 14) x
 WHERE tl_rank = 1"""
-    o["status_trend"] = W(*COMMON, fm_cte(P_UNSET), status_cte(P, 14), status_cte(P, 7),
-                          label_cte("s14", "l14"), label_cte("s7", "l7")) + """
-SELECT r.roadmap_id, COALESCE(l14.label, 'Red') AS Status_2Weeks_ago, COALESCE(l7.label, 'Red') AS Status_1Weeks_ago
+    o["status_trend"] = W(*COMMON, fm_cte(P_UNSET), status_cte(P, 14), status_cte(P, 7)) + f"""
+SELECT DISTINCT r.roadmap_id, {tl('s14.traffic_light')} AS Status_2Weeks_ago, {tl('s7.traffic_light')} AS Status_1Weeks_ago
 FROM (SELECT DISTINCT roadmap_id FROM fm) r
-LEFT JOIN l14 ON l14.roadmap_id = r.roadmap_id LEFT JOIN l7 ON l7.roadmap_id = r.roadmap_id"""
+LEFT JOIN s14 ON s14.roadmap_id = r.roadmap_id LEFT JOIN s7 ON s7.roadmap_id = r.roadmap_id"""
 
     seg = "'::' || right('000' || rtrim(CAST(CAST(trunc(sort_order) AS INTEGER) AS VARCHAR)), 3)"
     tree_cte = f"""tp AS (
@@ -506,10 +504,11 @@ SELECT *, row_number() OVER (ORDER BY BaseImpactPath, BaseImpactID) AS PathPosit
 
     o["attr_pivot"] = W(attr_cte()) + "\nSELECT * FROM attr"
     narr = ", ".join(f"n.{c}" for c in NARR)
-    o["null_key_join"] = W(*COMMON, fm_cte(P_UNSET)) + f"""
+    o["null_key_join"] = W(*COMMON, fm_cte(P_UNSET)) + f""",
+half AS (SELECT * REPLACE (CASE WHEN milestone_id % 2 = 0 THEN '{P.base_impact_id}' END AS base_impact_id) FROM fm)
 SELECT k.program_id, k.project_id, k.roadmap_id, k.milestone_id, k.base_impact_id, {narr}
-FROM (SELECT DISTINCT {KEYS} FROM fm) k
-LEFT JOIN fm n ON n.roadmap_id = k.roadmap_id AND n.milestone_id = k.milestone_id AND n.base_impact_id = k.base_impact_id"""
+FROM (SELECT DISTINCT {KEYS} FROM half) k
+LEFT JOIN half n ON n.roadmap_id = k.roadmap_id AND n.milestone_id = k.milestone_id AND n.base_impact_id = k.base_impact_id"""
 
     o["traffic_light"] = W() + f"""
 SELECT roadmap_id, {tl('tl_dice')} AS RM_TL_DICE, {tl('tl_milestone')} AS RM_TL_MS, {tl('tl_impact')} AS RM_TL_IM,
@@ -521,34 +520,34 @@ FROM user_role ur LEFT JOIN users u ON u.user_id = ur.user_id"""
     o["delay_days"] = W() + f"""
 SELECT milestone_id, {day_diff('plan_date', q(P.today))} AS DELAY_OVERDUE, {day_diff('forecast_date', q(P.today))} AS datedif,
        {sentinel('update_date')} AS A_Forecast
-FROM milestone WHERE program_id = {P.program_id}"""
+FROM milestone"""
     o["year_columns"] = W() + """
 SELECT pj.project_id, pj.program_id, CAST(year(pg.start_date) AS INTEGER) AS PG_START_YEAR,
        CAST(year(pg.end_date) AS INTEGER) AS PG_END_YEAR, pg.dice_enabled AS A_DICE_ENABLED
 FROM project pj LEFT JOIN program pg ON pg.program_id = pj.program_id"""
-    o["url_build"] = W() + f"""
+    o["url_build"] = W() + """
 SELECT fr.roadmap_id, fr.project_id,
-  'ng-program-tree/project?programId=' || lower('{P.program_id}') || '&projectId=' ||
+  'ng-program-tree/project?programId=' || lower(CAST(fr.program_id AS VARCHAR)) || '&projectId=' ||
     CASE WHEN pj.parent_project_id IS NULL THEN '' ELSE CAST(pj.project_id AS VARCHAR) END AS ProjectURL,
-  'ng-program-tree/initiative?programId=' || lower('{P.program_id}') || '&roadmapId=' ||
+  'ng-program-tree/initiative?programId=' || lower(CAST(fr.program_id AS VARCHAR)) || '&roadmapId=' ||
     lower(CAST(rm.roadmap_id AS VARCHAR)) AS RoadmapURL
 FROM filtered_roadmap fr LEFT JOIN project pj ON pj.project_id = fr.project_id
-LEFT JOIN roadmap rm ON rm.roadmap_id = fr.roadmap_id
-WHERE fr.program_id = {P.program_id}"""
+LEFT JOIN roadmap rm ON rm.roadmap_id = fr.roadmap_id"""
     o["html_text"] = W() + f"""
-SELECT roadmap_id, {strip_html('description')} AS ROADMAP_DESCRIPTION FROM roadmap WHERE description IS NOT NULL"""
+SELECT roadmap_id, {strip_html('description')} AS ROADMAP_DESCRIPTION FROM roadmap"""
     o["currency_lookup"] = W() + f"""
 SELECT base_impact_id, CASE WHEN financial THEN
   (SELECT c.code FROM program_currency pc JOIN currency c ON c.currency_id = pc.currency_id
    WHERE pc.program_currency_id = {P.report_currency_id}) ELSE '' END AS CURRENCY_CODE
 FROM base_impact"""
 
-    o["role_owner"] = W(*COMMON) + f"""
-SELECT fr.roadmap_id, fr.project_id, COALESCE(h5.holders, '') AS RM_OWNER, COALESCE(h6.holders, '') AS RM_APPROVER,
-       COALESCE(h4.holders, '') AS WS_OWNER
-FROM filtered_roadmap fr LEFT JOIN h5 ON h5.roadmap_id = fr.roadmap_id LEFT JOIN h6 ON h6.roadmap_id = fr.roadmap_id
-LEFT JOIN h4 ON h4.project_id = fr.project_id
-WHERE fr.program_id = {P.program_id}"""
+    o["role_owner"] = W() + f"""
+SELECT DISTINCT fr.roadmap_id, fr.project_id, {person('u5.last_name', 'u5.first_name')} AS RM_OWNER,
+       {person('u6.last_name', 'u6.first_name')} AS RM_APPROVER, {person('u4.last_name', 'u4.first_name')} AS WS_OWNER
+FROM filtered_roadmap fr
+LEFT JOIN user_role r5 ON r5.roadmap_id = fr.roadmap_id AND r5.role = 5 LEFT JOIN users u5 ON u5.user_id = r5.user_id
+LEFT JOIN user_role r6 ON r6.roadmap_id = fr.roadmap_id AND r6.role = 6 LEFT JOIN users u6 ON u6.user_id = r6.user_id
+LEFT JOIN user_role r4 ON r4.project_id = fr.project_id AND r4.role = 4 LEFT JOIN users u4 ON u4.user_id = r4.user_id"""
     o["stage_gate"] = W() + f"""
 SELECT rm.roadmap_id, stg.stage_name AS RM_STAGE, {sentinel('rs.plan_date')} AS G4_DueDate
 FROM roadmap rm LEFT JOIN stage stg ON stg.stage_id = rm.stage_id
@@ -558,7 +557,8 @@ LEFT JOIN roadmap_stage rs ON rs.roadmap_id = rmv.roadmap_id AND rs.stage_id = {
     o["report_result"] = W(*COMMON, *result_ctes(P)) + "\nSELECT * FROM res"
     o["report_mode_none"] = W(*COMMON, *result_ctes(P_NONE)) + "\nSELECT * FROM res"
 
-    o["exists_gate"] = W() + "\nSELECT count(*) AS needed_projects, count(*) > 0 AS gate_open FROM snapshot_needed"
+    o["exists_gate"] = W() + """
+SELECT project_id, EXISTS (SELECT 1 FROM snapshot_needed) AS gate_open FROM snapshot_in_report"""
     cols = ", ".join(CACHE_COLS)
     o["cache_insert_if_absent"] = W(*COMMON, *cache_ctes(P)) + f"\nSELECT {cols} FROM ins"
     o["cache_null_key_reinsert"] = W(*COMMON, *cache_ctes(P_UNSET)) + f"\nSELECT {cols} FROM ins"
@@ -568,9 +568,11 @@ SELECT {P.report_cache_id} AS A_FK_REPORT_CACHE, {P.report_filter_cache_id} AS A
        project_id, snapshot_id, last_modified, subset_hash FROM snapshot_needed"""
     o["cache_read_back"] = W(*COMMON, *cache_ctes(P)) + f"\nSELECT {cols} FROM readback"
     rcols = ", ".join(f"r.{c}" for c in CACHE_COLS)
+    order = ", ".join(f"{c} NULLS FIRST" for c in (
+        "t.path", "r.DELAY_OVERDUE", "r.A_FK_Milestone", "r.RM_ID", "r.RM_OWNER", "r.RM_APPROVER", "r.WS_OWNER",
+        "r.Status_2Weeks_ago", "r.Status_1Weeks_ago", "r.G4_DueDate"))
     o["final_report"] = W(*COMMON, *cache_ctes(P)) + f"""
-SELECT {rcols} FROM readback r JOIN tree t ON r.P_ID = t.project_id
-ORDER BY t.path, r.DELAY_OVERDUE"""
+SELECT {rcols}, row_number() OVER (ORDER BY {order}) AS position FROM readback r JOIN tree t ON r.P_ID = t.project_id"""
     return o
 
 

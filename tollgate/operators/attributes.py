@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tollgate.operators.joins import semi_join_keys
+from tollgate.operators.joins import KeyBound, key_bounds, semi_join_keys
 
 # Attribute id -> report column (the seven narrative attributes).
 NARRATIVE_ATTRIBUTES = {
@@ -23,28 +23,29 @@ VALUE_SEPARATOR = " | "
 
 
 def attribute_pivot(milestone_attribute: DataFrame, milestones: DataFrame | None = None,
-                    n_milestones: int | None = None) -> DataFrame:
+                    n_milestones: KeyBound | None = None, attribute_ids: dict | None = None) -> DataFrame:
     """One row per milestone with a column per narrative attribute.
 
     A milestone with one value for an attribute gets that value; with several
     values, their distinct values sorted and joined by ' | ' (one row, not one row
     per combination); with none, NULL. `milestones` (a frame with milestone_id)
-    restricts the pivot to those milestones; with a checked count of them
-    (`n_milestones`) under the broadcast limit the restriction is a broadcast semi
-    join inside the scan stage, else a shuffled one.
+    restricts the pivot to those milestones; with its checked size (`n_milestones`)
+    within the broadcast budget by a broadcast semi join inside the scan stage, else by
+    a shuffled one. `attribute_ids` maps attribute ids to columns.
 
-    The sets are built map-side (partial aggregation), so a milestone with very
-    many attribute rows is pre-combined in every task before the shuffle.
+    The distinct (milestone, attribute, value) rows come first, by a hash aggregate
+    that merges a hot milestone's repeats in every task before the shuffle; only the
+    distinct values of a milestone, which are its cells, are then brought together.
     """
-    eav = milestone_attribute.where(F.col("attribute_id").isin(list(NARRATIVE_ATTRIBUTES)))
+    ids = attribute_ids or NARRATIVE_ATTRIBUTES
+    names = list(ids.values())
+    eav = milestone_attribute.where(F.col("attribute_id").isin(list(ids)))
     if milestones is not None:
-        eav = semi_join_keys(eav, milestones, "milestone_id", n_milestones)
-    sets = [
-        F.collect_set(F.when(F.col("attribute_id") == k, F.col("text_value"))).alias(name)
-        for k, name in NARRATIVE_ATTRIBUTES.items()
-    ]
+        eav = semi_join_keys(eav, milestones, "milestone_id", n_milestones or key_bounds(milestones, "milestone_id")["milestone_id"])
+    values = eav.select("milestone_id", "attribute_id", "text_value").distinct()
+    lists = [F.collect_list(F.when(F.col("attribute_id") == k, F.col("text_value"))).alias(name) for k, name in ids.items()]
     folded = [
         F.when(F.size(name) > 0, F.array_join(F.array_sort(name), VALUE_SEPARATOR)).alias(name)
-        for name in NARRATIVE_COLUMNS
+        for name in names
     ]
-    return eav.groupBy("milestone_id").agg(*sets).select("milestone_id", *folded)
+    return values.groupBy("milestone_id").agg(*lists).select("milestone_id", *folded)

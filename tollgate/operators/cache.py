@@ -18,15 +18,17 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollgate.operators.joins import BROADCAST_ROW_LIMIT, restrict_to_keys, rows_at_most, semi_join_keys
+from tollgate.operators.joins import key_bounds, semi_join_keys
+from tollgate.operators.ordering import with_ordinal
 from tollgate.params import ReportParams
 
 SNAPSHOT_COLUMNS = ["A_FK_SNAPSHOT", "A_LAST_MODIFIED_FOR_CACHE_UTC", "A_ROADMAP_SUBSET_HASH"]
 ID_COLUMNS = ["A_FK_REPORT_CACHE", "A_FK_REPORT_FILTER_CACHE"]
-# The 52 cache columns, in table order.
+# The 52 cache columns, in table order.
 CACHE_COLUMNS = [
     *ID_COLUMNS, *SNAPSHOT_COLUMNS,
     "PROJ_PARENT", "P_ID", "WS_OWNER", "PJ_Num", "RM_ID", "RM_TL_DICE", "RM_TL_MS", "RM_TL_IM",
@@ -39,11 +41,32 @@ CACHE_COLUMNS = [
     "Plan", "Actual", "Update", "Plan_To_Date", "Actual_To_Date", "Update_To_Date",
     "A_FK_Milestone", "A_FK_BASE_IMPACT", "A_DICE_ENABLED", "ProjectURL", "RoadmapURL",
 ]
+# Types of the cache columns that are not text. ID columns take the tables' id type.
+ID_TYPED = ("P_ID", "RM_ID", "A_FK_Milestone")
+_TYPES = {
+    **dict.fromkeys((*ID_COLUMNS, "A_FK_SNAPSHOT", "Milestone_Sort_order", "DELAY_OVERDUE", "MilestoneDueInNextNDays",
+                     "PG_START_YEAR", "PG_END_YEAR"), "int"),
+    **dict.fromkeys(("A_LAST_MODIFIED_FOR_CACHE_UTC", "A_Plan", "A_Forecast", "G4_DueDate"), "timestamp_ntz"),
+    **dict.fromkeys(("Plan", "Actual", "Update", "Plan_To_Date", "Actual_To_Date", "Update_To_Date"), "decimal(38,6)"),
+    "A_ROADMAP_SUBSET_HASH": "bigint", "A_DICE_ENABLED": "boolean",
+}
 MERGE_KEY = [*ID_COLUMNS, *SNAPSHOT_COLUMNS, "P_ID", "A_FK_Milestone", "A_FK_BASE_IMPACT"]
 MARKER_COLUMNS = [*ID_COLUMNS, "project_id", "snapshot_id", "last_modified", "subset_hash", "marked_at"]
 MARKER_KEY = MARKER_COLUMNS[:-1]
 
 
+def cache_schema(id_type: str = "bigint") -> str:
+    """The cache table's schema. Reads state it, so a table whose only merge so far was
+    empty (a folder without data files) reads as an empty table."""
+    types = {**_TYPES, **dict.fromkeys(ID_TYPED, id_type)}
+    return ", ".join(f"`{c}` {types.get(c, 'string')}" for c in CACHE_COLUMNS)
+
+
+def marker_schema(id_type: str = "bigint") -> str:
+    return (f"A_FK_REPORT_CACHE int, A_FK_REPORT_FILTER_CACHE int, project_id {id_type}, snapshot_id int, "
+            "last_modified timestamp_ntz, subset_hash bigint, marked_at timestamp_ntz")
+
+
 def snapshot_columns(snapshots: DataFrame) -> DataFrame:
     return snapshots.select(
         "project_id",
@@ -101,12 +124,11 @@ def _ids_match(p: ReportParams):
             & (F.col("A_FK_REPORT_FILTER_CACHE") == p.report_filter_cache_id))
 
 
-def read_back(cache: DataFrame, in_report: DataFrame, p: ReportParams, n_in_report: int | None = None) -> DataFrame:
-    """Cache rows of the report's project snapshots (all 52 columns). With a checked
-    count of the report's snapshots, the cache partition is first cut to their
-    projects by a broadcast semi join in its scan stage."""
-    c = restrict_to_keys(cache.where(_ids_match(p)), in_report.select(F.col("project_id").alias("P_ID")), "P_ID",
-                         n_in_report)
+def read_back(cache: DataFrame, in_report: DataFrame, p: ReportParams) -> DataFrame:
+    """Cache rows of the report's project snapshots (all 52 columns). The cache partition
+    is first cut to their projects."""
+    projects = in_report.select(F.col("project_id").alias("P_ID"))
+    c = semi_join_keys(cache.where(_ids_match(p)), projects, "P_ID", key_bounds(projects, "P_ID")["P_ID"])
     r = snapshot_columns(in_report).withColumnRenamed("project_id", "r_project_id")
     cond = (
         (c.A_FK_SNAPSHOT == r.A_FK_SNAPSHOT)
@@ -117,35 +139,54 @@ def read_back(cache: DataFrame, in_report: DataFrame, p: ReportParams, n_in_repo
     return c.join(r, cond).select(*[c[k] for k in CACHE_COLUMNS])
 
 
-def in_tree_order(rows: DataFrame, tree: DataFrame, keep_path: bool = False) -> DataFrame:
-    """Rows joined to the project tree (a project with several tree rows repeats)
-    and sorted by tree path, then delay. The sort is a range-partitioned global
-    sort, not a single-task one."""
+# The report's order, and what breaks its ties (the source leaves them open).
+TREE_ORDER = ["A_PATH", "DELAY_OVERDUE"]
+TIE_BREAK = ["A_FK_Milestone", "RM_ID", "RM_OWNER", "RM_APPROVER", "WS_OWNER", "Status_2Weeks_ago", "Status_1Weeks_ago",
+             "G4_DueDate"]
+
+
+def _with_path(rows: DataFrame, tree: DataFrame) -> DataFrame:
     t = tree.select(F.col("project_id").alias("tree_project_id"), F.col("path").alias("A_PATH"))
-    j = rows.join(t, rows.P_ID == t.tree_project_id)
-    cols = [*CACHE_COLUMNS, "A_PATH"] if keep_path else CACHE_COLUMNS
-    return j.orderBy(F.col("A_PATH").asc_nulls_first(), F.col("DELAY_OVERDUE").asc_nulls_first()).select(*cols)
+    return rows.join(t, rows.P_ID == t.tree_project_id)
+
+
+def in_tree_order(rows: DataFrame, tree: DataFrame) -> DataFrame:
+    """Rows joined to the project tree (a project with several tree rows repeats)
+    and sorted by tree path, then delay, then the tie-break. The sort is a
+    range-partitioned global sort, not a single-task one."""
+    order = [F.col(c).asc_nulls_first() for c in TREE_ORDER + TIE_BREAK]
+    return _with_path(rows, tree).orderBy(*order).select(*CACHE_COLUMNS)
+
+
+def with_tree_position(rows: DataFrame, tree: DataFrame, name: str = "position") -> DataFrame:
+    """Rows in the report's order with each one's position as a column."""
+    return with_ordinal(_with_path(rows, tree), TREE_ORDER + TIE_BREAK, name).select(*CACHE_COLUMNS, name)
 
 
 class ReportCache:
     """The cache table and its completion markers under one root directory."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, id_type: str = "bigint"):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.id_type = id_type
         self.table_path = f"{self.root}/report_cache"
         self.marker_path = f"{self.root}/cached_projects"
 
-    def _exists(self, path: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        fs = hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        return fs.exists(hpath)
+    def _read(self, path: str, schema: str) -> DataFrame:
+        """The table at `path`; an empty one where nothing was written yet."""
+        try:
+            return self.spark.read.schema(schema).parquet(path)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], schema)
+
+    def table(self) -> DataFrame:
+        return self._read(self.table_path, cache_schema(self.id_type)).select(*CACHE_COLUMNS)
 
-    def table(self) -> DataFrame | None:
-        if not self._exists(self.table_path):
-            return None
-        return self.spark.read.parquet(self.table_path)
+    def marked(self) -> DataFrame:
+        return self._read(self.marker_path, marker_schema(self.id_type)).select(*MARKER_COLUMNS)
 
     def merge(self, new_rows: DataFrame, p: ReportParams | None = None, needed: DataFrame | None = None) -> None:
         """Append the rows whose key is not cached yet.
@@ -156,44 +197,35 @@ class ReportCache:
         table grows with every project cached, a request touches a few of them.
         """
         target = self.table()
-        rows = new_rows.select(*CACHE_COLUMNS)
-        if target is not None:
-            if p is not None:
-                target = target.where(_ids_match(p))
-            if needed is not None:
-                projects = needed.select(F.col("project_id").alias("P_ID"))
-                target = semi_join_keys(target, projects, "P_ID", rows_at_most(projects, BROADCAST_ROW_LIMIT))
-            rows = rows_to_insert(rows, target)
-        (rows.write.mode("append").partitionBy(*ID_COLUMNS).parquet(self.table_path))
+        if p is not None:
+            target = target.where(_ids_match(p))
+        if needed is not None:
+            projects = needed.select(F.col("project_id").alias("P_ID"))
+            target = semi_join_keys(target, projects, "P_ID", key_bounds(projects, "P_ID")["P_ID"])
+        rows = rows_to_insert(new_rows.select(*CACHE_COLUMNS), target)
+        rows.write.mode("append").partitionBy(*ID_COLUMNS).parquet(self.table_path)
 
     def mark(self, needed: DataFrame, p: ReportParams) -> None:
         """Record the needed project snapshots as cached (after the merge committed).
         Insert-if-absent, so a replayed request adds no second marker."""
         rows = markers(needed, p, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).dropDuplicates(
             MARKER_KEY)
-        if self._exists(self.marker_path):
-            old = self.spark.read.parquet(self.marker_path).where(_ids_match(p)).select(*MARKER_KEY)
-            cond = None
-            for k in MARKER_KEY:
-                c = rows[k] == old[k]
-                cond = c if cond is None else cond & c
-            rows = rows.join(old, cond, "left_anti")
-        rows.write.mode("append").partitionBy(*ID_COLUMNS).parquet(self.marker_path)
+        old = self.marked().where(_ids_match(p)).select(*MARKER_KEY)
+        cond = None
+        for k in MARKER_KEY:
+            c = rows[k] == old[k]
+            cond = c if cond is None else cond & c
+        rows.join(old, cond, "left_anti").write.mode("append").partitionBy(*ID_COLUMNS).parquet(self.marker_path)
 
     def needed(self, in_report: DataFrame, p: ReportParams) -> DataFrame:
         """The report's project snapshots that have no completion marker yet (the
         `snapshot_needed` relation of a request), by an anti join on the marker key."""
-        if not self._exists(self.marker_path):
-            return in_report
-        done = self.spark.read.parquet(self.marker_path).where(_ids_match(p)).select(
+        done = self.marked().where(_ids_match(p)).select(
             F.col("project_id").alias("m_project_id"), F.col("snapshot_id").alias("m_snapshot_id"),
             F.col("last_modified").alias("m_last_modified"), F.col("subset_hash").alias("m_subset_hash"))
         cond = ((in_report.project_id == done.m_project_id) & (in_report.snapshot_id == done.m_snapshot_id)
                 & (in_report.last_modified == done.m_last_modified) & (in_report.subset_hash == done.m_subset_hash))
         return in_report.join(done, cond, "left_anti")
 
-    def read_back(self, in_report: DataFrame, p: ReportParams) -> DataFrame | None:
-        target = self.table()
-        if target is None:
-            return None
-        return read_back(target, in_report, p, rows_at_most(in_report, BROADCAST_ROW_LIMIT))
+    def read_back(self, in_report: DataFrame, p: ReportParams) -> DataFrame:
+        return read_back(self.table(), in_report, p)

@@ -11,31 +11,38 @@ from tollgate.functions.labels import person_name
 ROLE_WORKSTREAM_OWNER = 4
 ROLE_ROADMAP_OWNER = 5
 ROLE_ROADMAP_APPROVER = 6
-# Several holders of one role are listed in one cell, sorted.
+# With folding, several holders of one role are listed in one cell, sorted.
 HOLDER_SEPARATOR = "; "
 
 
-def role_holders(user_role: DataFrame, users: DataFrame, role: int, key: str) -> DataFrame:
-    """(key, holders): the formatted names of the role's holders per roadmap or project.
-
-    One holder gives its name ('Last, First'); several are listed, distinct and
-    sorted, in one cell instead of multiplying the report rows; a holder id with
-    no user row gives ''. Names are combined map-side before the shuffle.
-    """
-    ur = user_role.where((F.col("role") == role) & F.col(key).isNotNull()).select(key, "user_id")
+def named_roles(user_role: DataFrame, users: DataFrame, roles: dict[int, str]) -> DataFrame:
+    """(roadmap_id, project_id, role, holder): distinct holder names of the given roles
+    (role code -> its key column), from one pass over the roles. A holder id with
+    no user row gives ''."""
+    wanted = F.lit(False)
+    for role, key in roles.items():
+        wanted = wanted | ((F.col("role") == role) & F.col(key).isNotNull())
+    ur = user_role.where(wanted).select("roadmap_id", "project_id", "role", "user_id")
     named = ur.join(users.select("user_id", "last_name", "first_name"), "user_id", "left")
     name = person_name(F.col("last_name"), F.col("first_name"))
-    return named.groupBy(key).agg(
-        F.array_join(F.array_sort(F.collect_set(name)), HOLDER_SEPARATOR).alias("holders")
-    )
+    return named.select("roadmap_id", "project_id", "role", name.alias("holder")).distinct()
+
+
+def role_holders(named: DataFrame, role: int, key: str, fold: bool = False) -> DataFrame:
+    """(key, holder) of one role: a row per distinct holder, as the source's joins give;
+    with `fold`, one row per key that lists the holders."""
+    holders = named.where((F.col("role") == role) & F.col(key).isNotNull()).select(key, "holder").distinct()
+    if not fold:
+        return holders
+    return holders.groupBy(key).agg(F.array_join(F.array_sort(F.collect_list("holder")), HOLDER_SEPARATOR).alias("holder"))
 
 
-def owner_or_blank(holders_col: str) -> F.Column:
+def owner_or_blank(holder_col: str) -> F.Column:
     """No holder at all -> '' (a NULL-tolerant concat of nothing)."""
-    return F.coalesce(F.col(holders_col), F.lit(""))
+    return F.coalesce(F.col(holder_col), F.lit(""))
 
 
-def stage_gate(roadmap_view: DataFrame, roadmap_stage: DataFrame, gate_stage_id: int) -> DataFrame:
+def stage_gate(roadmap_view: DataFrame, roadmap_stage: DataFrame, gate_stage_id) -> DataFrame:
     """(roadmap_id, gate_plan_date): the gate stage's plan date, looked up through the
     roadmap view's key (no view row -> no gate date)."""
     gate = roadmap_stage.where(F.col("stage_id") == gate_stage_id).select(

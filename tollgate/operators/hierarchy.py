@@ -5,29 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollgate.functions.labels import flag
+from tollgate.functions.labels import flag, sort_segment
 from tollgate.functions.text import distinct_rows
 
 # The anchor takes the program's roots; the recursive step follows children of any
 # program (a child is not re-filtered by program; the attribute list below is).
 _TREE_SQL = """
 WITH RECURSIVE tree_path(base_impact_id, parent_id, sort_path, depth) AS (
-  SELECT base_impact_id, parent_id,
-         concat('::', right(concat('000', rtrim(CAST(CAST(sort_order AS INT) AS STRING))), 3)),
-         1
+  SELECT base_impact_id, parent_id, segment, 1
   FROM {bi}
   WHERE parent_id IS NULL AND program_id = {program_id}
   UNION ALL
-  SELECT c.base_impact_id, c.parent_id,
-         concat(p.sort_path, '::', right(concat('000', rtrim(CAST(CAST(c.sort_order AS INT) AS STRING))), 3)),
-         p.depth + 1
+  SELECT c.base_impact_id, c.parent_id, concat(p.sort_path, c.segment), p.depth + 1
   FROM {bi} c JOIN tree_path p ON c.parent_id = p.base_impact_id
 )
 SELECT base_impact_id, parent_id, sort_path, depth FROM tree_path
 """
 
 
-def tree_path(spark: SparkSession, base_impact: DataFrame, program_id: int) -> DataFrame:
+def tree_path(spark: SparkSession, base_impact: DataFrame, program_id: int | str) -> DataFrame:
     """(base_impact_id, parent_id, sort_path, depth) for every node under the program's roots.
 
     The sort path is '::NNN' per level, NNN the last three digits of the integer
@@ -37,11 +33,11 @@ def tree_path(spark: SparkSession, base_impact: DataFrame, program_id: int) -> D
     level. A cycle stops at the session's recursion level limit (100 by default);
     the row cap must be lifted for large hierarchies (session.RECOMMENDED_SQL_CONF).
     """
-    bi = base_impact.select("base_impact_id", "parent_id", "program_id", "sort_order")
-    return spark.sql(_TREE_SQL, bi=bi, program_id=int(program_id))
+    bi = base_impact.select("base_impact_id", "parent_id", "program_id", sort_segment(F.col("sort_order")).alias("segment"))
+    return spark.sql(_TREE_SQL, bi=bi, program_id=program_id)
 
 
-def tree_attributes(spark: SparkSession, base_impact: DataFrame, program_id: int,
+def tree_attributes(spark: SparkSession, base_impact: DataFrame, program_id: int | str,
                     text_collation: str | None = None) -> DataFrame:
     """Distinct base impacts of the program with flags, level and sort path."""
     paths = tree_path(spark, base_impact, program_id)

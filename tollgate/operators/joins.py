@@ -2,36 +2,47 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-# A broadcast must fit this budget: bound on rows x estimated bytes per row. Above
-# it (or with no bound) the join is left to the planner, and AQE may still switch
-# it to a broadcast join at runtime from the measured size of the shuffled side.
+# A broadcast must fit this budget: checked rows x bytes per row. Above it the join is
+# shuffled, and AQE may still switch it to a broadcast join at runtime from the
+# measured size of the shuffled side.
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 # Row widths (UnsafeRow: 8-byte null bitmap word + 8 bytes per fixed-width field).
-KEY_ROW_BYTES = 16     # one long key
+KEY_ROW_BYTES = 16     # one fixed-width key
 WIDE_ROW_BYTES = 96    # a day, a currency and six decimal(18,6) rates
 NAMED_ROW_BYTES = 64   # an id and a short name or a decimal
-# Row-count form of the budget for one-key relations (key sets, small dimensions).
-BROADCAST_ROW_LIMIT = BROADCAST_MAX_BYTES // KEY_ROW_BYTES
 
 
-def rows_at_most(df: DataFrame, limit: int) -> int | None:
-    """Row count if it is <= limit, else None. Reads at most limit + 1 rows.
+@dataclasses.dataclass(frozen=True)
+class KeyBound:
+    """Checked size of a key column: rows, and the bytes of its widest row."""
+
+    rows: int
+    row_bytes: int = KEY_ROW_BYTES
+
+    @property
+    def fits(self) -> bool:
+        return fits_broadcast(self.rows, self.row_bytes)
 
-    Meant for dimension-sized inputs (currencies, stages, one program): the
-    check is a small bounded job, not a scan of a fact table.
-    """
-    n = df.limit(limit + 1).count()
-    return n if n <= limit else None
 
+def key_bounds(df: DataFrame, *keys: str) -> dict[str, KeyBound]:
+    """The bound of each key column of df, in one pass: a count and, for text keys, the
+    longest value (one row of numbers per task)."""
+    text = [k for k in keys if isinstance(df.schema[k].dataType, StringType)]
+    row = df.agg(F.count("*").alias("n"), *[F.max(F.octet_length(k)).alias(k) for k in text]).first()
+    return {k: KeyBound(row["n"], KEY_ROW_BYTES + (8 + -(-(row[k] or 0) // 8) * 8 if k in text else 0)) for k in keys}
 
-def fits_broadcast(bound_rows: int | None, row_bytes: int = KEY_ROW_BYTES) -> bool:
-    return bound_rows is not None and bound_rows * row_bytes <= BROADCAST_MAX_BYTES
 
+def fits_broadcast(bound_rows: int, row_bytes: int = KEY_ROW_BYTES) -> bool:
+    return bound_rows * row_bytes <= BROADCAST_MAX_BYTES
 
-def broadcast_if_bounded(df: DataFrame, bound_rows: int | None, row_bytes: int = KEY_ROW_BYTES) -> DataFrame:
+
+def broadcast_if_bounded(df: DataFrame, bound_rows: int, row_bytes: int = KEY_ROW_BYTES) -> DataFrame:
     """Broadcast df when a proven row bound times the row width fits the budget."""
     return F.broadcast(df) if fits_broadcast(bound_rows, row_bytes) else df
 
@@ -39,28 +50,18 @@ def broadcast_if_bounded(df: DataFrame, bound_rows: int | None, row_bytes: int =
 def broadcast_checked(df: DataFrame, row_bytes: int = KEY_ROW_BYTES) -> DataFrame:
     """Broadcast a dimension after checking its row count against the budget for
     rows of this width; else leave it to the planner and AQE."""
-    return broadcast_if_bounded(df, rows_at_most(df, BROADCAST_MAX_BYTES // row_bytes), row_bytes)
+    return broadcast_if_bounded(df, df.count(), row_bytes)
 
 
-def restrict_to_keys(df: DataFrame, keys: DataFrame, key: str, n_keys: int | None) -> DataFrame:
-    """Rows of df whose `key` occurs in `keys`, when that is cheap to do early.
+def semi_join_keys(df: DataFrame, keys: DataFrame, key: str, bound: KeyBound) -> DataFrame:
+    """Rows of df whose `key` occurs in `keys`, before anything else happens to them.
 
-    `n_keys` is a checked upper bound of the rows of `keys`. Under the broadcast
-    limit the key column is broadcast as it is (a semi join needs no distinct
-    keys, so no shuffle builds it) and the other rows of df are dropped inside its
-    scan stage, before any shuffle. Without such a bound df is returned unchanged
-    (the later join restricts it anyway; a shuffled semi join would only add a
-    shuffle).
+    `bound` is the checked size of the key column of `keys`. Within the broadcast budget
+    the column is broadcast as it is (a semi join needs no distinct keys, so no
+    shuffle builds it) and the other rows of df are dropped inside its scan stage;
+    beyond it, by a shuffled semi join on the distinct keys. The rows are the same.
     """
-    if not fits_broadcast(n_keys):
-        return df
-    return df.join(F.broadcast(keys.select(key)), key, "left_semi")
-
-
-def semi_join_keys(df: DataFrame, keys: DataFrame, key: str, n_keys: int | None) -> DataFrame:
-    """Rows of df whose `key` occurs in `keys`: a broadcast semi join in df's scan
-    stage under a checked bound, else a shuffled semi join on the distinct keys."""
-    if fits_broadcast(n_keys):
+    if bound.fits:
         return df.join(F.broadcast(keys.select(key)), key, "left_semi")
     return df.join(keys.select(key).distinct(), key, "left_semi")
 

@@ -24,11 +24,12 @@ from pyspark.sql import functions as F
 from tollgate.operators.joins import (
     NAMED_ROW_BYTES,
     WIDE_ROW_BYTES,
+    KeyBound,
     broadcast_checked,
     broadcast_if_bounded,
-    restrict_to_keys,
-    rows_at_most,
+    key_bounds,
     scalar_lookup,
+    semi_join_keys,
 )
 from tollgate.params import ImpactMode, ReportParams
 
@@ -46,7 +47,10 @@ METRICS = {
     "Actual_To_Date": ("actual", True),
     "Update_To_Date": ("forecast", True),
 }
-SUM_TYPE = "decimal(38,6)"
+# decimal(19,4) measures times decimal(18,6) rates: sums keep every digit
+SUM_TYPE = "decimal(38,10)"
+# the metrics; beyond 20 digits before the point a sum raises instead of losing digits
+METRIC_TYPE = "decimal(38,6)"
 
 
 def multiplier_rates(multiplier_set_day: DataFrame, program_currency: DataFrame, p: ReportParams,
@@ -79,15 +83,16 @@ def multiplier_rates(multiplier_set_day: DataFrame, program_currency: DataFrame,
     )
     # a repeated (day, currency, set) would make the sums ambiguous: fail the job
     # (checked inside the plan, no extra pass over the data)
+    # (on the join key: no setting prunes it away)
     dup = (F.col("_n_w") > 1) | ((F.col("_n_t") > 1) & F.lit(sw != st))
     rates = rates.withColumn(
-        "ex_w", F.when(dup, F.raise_error(F.lit("multiplier_set_day repeats a (day, currency, set)")).cast(
-            "decimal(18,6)")).otherwise(F.col("ex_w"))
+        "day", F.when(dup, F.raise_error(F.lit("multiplier_set_day repeats a (day, currency, set)")).cast(
+            "date")).otherwise(F.col("day"))
     ).drop("_n_w", "_n_t")
     # bound: one row per (day, currency); the currency count is a small dimension
-    n_cur = rows_at_most(program_currency, 100_000) if n_currencies is None else n_currencies
+    n_cur = program_currency.count() if n_currencies is None else n_currencies
     days = (hi - lo).days + 1
-    return broadcast_if_bounded(rates, None if n_cur is None else days * n_cur, WIDE_ROW_BYTES)
+    return broadcast_if_bounded(rates, days * n_cur, WIDE_ROW_BYTES)
 
 
 def unpivot_dates(impact: DataFrame, p: ReportParams) -> DataFrame:
@@ -139,7 +144,7 @@ def _contributions(p: ReportParams) -> dict[str, Column]:
     re_w = F.col("slope") * F.when(fin, F.col("fin_w")).otherwise(F.col("mul_w"))
     ot_t = F.col("intercept") * F.when(fin, F.col("ex_t")).otherwise(one)
     re_t = F.col("slope") * F.when(fin, F.col("fin_t")).otherwise(F.col("mul_t"))
-    null = F.lit(None).cast("decimal(38,10)")
+    null = F.lit(None).cast(SUM_TYPE)
     return {
         "ot_w": F.when(_between(d, p.one_time_start, p.one_time_end), ot_w) if p.include_one_time else null,
         "re_w": F.when(_between(d, p.recurring_start, p.recurring_end), re_w) if p.include_recurring else null,
@@ -173,8 +178,7 @@ def roadmap_totals(impact: DataFrame, multiplier_set_day: DataFrame, program_cur
     for metric, (kind, to_date) in METRICS.items():
         sfx = "t" if to_date else "w"
         is_kind = F.col("kind") == kind
-        sums.append(F.sum(F.when(is_kind, c[f"ot_{sfx}"])).cast(SUM_TYPE).alias(f"ot_{metric}"))
-        sums.append(F.sum(F.when(is_kind, c[f"re_{sfx}"])).cast(SUM_TYPE).alias(f"re_{metric}"))
+        sums += [F.sum(F.when(is_kind, c[f"{half}_{sfx}"].cast(SUM_TYPE))).alias(f"{half}_{metric}") for half in ("ot", "re")]
     return rows.groupBy("roadmap_id", "numeric_factor").agg(*sums)
 
 
@@ -182,34 +186,38 @@ def metric_columns(p: ReportParams) -> list[Column]:
     """(ISNULL(one-time sum, 0) + ISNULL(recurring sum / per-year, 0)) / factor,
     where factor is the numeric-factor parameter if given, else the base impact's.
 
-    Each half is an exact decimal sum converted once to double, so the result
-    does not depend on the order rows were summed in."""
+    Both halves are exact decimal sums; one decimal division of (one-time sum *
+    per-year + recurring sum) by (per-year * factor) gives the metric, rounded half up to
+    six decimals. The result does not depend on the order rows were summed in."""
+    per_year = F.lit(p.multiplier_per_year).cast("decimal(4,0)")
     if p.numeric_factor is not None:
-        divisor = F.lit(p.numeric_factor).cast("decimal(19,4)")
+        factor = F.lit(p.numeric_factor).cast("decimal(19,4)")
     else:
-        divisor = F.col("numeric_factor")
+        factor = F.col("numeric_factor")
+    zero = F.lit(0).cast(SUM_TYPE)
     out = []
     for metric in METRICS:
-        ot = F.coalesce(F.col(f"ot_{metric}").cast("double"), F.lit(0.0))
-        re = F.coalesce(F.col(f"re_{metric}").cast("double") / F.lit(float(p.multiplier_per_year)), F.lit(0.0))
-        out.append(((ot + re) / divisor.cast("double")).alias(metric))
+        # the narrower types keep the product's and the sum's ten decimals
+        ot = F.coalesce(F.col(f"ot_{metric}"), zero).cast("decimal(30,10)") * per_year
+        re = F.coalesce(F.col(f"re_{metric}"), zero).cast("decimal(34,10)")
+        out.append(((ot + re).cast(SUM_TYPE) / (per_year * factor)).cast(METRIC_TYPE).alias(metric))
     return out
 
 
 def value_keys(keys: DataFrame, tables: Tables, p: ReportParams, consts: RequestConstants | None = None,
-               n_roadmaps: int | None = None) -> DataFrame:
+               n_roadmaps: KeyBound | None = None) -> DataFrame:
     """keys + numeric_factor + the six metrics.
 
     A key gets one row per distinct factor among its roadmap's impacts, or one
     row with NULL sums when nothing matches (its metrics are then 0 / factor).
-    SELECTED values the picked base impact's rows, NONE any base impact's (for
-    keys from the NONE filter there are none, and the key pruning drops every
-    impact row in the scan), UNSET matches nothing, so no impact is read at all.
+    SELECTED values the picked base impact's rows. The keys of NONE have no impact by
+    definition and UNSET matches none, so no impact is read for them.
     """
-    if p.impact_mode is not ImpactMode.UNSET:
-        # only the keys' roadmaps are valued: with a checked count of them, the
-        # impact rows of other roadmaps are dropped in the scan stage
-        impact = restrict_to_keys(tables.impact, keys, "roadmap_id", n_roadmaps)
+    if p.impact_mode is ImpactMode.SELECTED:
+        # only the keys' roadmaps are valued: the impact rows of other roadmaps are
+        # dropped before anything else happens to them
+        bound = n_roadmaps or key_bounds(keys, "roadmap_id")["roadmap_id"]
+        impact = semi_join_keys(tables.impact, keys, "roadmap_id", bound)
         totals = roadmap_totals(impact, tables.multiplier_set_day, tables.program_currency,
                                 tables.base_impact_factor, p, consts)
         joined = keys.join(totals, "roadmap_id", "left")

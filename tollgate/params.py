@@ -23,7 +23,8 @@ class ImpactMode(enum.Enum):
 
 @dataclasses.dataclass(frozen=True)
 class ReportParams:
-    program_id: int = 1
+    # ids are numbers or texts, as in the tables (sources.tables.read_tables)
+    program_id: int | str = 1
     # milestone plan-date window and the due horizon
     filter_date_start: dt.date = dt.date(1997, 1, 1)
     filter_date_end: dt.date = dt.date(2000, 12, 31)
@@ -41,7 +42,7 @@ class ReportParams:
     multiplier_set_id: int = 1
     multiplier_set_id_to_date: int = 2
     multiplier_per_year: int = 12
-    report_currency_id: int = 1
+    report_currency_id: int | str = 1
     numeric_factor: Decimal | None = None
     # picked base impact and how it applies
     impact_mode: ImpactMode = ImpactMode.SELECTED
@@ -52,7 +53,12 @@ class ReportParams:
     report_cache_id: int = 11
     report_filter_cache_id: int = 7
     # the stage whose plan date is reported as the gate due date
-    gate_stage_id: int = 4
+    gate_stage_id: int | str = 4
+    # one cell for several holders of a role or several tied statuses, instead of the
+    # source's one report row each
+    fold_multi_valued: bool = False
+    # attribute id -> narrative column, where the ids differ from the default ones
+    attribute_ids: dict | None = None
     # collation of text in the report's DISTINCTs; None = binary. The source
     # database's is case-insensitive, trailing blanks ignored: 'UNICODE_CI_RTRIM'
     text_collation: str | None = None
@@ -60,8 +66,8 @@ class ReportParams:
     def __post_init__(self) -> None:
         if self.impact_mode is ImpactMode.SELECTED and self.base_impact_id is None:
             raise ValueError("impact_mode SELECTED needs base_impact_id")
-        if self.multiplier_per_year == 0:
-            raise ValueError("multiplier_per_year must not be 0")
+        if not 0 < self.multiplier_per_year < 10_000:
+            raise ValueError("multiplier_per_year must be 1 to 9999")
 
     def with_(self, **changes) -> "ReportParams":
         return dataclasses.replace(self, **changes)

@@ -28,6 +28,7 @@ from tollgate.operators.enrich import (
     ROLE_ROADMAP_APPROVER,
     ROLE_ROADMAP_OWNER,
     ROLE_WORKSTREAM_OWNER,
+    named_roles,
     owner_or_blank,
     role_holders,
     stage_gate,
@@ -47,7 +48,6 @@ from tollgate.plans.report import (
     status_frames,
     valued_milestones,
 )
-from tollgate.session import apply_recommended
 from tollgate.sources.tables import Tables
 from tollgate.sources.testdata import derive_tables
 
@@ -77,7 +77,6 @@ def _t(spark: SparkSession, sf_dir: str) -> Tables:
     key = (id(spark), sf_dir)
     hit = _TABLES.get(key)
     if hit is None or hit[0] is not spark:
-        apply_recommended(spark)
         hit = (spark, derive_tables(spark, sf_dir))
         _TABLES[key] = hit
     return hit[1]
@@ -138,9 +137,9 @@ def numeric_factor(spark, sf_dir):
 def _status(days: int) -> Query:
     def q(spark, sf_dir):
         t = _t(spark, sf_dir)
-        base, counts = driving_set(t, P_UNSET)
+        base, bounds = driving_set(t, P_UNSET)
         return status_as_of(t.roadmap_audit, base.select("roadmap_id"), P.status_as_of, days,
-                            n_roadmaps=counts["roadmap_id"])
+                            n_roadmaps=bounds["roadmap_id"])
     return q
 
 
@@ -153,8 +152,8 @@ def status_asof_ties(spark, sf_dir):
 def status_trend(spark, sf_dir):
     t = _t(spark, sf_dir)
     rows = filtered_milestones(t, P_UNSET)
-    s14, s7 = status_frames(t, P_UNSET, rows)
     roadmaps = rows.select("roadmap_id").distinct()
+    s14, s7 = status_frames(t, P_UNSET, roadmaps)
     return (
         roadmaps.join(status_label(s14).withColumnRenamed("label", "l14"), "roadmap_id", "left")
         .join(status_label(s7).withColumnRenamed("label", "l7"), "roadmap_id", "left")
@@ -187,10 +186,11 @@ def attr_pivot(spark, sf_dir):
 
 
 def null_key_join(spark, sf_dir):
-    """Keys with a NULL base impact joined to the milestone set on (roadmap,
-    milestone, base impact) with plain equality: nothing matches."""
+    """Keys joined to the milestone set on (roadmap, milestone, base impact) with plain
+    equality, where every other milestone has a NULL base impact: those match nothing."""
     t = _t(spark, sf_dir)
-    fm = filtered_milestones(t, P_UNSET)
+    fm = filtered_milestones(t, P_UNSET).withColumn(
+        "base_impact_id", F.when(F.col("milestone_id") % 2 == 0, F.lit(P.base_impact_id)))
     keys = fm.select(*KEY_COLUMNS).distinct()
     narr = fm.select(
         F.col("roadmap_id").alias("n_roadmap_id"), F.col("milestone_id").alias("n_milestone_id"),
@@ -228,8 +228,7 @@ def q_sentinel_date(spark, sf_dir):
 
 
 def delay_days(spark, sf_dir):
-    ms = _t(spark, sf_dir).milestone.where(F.col("program_id") == P.program_id)
-    return ms.select(
+    return _t(spark, sf_dir).milestone.select(
         "milestone_id",
         day_diff(F.col("plan_date"), F.lit(P.today)).alias("DELAY_OVERDUE"),
         day_diff(F.col("forecast_date"), F.lit(P.today)).alias("datedif"),
@@ -248,20 +247,19 @@ def year_columns(spark, sf_dir):
 
 def url_build(spark, sf_dir):
     t = _t(spark, sf_dir)
-    fr = t.filtered_roadmap.where(F.col("program_id") == P.program_id)
+    fr = t.filtered_roadmap
     pj = t.project.select("project_id", F.col("project_id").alias("pj_id"), "parent_project_id")
     rm = t.roadmap.select("roadmap_id", F.col("roadmap_id").alias("rm_id"))
     j = fr.join(pj, "project_id", "left").join(rm, "roadmap_id", "left")
     return j.select(
         "roadmap_id", "project_id",
-        project_url(F.lit(P.program_id), F.col("pj_id"), F.col("parent_project_id")).alias("ProjectURL"),
-        roadmap_url(F.lit(P.program_id), F.col("rm_id")).alias("RoadmapURL"),
+        project_url(F.col("program_id"), F.col("pj_id"), F.col("parent_project_id")).alias("ProjectURL"),
+        roadmap_url(F.col("program_id"), F.col("rm_id")).alias("RoadmapURL"),
     )
 
 
 def html_text(spark, sf_dir):
-    rm = _t(spark, sf_dir).roadmap.where(F.col("description").isNotNull())
-    return rm.select("roadmap_id", strip_html(F.col("description")).alias("ROADMAP_DESCRIPTION"))
+    return _t(spark, sf_dir).roadmap.select("roadmap_id", strip_html(F.col("description")).alias("ROADMAP_DESCRIPTION"))
 
 
 def currency_lookup(spark, sf_dir):
@@ -279,11 +277,14 @@ def currency_lookup(spark, sf_dir):
 # ---- step 7: enrichment -----------------------------------------------------
 
 def role_owner(spark, sf_dir):
+    """One row per roadmap and combination of its role holders."""
     t = _t(spark, sf_dir)
-    fr = t.filtered_roadmap.where(F.col("program_id") == P.program_id).select("roadmap_id", "project_id")
-    o = role_holders(t.user_role, t.users, ROLE_ROADMAP_OWNER, "roadmap_id").withColumnRenamed("holders", "o")
-    a = role_holders(t.user_role, t.users, ROLE_ROADMAP_APPROVER, "roadmap_id").withColumnRenamed("holders", "a")
-    w = role_holders(t.user_role, t.users, ROLE_WORKSTREAM_OWNER, "project_id").withColumnRenamed("holders", "w")
+    named = named_roles(t.user_role, t.users, {
+        ROLE_WORKSTREAM_OWNER: "project_id", ROLE_ROADMAP_OWNER: "roadmap_id", ROLE_ROADMAP_APPROVER: "roadmap_id"})
+    o = role_holders(named, ROLE_ROADMAP_OWNER, "roadmap_id").withColumnRenamed("holder", "o")
+    a = role_holders(named, ROLE_ROADMAP_APPROVER, "roadmap_id").withColumnRenamed("holder", "a")
+    w = role_holders(named, ROLE_WORKSTREAM_OWNER, "project_id").withColumnRenamed("holder", "w")
+    fr = t.filtered_roadmap.select("roadmap_id", "project_id")
     j = fr.join(o, "roadmap_id", "left").join(a, "roadmap_id", "left").join(w, "project_id", "left")
     return j.select("roadmap_id", "project_id", owner_or_blank("o").alias("RM_OWNER"),
                     owner_or_blank("a").alias("RM_APPROVER"), owner_or_blank("w").alias("WS_OWNER"))
@@ -316,9 +317,10 @@ def report_mode_none(spark, sf_dir):
 # ---- step 8: cache ----------------------------------------------------------
 
 def exists_gate(spark, sf_dir):
-    needed = _t(spark, sf_dir).snapshot_needed
-    return needed.agg(F.count(F.lit(1)).alias("needed_projects"),
-                      (F.count(F.lit(1)) > 0).alias("gate_open"))
+    """The request's projects with the gate: is any snapshot needed at all? (EXISTS: one row
+    is enough to answer it.)"""
+    t = _t(spark, sf_dir)
+    return t.snapshot_in_report.select("project_id", F.lit(not t.snapshot_needed.isEmpty()).alias("gate_open"))
 
 
 def _cache_parts(t: Tables, p: ReportParams) -> tuple[DataFrame, DataFrame]:
@@ -365,7 +367,7 @@ def final_report(spark, sf_dir):
     t = _t(spark, sf_dir)
     new_rows, target = _cache_parts(t, P)
     rows = C.read_back(C.merged(new_rows, target), t.snapshot_in_report, P)
-    return C.in_tree_order(rows, t.tree)
+    return C.with_tree_position(rows, t.tree)
 
 
 QUERIES: dict[str, Query] = {

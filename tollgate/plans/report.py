@@ -1,17 +1,16 @@
 """The due / overdue / upcoming milestone report, wired from the operators.
 
 Jobs of one report:
-  1. driving set   roadmaps x due milestones in the impact mode, checkpointed and
-                   counted; the request's one-row lookups run at the same time
+  1. driving set   roadmaps in the impact mode x due milestones, distinct, checkpointed
+                   and counted; the request's one-row lookups run at the same time
   2. headers       per roadmap: valuation totals, roadmap, view, gate, owners,
                    statuses, stage; per project: name, number, workstream owner.
-                   Built from the driving set's ids (each side unique per id, so
-                   skew-free), large inputs pruned to those ids by broadcast semi
-                   joins, both checkpointed concurrently
+                   Built from the driving set's ids, large inputs pruned to those ids
+                   by semi joins, distinct, both checkpointed concurrently
   3. report        milestone rows (with their narrative attributes) x roadmap
                    header x project header, one join each, both sides read from a
-                   shuffle (AQE can split a hot roadmap or project), then DISTINCT
-                   with its own exchange on all columns
+                   shuffle (AQE can split a hot roadmap or project); distinct parts
+                   make distinct rows
 Single-row dimensions (program, picked base impact, currency code) are constants.
 The cache stage (operators/cache.py) stores report rows per project snapshot and
 reads them back in tree order.
@@ -32,26 +31,26 @@ from tollgate.functions.labels import (
     traffic_light,
 )
 from tollgate.functions.text import distinct_rows
-from tollgate.operators.asof import status_as_of, status_label
+from tollgate.operators.asof import status_label, two_statuses
 from tollgate.operators.attributes import NARRATIVE_COLUMNS, attribute_pivot
 from tollgate.operators.enrich import (
     ROLE_ROADMAP_APPROVER,
     ROLE_ROADMAP_OWNER,
     ROLE_WORKSTREAM_OWNER,
+    named_roles,
     owner_or_blank,
     role_holders,
     stage_gate,
 )
 from tollgate.operators.filters import apply_impact_mode, due_window
 from tollgate.operators.joins import (
-    BROADCAST_ROW_LIMIT,
     NAMED_ROW_BYTES,
+    KeyBound,
     broadcast_if_bounded,
-    restrict_to_keys,
+    key_bounds,
     semi_join_keys,
-    rows_at_most,
 )
-from tollgate.operators.valuation import value_keys
+from tollgate.operators.valuation import METRICS, value_keys
 from tollgate.params import ImpactMode, ReportParams
 from tollgate.plans.constants import resolve_constants, run_concurrently
 from tollgate.plans.materialize import materialize
@@ -59,7 +58,7 @@ from tollgate.sources.tables import Tables
 
 KEY_COLUMNS = ["program_id", "project_id", "roadmap_id", "milestone_id", "base_impact_id"]
 
-# Report columns, in report order.
+# The report's columns, in report order.
 REPORT_COLUMNS = [
     "PROJ_PARENT", "P_ID", "WS_OWNER", "PJ_Num", "RM_ID", "RM_TL_DICE", "RM_TL_MS", "RM_TL_IM",
     "RM_TL_OVERALL", "RM_NUMBER", "RM_OWNER", "RM_APPROVER", "MEMBER_NAME", "ROADMAP_DESCRIPTION",
@@ -72,55 +71,60 @@ REPORT_COLUMNS = [
 
 
 def milestone_base(t: Tables, p: ReportParams, projects: DataFrame | None = None) -> DataFrame:
-    """Roadmaps of the program x due milestones, restricted by the impact mode.
+    """Roadmaps of the program x due milestones, restricted by the impact mode; distinct rows.
 
     Columns: KEY_COLUMNS plus milestone_name, forecast_date, plan_date, update_date,
     milestone_sort_order. `projects` (frame with project_id) restricts the set to
     those projects before any join.
+
+    The mode is applied to the roadmaps (one row each) and the result is written, so the join
+    with the milestones, where a hot roadmap lives, shuffles both of its sides: AQE splits
+    a skewed join only then.
     """
     fr = t.filtered_roadmap.where(F.col("program_id") == p.program_id).select(
         "roadmap_id", "program_id", "project_id"
     )
     if projects is not None:
-        # a request's project list is a parameter relation: broadcast it when its
-        # checked size allows, so the restriction happens in the scan stage
-        n = rows_at_most(projects.select("project_id"), BROADCAST_ROW_LIMIT)
-        fr = semi_join_keys(fr, projects, "project_id", n)
+        fr = semi_join_keys(fr, projects, "project_id", key_bounds(projects, "project_id")["project_id"])
+    roadmaps = materialize(apply_impact_mode(fr, t.impact, p).distinct())
     ms = due_window(t.milestone, p).select(
         "roadmap_id", "milestone_id", "milestone_name", "forecast_date", "plan_date", "update_date",
         F.col("sort_order").alias("milestone_sort_order"),
     )
-    return apply_impact_mode(fr.join(ms, "roadmap_id"), t.impact, p)
+    rows = roadmaps.join(ms, "roadmap_id").select(
+        *KEY_COLUMNS, "milestone_name", "forecast_date", "plan_date", "update_date", "milestone_sort_order")
+    return distinct_rows(rows, p.text_collation)
 
 
-def driving_set(t: Tables, p: ReportParams, projects: DataFrame | None = None) -> tuple[DataFrame, dict]:
-    """The milestone base, checkpointed, and its row count: an upper bound of its
-    distinct roadmap, milestone and project ids (one count over the checkpoint)."""
+def driving_set(t: Tables, p: ReportParams, projects: DataFrame | None = None) -> tuple[DataFrame, dict[str, KeyBound]]:
+    """The milestone base, checkpointed, and the checked size of its id columns (one pass
+    over the checkpoint). A milestone that occurs twice in a roadmap would make the
+    source's re-joins ambiguous, so it is an error."""
     base = materialize(milestone_base(t, p, projects))
-    n = base.count()
-    return base, {"roadmap_id": n, "milestone_id": n, "project_id": n}
+    twice = base.groupBy("program_id", "project_id", "roadmap_id", "milestone_id").count().where("count > 1")
+    if not twice.isEmpty():
+        raise ValueError("milestone repeats a (roadmap, milestone) key")
+    return base, key_bounds(base, "roadmap_id", "milestone_id", "project_id")
 
 
 def filtered_milestones(t: Tables, p: ReportParams, projects: DataFrame | None = None,
-                        base: DataFrame | None = None, counts: dict | None = None) -> DataFrame:
+                        base: DataFrame | None = None, bounds: dict[str, KeyBound] | None = None) -> DataFrame:
     """The report's roadmap x milestone set with its narrative attributes (distinct rows).
 
     Columns: KEY_COLUMNS, milestone_name, datedif, the narrative attributes, and the
-    milestone fields the report shows (sort order, plan and update dates).
+    milestone fields the report shows (sort order, plan and update dates). The base is
+    distinct and has one row of attributes per milestone, so no wide row is compared.
     """
     if base is None:
-        base, counts = driving_set(t, p, projects)
-    rows = base
-    attrs = attribute_pivot(t.milestone_attribute, rows, (counts or {}).get("milestone_id"))
-    rows = rows.join(attrs, "milestone_id", "left")
-    rows = rows.select(
+        base, bounds = driving_set(t, p, projects)
+    attrs = attribute_pivot(t.milestone_attribute, base, bounds["milestone_id"], p.attribute_ids)
+    return base.join(attrs, "milestone_id", "left").select(
         *KEY_COLUMNS,
         "milestone_name",
         day_diff(F.col("forecast_date"), F.lit(p.today)).alias("datedif"),
         *NARRATIVE_COLUMNS,
         "milestone_sort_order", "plan_date", "update_date",
     )
-    return distinct_rows(rows, p.text_collation)
 
 
 def valued_milestones(t: Tables, p: ReportParams, projects: DataFrame | None = None) -> DataFrame:
@@ -128,42 +132,37 @@ def valued_milestones(t: Tables, p: ReportParams, projects: DataFrame | None = N
     alone), planned like the report: constants and driving set resolved
     concurrently, impact rows pruned to the keys' roadmaps."""
     consts, extra = resolve_constants(t, p, {"base": lambda: driving_set(t, p, projects)})
-    base, counts = extra["base"]
-    keys = base.select(*KEY_COLUMNS).distinct()
+    base, bounds = extra["base"]
     # roadmap-level metrics first (one row per roadmap and factor), checkpointed so
     # the join with the milestone keys reads both sides from a shuffle (splittable
     # by AQE for a roadmap with very many milestones)
-    per_roadmap = materialize(value_keys(base.select("roadmap_id").distinct(), t, p, consts, counts["roadmap_id"]))
-    return keys.join(per_roadmap, "roadmap_id", "left").select(*KEY_COLUMNS, *per_roadmap.columns[1:])
+    per_roadmap = materialize(value_keys(base.select("roadmap_id").distinct(), t, p, consts, bounds["roadmap_id"]))
+    return base.select(*KEY_COLUMNS).join(per_roadmap, "roadmap_id", "left").select(*KEY_COLUMNS, *per_roadmap.columns[1:])
 
 
 def status_frames(t: Tables, p: ReportParams, rows: DataFrame,
-                  n_roadmaps: int | None = None) -> tuple[DataFrame, DataFrame]:
+                  n_roadmaps: KeyBound | None = None) -> tuple[DataFrame, DataFrame]:
     """Status 14 days (2 weeks) and 7 days (1 week) before the as-of date, for the
-    roadmaps in `rows`."""
+    roadmaps in `rows`, from one scan of the history."""
     roadmaps = rows.select("roadmap_id")  # broadcast as is, or made distinct by the shuffled semi join
-    s14 = status_as_of(t.roadmap_audit, roadmaps, p.status_as_of, 14, n_roadmaps=n_roadmaps)
-    s7 = status_as_of(t.roadmap_audit, roadmaps, p.status_as_of, 7, n_roadmaps=n_roadmaps)
-    return s14, s7
+    return two_statuses(t.roadmap_audit, roadmaps, p.status_as_of, 14, 7,
+                        n_roadmaps or key_bounds(roadmaps, "roadmap_id")["roadmap_id"])
 
 
 def report_rows(t: Tables, p: ReportParams, projects: DataFrame | None = None) -> DataFrame:
     """The 48-column report (distinct rows) for the program, optionally restricted
     to `projects` before any work is done."""
-    # The driving set is read four times (attributes, two status cut-offs, keys):
-    # it is computed once and its lineage cut. That job and the small lookups of the
-    # request's constants run concurrently.
-    # The driving set's rows are counted once from the checkpoint: when they are few
-    # enough, every large dimension is cut to its keys by a broadcast semi join in
-    # its scan stage, before it is shuffled for its join.
+    # The driving set is read by the attributes, the statuses, the valuation and the
+    # headers: it is computed once and its lineage cut. That job and the small lookups
+    # of the request's constants run concurrently. Its ids are counted once from the
+    # checkpoint: every large dimension is cut to them before it is shuffled for its join.
     consts, extra = resolve_constants(t, p, {"base": lambda: driving_set(t, p, projects)})
-    base, counts = extra["base"]
+    base, bounds = extra["base"]
 
     def prune(df: DataFrame, key: str) -> DataFrame:
-        return restrict_to_keys(df, base, key, counts[key])
+        return semi_join_keys(df, base, key, bounds[key])
 
-    rows = filtered_milestones(t, p, base=base, counts=counts)
-    s14, s7 = status_frames(t, p, base, counts["roadmap_id"])
+    rows = filtered_milestones(t, p, base=base, bounds=bounds)
     # narratives join on (roadmap, milestone, base impact) with plain equality:
     # a NULL base impact (UNSET / NONE) matches nothing, so they are NULL then
     if p.impact_mode is not ImpactMode.SELECTED:
@@ -173,23 +172,29 @@ def report_rows(t: Tables, p: ReportParams, projects: DataFrame | None = None) -
         )
 
     rm = prune(t.roadmap, "roadmap_id").select(
-        "roadmap_id", F.col("roadmap_id").alias("rm_id"), "roadmap_name", "description",
-        F.col("stage_id").alias("rm_stage_id"))
+        "roadmap_id", F.col("roadmap_id").alias("rm_id"), "roadmap_name",
+        strip_html(F.col("description")).alias("description"), F.col("stage_id").alias("rm_stage_id"))
     rmv = prune(t.roadmap_view, "roadmap_id").select(
         "roadmap_id", "roadmap_number", "tl_dice", "tl_milestone", "tl_impact",
         F.col("tl_overall").alias("rm_tl_overall"))
     gate = stage_gate(prune(t.roadmap_view, "roadmap_id"), prune(t.roadmap_stage, "roadmap_id"), p.gate_stage_id)
-    roadmap_roles = prune(t.user_role, "roadmap_id")
-    owners = role_holders(roadmap_roles, t.users, ROLE_ROADMAP_OWNER, "roadmap_id").withColumnRenamed(
-        "holders", "rm_owner")
-    approvers = role_holders(roadmap_roles, t.users, ROLE_ROADMAP_APPROVER, "roadmap_id").withColumnRenamed(
-        "holders", "rm_approver")
-    ws = role_holders(prune(t.user_role, "project_id"), t.users, ROLE_WORKSTREAM_OWNER,
-                      "project_id").withColumnRenamed("holders", "ws_owner")
     pj = prune(t.project, "project_id").select(
         "project_id", "project_name", "project_number", "parent_project_id", F.col("project_id").alias("pj_id"))
     stage = broadcast_if_bounded(t.stage.select(F.col("stage_id").alias("rm_stage_id"), "stage_name"),
                                  consts.n_stages, NAMED_ROW_BYTES)
+    # the two inputs that feed several header columns: one pass over each
+    parts = run_concurrently({
+        "status": lambda: status_frames(t, p, base, bounds["roadmap_id"]),
+        "roles": lambda: materialize(named_roles(t.user_role, t.users, {
+            ROLE_WORKSTREAM_OWNER: "project_id", ROLE_ROADMAP_OWNER: "roadmap_id", ROLE_ROADMAP_APPROVER: "roadmap_id"})),
+    })
+    s14, s7 = parts["status"]
+
+    def holders(role: int, key: str, name: str) -> DataFrame:
+        return prune(role_holders(parts["roles"], role, key, p.fold_multi_valued), key).withColumnRenamed("holder", name)
+
+    def label(status: DataFrame, name: str) -> DataFrame:
+        return status_label(status, p.fold_multi_valued).withColumnRenamed("label", name)
 
     # one-row dimensions of the report request, resolved above, used as constants
     pg_start, pg_end, pg_dice = (consts.program[k] for k in ("start_date", "end_date", "dice_enabled"))
@@ -197,28 +202,41 @@ def report_rows(t: Tables, p: ReportParams, projects: DataFrame | None = None) -
     bi_name, bi_unit, bi_fin = (consts.base_impact[k] for k in ("base_impact_name", "unit", "financial"))
 
     # Headers: everything the report shows per roadmap (valuation included) and per
-    # project, each built from the driving set's distinct ids. Every side of those
-    # joins has at most one row per id (per factor for the valuation), so they are
-    # skew-free whatever the data. The milestone rows, where a hot roadmap or
-    # project lives, then meet each header in exactly one join that reads straight
-    # from a shuffle, which is what AQE needs to split a skewed partition.
+    # project, each built from the driving set's distinct ids. A side of those joins has
+    # one row per id, or one per holder of a role or tied status of that id. The milestone
+    # rows, where a hot roadmap or project lives, then meet each header in exactly one
+    # join that reads straight from a shuffle, which is what AQE needs to split a skewed
+    # partition.
     roadmap_ids = base.select("roadmap_id").distinct()
     roadmap_header = (
-        value_keys(roadmap_ids, t, p, consts, counts["roadmap_id"])
+        value_keys(roadmap_ids, t, p, consts, bounds["roadmap_id"])
         .join(rm, "roadmap_id", "left")
         .join(rmv, "roadmap_id", "left")
         .join(gate, "roadmap_id", "left")
-        .join(owners, "roadmap_id", "left")
-        .join(approvers, "roadmap_id", "left")
-        .join(status_label(s14).withColumnRenamed("label", "status_14"), "roadmap_id", "left")
-        .join(status_label(s7).withColumnRenamed("label", "status_7"), "roadmap_id", "left")
+        .join(holders(ROLE_ROADMAP_OWNER, "roadmap_id", "rm_owner"), "roadmap_id", "left")
+        .join(holders(ROLE_ROADMAP_APPROVER, "roadmap_id", "rm_approver"), "roadmap_id", "left")
+        .join(label(s14, "status_14"), "roadmap_id", "left")
+        .join(label(s7, "status_7"), "roadmap_id", "left")
         .join(stage, "rm_stage_id", "left")
+        .select("roadmap_id", "rm_id", "roadmap_name", "description", "roadmap_number",
+                *[traffic_light(F.col(c)).alias(c) for c in ("tl_dice", "tl_milestone", "tl_impact", "rm_tl_overall")],
+                *[owner_or_blank(c).alias(c) for c in ("rm_owner", "rm_approver")],
+                *[F.coalesce(F.col(c), F.lit(TRAFFIC_LIGHT_DEFAULT)).alias(c) for c in ("status_14", "status_7")],
+                sentinel_datetime(F.col("gate_plan_date")).alias("gate_plan_date"), "stage_name", *METRICS)
     )
     project_header = (
         base.select("project_id").distinct()
         .join(pj, "project_id", "left")
-        .join(ws, "project_id", "left")
+        .join(holders(ROLE_WORKSTREAM_OWNER, "project_id", "ws_owner"), "project_id", "left")
+        # the workstream owner is found through the project row: none without it
+        .withColumn("ws_owner", F.when(F.col("pj_id").isNull(), F.lit("")).otherwise(owner_or_blank("ws_owner")))
     )
+    # The report's DISTINCT is taken part by part. A report row is a milestone row, a
+    # roadmap header and a project header side by side, each column from one of them and
+    # the ids of all three among them, so distinct parts make distinct rows; the
+    # wide rows with their texts are never compared or shuffled as a whole.
+    roadmap_header = distinct_rows(roadmap_header, p.text_collation)
+    project_header = distinct_rows(project_header, p.text_collation)
     # AQE splits a skewed sort-merge join only when both sides are read from a
     # shuffle; a header built by joins on the same key arrives without one. The
     # headers (id-level, far smaller than the milestone rows) are checkpointed,
@@ -233,21 +251,20 @@ def report_rows(t: Tables, p: ReportParams, projects: DataFrame | None = None) -
     out = j.select(
         F.col("project_name").alias("PROJ_PARENT"),
         F.col("pj_id").alias("P_ID"),
-        # the workstream owner is found through the project row: none without it
-        F.when(F.col("pj_id").isNull(), F.lit("")).otherwise(owner_or_blank("ws_owner")).alias("WS_OWNER"),
+        F.col("ws_owner").alias("WS_OWNER"),
         F.col("project_number").alias("PJ_Num"),
         F.col("rm_id").alias("RM_ID"),
-        traffic_light(F.col("tl_dice")).alias("RM_TL_DICE"),
-        traffic_light(F.col("tl_milestone")).alias("RM_TL_MS"),
-        traffic_light(F.col("tl_impact")).alias("RM_TL_IM"),
-        traffic_light(F.col("rm_tl_overall")).alias("RM_TL_OVERALL"),
+        F.col("tl_dice").alias("RM_TL_DICE"),
+        F.col("tl_milestone").alias("RM_TL_MS"),
+        F.col("tl_impact").alias("RM_TL_IM"),
+        F.col("rm_tl_overall").alias("RM_TL_OVERALL"),
         F.col("roadmap_number").alias("RM_NUMBER"),
-        owner_or_blank("rm_owner").alias("RM_OWNER"),
-        owner_or_blank("rm_approver").alias("RM_APPROVER"),
+        F.col("rm_owner").alias("RM_OWNER"),
+        F.col("rm_approver").alias("RM_APPROVER"),
         F.col("roadmap_name").alias("MEMBER_NAME"),
-        strip_html(F.col("description")).alias("ROADMAP_DESCRIPTION"),
-        F.coalesce(F.col("status_14"), F.lit(TRAFFIC_LIGHT_DEFAULT)).alias("Status_2Weeks_ago"),
-        F.coalesce(F.col("status_7"), F.lit(TRAFFIC_LIGHT_DEFAULT)).alias("Status_1Weeks_ago"),
+        F.col("description").alias("ROADMAP_DESCRIPTION"),
+        F.col("status_14").alias("Status_2Weeks_ago"),
+        F.col("status_7").alias("Status_1Weeks_ago"),
         F.col("milestone_name").alias("A_Milestone"),
         F.col("milestone_sort_order").alias("Milestone_Sort_order"),
         sentinel_datetime(F.col("plan_date")).alias("A_Plan"),
@@ -258,7 +275,7 @@ def report_rows(t: Tables, p: ReportParams, projects: DataFrame | None = None) -
         lit(bi_unit).cast("string").alias("BI_UNIT"),
         currency_label.alias("CURRENCY_CODE"),
         F.col("stage_name").alias("RM_STAGE"),
-        sentinel_datetime(F.col("gate_plan_date")).alias("G4_DueDate"),
+        F.col("gate_plan_date").alias("G4_DueDate"),
         lit(None if pg_start is None else pg_start.year).cast("int").alias("PG_START_YEAR"),
         lit(None if pg_end is None else pg_end.year).cast("int").alias("PG_END_YEAR"),
         *[F.col(m) for m in ("Plan", "Update", "Actual", "Plan_To_Date", "Actual_To_Date", "Update_To_Date")],
@@ -271,4 +288,4 @@ def report_rows(t: Tables, p: ReportParams, projects: DataFrame | None = None) -
         roadmap_url(lit(p.program_id), F.col("rm_id")).alias("RoadmapURL"),
     )
     assert out.columns == REPORT_COLUMNS, out.columns
-    return distinct_rows(out, p.text_collation)
+    return out

@@ -28,7 +28,4 @@ def run_report(t: Tables, p: ReportParams, cache: ReportCache) -> DataFrame:
     if not needed.isEmpty():
         cache.merge(compute_cache_rows(t, p, needed), p, needed)
         cache.mark(needed, p)
-    rows = cache.read_back(t.snapshot_in_report, p)
-    if rows is None:  # nothing cached and nothing needed: an empty report
-        return compute_cache_rows(t, p, needed).limit(0)
-    return in_tree_order(rows, t.tree)
+    return in_tree_order(cache.read_back(t.snapshot_in_report, p), t.tree)

@@ -9,8 +9,10 @@ TPC-H-like test tables instead.
 from __future__ import annotations
 
 import dataclasses
+import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # relation name -> DDL schema
 RELATIONS: dict[str, str] = {
@@ -81,12 +83,31 @@ class Tables:
         return dataclasses.replace(self, **changes)
 
 
-def read_tables(spark: SparkSession, root: str) -> Tables:
-    """Open every relation as `<root>/<name>` parquet with its declared schema."""
-    frames = {
-        name: spark.read.schema(ddl).parquet(f"{root.rstrip('/')}/{name}")
-        for name, ddl in RELATIONS.items()
-    }
+# The id columns: numbers in the declared schemas, or texts (GUIDs) with `text_ids`.
+ID_COLUMNS = ("program_id", "project_id", "parent_project_id", "roadmap_id", "stage_id", "milestone_id", "base_impact_id",
+              "parent_id", "program_currency_id", "currency_id", "attribute_id", "user_id")
+
+
+def relation_schema(name: str, text_ids: bool = False) -> str:
+    """The relation's DDL; with `text_ids` every id column is a STRING."""
+    columns = re.findall(r"(\w+) ([A-Z_]+(?:\([\d,]+\))?)", RELATIONS[name])
+    return ", ".join(f"{c} {'STRING' if text_ids and c in ID_COLUMNS else kind}" for c, kind in columns)
+
+
+def lower_ids(df: DataFrame) -> DataFrame:
+    """Text ids in lower case, so that GUIDs compare as the source database compares them."""
+    text = {f.name for f in df.schema.fields if f.dataType.simpleString() == "string" and f.name in ID_COLUMNS}
+    return df.select(*[F.lower(c).alias(c) if c in text else F.col(c) for c in df.columns])
+
+
+def read_tables(spark: SparkSession, root: str, text_ids: bool = False) -> Tables:
+    """Open every relation as `<root>/<name>` parquet with its declared schema; with
+    `text_ids` all ids are texts (GUIDs), read in lower case. The parameters' ids are
+    then lower-case texts too."""
+    frames = {}
+    for name in RELATIONS:
+        df = spark.read.schema(relation_schema(name, text_ids)).parquet(f"{root.rstrip('/')}/{name}")
+        frames[name] = lower_ids(df) if text_ids else df
     return Tables(**frames)
 
 

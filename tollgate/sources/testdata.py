@@ -12,7 +12,8 @@ checks/oracle.py states the same rules in DuckDB SQL.
   stage              orders.o_orderpriority      stage id = leading digit
   roadmap_stage      orders                      gate plan date, sentinel years on some
   milestone          lineitem + orders           one per (order, line number)
-  impact             lineitem + part + orders    lines with a discount; base impact = nation node
+  impact             lineitem + part + orders    lines with a discount, not of every fourth order;
+                                                 base impact = nation node
   base_impact        region, nation, customer    three-level tree R / N / C
   base_impact_factor nation                      per nation node and currency
   program_currency,  nation                      first three nations are currencies
@@ -158,7 +159,7 @@ def derive_tables(spark: SparkSession, sf_dir: str) -> Tables:
 
     ship = F.to_date("l_shipdate")
     impact = (
-        lineitem.where(F.col("l_discount") > 0)
+        lineitem.where((F.col("l_discount") > 0) & (F.col("l_orderkey") % 4 != 0))
         .join(part.select("p_partkey", "p_size", "p_retailprice"), F.col("l_partkey") == F.col("p_partkey"))
         .join(order_prog.select("o_orderkey", "program_id"), F.col("l_orderkey") == F.col("o_orderkey"))
         .select(
@@ -280,13 +281,14 @@ def derive_tables(spark: SparkSession, sf_dir: str) -> Tables:
         (F.col("l_linenumber") + 4).cast("int").alias("role"),
         F.col("l_suppkey").alias("user_id"),
     ).distinct()
-    ws_roles = customer.join(
-        supplier.select("s_suppkey", "s_nationkey"),
-        (customer.c_nationkey == F.col("s_nationkey")) & (customer.c_custkey % 3 == F.col("s_suppkey") % 3),
-    ).select(
-        F.lit(None).cast("bigint").alias("roadmap_id"),
+    # one workstream owner per project, every third project two: a relation that
+    # grows with the customers (there are fifteen times as many as suppliers)
+    owner = F.floor(F.col("c_custkey") / 15) + 1
+    ws_roles = customer.select(
         F.col("c_custkey").alias("project_id"),
-        F.lit(4).alias("role"),
+        F.explode(F.when(F.col("c_custkey") % 3 == 0, F.array(owner, owner + 1)).otherwise(F.array(owner))).alias("owner"),
+    ).join(supplier.select("s_suppkey"), F.col("owner") == F.col("s_suppkey")).select(
+        F.lit(None).cast("bigint").alias("roadmap_id"), "project_id", F.lit(4).alias("role"),
         F.col("s_suppkey").alias("user_id"),
     )
     user_role = line_roles.unionByName(ws_roles)

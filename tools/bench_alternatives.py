@@ -20,7 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from tollgate.checks.literal import literal_valuation  # noqa: E402
+from literal import literal_valuation  # noqa: E402
 from tollgate.session import local_session  # noqa: E402
 
 
