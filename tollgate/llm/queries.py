@@ -53,10 +53,9 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The labels only tell toxic from clean: toxic documents are graded 1 or 2 by their
     density of words that toxic documents have."""
-    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    told = docs.select("doc_id", "text").join(labels.select("doc_id", "toxic"), "doc_id")
-    graded = toxicity.density_grades(told, ["doc_id"])
-    return toxicity.score(docs, toxicity.fit(graded, ["doc_id"]), ["doc_id"])
+    docs = table(spark, sf_dir, "documents")
+    sample = toxicity.labelled_sample(docs, table(spark, sf_dir, "labels"), "doc_id", "toxic")
+    return toxicity.score(docs, toxicity.fit(toxicity.density_grades(sample)), ["doc_id"])
 
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

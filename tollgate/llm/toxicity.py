@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 
 from tollgate.llm.common import hash_fraction, text_of
 from tollgate.llm.words import WordHasher, chunks
+from tollgate.operators.joins import fits_broadcast
+from tollgate.plans.materialize import materialize
 
 BITS = 20
 PREFIXES = (4, 6)  # bytes of a word's beginning that are features besides the word
@@ -152,47 +154,47 @@ def training_rows(sample: DataFrame, cells: np.ndarray) -> tuple[np.ndarray, ...
             np.array([r["count"] for r in merged], dtype=np.float64))
 
 
-def bounded_sample(rows: DataFrame, key: list[str], max_rows: int, seed: int) -> DataFrame:
-    """About `max_rows` of the rows, drawn by a hash of the key columns and the text."""
-    share = min(1.0, max_rows / max(rows.count(), 1))
-    return rows.where(hash_fraction(*key, "text", seed=seed) < share).repartition(FIT_TASKS)
-
-
-def density_grades(labelled: DataFrame, key: list[str], text_col: str = "text", toxic_col: str = "toxic", levels: int = 2,
-                   max_rows: int = 40_000, min_documents: int = 4, min_ratio: float = 8.0, max_features: int = 4096,
-                   seed: int = 5) -> DataFrame:
-    """Severity grades from labels that only say toxic (1) or not (0): the key columns,
-    text and grade of a sample of about `max_rows` rows. Toxic documents are graded 1 to
-    `levels` by quantiles of the share of their words and beginnings that are
-    associated with toxic documents; others are grade 0. Rows with a null label go."""
-    usable = labelled.where(F.col(toxic_col).isin(0, 1)).select(
-        *key, text_of(text_col).alias("text"), F.col(toxic_col).cast("int").alias("grade"))
-    sample = bounded_sample(usable, key, max_rows, seed)
-    cells = associated_words(sample.select("text", "grade"), min_documents, min_ratio, max_features)
-    sent = labelled.sparkSession.sparkContext.broadcast(Model(cells, np.zeros(len(cells)), np.zeros(0)))
+def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, label_col: str, text_col: str = "text",
+                    max_rows: int = 20_000, seed: int = 5) -> DataFrame:
+    """(text, label) of about `max_rows` labelled documents, drawn by a hash of the id from
+    all labels that are not null; the documented bound of what is learned from. The
+    drawn labels are broadcast (their number is checked), so no text is shuffled but
+    the sample's own, which is written once."""
+    told = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(
+        id_col, F.col(label_col).cast("int").alias("label"))
+    drawn = materialize(told.where(hash_fraction(id_col, seed=seed) < min(1.0, max_rows / max(told.count(), 1))))
+    if fits_broadcast(drawn.count()):
+        drawn = F.broadcast(drawn)
+    texts = docs.select(id_col, text_of(text_col).alias("text")).join(drawn, id_col)
+    return materialize(texts.select("text", "label").repartition(FIT_TASKS))
+
+
+def density_grades(sample: DataFrame, levels: int = 2, min_documents: int = 3, min_ratio: float = 30.0,
+                   max_features: int = 4096) -> DataFrame:
+    """(text, grade) of a sample (text, label) whose labels only say toxic (1) or not (0).
+    Toxic documents are graded 1 to `levels` by quantiles of the sum of the values of
+    their words and beginnings that are associated with toxic documents; others are
+    grade 0."""
+    graded = sample.where(F.col("label").isin(0, 1)).select("text", F.col("label").alias("grade"))
+    cells = associated_words(graded, min_documents, min_ratio, max_features)
+    sent = sample.sparkSession.sparkContext.broadcast(Model(cells, np.zeros(len(cells)), np.zeros(0)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, model = WordHasher(), sent.value
         for batch in batches:
-            found = word_counts(batch.column(len(key)).to_pylist(), hasher)
-            shares = [float(c[np.isin(x, model.cells)].sum()) / max(n, 1) for x, c, n in found]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shares, pa.float64())],
-                                             names=[*key, "text", "grade", "_share"])
-
-    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in sample.schema)
-    shares = sample.mapInArrow(run, f"{kinds}_share double")
-    cuts = shares.where("grade = 1").approxQuantile("_share", [i / levels for i in range(1, levels)], 0.01)
-    above = sum([F.when(F.col("_share") > c, 1).otherwise(0) for c in cuts], F.lit(0))
-    return shares.select(*key, "text", F.when(F.col("grade") == 1, 1 + above).otherwise(0).alias("grade"))
-
-
-def fit(graded: DataFrame, key: list[str], text_col: str = "text", grade_col: str = "grade", max_rows: int = 40_000,
-        min_documents: int = 4, min_ratio: float = 8.0, max_features: int = 4096, seed: int = 5) -> Model:
-    """Learn from `graded` (key columns, text, grade 0, 1, ...). Documented bound: about
-    `max_rows` of its rows, drawn by hash."""
-    usable = graded.where(F.col(grade_col).isNotNull()).select(
-        *key, text_of(text_col).alias("text"), F.col(grade_col).cast("int").alias("grade"))
-    sample = bounded_sample(usable, key, max_rows, seed).select("text", "grade")
+            found = word_counts(batch.column(0).to_pylist(), hasher)
+            shares = [float(model.features(x, c, n)[1].sum()) for x, c, n in found]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shares, pa.float64())], names=["text", "grade", "share"])
+
+    toxic = materialize(graded.where("grade = 1").mapInArrow(run, "text string, grade int, share double"))
+    cuts = toxic.approxQuantile("share", [i / levels for i in range(1, levels)], 0.01)
+    above = sum([F.when(F.col("share") > c, 1).otherwise(0) for c in cuts], F.lit(0))
+    return toxic.select("text", (1 + above).alias("grade")).unionByName(graded.where("grade = 0"))
+
+
+def fit(graded: DataFrame, min_documents: int = 3, min_ratio: float = 30.0, max_features: int = 4096) -> Model:
+    """Learn from a bounded sample (text, grade 0, 1, ...; see `labelled_sample`)."""
+    sample = graded.where(F.col("grade").isNotNull()).select("text", F.col("grade").cast("int").alias("grade"))
     cells = associated_words(sample, min_documents, min_ratio, max_features)
     none = Model(cells[:0], np.zeros(0), np.zeros(0))
     if len(cells) == 0:
@@ -201,7 +203,10 @@ def fit(graded: DataFrame, key: list[str], text_col: str = "text", grade_col: st
     met = np.unique(grade)
     if len(met) < 2:
         return none
-    weights, thresholds = fit_ordinal(rows, cols, vals, np.searchsorted(met, grade), weight, len(cells))
+    grade = np.searchsorted(met, grade)
+    # the two sides of the first threshold weigh alike, however rare toxic documents are
+    weight = weight / np.bincount((grade > 0).astype(int), weights=weight)[(grade > 0).astype(int)]
+    weights, thresholds = fit_ordinal(rows, cols, vals, grade, weight, len(cells))
     return Model(cells, weights, thresholds)
 
 
