@@ -153,6 +153,37 @@ def test_near_chain_and_hot_group(spark):
     assert all(near[1000 + i] == 1000 + i for i in range(300))
 
 
+def test_shared_weight_matches_similarity():
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    vocabulary = words(3, 40).split()
+    texts = [" ".join(rng.choice(vocabulary[:10 + 3 * i], size=rng.integers(3, 60))) for i in range(10)] * 2 + ["a b", "a b c d e a b c d e"]
+    own = list(N.bags(texts, WordHasher()))
+    idf = rng.uniform(1, 2, 1 << N.DF_BITS)
+    total, both = N.shared_weight(own, idf)
+    for i, x in enumerate(own):
+        for j, y in enumerate(own):
+            if i == j:  # what a bag has to itself alone is not counted
+                continue
+            assert abs(both[i, j] / (total[i] + total[j] - both[i, j]) - N.similarity(x, y, idf)) < 1e-9
+
+
+@pytest.mark.parametrize("tile", [2048, 7])
+def test_near_chain_is_followed_beyond_the_center(spark, tile, monkeypatch):
+    """Each text is near the next one only, so one star cannot connect them; also in small tiles."""
+    monkeypatch.setattr(N, "TILE", tile)
+    base, rows = words(20, 200).split(), []
+    for i in range(40):
+        base[(i * 31) % 200] = f"step{i}"
+        rows.append((i, " ".join(base)))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    n, counts = N.count_documents(df, "text")
+    labels = near_reference([t for _, t in rows], N.idf_table(n, counts))
+    got = {r.doc_id: r.group for r in N.near_groups(df).collect()}
+    assert partition([bytes(got[i]) for i in range(40)]) == partition(labels) and len(set(labels)) == 1
+
+
 def test_components_of_a_long_chain(spark):
     chain = [(bytes([i]), bytes([i + 1])) for i in range(60)] + [(b"\xf0", b"\xf1")]
     got = {bytes(r["class"]): bytes(r["root"]) for r in N.components(spark.createDataFrame(chain, "a binary, b binary")).collect()}

@@ -1,8 +1,9 @@
 r"""Near-duplicate groups by improved consistent weighted sampling (ICWS).
 
 A document is the bag of its runs of five words (shingles), each weighed by its count times a
-smoothed inverse document frequency, 1 + ln((1 + N) / (1 + df)) / ln(2 + N), between 1 and
-about 2. Document frequencies are counted over all documents in a fixed number of hash buckets, so
+damped inverse document frequency, 1 + ln((1 + N) / (1 + df)) / (8 ln(2 + N)), between 1
+and 1 + 1/8: the copies of a large group share shingles that are frequent for that very
+reason, and a steeper weight would count them as unlike. Document frequencies are counted over all documents in a fixed number of hash buckets, so
 that their table has the same size for any corpus; a shingle as common as a
 boilerplate line stands out of its bucket, rare ones weigh alike. ICWS draws samples from a
 bag such that two bags draw the same sample with a probability of their weighted Jaccard
@@ -10,11 +11,14 @@ similarity (sum of the lesser weights over sum of the greater). Samples are band
 share a band are candidates, verified on their whole texts.
 
 Documents with the same bag are one class; candidates, verification and grouping work on
-classes, so a group of exact copies costs one class. In each bucket of a band, every class is
-verified against the bucket's smallest one (a star, linear in the bucket). A class that
-fails there is then verified against each other class of that bucket whose samples agree
-with its own in half of the places, unless the two are already connected.
-Groups are the connected components of the verified links.
+classes, so a group of exact copies costs one class, and buckets with the same classes in
+several bands count once. First, every class of a bucket is verified against the bucket's
+center, the class with the most company over its bands: a star, linear in the bucket,
+which links what resembles the center. The rest is done exactly, not by a cap: in each bucket
+whose classes are not all connected yet, the classes that some other, unconnected
+class resembles by its samples (half of them agree) are compared each with each, by matrix
+products over the shingles they share, in tiles of bounded size; a tile gives back
+only links that connect something. Groups are the connected components of the links.
 
 Defined results: a text without words (null and empty ones too) is grouped only with
 texts that equal it; fewer than five words make one shingle. Rows are told apart by a row
@@ -29,8 +33,9 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tollgate.llm.common import text_of
@@ -44,7 +49,8 @@ BANDS, ROWS = 10, 3
 SAMPLES = BANDS * ROWS
 AGREE = SAMPLES // 2  # at similarity 0.8, fewer than half of 30 samples agree in 1 of 10,000 cases
 DF_BITS = 18
-BATCH_ROWS = 64
+TILE = 2048  # classes that one task compares each with each
+COLUMNS = 1024  # shingles of one matrix product
 
 
 def bag(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -88,7 +94,7 @@ def count_documents(docs: DataFrame, text_col: str) -> tuple[int, np.ndarray]:
 
 def idf_table(n: int, df: np.ndarray) -> np.ndarray:
     """Weight factor per bucket, from 1 on; a bucket that overflows the corpus has 1."""
-    return (1 + np.maximum(0, np.log((1 + n) / (1 + df))) / np.log(2 + n)).astype(np.float32)
+    return (1 + np.maximum(0, np.log((1 + n) / (1 + df))) / (8 * np.log(2 + n))).astype(np.float32)
 
 
 class Sampler:
@@ -243,8 +249,81 @@ def components(edges: DataFrame) -> DataFrame:
     return labels
 
 
-def agreement(a: Column, b: Column) -> Column:
-    return F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda same: same))
+def tiles(members: DataFrame) -> DataFrame:
+    """`members` (band, n, class, ...) dealt to units of work: one unit for a bucket of up to
+    TILE classes; a larger one is split by hash into tiles, with a unit for each pair of
+    them, so that every two classes meet in some unit and no unit outgrows a task."""
+    parts = F.ceil(F.col("n") / TILE).cast("int")
+    mine = F.pmod(F.xxhash64("class"), parts).cast("int")
+    pairs = F.transform(F.sequence(F.lit(0), parts - 1), lambda j: F.struct(F.least(mine, j).alias("i"), F.greatest(mine, j).alias("j")))
+    return members.withColumn("_p", F.explode(pairs)).withColumn("unit", F.xxhash64("band", "_p.i", "_p.j")).drop("_p")
+
+
+def resembling(units: DataFrame) -> DataFrame:
+    """(unit, class, root) of the classes of a unit that some class of another root in it
+    resembles: at least AGREE samples agree."""
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        samples = np.array(frame["samples"].tolist(), dtype=np.int32)
+        roots = np.unique(frame["root"], return_inverse=True)[1]
+        like = np.zeros(len(frame), dtype=bool)
+        for at in range(0, len(frame), 256):
+            agree = np.zeros((min(256, len(frame) - at), len(frame)), dtype=np.uint8)
+            for s in range(SAMPLES):
+                agree += samples[at:at + 256, s, None] == samples[None, :, s]
+            like[at:at + 256] = ((agree >= AGREE) & (roots[at:at + 256, None] != roots[None, :])).any(axis=1)
+        return frame.loc[like, ["unit", "class", "root"]]
+
+    return units.select("unit", "class", "root", "samples").groupBy("unit").applyInPandas(
+        run, "unit bigint, class binary, root binary")
+
+
+def shared_weight(own: list[tuple[np.ndarray, np.ndarray]], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(total weight of each bag, weight that each two share): the sum of the lesser
+    weights is a product of presence matrices over (shingle, how-many-eth occurrence)."""
+    hashes = np.concatenate([np.repeat(h, c) for h, c in own])
+    nth = np.concatenate([np.concatenate([np.arange(k) for k in c]) if len(c) and c.max() > 1 else np.zeros(len(c), dtype=np.int64)
+                          for _, c in own])
+    owner = np.repeat(np.arange(len(own)), [int(c.sum()) for _, c in own])
+    weight = idf[buckets_of(hashes)].astype(np.float64)
+    total = np.bincount(owner, weights=weight, minlength=len(own))
+    items, at, times = np.unique(mix(hashes + nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), return_inverse=True, return_counts=True)
+    several = times[at] > 1  # the others are shared with nobody
+    column = np.cumsum(times > 1) - 1
+    owner, at, weight = owner[several], column[at[several]], weight[several]
+    order = np.argsort(at, kind="stable")
+    owner, at, weight = owner[order], at[order], weight[order]
+    both = np.zeros((len(own), len(own)))
+    for first in range(0, int(at[-1]) + 1 if len(at) else 0, COLUMNS):
+        a, b = np.searchsorted(at, [first, first + COLUMNS])
+        m = np.zeros((len(own), COLUMNS))
+        m[owner[a:b], at[a:b] - first] = np.sqrt(weight[a:b])
+        both += m @ m.T
+    return total, both
+
+
+def links_within(units: DataFrame, idf: np.ndarray) -> DataFrame:
+    """(a, b): links between classes of different roots in the same unit (unit, class, root,
+    text), as many as connect all that is connected there."""
+    sent = units.sparkSession.sparkContext.broadcast(idf)
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        hasher = WordHasher()
+        own = list(bags(frame["text"].tolist(), hasher))
+        total, both = shared_weight(own, sent.value)
+        names = frame["class"].tolist()
+        group = np.unique(frame["root"], return_inverse=True)[1]
+        out: list[tuple[bytes, bytes]] = []
+        for i in range(len(names)):
+            near = both[i] >= THRESHOLD * (total[i] + total - both[i]) - 1e-9
+            while True:  # one link to each group that is not connected to i yet
+                new = np.flatnonzero(near & (group != group[i]))
+                if len(new) == 0:
+                    break
+                out.append((names[i], names[new[0]]))
+                group[group == group[new[0]]] = group[i]
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    return units.groupBy("unit").applyInPandas(run, "a binary, b binary")
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -255,27 +334,28 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     signed = materialize(sign(docs, id_col, text_col, idf))
     classes = materialize(signed.groupBy("class").agg(
         F.max_by(F.struct("text_key", "weight", "samples", "bands"), "row").alias("x")).select("class", "x.*"))
-    # buckets with more than one class
     placed = classes.select("class", F.explode("bands").alias("band"))
-    stars = materialize(placed.groupBy("band").agg(F.min("class").alias("center"), F.count("*").alias("n")).where("n > 1"))
-    members = materialize(placed.join(stars.select("band", "center"), "band"))
-    first = materialize(members.where("class <> center").select(F.col("class").alias("a"), F.col("center").alias("b")).distinct())
+    # buckets of more than one class; of those with the same classes, one
+    buckets = materialize(placed.groupBy("band").agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("class")).alias("who")).where("n > 1"))
+    company = placed.join(buckets, "band").groupBy("class").agg(F.sum("n").alias("company"))
+    once = buckets.groupBy("n", "who").agg(F.min("band").alias("band")).select("band", "n")
+    members = materialize(placed.join(once, "band").join(company, "class"))
+    centers = materialize(members.groupBy("band").agg(F.max(F.struct("company", "class")).alias("x")).select(
+        "band", F.col("x.class").alias("center")))
+    stars = materialize(members.join(centers, "band").where("class <> center").select(
+        F.col("class").alias("a"), F.col("center").alias("b")).distinct())
     texts = class_texts(docs, text_col, classes, members)
-    tested = materialize(verified(first, texts, idf))
-    links = tested.where("ok").select("a", "b")
+    links = materialize(verified(stars, texts, idf)).where("ok").select("a", "b")
     roots = components(links)
-    # what failed against its center: against the others of the bucket that it resembles
-    failed = members.join(tested.where("not ok").select(F.col("a").alias("class"), F.col("b").alias("center")), ["class", "center"])
-    kinds = classes.select("class", "samples", "weight").join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
-    side = [F.col(c).alias(c + "_1") for c in ("class", "samples", "weight", "root")]
-    one = failed.select("class", "band").join(kinds, "class").select("band", *side)
-    other = members.select("class", "center", "band").join(kinds, "class").where("class <> center")
-    ratio = F.least("weight", "weight_1") / F.greatest("weight", "weight_1")
-    second = one.join(other, "band").where(
-        (F.col("root") != F.col("root_1")) & (ratio >= THRESHOLD - 0.001) & (agreement(F.col("samples"), F.col("samples_1")) >= AGREE))
-    second = materialize(second.select(F.greatest("class", "class_1").alias("a"), F.least("class", "class_1").alias("b")).distinct())
-    if not second.isEmpty():
-        more = materialize(verified(second, texts, idf)).where("ok").select("a", "b")
+    # the rest: buckets with several roots left
+    rooted = materialize(members.select("band", "n", "class").join(roots, "class", "left").withColumn(
+        "root", F.coalesce("root", "class")))
+    open_buckets = rooted.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("band")
+    units = tiles(rooted.join(open_buckets, "band").join(classes.select("class", "samples"), "class"))
+    rest = materialize(resembling(units))
+    more = materialize(links_within(rest.join(texts, "class"), idf))
+    if not more.isEmpty():
         roots = components(links.union(more))
     grouped = materialize(signed.select("row", id_col, "text_key", "class").join(roots, "class", "left").select(
         "row", id_col, "text_key", F.coalesce("root", "class").alias("group")))
