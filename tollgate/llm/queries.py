@@ -13,6 +13,7 @@ from tollgate.llm.exact_dedup import exact_dedup
 from tollgate.llm.fingerprint import fingerprint_edits
 from tollgate.llm.mixing import mix
 from tollgate.llm.near_dedup import near_groups
+from tollgate.llm.oracles import LLM_ORACLES
 from tollgate.llm.secret_scan import scan_secrets, span_list
 from tollgate.llm.sharding import place
 from tollgate.llm.url_filter import judge_urls
@@ -20,14 +21,16 @@ from tollgate.llm.url_filter import judge_urls
 SHARDS = [f"shard-{i:02d}" for i in range(16)]
 
 
-def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A page's path holds the id of its document, whose labels say what to block."""
-    pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
+def labelled_urls(pages: DataFrame, labels: DataFrame) -> DataFrame:
     doc_id = F.expr("try_cast(regexp_extract(url, '://[^/?#]*[^?#]*?/([0-9]+)', 1) as bigint)")
     blocked = (F.col("quality") == 0) | (F.col("toxic") == 1)
-    labelled = pages.select("url", doc_id.alias("doc_id")).join(
-        labels.select("doc_id", blocked.alias("blocked")), "doc_id")
-    return judge_urls(pages, labelled)
+    return pages.select("url", doc_id.alias("doc_id")).join(labels.select("doc_id", blocked.alias("blocked")), "doc_id")
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page's path holds the id of its document, whose labels say what to block."""
+    pages = table(spark, sf_dir, "pages")
+    return judge_urls(pages, labelled_urls(pages, table(spark, sf_dir, "labels")))
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,7 +91,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(told, model, ["doc_id", "held_out"])
 
 
+__all__ = ["LLM_ORACLES", "LLM_QUERIES"]
+
 LLM_QUERIES = {f.__name__: f for f in (
     op1_url_filter, op2_secret_scan, op3_sharding, op4_toxicity, op5_byte_bpe, op6_exact_dedup, op7_near_dedup,
     op8_mixing, op9_fingerprint, op10_language_id)}
-LLM_ORACLES: dict[str, str] = {}

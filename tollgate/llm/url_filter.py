@@ -83,8 +83,8 @@ def mine_rules(labelled: DataFrame, min_support: float, min_confidence: float, m
     items = labelled.select(F.concat("tokens", F.array(
         F.concat(F.lit(CLASS_ITEM), F.when(F.col("blocked"), BLOCK).otherwise(ALLOW)))).alias("items"))
     n = items.count()
-    support = max(min_support, min_count / max(n, 1))
-    if support > 1:  # fewer labelled URLs than a rule needs
+    support = max(min_support, (min_count - 0.5) / max(n, 1))
+    if n < min_count:  # fewer labelled URLs than a rule needs
         return labelled.sparkSession.createDataFrame(
             [], "antecedent array<string>, support_count bigint, confidence double")
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(items)
