@@ -54,7 +54,7 @@ def brute_kernel(a, b):
 
 def test_kernel_matches_brute_force():
     texts = ["Hello, world!", "été à  l'école", "hello hello", "123 a", "straße ÜBER"]
-    marks = L.Landmarks(texts[:3])
+    marks = L.Landmarks.of(texts[:3])
     presence, own = marks.rows(texts, L.Grams())
     k = (presence @ marks.matrix) * own[:, None]
     assert np.allclose(k, [[brute_kernel(a, b) for b in texts[:3]] for a in texts], atol=1e-6)

@@ -59,3 +59,24 @@ def test_copies_of_repeated_rows(spark, edge, bound, monkeypatch):
     mixed = mix(edge)
     total = mixed.agg(F.sum("copies")).first()[0]
     assert apply_copies(edge, mixed).count() == total
+
+
+def test_workers_need_no_copy_of_the_repository(tmp_path):
+    """Started elsewhere, with the repository on the driver's path alone."""
+    import os
+    import pathlib
+    import subprocess
+    import sys
+
+    root = pathlib.Path(C.__file__).resolve().parent
+    code = f"""
+import sys; sys.path.insert(0, {str(root)!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate()
+import __spark_entry__ as e
+for name in ("op4_toxicity", "op5_byte_bpe", "op7_near_dedup", "op8_mixing", "op10_language_id"):
+    print(name, e.queries()[name](spark, "/root/testdata/sf0.001").count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True)
+    assert out.stdout.count(" 200") == 5, out.stderr[-2000:]

@@ -84,14 +84,19 @@ class Grams:
 
 
 class Landmarks:
-    """Kernel between texts and a bounded set of landmark texts."""
+    """Kernel between texts and a bounded set of landmarks: the n-grams that some landmark
+    has, and a column per landmark with 1 / sqrt(its n-grams) where it has one."""
 
-    def __init__(self, texts: list[str]) -> None:
+    def __init__(self, grams: np.ndarray, matrix: np.ndarray) -> None:
+        self.grams, self.matrix = grams, matrix
+
+    @classmethod
+    def of(cls, texts: list[str]) -> Landmarks:
         grams = Grams()
         rows = [grams.presence(t).copy() for t in texts]
-        self.grams = np.flatnonzero(np.any(rows, axis=0)) if rows else np.zeros(0, dtype=np.int64)
+        used = np.flatnonzero(np.any(rows, axis=0))
         own = np.array([r.sum() for r in rows], dtype=np.float64)
-        self.matrix = np.array([r[self.grams] for r in rows], dtype=np.float32).T / np.sqrt(own)
+        return cls(used, (np.array([r[used] for r in rows]).T / np.sqrt(own)).astype(np.float32))
 
     def rows(self, texts: list[str], grams: Grams) -> tuple[np.ndarray, np.ndarray]:
         """Presence of the landmarks' n-grams per text, and 1 / sqrt(the text's n-grams)."""
@@ -160,12 +165,13 @@ def fit(labelled: DataFrame, key: list[str], text_col: str = "text", lang_col: s
         return Model([], np.zeros(0, dtype=np.int64), np.zeros((0, 0), dtype=np.float32))
     sizes = spark.createDataFrame(sorted(counts.items()), "lang string, n bigint")
     marks = sample_by_language(usable, sizes, key, max(2, n_landmarks // len(languages)), seed).select("text").collect()
-    landmarks = Landmarks(sorted(r["text"] for r in marks))
+    landmarks = Landmarks.of(sorted(r["text"] for r in marks))
     size = len(marks)
-    sent = spark.sparkContext.broadcast(landmarks)
+    # arrays, not objects: a worker may not have this package
+    sent = spark.sparkContext.broadcast((landmarks.grams, landmarks.matrix))
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, mine = Grams(), sent.value
+        grams, mine = Grams(), Landmarks(*sent.value)
         both, by_lang = np.zeros((size, size)), np.zeros((len(languages), size))
         for batch in batches:
             texts = batch.column(0).to_pylist()
@@ -196,11 +202,11 @@ def detector(spark: SparkSession, model: Model) -> Callable[[Column], Column]:
     `known`, the share of the text's n-grams that some landmark has, tells texts of
     languages that were never learned. Only the text goes to the Python worker and only
     the result comes back."""
-    sent = spark.sparkContext.broadcast(model)
+    sent = spark.sparkContext.broadcast((model.languages, model.grams, model.weights))
 
     @F.pandas_udf("lang_pred string, score double, known double")
     def detect(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        grams, mine = Grams(), sent.value
+        grams, mine = Grams(), Model(*sent.value)
         for texts in batches:
             found = [mine.predict(texts[at:at + 256].tolist(), grams) for at in range(0, len(texts), 256)]
             yield pd.DataFrame({"lang_pred": [x for names, _, _ in found for x in names],

@@ -47,7 +47,8 @@ def values(counts: np.ndarray, n: int) -> np.ndarray:
 
 
 class Model:
-    """Words (sorted buckets), weights, and increasing thresholds."""
+    """Words (sorted buckets), weights, and increasing thresholds. Tasks get the three arrays
+    and make their own, since a worker may not have this package."""
 
     def __init__(self, cells: np.ndarray, weights: np.ndarray, thresholds: np.ndarray) -> None:
         self.cells, self.weights, self.thresholds = cells, weights, thresholds
@@ -133,10 +134,10 @@ def associated_words(graded: DataFrame, min_documents: int, min_ratio: float, ma
 def training_rows(sample: DataFrame, cells: np.ndarray) -> tuple[np.ndarray, ...]:
     """(rows, feature numbers, values, grades, weights) of the bounded sample; at most
     the number of features for each row reaches the driver."""
-    sent = sample.sparkSession.sparkContext.broadcast(Model(cells, np.zeros(len(cells)), np.zeros(0)))
+    sent = sample.sparkSession.sparkContext.broadcast(cells)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, model = WordHasher(), sent.value
+        hasher, model = WordHasher(), Model(sent.value, np.zeros(0), np.zeros(0))
         for batch in batches:
             found = [model.features(*x) for x in word_counts(batch.column(0).to_pylist(), hasher)]
             yield pa.RecordBatch.from_arrays(
@@ -177,10 +178,10 @@ def density_grades(sample: DataFrame, levels: int = 2, min_documents: int = 3, m
     grade 0."""
     graded = sample.where(F.col("label").isin(0, 1)).select("text", F.col("label").alias("grade"))
     cells = associated_words(graded, min_documents, min_ratio, max_features)
-    sent = sample.sparkSession.sparkContext.broadcast(Model(cells, np.zeros(len(cells)), np.zeros(0)))
+    sent = sample.sparkSession.sparkContext.broadcast(cells)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, model = WordHasher(), sent.value
+        hasher, model = WordHasher(), Model(sent.value, np.zeros(0), np.zeros(0))
         for batch in batches:
             found = word_counts(batch.column(0).to_pylist(), hasher)
             shares = [float(model.features(x, c, n)[1].sum()) for x, c, n in found]
@@ -213,10 +214,10 @@ def fit(graded: DataFrame, min_documents: int = 3, min_ratio: float = 30.0, max_
 def score(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:
     """The `keep` columns plus grade_probabilities (array<double>), expected_severity and
     is_toxic."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast((model.cells, model.weights, model.thresholds))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, mine = WordHasher(), sent.value
+        hasher, mine = WordHasher(), Model(*sent.value)
         for batch in batches:
             found = [mine.features(*x) for x in word_counts(batch.column(len(keep)).to_pylist(), hasher)]
             p = mine.grades(np.array([float(v @ mine.weights[f]) for f, v in found]))
