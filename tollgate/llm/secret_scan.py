@@ -96,7 +96,8 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.sha2(h["value"], 256).alias("value_hash"), looks_random(h["value"]).alias("random")))
     rows = materialize(found.select("row", id_col, "owner", hashed.alias("hits")))
     seen = rows.select("row", F.col(id_col).alias("repo"), "owner", F.explode("hits").alias("hit"))
-    counts = ownership(seen.select(F.col("hit.value_hash").alias("value_hash"), "owner", "repo"))
+    # on its own, so that the join can split a value that very many documents have
+    counts = materialize(ownership(seen.select(F.col("hit.value_hash").alias("value_hash"), "owner", "repo")))
     judged = seen.withColumn("value_hash", F.col("hit.value_hash")).join(counts, "value_hash")
     verdict = (F.when(F.col("n_owners") >= example_owners, "example")
                .when((F.col("n_owners") == 1) & F.col("hit.random"), "live").otherwise("unclear"))

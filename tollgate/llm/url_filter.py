@@ -133,7 +133,8 @@ def judge_urls(pages: DataFrame, labelled_urls: DataFrame, rules=BASE_RULES, min
     labelled = labelled_urls.select(url_tokens(url, host, path).alias("tokens"),
                                     F.coalesce("blocked", F.lit(False)).alias("blocked"))
     mined = mine_rules(materialize(labelled), min_support, min_confidence, min_count)
-    hits = match_rules(parsed.select("tokens").distinct(), mined)
+    # on its own, so that the join can split a token set that very many URLs have
+    hits = materialize(match_rules(parsed.select("tokens").distinct(), mined))
     hand = longest_rule(F.col("host"), F.col("path"), rules)
     judged = parsed.join(hits, "tokens", "left").withColumn("hand", hand)
     method = F.when(F.col("mined_rule").isNotNull(), BLOCK).otherwise(ALLOW)
