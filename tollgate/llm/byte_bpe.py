@@ -22,10 +22,11 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from tollgate.llm.common import text_of
+from tollgate.llm.common import text_of, tidy
 from tollgate.llm.words import chunks
 
-MAX_CACHED = 200_000  # pre-tokens whose ids a task remembers: about 40 MB
+MAX_CACHED = 100_000  # pre-tokens whose ids a task remembers: about 20 MB
+PIECE_ROWS = 256
 MAX_CACHED_CHARS = 40
 
 
@@ -134,9 +135,11 @@ def _codec_maker(spark: SparkSession, path: str, pattern: str):
 
 def _parts(batch: pa.RecordBatch, most_chars: int = 1_000_000) -> Iterator[tuple[int, list[str]]]:
     """(place, texts) of pieces of the batch; its last column has the texts."""
-    texts = batch.column(batch.num_columns - 1).to_pylist()
-    for a, b in chunks(texts, most_chars):
-        yield a, texts[a:b]
+    column = batch.column(batch.num_columns - 1)
+    for at in range(0, len(column), PIECE_ROWS):
+        texts = column.slice(at, PIECE_ROWS).to_pylist()
+        for a, b in chunks(texts, most_chars):
+            yield at + a, texts[a:b]
 
 
 def _kinds(df: DataFrame, columns: list[str]) -> str:
@@ -159,7 +162,7 @@ def encode(docs: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = ("d
                     names=[*keep, "ids", "n_tokens", "exact"])
 
     return docs.select(*keep, text_of(text_col).alias("_text")).mapInArrow(
-        run, f"{_kinds(docs, keep)}ids array<int>, n_tokens bigint, exact boolean")
+        tidy(run), f"{_kinds(docs, keep)}ids array<int>, n_tokens bigint, exact boolean")
 
 
 def decode(encoded: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -172,7 +175,7 @@ def decode(encoded: DataFrame, path: str, pattern: str, keep: tuple[str, ...] =
             out = pa.array([codec.decode(ids or []) for ids in batch.column(len(keep)).to_pylist()], type=pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], out], names=[*keep, "decoded"])
 
-    return encoded.select(*keep, "ids").mapInArrow(run, f"{_kinds(encoded, keep)}decoded binary")
+    return encoded.select(*keep, "ids").mapInArrow(tidy(run), f"{_kinds(encoded, keep)}decoded binary")
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
@@ -196,4 +199,4 @@ def round_trip(docs: DataFrame, path: str, pattern: str, keep: tuple[str, ...] =
                 *keep, "n_tokens", "ids_sha256", "decoded_sha256", "exact"])
 
     return docs.select(*keep, text_of(text_col).alias("_text")).mapInArrow(
-        run, f"{_kinds(docs, keep)}n_tokens bigint, ids_sha256 string, decoded_sha256 string, exact boolean")
+        tidy(run), f"{_kinds(docs, keep)}n_tokens bigint, ids_sha256 string, decoded_sha256 string, exact boolean")

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import string
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +16,20 @@ from tollgate.plans.materialize import materialize
 DECISION_BYTES = 64  # of a decision in a broadcast table
 
 
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """`run`, after which the worker gives freed memory back: Spark keeps it for later tasks."""
+    def inner(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not in every C library
+            if trim is not None:
+                trim(0)
+
+    return inner
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollgate.llm.common import hash_fraction, text_of
+from tollgate.llm.common import hash_fraction, text_of, tidy
 
 UNDETERMINED = "und"
 FIT_TASKS = 12
@@ -187,7 +187,7 @@ def fit(labelled: DataFrame, key: list[str], text_col: str = "text", lang_col: s
             [pa.array([x.tobytes()], pa.binary()) for x in (both, by_lang)], names=["both", "by_lang"])
 
     train = sample_by_language(usable, sizes, key, rows_per_language, seed + 1)
-    parts = train.repartition(FIT_TASKS).mapInArrow(sums, "both binary, by_lang binary").collect()
+    parts = train.repartition(FIT_TASKS).mapInArrow(tidy(sums), "both binary, by_lang binary").collect()
     both = sum(np.frombuffer(bytes(r["both"])).reshape(size, size) for r in parts)
     by_lang = sum(np.frombuffer(bytes(r["by_lang"])).reshape(len(languages), size) for r in parts)
     # y is 1 for the language and -1 for the rest, each language as heavy as another
@@ -204,8 +204,7 @@ def detector(spark: SparkSession, model: Model) -> Callable[[Column], Column]:
     the result comes back."""
     sent = spark.sparkContext.broadcast((model.languages, model.grams, model.weights))
 
-    @F.pandas_udf("lang_pred string, score double, known double")
-    def detect(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         grams, mine = Grams(), Model(*sent.value)
         for texts in batches:
             found = [mine.predict(texts[at:at + 256].tolist(), grams) for at in range(0, len(texts), 256)]
@@ -213,6 +212,10 @@ def detector(spark: SparkSession, model: Model) -> Callable[[Column], Column]:
                                 "score": [x for _, scores, _ in found for x in scores],
                                 "known": [x for _, _, known in found for x in known]})
 
+    @F.pandas_udf("lang_pred string, score double, known double")
+    def detect(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        return tidy(run)(batches)
+
     return lambda text: detect(text_of(text))
 
 

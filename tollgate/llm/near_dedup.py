@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tollgate.llm.common import text_of
+from tollgate.llm.common import text_of, tidy
 from tollgate.llm.words import WordHasher, chunks, mix, shingles
 from tollgate.operators.joins import fits_broadcast
 from tollgate.plans.materialize import materialize
@@ -84,7 +84,7 @@ def count_documents(docs: DataFrame, text_col: str) -> tuple[int, np.ndarray]:
         yield pa.RecordBatch.from_arrays([pa.array(np.append(used, -1)), pa.array(np.append(total[used], n))],
                                          names=["bucket", "n"])
 
-    counted = docs.select(text_of(text_col).alias("t")).mapInArrow(run, "bucket bigint, n bigint")
+    counted = docs.select(text_of(text_col).alias("t")).mapInArrow(tidy(run), "bucket bigint, n bigint")
     summed = counted.groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
     df = np.zeros(1 << DF_BITS, dtype=np.int64)
     real = summed["bucket"].to_numpy() >= 0
@@ -182,7 +182,7 @@ def sign(docs: DataFrame, id_col: str, text_col: str, idf: np.ndarray) -> DataFr
     kind = docs.schema[id_col].dataType.simpleString()
     text = text_of(text_col)
     return docs.select(F.monotonically_increasing_id().alias("row"), id_col, F.xxhash64(text).alias("text_key"),
-                       text.alias("_text")).mapInArrow(run, f"row bigint, `{id_col}` {kind}, text_key bigint, "
+                       text.alias("_text")).mapInArrow(tidy(run), f"row bigint, `{id_col}` {kind}, text_key bigint, "
                        "class binary, weight double, samples array<int>, bands array<bigint>")
 
 
@@ -215,7 +215,7 @@ def verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFrame:
     left = texts.select(F.col("class").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("class").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-    return both.mapInArrow(run, "a binary, b binary, ok boolean")
+    return both.mapInArrow(tidy(run), "a binary, b binary, ok boolean")
 
 
 def components(edges: DataFrame) -> DataFrame:

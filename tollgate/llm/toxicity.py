@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tollgate.llm.common import hash_fraction, text_of
+from tollgate.llm.common import hash_fraction, text_of, tidy
 from tollgate.llm.words import WordHasher, chunks
 from tollgate.operators.joins import fits_broadcast
 from tollgate.plans.materialize import materialize
@@ -120,7 +120,7 @@ def associated_words(graded: DataFrame, min_documents: int, min_ratio: float, ma
             [pa.array(np.append(used, -1)), pa.array(np.append(seen[0, used], n[0]).astype(np.int64)),
              pa.array(np.append(seen[1, used], n[1]).astype(np.int64))], names=["cell", "clean", "toxic"])
 
-    summed = graded.mapInArrow(run, "cell bigint, clean bigint, toxic bigint").groupBy("cell").agg(
+    summed = graded.mapInArrow(tidy(run), "cell bigint, clean bigint, toxic bigint").groupBy("cell").agg(
         F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     total = summed.where("cell < 0").first()
     if total is None or not total["clean"] or not total["toxic"]:
@@ -145,7 +145,7 @@ def training_rows(sample: DataFrame, cells: np.ndarray) -> tuple[np.ndarray, ...
                  pa.array([v.tolist() for _, v in found], pa.list_(pa.float64()))], names=["grade", "f", "v"])
 
     # equal rows are merged: most clean documents have no feature at all
-    merged = (sample.mapInArrow(run, "grade int, f array<bigint>, v array<double>")
+    merged = (sample.mapInArrow(tidy(run), "grade int, f array<bigint>, v array<double>")
               .groupBy("grade", "f", "v").count().orderBy("grade", "f", "v").collect())
     sizes = [len(r["f"]) for r in merged]
     rows = np.repeat(np.arange(len(merged)), sizes)
@@ -187,7 +187,7 @@ def density_grades(sample: DataFrame, levels: int = 2, min_documents: int = 3, m
             shares = [float(model.features(x, c, n)[1].sum()) for x, c, n in found]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shares, pa.float64())], names=["text", "grade", "share"])
 
-    toxic = materialize(graded.where("grade = 1").mapInArrow(run, "text string, grade int, share double"))
+    toxic = materialize(graded.where("grade = 1").mapInArrow(tidy(run), "text string, grade int, share double"))
     cuts = toxic.approxQuantile("share", [i / levels for i in range(1, levels)], 0.01)
     above = sum([F.when(F.col("share") > c, 1).otherwise(0) for c in cuts], F.lit(0))
     return toxic.select("text", (1 + above).alias("grade")).unionByName(graded.where("grade = 0"))
@@ -229,4 +229,4 @@ def score(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text"
 
     kinds = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep)
     return docs.select(*keep, text_of(text_col).alias("_text")).mapInArrow(
-        run, f"{kinds}grade_probabilities array<double>, expected_severity double, is_toxic boolean")
+        tidy(run), f"{kinds}grade_probabilities array<double>, expected_severity double, is_toxic boolean")
