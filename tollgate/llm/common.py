@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tollgate.operators.joins import fits_broadcast
 from tollgate.plans.materialize import materialize
 
-DECISION_BYTES = 64  # of a decision in a broadcast table
+DECISION_BYTES = 128  # of a decision in a broadcast table
 
 
 def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
@@ -57,18 +57,21 @@ def apply_copies(docs: DataFrame, decided: DataFrame, id_col: str = "doc_id", te
 
     `decided` has a row (id, text_key, copies) for every row of `docs`, in any order;
     text_key is xxhash64 of the text (empty for null). Rows that share both are
-    interchangeable: one of them stands for the sum of their copies. The decisions are
-    broadcast where their checked number allows it; else both sides are shuffled.
+    interchangeable: one of them stands for the sum of their copies. Only decisions other
+    than to take a single row once move; they are broadcast where their checked number
+    allows it, else both sides are shuffled.
     """
     keyed = materialize(decided.groupBy(F.col(id_col).alias("_id"), F.col("text_key").alias("_decided_key")).agg(
         F.sum("copies").cast("int").alias("_copies"), F.count("*").alias("_rows")))
-    facts = keyed.agg(F.count("*").alias("n"), F.max("_rows").alias("most")).first()
-    side = keyed.where("_copies > 0").drop("_rows")
+    others = (F.col("_copies") != 1) | (F.col("_rows") > 1)
+    facts = keyed.agg(F.count(F.when(others, 1)).alias("n"), F.max("_rows").alias("most")).first()
+    side = keyed.where(others).drop("_rows")
     if fits_broadcast(facts["n"], DECISION_BYTES):
         side = F.broadcast(side)
     rows = docs.withColumn("_key", F.xxhash64(text_of(text_col)))
-    rows = rows.join(side, rows[id_col].eqNullSafe(side["_id"]) & (rows["_key"] == side["_decided_key"]))
+    rows = rows.join(side, rows[id_col].eqNullSafe(side["_id"]) & (rows["_key"] == side["_decided_key"]), "left")
+    rows = rows.withColumn("_copies", F.coalesce("_copies", F.lit(1)))
     if (facts["most"] or 1) > 1:
         rows = rows.withColumn("_n", F.row_number().over(Window.partitionBy(id_col, "_key").orderBy("_copies"))).where("_n = 1")
-    copied = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    copied = rows.where("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
     return copied.select(*docs.columns)

@@ -85,11 +85,11 @@ def count_documents(docs: DataFrame, text_col: str) -> tuple[int, np.ndarray]:
                                          names=["bucket", "n"])
 
     counted = docs.select(text_of(text_col).alias("t")).mapInArrow(tidy(run), "bucket bigint, n bigint")
-    summed = counted.groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    summed = counted.groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    bucket, n = (summed.column(c).to_numpy() for c in ("bucket", "n"))
     df = np.zeros(1 << DF_BITS, dtype=np.int64)
-    real = summed["bucket"].to_numpy() >= 0
-    df[summed["bucket"].to_numpy()[real]] = summed["n"].to_numpy()[real]
-    return int(summed["n"].to_numpy()[~real].sum()), df
+    df[bucket[bucket >= 0]] = n[bucket >= 0]
+    return int(n[bucket < 0].sum()), df
 
 
 def idf_table(n: int, df: np.ndarray) -> np.ndarray:
