@@ -155,15 +155,29 @@ def training_rows(sample: DataFrame, cells: np.ndarray) -> tuple[np.ndarray, ...
             np.array([r["count"] for r in merged], dtype=np.float64))
 
 
+def label_bounds(counts: dict[int, int], max_rows: int) -> dict[int, int]:
+    """How many rows of each label may be drawn: labels with few rows give all of them and
+    the others share the rest of `max_rows` alike."""
+    out, left = {}, max_rows
+    for i, label in enumerate(sorted(counts, key=lambda x: (counts[x], x))):
+        out[label] = min(counts[label], left // (len(counts) - i))
+        left -= out[label]
+    return out
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, label_col: str, text_col: str = "text",
-                    max_rows: int = 20_000, seed: int = 5) -> DataFrame:
+                    max_rows: int = 40_000, seed: int = 5) -> DataFrame:
     """(text, label) of about `max_rows` labelled documents, drawn by a hash of the id from
-    all labels that are not null; the documented bound of what is learned from. The
-    drawn labels are broadcast (their number is checked), so no text is shuffled but
-    the sample's own, which is written once."""
+    all labels that are not null, a bounded number of each label (see `label_bounds`), so
+    a rare label is not left out in a large table; the documented bound of what is learned
+    from. The drawn labels are broadcast (their number is checked), so no text is
+    shuffled but the sample's own, which is written once."""
     told = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(
         id_col, F.col(label_col).cast("int").alias("label"))
-    drawn = materialize(told.where(hash_fraction(id_col, seed=seed) < min(1.0, max_rows / max(told.count(), 1))))
+    counts = {r["label"]: r["count"] for r in told.groupBy("label").count().collect()}  # a row per label
+    bounds = label_bounds(counts, max_rows)
+    share = F.coalesce(*[F.when(F.col("label") == k, n / counts[k]) for k, n in bounds.items()], F.lit(0.0))
+    drawn = materialize(told.where(hash_fraction(id_col, seed=seed) < share))
     if fits_broadcast(drawn.count()):
         drawn = F.broadcast(drawn)
     texts = docs.select(id_col, text_of(text_col).alias("text")).join(drawn, id_col)
