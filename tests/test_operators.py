@@ -149,6 +149,26 @@ def test_tree_path_and_program_filter(spark):
     assert attrs["C"].IsFinancial is False and attrs["R"].IsRecurring is True
 
 
+def test_tree_is_not_capped_in_a_plain_session(spark):
+    """A session without the recommended settings, with a small row limit for recursive queries."""
+    plain = spark.newSession()
+    plain.conf.set("spark.sql.cteRecursionRowLimit", "10")
+    rows = [("R", None, 1)] + [(f"C{i}", "R", 1) for i in range(30)] + [(f"G{i}", f"C{i % 30}", 1) for i in range(60)]
+    bi = plain.createDataFrame([(*r, i) for i, r in enumerate(rows)],
+                               "base_impact_id string, parent_id string, program_id int, sort_order int")
+    got = {r.base_impact_id: (r.parent_id, r.sort_path, r.depth) for r in tree_path(plain, bi, 1).collect()}
+    path = {"R": "::000"}
+    for i, (k, parent, _) in enumerate(rows[1:], 1):
+        path[k] = f"{path[parent]}::{i:03d}"
+    assert got == {k: (parent, path[k], path[k].count("::")) for k, parent, _ in rows}
+    assert tree_path(plain, bi, 2).count() == 0
+    # a cycle below a root ends in an error at the level limit, not in an endless loop
+    plain.conf.set("spark.sql.cteRecursionLevelLimit", "5")
+    cycle = plain.createDataFrame([("R", None, 1, 0), ("A", "R", 1, 1), ("B", "A", 1, 2), ("A", "B", 1, 3)], bi.schema)
+    with pytest.raises(Exception, match="levels"):
+        tree_path(plain, cycle, 1).count()
+
+
 def cache_row(spark, pid, mid, bi):
     vals = {c: None for c in C.CACHE_COLUMNS}
     vals.update(A_FK_REPORT_CACHE=11, A_FK_REPORT_FILTER_CACHE=7, A_FK_SNAPSHOT=1,

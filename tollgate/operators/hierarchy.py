@@ -1,26 +1,16 @@
-"""Base-impact hierarchy: root-to-node sort path and depth (recursive query)."""
+"""Base-impact hierarchy: root-to-node sort path and depth, a join per level."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollgate.functions.labels import flag, sort_segment
 from tollgate.functions.text import distinct_rows
-
-# The anchor takes the program's roots; the recursive step follows children of any
-# program (a child is not re-filtered by program; the attribute list below is).
-_TREE_SQL = """
-WITH RECURSIVE tree_path(base_impact_id, parent_id, sort_path, depth) AS (
-  SELECT base_impact_id, parent_id, segment, 1
-  FROM {bi}
-  WHERE parent_id IS NULL AND program_id = {program_id}
-  UNION ALL
-  SELECT c.base_impact_id, c.parent_id, concat(p.sort_path, c.segment), p.depth + 1
-  FROM {bi} c JOIN tree_path p ON c.parent_id = p.base_impact_id
-)
-SELECT base_impact_id, parent_id, sort_path, depth FROM tree_path
-"""
+from tollgate.operators.joins import NAMED_ROW_BYTES, broadcast_if_bounded, key_bounds
+from tollgate.plans.materialize import materialize
 
 
 def tree_path(spark: SparkSession, base_impact: DataFrame, program_id: int | str) -> DataFrame:
@@ -29,12 +19,33 @@ def tree_path(spark: SparkSession, base_impact: DataFrame, program_id: int | str
     The sort path is '::NNN' per level, NNN the last three digits of the integer
     sort order, so text order is pre-order within a level's first 1000 siblings.
 
-    Each recursion level is one distributed join of the hierarchy with the previous
-    level. A cycle stops at the session's recursion level limit (100 by default);
-    the row cap must be lifted for large hierarchies (session.RECOMMENDED_SQL_CONF).
+    The first level takes the program's roots; a further one the children of any program
+    (a child is not re-filtered by program; the attribute list below is). Each level is
+    one distributed join of the hierarchy with the level before, written once, so
+    Spark's cap on the rows of a recursive query does not apply. A cycle is an error
+    at the session's recursion level limit (100 by default).
     """
     bi = base_impact.select("base_impact_id", "parent_id", "program_id", sort_segment(F.col("sort_order")).alias("segment"))
-    return spark.sql(_TREE_SQL, bi=bi, program_id=program_id)
+    most = int(spark.conf.get("spark.sql.cteRecursionLevelLimit"))
+    nodes = bi.select(F.col("base_impact_id").alias("_id"), F.col("parent_id").alias("_parent"), "segment")
+    level = bi.where(F.col("parent_id").isNull() & (F.col("program_id") == program_id)).select(
+        "base_impact_id", "parent_id", F.col("segment").alias("sort_path"), F.lit(1).alias("depth"))
+    levels = []
+    while True:
+        level = materialize(level)
+        bound = key_bounds(level, "base_impact_id", "sort_path")
+        n = bound["base_impact_id"].rows
+        if levels and not n:
+            break
+        levels.append(level)
+        if 0 <= most < len(levels):
+            raise ValueError(f"the base-impact hierarchy has more than {most} levels, or a cycle")
+        width = NAMED_ROW_BYTES + sum(b.row_bytes for b in bound.values())
+        parents = level.select("base_impact_id", "sort_path", "depth")
+        level = nodes.join(broadcast_if_bounded(parents, n, width), F.col("_parent") == F.col("base_impact_id")).select(
+            F.col("_id").alias("base_impact_id"), F.col("_parent").alias("parent_id"),
+            F.concat("sort_path", "segment").alias("sort_path"), (F.col("depth") + 1).alias("depth"))
+    return reduce(DataFrame.unionByName, levels)
 
 
 def tree_attributes(spark: SparkSession, base_impact: DataFrame, program_id: int | str,

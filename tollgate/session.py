@@ -10,15 +10,12 @@ from pyspark.sql import SparkSession
 # the join below it: a project or milestone holding a third of the rows is then
 # spread over many tasks, and AQE stays free to split that skewed join (it does
 # not split a join whose output partitioning a later operator relies on).
-# The base-impact hierarchy is a recursive query: its row count must not be capped
-# (the default cap is a million rows); the level limit (100) still stops a cycle.
 # Timestamps in the report are TIMESTAMP_NTZ; UTC keeps any zoned conversion stable.
 RECOMMENDED_SQL_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.requireAllClusterKeysForDistribution": "true",
-    "spark.sql.cteRecursionRowLimit": "-1",
     "spark.sql.session.timeZone": "UTC",
 }
 
