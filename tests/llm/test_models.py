@@ -272,6 +272,32 @@ def test_mix_through_a_deep_tree_and_other_partitions(spark, documents, document
     assert sorted((r.doc_id, r.taken) for r in a) == sorted((r.doc_id, r.taken) for r in b)
 
 
+def test_rows_alike_are_dealt_over_groups(spark, monkeypatch):
+    """Half of a source shares id and text: no group is unbounded, and reruns agree."""
+    rows = [(None, "one text of five words", "a")] * 2000 + [(i, words(i, 3 + i % 40), "ab"[i % 2]) for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    sizes, round_groups = [], M._round_groups
+
+    def seen(frame, *args):
+        sizes.append(frame.groupBy("source_key", "group").count().agg(F.max("count")).first()[0])
+        return round_groups(frame, *args)
+
+    monkeypatch.setattr(M, "_round_groups", seen)
+    runs = []
+    for df in (docs, docs.repartition(7)):
+        got = M.mix(df, group_rows=64).collect()
+        assert len(got) == len(rows)
+        assert abs(sum(r.taken for r in got) - 1.5 * sum(r.size for r in got)) < 100
+        alike = [r.copies for r in got if r.doc_id is None]
+        assert len(alike) == 2000 and max(alike) - min(alike) <= 1
+        total = Counter()
+        for r in got:
+            total[r.doc_id, r.text_key] += r.copies
+        runs.append(total)
+    assert max(sizes) < 3 * 64
+    assert runs[0] == runs[1]
+
+
 def test_mix_edge_cases(edge, none):
     got = M.mix(edge).collect()
     rows = [(r[0], r[1], r[2], r[3]) for r in edge_rows()]

@@ -10,7 +10,8 @@ thereby stay at the target, but for the one document of a source that is left at
 A tree carries this out: the documents of a source are split by hash into groups of a
 bounded size, each group leaves one document with a fraction, and the left ones of up to
 `fan_in` groups meet on the next level until a source has one. So a source that holds a third
-of all rows is no hot group, and nothing of it passes through the driver.
+of all rows is no hot group, and nothing of it passes through the driver. Rows that share
+source, id and text would share a group; many of them are dealt over the source's groups in turn.
 
 Defined results: null texts have size 0 and take 0 words; sources are ordered by code
 point with null last, a source of its own; a source of size 0 has target 0. Rows that share
@@ -21,6 +22,8 @@ depend on the ids and texts only, so reruns agree. An empty table stays empty.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pandas as pd
@@ -28,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tollgate.llm.common import text_of
+from tollgate.operators.joins import broadcast_if_bounded, key_bounds
 from tollgate.operators.ordering import with_ordinal
 from tollgate.plans.materialize import materialize
 
@@ -111,6 +115,23 @@ def _round_groups(frame: DataFrame, keys: list[str], seed: int, last: bool) -> D
     return frame.groupBy("source_key", "group").applyInPandas(run, frame.schema)
 
 
+def dealt(sized: DataFrame, alike: list[str], most: int) -> DataFrame:
+    """`sized` (with a unique `row`) plus `turn`: 0 for rows that at most `most` rows share the
+    `alike` columns with; consecutive numbers for the rows of larger sets. Rows of a set
+    are interchangeable, so the numbers of a set depend on the `alike` columns only."""
+    sets = materialize(sized.groupBy(*alike).count().where(F.col("count") > most).select(
+        *[F.col(c).alias(f"_set{i}") for i, c in enumerate(alike)], F.lit(True).alias("_many")))
+    bounds = key_bounds(sets, *[c for c in sets.columns if c != "_many"]).values()
+    n_sets = max(b.rows for b in bounds)
+    if not n_sets:
+        return sized.withColumn("turn", F.lit(0).cast("bigint"))
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_set{i}")) for i, c in enumerate(alike)])
+    marked = sized.join(broadcast_if_bounded(sets, n_sets, sum(b.row_bytes for b in bounds)), same, "left").select(*sized.columns, "_many")
+    many = with_ordinal(marked.where("_many").drop("_many"), [*alike, "row"], "turn")
+    few = marked.where("_many is null").drop("_many").withColumn("turn", F.lit(0).cast("bigint"))
+    return few.unionByName(many)
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 11,
         group_rows: int = GROUP_ROWS, fan_in: int = FAN_IN, **targets) -> DataFrame:
     """One row per document: id, text_key, size, source_size, target, copies and taken (copies
@@ -122,13 +143,13 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     aims = materialize(source_targets(sizes, **targets)).withColumnRenamed("source", "_source")
     wanted = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     # the tree's leaves: as many groups as the source's rows need; a document's group
-    # depends on its id and text only
+    # depends on its id and text, and on its turn where many rows share these
     key = F.xxhash64(F.lit(seed), id_col, "text_key")
     groups = F.ceil(F.col("_rows") / group_rows)
-    rows = materialize(sized.join(aims, F.col("source").eqNullSafe(F.col("_source"))).select(
+    rows = materialize(dealt(sized, ["source", id_col, "text_key"], max(1, group_rows // 4)).join(aims, F.col("source").eqNullSafe(F.col("_source"))).select(
         "row", id_col, "text_key", "size", "source_size", "target", F.floor(wanted).alias("whole"),
         (wanted - F.floor(wanted)).alias("share"), F.xxhash64("source", F.col("source").isNull()).alias("source_key"),
-        key.alias("key"), F.pmod(key, groups).alias("group"), groups.alias("groups")))
+        key.alias("key"), F.pmod(F.pmod(key, groups) + F.col("turn"), groups).alias("group"), groups.alias("groups")))
     most = rows.agg(F.max("groups")).first()[0] or 1
     tree = rows.where("share > 0 and size > 0").select("source_key", "group", "key", "row", "size", "share")
     up = []
