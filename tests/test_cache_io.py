@@ -118,6 +118,30 @@ def test_report_from_bucketed_tables(spark, tables, tmp_path):
     assert n_bucketed <= n_plain, (n_bucketed, n_plain)
 
 
+def test_join_of_bucketed_tables_is_not_shuffled(spark, tables, tmp_path):
+    """The join of two stored relations on their bucketing key: same rows, no shuffle."""
+    from tollgate.operators.filters import due_window
+    from tollgate.sources import read_tables, write_tables
+    from tollgate.sources.catalog import read_catalog_tables, save_catalog_tables
+
+    save_catalog_tables(tables, "tollgate_join_test", str(tmp_path / "bucketed"), n_buckets=8)
+    write_tables(tables, str(tmp_path / "plain"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = []
+        for t in (read_tables(spark, str(tmp_path / "plain")), read_catalog_tables(spark, "tollgate_join_test")):
+            due = due_window(t.milestone, DEFAULT_PARAMS).select("roadmap_id", "milestone_id")
+            df = t.filtered_roadmap.join(due, "roadmap_id")
+            rows = sorted(map(str, df.collect()))
+            plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+            found.append((rows, plan.count("Exchange hashpartitioning")))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    (plain, n_plain), (bucketed, n_bucketed) = found
+    assert plain == bucketed and plain
+    assert (n_plain, n_bucketed) == (2, 0)
+
+
 def test_command_line_request(spark, tables, tmp_path):
     """The command-line entry: arguments -> params -> request over stored tables."""
     from tollgate.__main__ import main, parser, params_from_args
