@@ -30,5 +30,5 @@ def test_mined_rules_match_oracle_where_many_fire(spark, con):
 
 
 def test_registered_queries():
-    assert {f"op{n}_" for n in range(1, 11)} == {n.split("_")[0] + "_" for n in LLM_QUERIES}
+    assert {f"op{n}_" for n in range(1, 14)} == {n.split("_")[0] + "_" for n in LLM_QUERIES}
     assert "pipeline" in E.queries()

@@ -146,9 +146,44 @@ SELECT doc_id, n_chars, sha256(edited) AS edited_sha256, own_print AS fingerprin
 FROM nxt"""
 
 
+def _collocations(min_count: int = 10, contained_percent: int = 50, top: int = 2000) -> str:
+    def score(left: str, right: str) -> str:
+        return f"(1000000::hugeint * a * a) // ({left}::hugeint * {right})"
+
+    return rf"""
+WITH pieces AS MATERIALIZED (
+  SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_lower("coalesce(text, '')")}, '[.,;:!?\n\x0B\x0C\r]')) AS piece
+        FROM documents)),
+grams AS MATERIALIZED (
+  SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM pieces, (VALUES (1), (2), (3)) t(size) WHERE len(w) >= size)
+  GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM grams WHERE size = 1 GROUP BY lang),
+cand AS MATERIALIZED (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM grams WHERE size > 1 AND f >= {min_count}),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, k, l.f AS l, r.f AS r
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM cand) c
+  JOIN grams l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:k], ' ')
+  JOIN grams r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[k + 1:], ' ')),
+scored AS (
+  SELECT lang, phrase, a, l, r, {score("l", "r")} AS score, row_number() OVER (PARTITION BY lang, phrase ORDER BY {score("l", "r")}, k) AS best
+  FROM cuts),
+inside AS (
+  SELECT lang, phrase, max(a) AS longer FROM (
+    SELECT lang, array_to_string(w[1:2], ' ') AS phrase, a FROM cand WHERE size = 3
+    UNION ALL SELECT lang, array_to_string(w[2:3], ' '), a FROM cand WHERE size = 3) GROUP BY ALL),
+ranked AS (
+  SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank, s.phrase, a, l, r, n, score::BIGINT AS score
+  FROM scored s JOIN totals USING (lang) LEFT JOIN inside i ON i.lang = s.lang AND i.phrase = s.phrase
+  WHERE best = 1 AND (longer IS NULL OR 100 * longer < {contained_percent} * a))
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= {top}"""
+
+
 LLM_ORACLES: dict[str, str] = {
     "op1_url_filter": _url_filter(),
     "op2_secret_scan": _secret_scan(),
     "op6_exact_dedup": EXACT_DEDUP,
     "op9_fingerprint": _fingerprint(),
+    "op11_collocations": _collocations(),
 }

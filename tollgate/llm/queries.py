@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollgate.llm import language_id, toxicity
+from tollgate.llm import language_id, token_files, toxicity, whitening
 from tollgate.llm.byte_bpe import round_trip
+from tollgate.llm.collocations import phrases
 from tollgate.llm.common import table
 from tollgate.llm.exact_dedup import exact_dedup
 from tollgate.llm.fingerprint import fingerprint_edits
@@ -91,8 +92,23 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(told, model, ["doc_id", "held_out"])
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases(table(spark, sf_dir, "documents"))
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encodes to files, then reads starts, lengths and checksums back from them."""
+    tokens = token_files.encode_to_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return token_files.ids_checksum(tokens, ["doc_id", "start", "n_tokens"])
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return whitening.whiten(vectors, whitening.fit(vectors))
+
+
 __all__ = ["LLM_ORACLES", "LLM_QUERIES"]
 
 LLM_QUERIES = {f.__name__: f for f in (
     op1_url_filter, op2_secret_scan, op3_sharding, op4_toxicity, op5_byte_bpe, op6_exact_dedup, op7_near_dedup,
-    op8_mixing, op9_fingerprint, op10_language_id)}
+    op8_mixing, op9_fingerprint, op10_language_id, op11_collocations, op12_token_files, op13_whitening)}
