@@ -131,13 +131,24 @@ def test_pieces_encode_like_whole_texts():
         encoder = T.PieceEncoder(f.read())
     texts = ["", " ", "a", " a  b ", "it's I'll'd 'T", "é ́a á", "x\x1cy\x85z w　v", "\x01 \x01a\x01 b", "12 345",
              "ΑΣ ΣΑΣ", "İstanbul İ", "<|endoftext|> a<|startoftext|>b", "ﬁ ﬁ 각", "\U0001F600 世界", "a\r\nb\tc",
-             "w" * 5000, words(3, 4000), "\x00 a \x00", "‍ x️"]
+             "w" * 5000, words(3, 4000), "\x00 a \x00", "‍ x️",
+             "Word. WORD, word;word: Été!? ÉTÉ... été", "K Å ñ ǅ ǆ ﬀ", "can't Can'T. l'été", "ª º ß ẞ"]
+    assert encoder.by_piece
     want = [np.array(model.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
     assert encoder(texts) == want
     assert encoder(texts) == want  # from the cache
     assert [encoder([t])[0] for t in texts] == want
 
 
+def test_other_vocabularies_are_encoded_text_by_text():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    with open(path, encoding="utf-8") as f:
+        encoder = T.PieceEncoder(f.read())
+    texts = ["a b  c", " lead", "", "Word. word"]
+    want = [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+    assert not encoder.by_piece and [np.frombuffer(x, dtype="<u4").tolist() for x in encoder(texts)] == want
+
+
 def test_token_file_layout(spark, documents, tmp_path):
     T.write_tokens(documents, str(tmp_path), VOCABULARY, n_files=3)
     files = sorted((tmp_path / "tokens").glob("*.parquet"))

@@ -11,8 +11,7 @@ global position of every file: one row a file, from the lengths only, without re
 
 How a text is encoded: the vocabulary's normaliser and splitter never join or change anything
 across an ASCII blank, so a text's ids are those of its pieces between blanks, one after another. Pieces met before
-come from a bounded cache; new ones go to the library in one text per batch, kept apart
-by a character that has an id of its own.
+come from a bounded cache. That holds for vocabularies with the rules below; others are encoded text by text.
 
 Defined results: a null or empty text has only the end id. Rows are ordered by id (nulls
 first), rows of one id by the hash of their text; rows that share both are interchangeable
@@ -23,28 +22,41 @@ taken as the library takes them: as one id, unless `plain_specials` is set.
 
 from __future__ import annotations
 
+import hashlib
+import json
 import os
+import sys
 import uuid
 import zlib
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, islice
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tollgate.llm.byte_bpe import byte_characters
 from tollgate.llm.common import text_of, tidy
 from tollgate.llm.words import chunks
 from tollgate.plans.materialize import checkpoint_dir
 
 END_ID = 2
-APART = "\x01"  # stands between new pieces; pieces that hold it are encoded on their own
-MAX_CACHED = 400_000
+MAX_CACHED = 800_000
 MAX_CACHED_CHARS = 48
-BLANKS = str.maketrans("\t\n\r", "   ")
+SIGNS = ".,;:!?"
 BATCH_CHARS = 2_000_000  # of text in one batch of rows that a task hands on
 
+# The rules of a vocabulary (as its file spells them) that never join anything across
+# a blank and take a run of letters as one word.
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLITTER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+     "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+
 # How the files are laid out (Parquet writer settings).
 LAYOUT = {
     "parquet.writer.version": "PARQUET_2_0",  # integers without a dictionary are delta coded
@@ -60,65 +72,108 @@ LAYOUT = {
 
 
 class PieceEncoder:
-    """Ids of texts as little-endian 32-bit bytes, by a cache of pieces between blanks."""
+    """Ids of texts as little-endian 32-bit bytes, by a cache of pieces between blanks.
+
+    A new piece that is one run of plain letters, with or without signs after it, needs no
+    normaliser or splitter: its lower-cased letters go to the library's BPE model directly, many in one call. Other
+    pieces take the library's whole way. A vocabulary of other rules takes it for whole texts.
+    """
 
     def __init__(self, vocabulary: str, plain_specials: bool = False) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
+        rules = json.loads(vocabulary)
         self.model = Tokenizer.from_str(vocabulary)
         if plain_specials:
             self.model.encode_special_tokens = True
-        apart = self._ids(APART)
-        self.apart = apart[0] if len(apart) == 1 and list(self._ids(f"a {APART} a")).count(apart[0]) == 1 else None
+        self.by_piece = rules["normalizer"] == NORMALIZER and rules["pre_tokenizer"] == SPLITTER
+        self.letters = Tokenizer(self.model.model)
+        self.letters.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        suffix = rules["model"].get("end_of_word_suffix") or ""
+        self.ends = np.zeros(1 + max(rules["model"]["vocab"].values()), dtype=bool)
+        self.ends[[i for t, i in rules["model"]["vocab"].items() if suffix and t.endswith(suffix)]] = True
+        self.shown = byte_characters()
         self.cache: dict[str, bytes] = {"": b""}
-
-    def _ids(self, text: str) -> list[int]:
-        return self.model.encode(text, add_special_tokens=False).ids
-
-    def _learn(self, new: list[str]) -> dict[str, bytes]:
-        together = [w for w in new if APART not in w] if self.apart is not None else []
-        out = {w: np.array(self._ids(w), dtype="<u4").tobytes() for w in new if self.apart is None or APART in w}
-        for a, b in chunks(together, 500_000):
-            ids = np.array(self._ids(f" {APART} ".join(together[a:b])), dtype="<u4")
-            ends = np.append(np.flatnonzero(ids == self.apart), len(ids))
-            if len(ends) != b - a:  # a piece has the separator's id by other means
-                out |= {w: np.array(self._ids(w), dtype="<u4").tobytes() for w in together[a:b]}
+        self.signs: dict[str, bytes] = {"": b""}
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.model.encode_batch(texts, add_special_tokens=False)]
+
+    def _letters(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of words of lower-case letters: in one text; a word's last token, and no other, has
+        the mark of a word's end."""
+        shown = self.shown
+        for at in range(0, len(words), 5000):
+            part = words[at:at + 5000]
+            text = " ".join([w if w.isascii() else "".join([shown[b] for b in w.encode()]) for w in part])
+            ids = np.array(self.letters.encode(text, add_special_tokens=False).ids, dtype="<u4")
+            ends = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(ends) != len(part):
+                yield from self._whole(part)
                 continue
-            starts = np.concatenate(([0], ends[:-1] + 1))
             raw = ids.tobytes()
-            out |= {w: raw[4 * i:4 * j] for w, i, j in zip(together[a:b], starts.tolist(), ends.tolist())}
+            yield from (raw[4 * i:4 * j] for i, j in zip([0, *ends], ends))
+
+    def _learn(self, new: set[str]) -> dict[str, bytes]:
+        split, other = {}, []
+        for w in new:
+            core = w if w.isalpha() else w.rstrip(SIGNS)
+            # up to U+024F the library lower-cases like Python and has nothing to compose
+            if core.isalpha() and (core.isascii() or max(core) < "\u0250") and (low := core.lower()).isalpha():
+                split[w] = low, w[len(core):]
+            else:
+                other.append(w)
+        out = dict(zip(other, self._whole(other)))
+        signs = self.signs
+        unseen = list({s for _, s in split.values()} - signs.keys())
+        signs.update(zip(unseen, self._whole(unseen)))
+        cores = list({c for c, _ in split.values()} - self.cache.keys())
+        known = dict(zip(cores, self._letters(cores)))
+        for w, (c, s) in split.items():
+            ids = known.get(c)
+            out[w] = (self.cache[c] if ids is None else ids) + signs[s]
+        if len(signs) > 10_000:
+            signs.clear()
+            signs[""] = b""
         return out
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        cut = [t.translate(BLANKS).split(" ") if "\t" in t or "\n" in t or "\r" in t else t.split(" ") for t in texts]
+        if not self.by_piece:
+            return self._whole(texts)
+        cut = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
         cache = self.cache
-        new: set[str] = set()
-        for words in cut:
-            new.update(words)
-        new.difference_update(cache)
+        found = [list(map(cache.get, words)) for words in cut]
+        new = {w for words, ids in zip(cut, found) if None in ids for w, i in zip(words, ids) if i is None}
         if new:
-            learned = self._learn(list(new))
-            cache.update(learned)
-        out = [b"".join(map(cache.__getitem__, words)) for words in cut]
-        if new:
-            if len(cache) > MAX_CACHED:
-                cache.clear()
-                cache[""] = b""
-            else:
-                for w in new:
-                    if len(w) > MAX_CACHED_CHARS:
-                        del cache[w]
+            learned = self._learn(new)
+            found = [ids if None not in ids else [learned[w] if i is None else i for w, i in zip(words, ids)]
+                     for words, ids in zip(cut, found)]
+            cache.update((w, i) for w, i in learned.items() if len(w) <= MAX_CACHED_CHARS)
+        out = [b"".join(ids) for ids in found]
+        if len(cache) > MAX_CACHED:  # pieces met first are the frequent ones
+            self.cache = dict(islice(cache.items(), MAX_CACHED // 2))
         return out
 
 
+def shared_encoder(vocabulary: str, plain_specials: bool) -> PieceEncoder:
+    """The encoder of this Python worker, which Spark uses for task after task: what one task has
+    cached serves the next."""
+    place = sys.modules.setdefault("_tollgate_piece_encoders", ModuleType("_tollgate_piece_encoders"))
+    key = (hashlib.sha256(vocabulary.encode()).hexdigest(), plain_specials)
+    held = getattr(place, "held", (None, None))
+    if held[0] != key:
+        place.held = held = (key, PieceEncoder(vocabulary, plain_specials))
+    return held[1]
+
+
 def _encoded(ordered: DataFrame, id_col: str, vocabulary: str, end_id: int, plain_specials: bool) -> DataFrame:
     """part, id, ids, n_tokens and at, in the order of `ordered` (id, text, part)."""
     sent = ordered.sparkSession.sparkContext.broadcast(vocabulary)
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, before = PieceEncoder(sent.value, plain_specials), 0
+        encoder, before = shared_encoder(sent.value, plain_specials), 0
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for a, b in chunks(texts, BATCH_CHARS):
