@@ -46,12 +46,13 @@ from tollgate.operators.ordering import with_ordinal
 from tollgate.plans.materialize import materialize
 
 MOST_WORDS = 3
-BUDGET = 1 << 20        # suffixes of a group
+BUDGET = 1 << 19        # suffixes of a group
 CELLS = 12              # bits of the cell of a prefix
 TABLE = 24              # bits of a place in the table of frequent words
 BLOCK_BITS = 1 << 15    # of one part of that table
-PIECE_BYTES = 4 << 20   # of text hashed at a time
-MOST_AT_ONCE = 1 << 21  # words whose suffixes are counted at a time
+PIECE_BYTES = 1 << 20   # of text hashed at a time
+MOST_AT_ONCE = 1 << 20  # words whose suffixes are counted at a time
+HELD = 300_000          # distinct words that a task keeps before it hands them on
 LONG = 64
 UNDETERMINED = "und"
 _BASES = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
@@ -86,7 +87,7 @@ class Splitter:
         self.seed = seed
         letters = LOWER.astype(np.uint64)
         self.values = [mix(letters * np.uint64(0xD1342543DE82EF95) + np.uint64(2 * seed + 1 + (k << 40))) for k in range(2)]
-        self._grow(1 << 22)
+        self._grow(PIECE_BYTES + (1 << 16))
 
     def _grow(self, n: int) -> None:
         def powers(base: int) -> np.ndarray:
@@ -177,9 +178,9 @@ def word_counts(texts: DataFrame, seed: int) -> DataFrame:
                     None, pa.py_buffer(np.concatenate(([0], ends)).astype(np.int32)), pa.py_buffer(letters.tobytes())])
                 lang = batch.column(1).take(pa.array(at + w.row[which]))
                 held.append(pa.table([pa.array(h.view(np.int64)), lang, word, pa.array(n)], names=["h", "lang", "word", "n"]))
-                if sum(t.num_rows for t in held) > 1_500_000:
+                if sum(t.num_rows for t in held) > 2 * HELD:
                     held = [merged()]
-                    if held[0].num_rows > 750_000:
+                    if held[0].num_rows > HELD:
                         yield from held.pop().combine_chunks().to_batches(100_000)
         if held:
             yield from merged().combine_chunks().to_batches(100_000)
