@@ -35,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tollgate.llm.common import text_of, tidy
@@ -220,33 +220,32 @@ def verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """(class, root) of every class in `edges` (a, b): root is the same within a connected
-    component. Each round hooks every root to its smallest neighbour, shortens the
-    chains of hooks by doubling and contracts the edges, so rounds grow with the
-    logarithm of the component, and a hot root is merged before each shuffle."""
-    nodes = edges.select(F.col("a").alias("class")).union(edges.select("b")).distinct()
-    labels = materialize(nodes.withColumn("root", F.col("class")))
-    left = materialize(edges.where("a <> b").select("a", "b").distinct())
+    component. In each round every class takes the name of the first among itself and its
+    neighbours, and the edges are renamed; an image of a connected graph is connected, so
+    nothing falls apart. The order is by a hash that differs from round to round, so a round
+    leaves a constant part of the classes on average and rounds grow with the logarithm of a
+    component. One checkpoint a round: the edges, from which its renaming follows again."""
+    def renaming(left: DataFrame, seed: int) -> DataFrame:
+        def placed(c: str) -> Column:
+            return F.struct(F.xxhash64(F.lit(seed), c).alias("h"), F.col(c).alias("to"))
+
+        return left.union(left.select("b", "a")).groupBy("a").agg(F.min(placed("b")).alias("x")).select(
+            "a", F.least("x", placed("a"))["to"].alias("to"))
+
+    def renamed(frame: DataFrame, column: str, names: DataFrame) -> DataFrame:
+        side = names.select(F.col("a").alias(column), F.col("to").alias("_to"))
+        return frame.join(side, column, "left").withColumn(column, F.coalesce("_to", column)).drop("_to")
+
+    left = materialize(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    rounds = []
     while not left.isEmpty():
-        both = left.union(left.select("b", "a"))
-        hooks = materialize(both.where("b < a").groupBy("a").agg(F.min("b").alias("to")))
-        while True:
-            onward = hooks.select(F.col("a").alias("to"), F.col("to").alias("next"))
-            longer = materialize(hooks.join(onward, "to", "left").select(
-                "a", F.coalesce("next", "to").alias("to"), F.col("next").isNotNull().alias("moved")))
-            hooks = longer.select("a", "to")
-            if longer.where("moved").isEmpty():
-                break
-        to_root = hooks.select(F.col("a").alias("root"), "to")
-        labels = materialize(labels.join(to_root, "root", "left").select("class", F.coalesce("to", "root").alias("root")))
-
-        def contracted(frame: DataFrame, column: str) -> DataFrame:
-            other = "b" if column == "a" else "a"
-            return frame.join(hooks.select(F.col("a").alias(column), "to"), column, "left").select(
-                F.coalesce("to", column).alias(column), other)
-
-        left = materialize(contracted(contracted(left, "a"), "b").where("a <> b").select(
-            F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    return labels
+        rounds.append(renaming(left, len(rounds)))
+        moved = renamed(renamed(left, "a", rounds[-1]), "b", rounds[-1]).where("a <> b")
+        left = materialize(moved.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    labels = edges.select(F.col("a").alias("class")).union(edges.select("b")).distinct().withColumn("root", F.col("class"))
+    for names in rounds:
+        labels = renamed(labels, "root", names)
+    return materialize(labels)
 
 
 def tiles(members: DataFrame) -> DataFrame:
@@ -302,7 +301,7 @@ def shared_weight(own: list[tuple[np.ndarray, np.ndarray]], idf: np.ndarray) ->
 
 
 def links_within(units: DataFrame, idf: np.ndarray) -> DataFrame:
-    """(a, b): links between classes of different roots in the same unit (unit, class, root,
+    """(a, b): the roots of linked classes of different roots in the same unit (unit, class, root,
     text), as many as connect all that is connected there."""
     sent = units.sparkSession.sparkContext.broadcast(idf)
 
@@ -310,7 +309,7 @@ def links_within(units: DataFrame, idf: np.ndarray) -> DataFrame:
         hasher = WordHasher()
         own = list(bags(frame["text"].tolist(), hasher))
         total, both = shared_weight(own, sent.value)
-        names = frame["class"].tolist()
+        names = frame["root"].tolist()
         group = np.unique(frame["root"], return_inverse=True)[1]
         out: list[tuple[bytes, bytes]] = []
         for i in range(len(names)):
@@ -355,10 +354,10 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     units = tiles(rooted.join(open_buckets, "band").join(classes.select("class", "samples"), "class"))
     rest = materialize(resembling(units))
     more = materialize(links_within(rest.join(texts, "class"), idf))
-    if not more.isEmpty():
-        roots = components(links.union(more))
-    grouped = materialize(signed.select("row", id_col, "text_key", "class").join(roots, "class", "left").select(
-        "row", id_col, "text_key", F.coalesce("root", "class").alias("group")))
+    joined = components(more).select(F.col("class").alias("root"), F.col("root").alias("final"))
+    named = signed.select("row", id_col, "text_key", "class").join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
+    grouped = materialize(named.join(joined, "root", "left").select(
+        "row", id_col, "text_key", F.coalesce("final", "root").alias("group")))
     # on its own, so that the join can split a large group
     keep = materialize(grouped.groupBy("group").agg(
         F.max(F.struct(F.col(id_col).alias("id"), (-F.col("row")).alias("first"))).alias("keep"), F.count("*").alias("group_size")))
