@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as C
-from llm.conftest import SF, edge_rows
+from llm.conftest import SF, edge_rows, words
 from tollgate.llm.common import apply_copies
 from tollgate.llm.mixing import mix
+from tollgate.llm.sharding import place
 
 
 def test_stages_over_documents(spark, documents, tmp_path):
@@ -48,6 +49,26 @@ def test_stages_on_odd_tables(spark, edge, none, tmp_path):
         assert stage(spark, empty, SF).count() == 0
 
 
+CLASHING = ["_slot", "_key", "_copies", "_n", "_copy", "_found", "_ID", "_decided_key", "_rows", "copies", "row", "text_key"]
+
+
+def test_columns_with_the_names_of_helpers_are_kept(spark):
+    """Every stage but the last, and sharding, hand on columns named like their own helpers'."""
+    rows = [(i, words(i % 4, 30), "en", f"s{i % 2}", *[f"{c}{i}" for c in CLASHING]) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, "
+                                 + ", ".join(f"`{c}` string" for c in CLASHING))
+    given = {tuple(r) for r in rows}
+    for name, stage in C.STAGES[1:4]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        got = [tuple(r) for r in out.collect()]
+        assert got and set(got) <= given, name
+    out = C.identify_language(spark, docs, SF)
+    assert out.columns == docs.columns and {tuple(r) for r in out.collect()} <= given
+    placed = place(docs, "doc_id", ["a", "b"])
+    assert placed.columns == [*docs.columns, "shard"] and {tuple(r)[:-1] for r in placed.collect()} == given
+
+
 @pytest.mark.parametrize("bound", [True, False])
 def test_copies_of_repeated_rows(spark, edge, bound, monkeypatch):
     if not bound:  # the way beyond the broadcast

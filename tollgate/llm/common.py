@@ -39,6 +39,14 @@ def text_of(column: str | Column = "text") -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
 
+def unused(name: str, columns) -> str:
+    """`name`, with underscores added until no column has it (names match in any case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z to a-z and nothing else. `lower` does just that on pure ASCII text and has
     a fast path for it; other texts take the slower character map."""
@@ -61,17 +69,19 @@ def apply_copies(docs: DataFrame, decided: DataFrame, id_col: str = "doc_id", te
     than to take a single row once move; they are broadcast where their checked number
     allows it, else both sides are shuffled.
     """
-    keyed = materialize(decided.groupBy(F.col(id_col).alias("_id"), F.col("text_key").alias("_decided_key")).agg(
-        F.sum("copies").cast("int").alias("_copies"), F.count("*").alias("_rows")))
-    others = (F.col("_copies") != 1) | (F.col("_rows") > 1)
+    own = set(docs.columns)
+    key, many, nth, id_name, key_name = (unused(c, own) for c in ("_key", "_copies", "_n", "_id", "_decided_key"))
+    keyed = materialize(decided.groupBy(F.col(id_col).alias(id_name), F.col("text_key").alias(key_name)).agg(
+        F.sum("copies").cast("int").alias(many), F.count("*").alias("_rows")))
+    others = (F.col(many) != 1) | (F.col("_rows") > 1)
     facts = keyed.agg(F.count(F.when(others, 1)).alias("n"), F.max("_rows").alias("most")).first()
     side = keyed.where(others).drop("_rows")
     if fits_broadcast(facts["n"], DECISION_BYTES):
         side = F.broadcast(side)
-    rows = docs.withColumn("_key", F.xxhash64(text_of(text_col)))
-    rows = rows.join(side, rows[id_col].eqNullSafe(side["_id"]) & (rows["_key"] == side["_decided_key"]), "left")
-    rows = rows.withColumn("_copies", F.coalesce("_copies", F.lit(1)))
+    rows = docs.withColumn(key, F.xxhash64(text_of(text_col)))
+    rows = rows.join(side, rows[id_col].eqNullSafe(side[id_name]) & (rows[key] == side[key_name]), "left")
+    rows = rows.withColumn(many, F.coalesce(many, F.lit(1)))
     if (facts["most"] or 1) > 1:
-        rows = rows.withColumn("_n", F.row_number().over(Window.partitionBy(id_col, "_key").orderBy("_copies"))).where("_n = 1")
-    copied = rows.where("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return copied.select(*docs.columns)
+        rows = rows.withColumn(nth, F.row_number().over(Window.partitionBy(id_col, key).orderBy(many))).where(F.col(nth) == 1)
+    copied = rows.where(F.col(many) > 0).withColumn(nth, F.explode(F.sequence(F.lit(1), F.col(many))))
+    return copied.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -19,6 +19,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tollgate.llm.common import unused
+
 MAX_SLOTS = 1 << 20  # the table is broadcast: at most 16 MB
 
 
@@ -62,10 +64,11 @@ def place(df: DataFrame, key: str, shards: list[str], slots: int = 65537,
     if name in df.columns:
         raise ValueError(f"the input already has a column {name!r}")
     table = fill_table(shards, slots, weights)
+    slot = unused("_slot", [*df.columns, name])
     rows = df.sparkSession.createDataFrame(
-        [(i, shards[s]) for i, s in enumerate(table.tolist())], f"_slot int, `{name}` string")
-    return (df.withColumn("_slot", slot_of(F.col(key), slots))
-            .join(F.broadcast(rows), "_slot").drop("_slot"))
+        [(i, shards[s]) for i, s in enumerate(table.tolist())], f"{slot} int, `{name}` string")
+    return (df.withColumn(slot, slot_of(F.col(key), slots))
+            .join(F.broadcast(rows), slot).drop(slot))
 
 
 def write_sharded(df: DataFrame, path: str, tasks: int, name: str = "shard") -> None:
