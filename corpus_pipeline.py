@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollgate.llm import byte_bpe, exact_dedup, language_id, mixing, near_dedup
-from tollgate.llm.common import apply_copies, table
+from tollgate.llm.common import apply_copies, table, unused
 from tollgate.plans.materialize import checkpoint_dir
 
 # a text with a smaller part of its n-grams in any landmark resembles no learned language
@@ -27,8 +27,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     and name a language; where none does, only texts without letters go."""
     model = language_id.fit(docs.where(~language_id.held_out(F.col("doc_id"))), ["doc_id"])
     if model.languages:
-        found = docs.withColumn("_found", language_id.detector(spark, model)(F.col("text")))
-        kept = found.where((F.col("_found.lang_pred") != language_id.UNDETERMINED) & (F.col("_found.known") >= MIN_KNOWN))
+        name = unused("_found", docs.columns)
+        found = docs.withColumn(name, language_id.detector(spark, model)(F.col("text")))
+        kept = found.where((F.col(name)["lang_pred"] != language_id.UNDETERMINED) & (F.col(name)["known"] >= MIN_KNOWN))
     else:
         kept = docs.where(F.col("text").rlike(r"\p{L}"))
     return kept.select(*docs.columns)
