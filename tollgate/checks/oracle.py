@@ -67,7 +67,7 @@ milestone AS (
   FROM (SELECT l_orderkey, l_linenumber, CAST(min(l_shipdate) AS DATE) AS first_ship FROM lineitem GROUP BY 1, 2) m
   JOIN order_prog ON l_orderkey = o_orderkey),
 impact AS (
-  SELECT l_orderkey AS roadmap_id, l_orderkey * 10 + l_linenumber AS milestone_id,
+  SELECT o_orderkey AS roadmap_id, l_orderkey * 10 + l_linenumber AS milestone_id,
          'N' || CAST(p_size % 25 AS VARCHAR) AS base_impact_id, program_id,
          CAST(l_suppkey % 3 AS INTEGER) AS program_currency_id, p_size % 2 = 1 AS financial,
          CASE WHEN l_returnflag <> 'R' THEN CAST(l_shipdate AS DATE) END AS plan_date,
@@ -79,8 +79,9 @@ impact AS (
          CAST(CAST(l_quantity AS DECIMAL(19,4)) - 1 AS DECIMAL(19,4)) AS actual_slope,
          CAST(CAST(l_extendedprice AS DECIMAL(19,4)) + CAST(p_retailprice AS DECIMAL(19,4)) AS DECIMAL(19,4)) AS forecast_intercept,
          CAST(CAST(l_quantity AS DECIMAL(19,4)) + 1 AS DECIMAL(19,4)) AS forecast_slope
-  FROM lineitem JOIN part ON l_partkey = p_partkey JOIN order_prog ON l_orderkey = o_orderkey
-  WHERE l_discount > 0 AND l_orderkey % 4 <> 0),
+  FROM lineitem JOIN part ON l_partkey = p_partkey
+  JOIN order_prog ON o_orderkey = l_orderkey - CASE WHEN l_orderkey > 0 AND l_orderkey % 4 = 0 THEN 1 ELSE 0 END
+  WHERE l_discount > 0),
 base_impact AS (
   SELECT 'R' || CAST(r_regionkey AS VARCHAR) AS base_impact_id, CAST(NULL AS VARCHAR) AS parent_id,
          r_regionkey AS program_id, r_name AS base_impact_name,
@@ -144,7 +145,7 @@ user_role AS (
   JOIN supplier ON s_suppkey = owner),
 tree AS (
   SELECT c_custkey AS project_id,
-         lpad(CAST(program_id AS VARCHAR), 6, '0') || '/' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS path
+         lpad(CAST(program_id AS VARCHAR), 19, '0') || '/' || lpad(CAST(c_custkey AS VARCHAR), 19, '0') AS path
   FROM cust_prog),
 filtered_roadmap AS (SELECT o_orderkey AS roadmap_id, program_id, o_custkey AS project_id FROM order_prog),
 snapshot_in_report AS (
@@ -438,11 +439,14 @@ WHERE fr.program_id = {P.program_id}
     D = q(P.default_milestone_date)
     unp = " UNION ALL ".join(
         f"SELECT roadmap_id, base_impact_id, program_currency_id, financial, '{k}' AS kind, "
-        f"COALESCE({k}_date, {D}) AS d, {k}_intercept AS intercept, {k}_slope AS slope FROM impact "
-        f"WHERE program_id = {P.program_id} AND base_impact_id = '{P.base_impact_id}'"
+        f"COALESCE({k}_date, {D}) AS d, {k}_intercept AS intercept, {k}_slope AS slope FROM picked"
         for k in ("plan", "actual", "forecast")
     )
-    o["multiplier_lookup"] = W() + f"""
+    # computed once each: the picked impacts, and the rates of the days in reach
+    picked = f"""picked AS MATERIALIZED (
+  SELECT * FROM impact WHERE program_id = {P.program_id} AND base_impact_id = '{P.base_impact_id}'),
+reach AS MATERIALIZED (SELECT * FROM multiplier_set_day WHERE day BETWEEN {q(lo)} AND {q(hi)})"""
+    o["multiplier_lookup"] = W(picked) + f"""
 SELECT u.roadmap_id, u.base_impact_id, u.program_currency_id, u.financial, u.kind, u.d,
        CAST(u.intercept AS DOUBLE) AS intercept, CAST(u.slope AS DOUBLE) AS slope,
        CAST(w.exchange_rate AS DOUBLE) AS ex_w, CAST(w.financial_multiplier AS DOUBLE) AS fin_w,
@@ -450,10 +454,8 @@ SELECT u.roadmap_id, u.base_impact_id, u.program_currency_id, u.financial, u.kin
        CAST(t.exchange_rate AS DOUBLE) AS ex_t, CAST(t.financial_multiplier AS DOUBLE) AS fin_t,
        CAST(t.multiplier AS DOUBLE) AS mul_t
 FROM ({unp}) u
-LEFT JOIN multiplier_set_day w ON w.day = u.d AND w.program_currency_id = u.program_currency_id
-     AND w.multiplier_set = {P.multiplier_set_id} AND w.day BETWEEN {q(lo)} AND {q(hi)}
-LEFT JOIN multiplier_set_day t ON t.day = u.d AND t.program_currency_id = u.program_currency_id
-     AND t.multiplier_set = {P.multiplier_set_id_to_date} AND t.day BETWEEN {q(lo)} AND {q(hi)}"""
+LEFT JOIN reach w ON w.day = u.d AND w.program_currency_id = u.program_currency_id AND w.multiplier_set = {P.multiplier_set_id}
+LEFT JOIN reach t ON t.day = u.d AND t.program_currency_id = u.program_currency_id AND t.multiplier_set = {P.multiplier_set_id_to_date}"""
 
     def valuation(p: ReportParams, cols: str) -> str:
         return W(*COMMON, fm_cte(p), imp_cte(p)) + f"""
@@ -465,10 +467,20 @@ SELECT {KEYS}, CAST(numeric_factor AS DOUBLE) AS numeric_factor, {cols} FROM imp
     o["distinct_keys"] = W(*COMMON, fm_cte(P)) + f"\nSELECT DISTINCT {KEYS} FROM fm"
     o["numeric_factor"] = valuation(P_FACTOR, METRICS)
     o["impact_rollup"] = valuation(P, METRICS)
+    o["impact_rollup_stored"] = o["impact_rollup"]
+    # one request after the other
+    from tollgate.plans.queries import REQUESTS
+
+    o["impact_rollup_requests"] = W(*COMMON, *[c for i, p in REQUESTS.items() for c in (fm_cte(p, f"fm{i}"), imp_cte(p, f"fm{i}", f"imp{i}"))]) + \
+        "\n" + "\nUNION ALL ".join(
+            f"SELECT CAST({i} AS INTEGER) AS request_id, {KEYS}, CAST(numeric_factor AS DOUBLE) AS numeric_factor, {METRICS} FROM imp{i}"
+            for i in REQUESTS)
 
     for days in (7, 14):
         o[f"status_asof_{days}"] = W(*COMMON, fm_cte(P_UNSET), status_cte(P, days)) + \
             f"\nSELECT roadmap_id, traffic_light, audit_time, tl_rank FROM s{days}"
+    # plain forms of what the library reads through a key filter and from snapshots
+    o["status_asof_bloom"] = o["status_asof_snapshot"] = o["status_asof_14"]
     asof = f"TIMESTAMP '{P.status_as_of.isoformat()} 00:00:00'"
     o["status_asof_ties"] = W() + f"""
 SELECT roadmap_id, traffic_light, audit_time, tl_rank FROM (

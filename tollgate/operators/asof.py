@@ -26,6 +26,7 @@ def status_as_of(
     min_age_days: int,
     time_col: str = "audit_time",
     n_roadmaps: KeyBound | None = None,
+    budget: int | None = None,
 ) -> DataFrame:
     """(roadmap_id, traffic_light, audit_time, tl_rank) of each roadmap's latest
     audit rows at least `min_age_days` old; ties on the time are all kept.
@@ -36,7 +37,7 @@ def status_as_of(
     """
     rows = audit.where(F.col(time_col) < F.lit(age_cutoff(as_of, min_age_days)).cast("timestamp_ntz"))
     if roadmaps is not None:
-        rows = semi_join_keys(rows, roadmaps, "roadmap_id", n_roadmaps or key_bounds(roadmaps, "roadmap_id")["roadmap_id"])
+        rows = semi_join_keys(rows, roadmaps, "roadmap_id", n_roadmaps or key_bounds(roadmaps, "roadmap_id")["roadmap_id"], budget)
     w = Window.partitionBy("roadmap_id").orderBy(F.col(time_col).desc())
     return (
         rows.select("roadmap_id", "traffic_light", F.col(time_col).alias("audit_time"))

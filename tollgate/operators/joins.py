@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from tollgate.operators.bloom import block_count, bloom_filter, may_match
+
 # A broadcast must fit this budget: checked rows x bytes per row. Above it the join is
 # shuffled, and AQE may still switch it to a broadcast join at runtime from the
 # measured size of the shuffled side.
@@ -53,16 +55,22 @@ def broadcast_checked(df: DataFrame, row_bytes: int = KEY_ROW_BYTES) -> DataFram
     return broadcast_if_bounded(df, df.count(), row_bytes)
 
 
-def semi_join_keys(df: DataFrame, keys: DataFrame, key: str, bound: KeyBound) -> DataFrame:
+def semi_join_keys(df: DataFrame, keys: DataFrame, key: str, bound: KeyBound, budget: int | None = None) -> DataFrame:
     """Rows of df whose `key` occurs in `keys`, before anything else happens to them.
 
     `bound` is the checked size of the key column of `keys`. Within the broadcast budget
     the column is broadcast as it is (a semi join needs no distinct keys, so no
-    shuffle builds it) and the other rows of df are dropped inside its scan stage;
-    beyond it, by a shuffled semi join on the distinct keys. The rows are the same.
+    shuffle builds it) and the other rows of df are dropped inside its scan stage. Beyond
+    it, a Bloom filter of the keys, which is about ten times smaller than numbers and forty times
+    smaller than text ids, drops nearly all of them there, and a shuffled semi join on the distinct
+    keys the rest; beyond the filter's reach too, that join alone. The rows are the same.
     """
-    if bound.fits:
+    budget = BROADCAST_MAX_BYTES if budget is None else budget
+    if bound.rows * bound.row_bytes <= budget:
         return df.join(F.broadcast(keys.select(key)), key, "left_semi")
+    blocks = block_count(bound.rows, budget)
+    if blocks:
+        df = may_match(df, key, bloom_filter(keys, key, blocks), blocks)
     return df.join(keys.select(key).distinct(), key, "left_semi")
 
 

@@ -126,7 +126,12 @@ def impact_rows_with_rates(impact: DataFrame, multiplier_set_day: DataFrame,
     imp = impact.where(F.col("program_id") == p.program_id)
     if p.impact_mode is ImpactMode.SELECTED:
         imp = imp.where(F.col("base_impact_id") == p.base_impact_id)
-    rows = unpivot_dates(imp, p)
+    return with_rates(unpivot_dates(imp, p), multiplier_set_day, program_currency, p, n_currencies)
+
+
+def with_rates(rows: DataFrame, multiplier_set_day: DataFrame, program_currency: DataFrame, p: ReportParams,
+               n_currencies: int | None = None) -> DataFrame:
+    """Dated measures with both sets' rates of their day and currency."""
     rates = multiplier_rates(multiplier_set_day, program_currency, p, n_currencies)
     return rows.join(
         rates,
@@ -164,6 +169,27 @@ def roadmap_totals(impact: DataFrame, multiplier_set_day: DataFrame, program_cur
     decimal sums of each half of each metric, per roadmap and factor."""
     rows = impact_rows_with_rates(impact, multiplier_set_day, program_currency, p,
                                   None if consts is None else consts.n_currencies)
+    return summed(rows, base_impact_factor, p, consts)
+
+
+def stored_totals(totals: DataFrame, multiplier_set_day: DataFrame, program_currency: DataFrame,
+                  base_impact_factor: DataFrame, p: ReportParams) -> DataFrame:
+    """As `roadmap_totals`, from stored daily totals (operators/impact_totals.py): the measures of
+    a day share their rates, so the day's total is valued at once. A total of a day has up to
+    15 digits before the point; beyond that the cast raises."""
+    rows = totals.where(F.col("program_id") == p.program_id)
+    if p.impact_mode is ImpactMode.SELECTED:
+        rows = rows.where(F.col("base_impact_id") == p.base_impact_id)
+    rows = rows.select(
+        "roadmap_id", "base_impact_id", "program_currency_id", "financial", "kind",
+        F.coalesce("d", F.lit(p.default_milestone_date)).alias("d"),
+        F.col("intercept").cast("decimal(19,4)").alias("intercept"), F.col("slope").cast("decimal(19,4)").alias("slope"))
+    return summed(with_rates(rows, multiplier_set_day, program_currency, p), base_impact_factor, p)
+
+
+def summed(rows: DataFrame, base_impact_factor: DataFrame, p: ReportParams,
+           consts: RequestConstants | None = None) -> DataFrame:
+    """The sums of `roadmap_totals` over dated measures with rates."""
     factor = base_impact_factor.where(F.col("program_currency_id") == p.report_currency_id)
     if p.impact_mode is ImpactMode.SELECTED:
         # one base impact and one currency: the factor is a single value

@@ -6,6 +6,8 @@ tables and returns a DataFrame; checks/oracle.py has the matching DuckDB SQL.
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 from decimal import Decimal
 
@@ -24,6 +26,7 @@ from tollgate.functions.labels import (
 from tollgate.operators import cache as C
 from tollgate.operators.asof import status_as_of, status_label
 from tollgate.operators.attributes import NARRATIVE_COLUMNS, attribute_pivot
+from tollgate.operators.bloom import BLOCK_BYTES
 from tollgate.operators.enrich import (
     ROLE_ROADMAP_APPROVER,
     ROLE_ROADMAP_OWNER,
@@ -36,10 +39,13 @@ from tollgate.operators.enrich import (
 from tollgate.operators.filters import due_window
 from tollgate.operators.hierarchy import tree_attributes, tree_path
 from tollgate.operators.joins import NAMED_ROW_BYTES, broadcast_checked, scalar_lookup
+from tollgate.operators.impact_totals import ImpactTotals
 from tollgate.operators.ordering import with_ordinal
-from tollgate.operators.valuation import impact_rows_with_rates
+from tollgate.operators.requests import value_requests
+from tollgate.operators.snapshots import StatusSnapshots
+from tollgate.operators.valuation import impact_rows_with_rates, metric_columns, stored_totals
 from tollgate.params import DEFAULT_PARAMS, ImpactMode, ReportParams
-from tollgate.plans.materialize import materialize
+from tollgate.plans.materialize import checkpoint_dir, materialize
 from tollgate.plans.report import (
     KEY_COLUMNS,
     driving_set,
@@ -59,6 +65,18 @@ P_FACTOR = P.with_(numeric_factor=Decimal("2.5000"))
 # a previous run cached the needed projects of one market segment (snapshot id 8)
 PRIOR_RUN_SNAPSHOT = 8
 
+# requests that differ in windows, sets, base impact, program, default date and horizon
+REQUESTS = {
+    1: P,
+    2: P.with_(base_impact_id="N1", one_time_start=dt.date(1994, 3, 5), one_time_end=dt.date(1998, 2, 28),
+               calculation_date_as_of=dt.date(1997, 7, 7), due_in_next_n_days=90),
+    3: P.with_(multiplier_set_id=2, multiplier_set_id_to_date=1, default_milestone_date=dt.date(1996, 9, 30),
+               include_one_time=False, multiplier_per_year=4),
+    4: P.with_(program_id=2, base_impact_id="N9", numeric_factor=Decimal("2.5000"), recurring_start=dt.date(1999, 1, 1),
+               recurring_end=dt.date(1998, 1, 1), filter_date_start=dt.date(1995, 1, 1)),
+    5: P.with_(report_currency_id=0, default_milestone_date=dt.date(1990, 1, 1), today=dt.date(1998, 1, 1)),
+}
+
 FM_COLUMNS = [*KEY_COLUMNS, "milestone_name", "datedif", *NARRATIVE_COLUMNS]
 METRIC_COLUMNS = ["Plan", "Actual", "Update", "Plan_To_Date", "Actual_To_Date", "Update_To_Date"]
 
@@ -132,6 +150,36 @@ def numeric_factor(spark, sf_dir):
     return _valued(_t(spark, sf_dir), P_FACTOR).select(*KEY_COLUMNS, "numeric_factor", *METRIC_COLUMNS)
 
 
+def impact_rollup_stored(spark, sf_dir):
+    """The rollup from the stored impact view. Its first load has too much and too little:
+    non-financial rows are missing, financial ones have their plan off by one, and the rows of the
+    first currency are there twice; three batches of changes put that right."""
+    t = _t(spark, sf_dir)
+    view = ImpactTotals(spark, f"{checkpoint_dir(spark)}/impact-{uuid.uuid4()}")
+    financial = t.impact.where("financial")
+    wrong = financial.withColumn("plan_intercept", (F.col("plan_intercept") + 1).cast("decimal(19,4)"))
+    first_currency = t.impact.where("program_currency_id = 0")
+
+    def signed(df: DataFrame, sign: int) -> DataFrame:
+        return df.withColumn("sign", F.lit(sign))
+
+    view.load(wrong.unionByName(first_currency))
+    view.apply(signed(t.impact.where("not financial"), 1), 1)
+    view.apply(signed(wrong, -1).unionByName(signed(financial, 1)), 2)
+    view = view.compact()
+    view.apply(signed(first_currency, -1), 1)
+    base, _ = driving_set(t, P)
+    totals = stored_totals(view.read(), t.multiplier_set_day, t.program_currency, t.base_impact_factor, P)
+    return base.select(*KEY_COLUMNS).join(totals, "roadmap_id", "left").select(
+        *KEY_COLUMNS, F.col("numeric_factor").cast("double").alias("numeric_factor"), *metric_columns(P))
+
+
+def impact_rollup_requests(spark, sf_dir):
+    """Several requests valued in one pass over the impacts."""
+    rows = value_requests(_t(spark, sf_dir), REQUESTS)
+    return rows.withColumn("numeric_factor", F.col("numeric_factor").cast("double"))
+
+
 # ---- step 3: status history -------------------------------------------------
 
 def _status(days: int) -> Query:
@@ -143,6 +191,31 @@ def _status(days: int) -> Query:
     return q
 
 
+def status_asof_bloom(spark, sf_dir):
+    """The status 14 days ago with a broadcast budget too small for the keys: a Bloom filter of
+    half their size cuts the history inside its scan, before the exact join shuffles the rest."""
+    t = _t(spark, sf_dir)
+    base, bounds = driving_set(t, P_UNSET)
+    bound = bounds["roadmap_id"]
+    return status_as_of(t.roadmap_audit, base.select("roadmap_id"), P.status_as_of, 14, n_roadmaps=bound,
+                        budget=max(BLOCK_BYTES, bound.rows * bound.row_bytes // 2))
+
+
+def status_asof_snapshot(spark, sf_dir):
+    """The status 14 days ago from a growing history: one batch, a snapshot, a late batch, another
+    snapshot, one more late batch; read are the last snapshot, the rows since and the last batch."""
+    t = _t(spark, sf_dir)
+    history = StatusSnapshots(spark, f"{checkpoint_dir(spark)}/history-{uuid.uuid4()}")
+    audit, light = t.roadmap_audit, F.coalesce("traffic_light", F.lit(0))
+    history.add(audit.where(light < 4))
+    history.take(P.status_as_of - dt.timedelta(days=17))
+    history.add(audit.where(light == 4))
+    history.take(P.status_as_of - dt.timedelta(days=15))
+    history.add(audit.where(light > 4))
+    base, bounds = driving_set(t, P_UNSET)
+    return history.status_as_of(P.status_as_of, 14, base.select("roadmap_id"), bounds["roadmap_id"])
+
+
 def status_asof_ties(spark, sf_dir):
     t = _t(spark, sf_dir)
     audit = t.roadmap_audit.withColumn("audit_time", F.date_trunc("day", "audit_time").cast("timestamp_ntz"))
@@ -380,8 +453,12 @@ QUERIES: dict[str, Query] = {
     "distinct_keys": distinct_keys,
     "numeric_factor": numeric_factor,
     "impact_rollup": impact_rollup,
+    "impact_rollup_stored": impact_rollup_stored,
+    "impact_rollup_requests": impact_rollup_requests,
     "status_asof_7": _status(7),
     "status_asof_14": _status(14),
+    "status_asof_bloom": status_asof_bloom,
+    "status_asof_snapshot": status_asof_snapshot,
     "status_asof_ties": status_asof_ties,
     "status_trend": status_trend,
     "tree_path": q_tree_path,

@@ -182,16 +182,20 @@ def report_rows(t: Tables, p: ReportParams, projects: DataFrame | None = None) -
         "project_id", "project_name", "project_number", "parent_project_id", F.col("project_id").alias("pj_id"))
     stage = broadcast_if_bounded(t.stage.select(F.col("stage_id").alias("rm_stage_id"), "stage_name"),
                                  consts.n_stages, NAMED_ROW_BYTES)
-    # the two inputs that feed several header columns: one pass over each
+    # the roles of the driving set's roadmaps and projects: cut inside the scans, before
+    # the names are joined, made distinct and written
+    roles = prune(t.user_role.where(F.col("role").isin(ROLE_ROADMAP_OWNER, ROLE_ROADMAP_APPROVER)), "roadmap_id").unionByName(
+        prune(t.user_role.where(F.col("role") == ROLE_WORKSTREAM_OWNER), "project_id"))
+    # the two inputs that feed several header columns
     parts = run_concurrently({
         "status": lambda: status_frames(t, p, base, bounds["roadmap_id"]),
-        "roles": lambda: materialize(named_roles(t.user_role, t.users, {
+        "roles": lambda: materialize(named_roles(roles, t.users, {
             ROLE_WORKSTREAM_OWNER: "project_id", ROLE_ROADMAP_OWNER: "roadmap_id", ROLE_ROADMAP_APPROVER: "roadmap_id"})),
     })
     s14, s7 = parts["status"]
 
     def holders(role: int, key: str, name: str) -> DataFrame:
-        return prune(role_holders(parts["roles"], role, key, p.fold_multi_valued), key).withColumnRenamed("holder", name)
+        return role_holders(parts["roles"], role, key, p.fold_multi_valued).withColumnRenamed("holder", name)
 
     def label(status: DataFrame, name: str) -> DataFrame:
         return status_label(status, p.fold_multi_valued).withColumnRenamed("label", name)

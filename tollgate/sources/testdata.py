@@ -12,8 +12,9 @@ checks/oracle.py states the same rules in DuckDB SQL.
   stage              orders.o_orderpriority      stage id = leading digit
   roadmap_stage      orders                      gate plan date, sentinel years on some
   milestone          lineitem + orders           one per (order, line number)
-  impact             lineitem + part + orders    lines with a discount, not of every fourth order;
-                                                 base impact = nation node
+  impact             lineitem + part + orders    lines with a discount; base impact = nation node; the
+                                                 impacts of every fourth order (keys 4, 8, ...) belong
+                                                 to the order before it, whose roadmap carries both
   base_impact        region, nation, customer    three-level tree R / N / C
   base_impact_factor nation                      per nation node and currency
   program_currency,  nation                      first three nations are currencies
@@ -58,6 +59,11 @@ def _id(prefix: str, c: Column) -> Column:
     return F.concat(F.lit(prefix), c.cast("string"))
 
 
+def path_segment(c: Column) -> Column:
+    """An id at the width of the widest bigint, so that text order is id order."""
+    return F.lpad(c.cast("string"), 19, "0")
+
+
 def derive_tables(spark: SparkSession, sf_dir: str) -> Tables:
     region = _read(spark, sf_dir, "region")
     nation = _read(spark, sf_dir, "nation")
@@ -158,12 +164,15 @@ def derive_tables(spark: SparkSession, sf_dir: str) -> Tables:
     )
 
     ship = F.to_date("l_shipdate")
+    # every line counts: some roadmaps have no impact because another carries theirs
+    carrier = F.when((F.col("l_orderkey") % 4 == 0) & (F.col("l_orderkey") > 0), F.col("l_orderkey") - 1).otherwise(F.col("l_orderkey"))
     impact = (
-        lineitem.where((F.col("l_discount") > 0) & (F.col("l_orderkey") % 4 != 0))
+        lineitem.where(F.col("l_discount") > 0)
         .join(part.select("p_partkey", "p_size", "p_retailprice"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(order_prog.select("o_orderkey", "program_id"), F.col("l_orderkey") == F.col("o_orderkey"))
+        .withColumn("carrier", carrier)
+        .join(order_prog.select("o_orderkey", "program_id"), F.col("carrier") == F.col("o_orderkey"))
         .select(
-            F.col("l_orderkey").alias("roadmap_id"),
+            F.col("carrier").alias("roadmap_id"),
             (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("milestone_id"),
             _id("N", F.col("p_size") % 25).alias("base_impact_id"),
             "program_id",
@@ -295,8 +304,7 @@ def derive_tables(spark: SparkSession, sf_dir: str) -> Tables:
 
     tree = cust_prog.select(
         F.col("c_custkey").alias("project_id"),
-        F.concat(F.lpad(F.col("program_id").cast("string"), 6, "0"), F.lit("/"),
-                 F.lpad(F.col("c_custkey").cast("string"), 6, "0")).alias("path"),
+        F.concat(path_segment(F.col("program_id")), F.lit("/"), path_segment(F.col("c_custkey"))).alias("path"),
     )
 
     filtered_roadmap = order_prog.select(
