@@ -514,6 +514,36 @@ LEFT JOIN s14 ON s14.roadmap_id = r.roadmap_id LEFT JOIN s7 ON s7.roadmap_id = r
     o["tree_sorted"] = W(tree_cte, attrs_sql) + """
 SELECT *, row_number() OVER (ORDER BY BaseImpactPath, BaseImpactID) AS PathPosition FROM ta"""
 
+    key = "seg || ' ' || base_impact_id"
+    o["tree_order"] = W(f"""tp AS (
+  WITH RECURSIVE b AS (SELECT *, {seg} AS seg FROM base_impact),
+  t(base_impact_id, parent_id, path) AS (
+    SELECT base_impact_id, parent_id, [{key}] FROM b WHERE parent_id IS NULL AND program_id = {P.program_id}
+    UNION ALL
+    SELECT c.base_impact_id, c.parent_id, list_append(t.path, c.seg || ' ' || c.base_impact_id) FROM b c JOIN t ON c.parent_id = t.base_impact_id)
+  SELECT * FROM t)""") + """
+SELECT base_impact_id, parent_id, row_number() OVER (ORDER BY path) AS position, CAST(len(path) AS INTEGER) AS depth FROM tp"""
+
+    # the literal seven joins, counted; the lists by attribute
+    fan_joins = "\n  ".join(
+        f"LEFT JOIN milestone_attribute a{k} ON a{k}.milestone_id = m.milestone_id AND a{k}.attribute_id = {k}" for k in range(1, 8))
+    fan_values = ", ".join(f"a{k}.text_value AS v{k}" for k in range(1, 8))
+    fan_lists = ",\n    ".join(
+        f"COALESCE(string_agg(text_value || ' x' || CAST(times AS VARCHAR), ' | ' ORDER BY text_value) FILTER (WHERE attribute_id = {k}), '') AS {n}"
+        for k, n in enumerate(NARR, start=1))
+    fan_names = ", ".join(f"COALESCE(l.{n}, '') AS {n}" for n in NARR)
+    o["attr_join_fanout"] = W(f"""joined AS (
+  SELECT m.milestone_id, {fan_values} FROM milestone m
+  {fan_joins}),
+counted AS (
+  SELECT milestone_id, count(*) AS literal_rows, count(DISTINCT (v1, v2, v3, v4, v5, v6, v7)) AS distinct_rows FROM joined GROUP BY 1),
+lists AS (
+  SELECT milestone_id,
+    {fan_lists}
+  FROM (SELECT milestone_id, attribute_id, text_value, count(*) AS times FROM milestone_attribute GROUP BY ALL) GROUP BY 1)""") + f"""
+SELECT c.milestone_id, literal_rows, distinct_rows, {fan_names}
+FROM counted c LEFT JOIN lists l ON l.milestone_id = c.milestone_id"""
+
     o["attr_pivot"] = W(attr_cte()) + "\nSELECT * FROM attr"
     narr = ", ".join(f"n.{c}" for c in NARR)
     o["null_key_join"] = W(*COMMON, fm_cte(P_UNSET)) + f""",

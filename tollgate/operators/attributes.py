@@ -49,3 +49,33 @@ def attribute_pivot(milestone_attribute: DataFrame, milestones: DataFrame | None
         for name in names
     ]
     return values.groupBy("milestone_id").agg(*lists).select("milestone_id", *folded)
+
+
+def attribute_fanout(milestone_attribute: DataFrame, milestones: DataFrame, attribute_ids: dict | None = None) -> DataFrame:
+    """The source's seven attribute joins in factorised form: per milestone of `milestones` (milestone_id, once each),
+    a list per attribute of (value, times), sorted, plus `literal_rows`, the rows those joins give,
+    and `distinct_rows`, how many of them differ.
+
+    A joined row takes one value of each attribute, so it stands there as often as the product of its
+    values' times, and the rows are the product of the lists' sums; an attribute without
+    rows counts once, with NULL. The lists say everything the product does in the sum of their
+    sizes: no combination is ever made. Repeats are merged in every task before the
+    shuffle. A count beyond 38 digits is an error.
+    """
+    ids = attribute_ids or NARRATIVE_ATTRIBUTES
+    names = list(ids.values())
+    times = milestone_attribute.where(F.col("attribute_id").isin(list(ids))).groupBy("milestone_id", "attribute_id", "text_value").agg(
+        F.count("*").alias("times"))
+    value = F.struct(F.col("text_value").alias("value"), "times")
+    lists = times.groupBy("milestone_id").agg(
+        *[F.array_sort(F.collect_list(F.when(F.col("attribute_id") == k, value))).alias(name) for k, name in ids.items()])
+    one = F.lit(1).cast("decimal(38,0)")
+    rows, different = one, one
+    for name in names:
+        n = F.aggregate(name, F.lit(0).cast("bigint"), lambda total, x: total + x["times"])
+        rows = (rows * F.when(F.size(name) > 0, n).otherwise(1).cast("decimal(19,0)")).cast("decimal(38,0)")
+        different = (different * F.when(F.size(name) > 0, F.size(name)).otherwise(1).cast("decimal(10,0)")).cast("decimal(38,0)")
+    empty = F.array().cast(lists.schema[names[0]].dataType)
+    whole = milestones.select("milestone_id").join(lists, "milestone_id", "left").select(
+        "milestone_id", *[F.coalesce(F.col(name), empty).alias(name) for name in names])
+    return whole.withColumn("literal_rows", rows).withColumn("distinct_rows", different)

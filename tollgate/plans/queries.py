@@ -25,7 +25,7 @@ from tollgate.functions.labels import (
 )
 from tollgate.operators import cache as C
 from tollgate.operators.asof import status_as_of, status_label
-from tollgate.operators.attributes import NARRATIVE_COLUMNS, attribute_pivot
+from tollgate.operators.attributes import NARRATIVE_COLUMNS, attribute_fanout, attribute_pivot
 from tollgate.operators.bloom import BLOCK_BYTES
 from tollgate.operators.enrich import (
     ROLE_ROADMAP_APPROVER,
@@ -43,6 +43,7 @@ from tollgate.operators.impact_totals import ImpactTotals
 from tollgate.operators.ordering import with_ordinal
 from tollgate.operators.requests import value_requests
 from tollgate.operators.snapshots import StatusSnapshots
+from tollgate.operators.tree_order import tree_order
 from tollgate.operators.valuation import impact_rows_with_rates, metric_columns, stored_totals
 from tollgate.params import DEFAULT_PARAMS, ImpactMode, ReportParams
 from tollgate.plans.materialize import checkpoint_dir, materialize
@@ -252,12 +253,28 @@ def tree_sorted(spark, sf_dir):
     return with_ordinal(attrs, ["BaseImpactPath", "BaseImpactID"], "PathPosition")
 
 
+def q_tree_order(spark, sf_dir):
+    return tree_order(spark, _t(spark, sf_dir).base_impact, P.program_id)
+
+
 # ---- step 5: attributes -----------------------------------------------------
 
 def attr_pivot(spark, sf_dir):
     return attribute_pivot(_t(spark, sf_dir).milestone_attribute)
 
 
+def attr_join_fanout(spark, sf_dir):
+    """How many rows the source's seven attribute joins give per milestone, and the values they are made of."""
+    t = _t(spark, sf_dir)
+    fan = attribute_fanout(t.milestone_attribute, t.milestone)
+
+    def listed(name: str) -> F.Column:
+        return F.array_join(F.transform(name, lambda x: F.concat(x["value"], F.lit(" x"), x["times"].cast("string"))), " | ").alias(name)
+
+    return fan.select("milestone_id", F.col("literal_rows").cast("bigint").alias("literal_rows"),
+                      F.col("distinct_rows").cast("bigint").alias("distinct_rows"), *[listed(c) for c in NARRATIVE_COLUMNS])
+
+
 def null_key_join(spark, sf_dir):
     """Keys joined to the milestone set on (roadmap, milestone, base impact) with plain
     equality, where every other milestone has a NULL base impact: those match nothing."""
@@ -464,7 +481,9 @@ QUERIES: dict[str, Query] = {
     "tree_path": q_tree_path,
     "tree_attributes": q_tree_attributes,
     "tree_sorted": tree_sorted,
+    "tree_order": q_tree_order,
     "attr_pivot": attr_pivot,
+    "attr_join_fanout": attr_join_fanout,
     "null_key_join": null_key_join,
     "traffic_light": q_traffic_light,
     "owner_name": owner_name,
