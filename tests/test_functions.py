@@ -1,8 +1,13 @@
 import datetime as dt
+import html
+import html.entities
+import re
 from decimal import Decimal
+from html.parser import HTMLParser
 
 from pyspark.sql import functions as F
 
+from tollgate.functions.html import decode_references, strip_html
 from tollgate.functions.labels import (
     day_diff,
     flag,
@@ -11,7 +16,6 @@ from tollgate.functions.labels import (
     roadmap_url,
     sentinel_datetime,
     sort_segment,
-    strip_html,
     traffic_light,
 )
 
@@ -62,14 +66,81 @@ def test_urls(spark):
 
 
 def test_strip_html_whole_text(spark):
-    html = ("<html><head><style>p{x:1}</style><script>var t='</p>';</script></head><body><!-- c -->"
+    page = ("<html><head><style>p{x:1}</style><script>var t='</p>';</script></head><body><!-- c -->"
             "<p>Fish &amp; chips&nbsp;&lt;3</p>\n\n<p>end</p></body></html>")
-    assert one(spark, strip_html(F.col("h")), "h string", [(html,)]) == ["Fish & chips <3 end"]
+    assert one(spark, strip_html(F.col("h")), "h string", [(page,)]) == ["Fish & chips <3 end"]
     long = "<p>" + " ".join(["word"] * 50000) + "</p>"
     out = one(spark, strip_html(F.col("h")), "h string", [(long,)])[0]
     assert out.count("word") == 50000
 
 
+class VisibleText(HTMLParser):
+    """The standard library's reading of a page: its text outside script and style."""
+
+    def __init__(self):
+        super().__init__()
+        self.parts, self.raw = [], False
+
+    def handle_starttag(self, tag, attrs):
+        self.raw = tag in ("script", "style")
+        self.parts.append(" ")
+
+    def handle_endtag(self, tag):
+        self.raw = False
+        self.parts.append(" ")
+
+    def handle_data(self, data):
+        if not self.raw:
+            self.parts.append(data)
+
+    def handle_other(self, data):
+        self.parts.append(" ")
+
+    handle_comment = handle_decl = handle_pi = unknown_decl = handle_other
+
+
+def visible(page):
+    parser = VisibleText()
+    parser.feed(page)
+    parser.close()
+    return re.sub("[ \t\n\r\f\u00a0]+", " ", "".join(parser.parts)).strip(" ")
+
+
+def test_references_equal_the_standard_library(spark):
+    texts = [f"a&{name}b &{name}" for name in html.entities.html5]
+    texts += [f"&#{n};&#x{n:X};&#{n} x" for n in (*range(0, 0x180), 0xD7FF, 0xD800, 0xDFFF, 0xE000, 0xFDD0, 0xFEFF, 0xFFFD, 0xFFFE,
+                                                  0xFFFF, 0x10000, 0x1F600, 0x1FFFE, 0x10FFFF, 0x110000, 10**7, 10**30)]
+    texts += ["", "&", "&&amp;&", "&amp;lt;", "&#;", "&#x;", "&#xg", "&#0065;", "&#x00041", "&notit;", "&notin;", "&ampamp;", "&unknown;",
+              "&am", "&" + "a" * 40 + ";", "&#X41;&#X41g", "&copy&copy;2", "AT&T &lt<b>", "&\tamp;", "&lt\n;", None]
+    got = one(spark, decode_references(F.col("h")), "h string", [(t,) for t in texts])
+    assert got == [None if t is None else html.unescape(t) for t in texts]
+
+
+def test_visible_text_equals_the_standard_library_on_all_pages(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html", strip_html(F.col("html")).alias("text"))
+    wrong = [(r.html[-200:], r.text[-200:], visible(r.html)[-200:]) for r in pages.collect() if r.text != visible(r.html)]
+    assert not wrong, (len(wrong), wrong[:2])
+
+
+def test_visible_text_of_nested_and_unclosed_markup(spark):
+    cases = {
+        None: None, "": "", "  plain  text ": "plain text",
+        "a<script>x<!-- </script>b --> c": "a b --> c",              # a comment inside a script is script
+        "a<!-- <script> --> b </script>c": "a b c",                  # a script inside a comment is comment
+        "a<style>p</script>q</style>b": "a b",                       # only its own end tag closes it
+        "a<script>x</style>y": "a",                                  # never closed
+        "a<!-- never closed <p>b": "a",
+        "a<p class='x": "a",
+        "a<SCRIPT type='t'>x</Script >b": "a b",
+        "a<scripted>b</scripted>": "a b",
+        "1 < 2 and 3 > 2": "1 < 2 and 3 > 2",                        # no tag starts with a blank
+        "<!DOCTYPE html><p>a&lt;b&gt;</p>": "a<b>",                  # decoded text is not markup
+        "x&nbsp;&#160; y": "x y",
+    }
+    got = one(spark, strip_html(F.col("h")), "h string", [(t,) for t in cases])
+    assert got == list(cases.values())
+
+
 def test_distinct_rows_under_collation(spark):
     from tollgate.functions.text import distinct_rows
 

@@ -185,11 +185,14 @@ def sentinel(expr: str) -> str:
 
 
 def strip_html(expr: str) -> str:
-    s = f"regexp_replace({expr}, '(?is)<(script|style)\\b.*?</(script|style)\\s*>', ' ', 'g')"
-    s = f"regexp_replace({s}, '(?s)<!--.*?-->', ' ', 'g')"
-    s = f"regexp_replace({s}, '<[^>]*>', ' ', 'g')"
-    for ent, ch in [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "), ("&amp;", "&")]:
-        s = f"replace({s}, '{ent}', '{ch}')"
+    """The constructs and references that the pages hold; tests/test_functions.py has the others."""
+    closed = "([^>]*>.*?(</{0}\\b[^>]*(>|\\z)|\\z)|[^>]*\\z)"
+    markup = "|".join([r"<!--.*?(-->|\z)", "<script\\b" + closed.format("script"), "<style\\b" + closed.format("style"),
+                       r"</?[a-z][^>]*(>|\z)", r"<[!?/][^>]*(>|\z)"])
+    s = f"regexp_replace({expr}, '(?is){markup}', ' ', 'g')"
+    for name, ch in [("lt", "<"), ("gt", ">"), ("quot", '"'), ("#39", "''"), ("nbsp", " "), ("copy", "\u00a9"),
+                     ("middot", "\u00b7"), ("amp", "&")]:
+        s = f"regexp_replace({s}, '&{name};?', '{ch}', 'g')"
     s = f"regexp_replace({s}, '[ \\t\\n\\r\\f]+', ' ', 'g')"
     return f"trim({s})"
 

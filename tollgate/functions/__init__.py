@@ -1,3 +1,4 @@
+from tollgate.functions.html import strip_html
 from tollgate.functions.labels import (
     day_diff,
     flag,
@@ -6,7 +7,6 @@ from tollgate.functions.labels import (
     roadmap_url,
     sentinel_datetime,
     sort_segment,
-    strip_html,
     traffic_light,
 )
 

@@ -23,15 +23,6 @@ NAME_SEPARATOR = ", "
 # Dates whose year is not after this one are placeholders and report as NULL.
 SENTINEL_YEAR = 1900
 
-# HTML entities decoded by strip_html (our own definition; '&amp;' goes last so
-# that '&amp;lt;' decodes once, to '&lt;').
-HTML_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
-# Java regex and RE2 (DuckDB) read these patterns the same way.
-HTML_DROP_BLOCKS = r"(?is)<(script|style)\b.*?</(script|style)\s*>"
-HTML_COMMENT = r"(?s)<!--.*?-->"
-HTML_TAG = r"<[^>]*>"
-WHITESPACE_RUN = r"[ \t\n\r\f]+"
-
 
 def traffic_light(code: Column) -> Column:
     """Code 1..4 -> label, anything else (NULL included) -> 'Red'."""
@@ -73,21 +64,6 @@ def sort_segment(sort_order: Column) -> Column:
     return F.concat(F.lit("::"), F.right(F.concat(F.lit("000"), n), F.lit(3)))
 
 
-def strip_html(html: Column) -> Column:
-    """Visible text of an HTML fragment, over the whole text.
-
-    Drops script/style bodies and comments, turns every tag into a space, decodes
-    a few common entities, collapses whitespace runs to one space and trims.
-    """
-    s = F.regexp_replace(html, HTML_DROP_BLOCKS, " ")
-    s = F.regexp_replace(s, HTML_COMMENT, " ")
-    s = F.regexp_replace(s, HTML_TAG, " ")
-    for ent, ch in HTML_ENTITIES:
-        s = F.replace(s, F.lit(ent), F.lit(ch))
-    s = F.regexp_replace(s, WHITESPACE_RUN, " ")
-    return F.trim(s)
-
-
 def project_url(program_id: Column, project_id: Column, parent_project_id: Column) -> Column:
     """Project page link; the project id is blank for a project without a parent."""
     pid = F.when(parent_project_id.isNull(), F.lit("")).otherwise(project_id.cast("string"))

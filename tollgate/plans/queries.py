@@ -14,13 +14,13 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tollgate.functions.html import strip_html
 from tollgate.functions.labels import (
     day_diff,
     person_name,
     project_url,
     roadmap_url,
     sentinel_datetime,
-    strip_html,
     traffic_light,
 )
 from tollgate.operators import cache as C

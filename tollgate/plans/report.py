@@ -21,13 +21,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tollgate.functions.html import strip_html
 from tollgate.functions.labels import (
     TRAFFIC_LIGHT_DEFAULT,
     day_diff,
     project_url,
     roadmap_url,
     sentinel_datetime,
-    strip_html,
     traffic_light,
 )
 from tollgate.functions.text import distinct_rows
