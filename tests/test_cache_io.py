@@ -1,9 +1,12 @@
 """The cache writer and the whole request flow, on the sf0.001 test tables."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
-from tollgate.operators.cache import CACHE_COLUMNS, ReportCache
+from tollgate.operators.cache import CACHE_COLUMNS, ReportCache, cache_schema, read_back
+from tollgate.operators.joins import PUSHED_KEYS, KeyBound, stored_rows_of
 from tollgate.params import DEFAULT_PARAMS, ImpactMode
 from tollgate.plans.run import compute_cache_rows, run_report
 from tollgate.sources import derive_tables
@@ -231,3 +234,76 @@ def test_text_ids_run_the_whole_request(spark, tables, tmp_path):
     assert sorted(map(key, got)) == sorted(map(key, want)) and got
     assert {r.RM_ID for r in got} == {text("roadmap_id", r.RM_ID) for r in want}
     assert all(r.ProjectURL.startswith("ng-program-tree/project?programId=" + p.program_id) for r in got)
+
+
+def _filler(spark, projects, per_project, snapshot):
+    """Cache rows of so many projects, their ids scattered over the whole range."""
+    df = spark.range(projects * per_project).select(
+        (F.col("id") % projects * 7919 % 1_000_003).alias("P_ID"), F.col("id").alias("A_FK_Milestone"))
+    given = {"A_FK_REPORT_CACHE": DEFAULT_PARAMS.report_cache_id, "A_FK_REPORT_FILTER_CACHE": DEFAULT_PARAMS.report_filter_cache_id,
+             "A_FK_SNAPSHOT": snapshot, "A_ROADMAP_SUBSET_HASH": 5, "A_FK_BASE_IMPACT": "N3"}
+    types = dict(c.split(" ", 1) for c in cache_schema().replace("`", "").split(", "))
+    at = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    return df.select(*[
+        F.col(c) if c in df.columns else at.alias(c) if c == "A_LAST_MODIFIED_FOR_CACHE_UTC"
+        else F.lit(given.get(c)).cast(types[c]).alias(c) for c in CACHE_COLUMNS])
+
+
+def _rows_read(df):
+    """Rows that the file scans of df, a plan without shuffles, hand on by their own metric."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    scans = [leaves.apply(i) for i in range(leaves.size())]
+    return sum(s.metrics().apply("numOutputRows").value() for s in scans if s.metrics().contains("numFiles"))
+
+
+def _request(spark, ids, snapshot):
+    ddl = "project_id bigint, snapshot_id int, last_modified timestamp_ntz, subset_hash bigint"
+    return spark.createDataFrame([(i, snapshot, dt.datetime(2024, 1, 1), 5) for i in ids], ddl)
+
+
+def test_small_request_reads_few_rows_of_a_large_cache(spark, tmp_path):
+    cache, plain = ReportCache(spark, str(tmp_path / "cache")), str(tmp_path / "plain")
+    cache.merge(_filler(spark, 3000, 20, 1))
+    cache.merge(_filler(spark, 3000, 20, 2))
+    n = cache.table().count()
+    assert n == 120_000
+    cache.table().repartition(4).write.partitionBy("A_FK_REPORT_CACHE", "A_FK_REPORT_FILTER_CACHE").parquet(plain)
+    ids = [7919 * k % 1_000_003 for k in (5, 1700, 2999)]
+    for wanted in ([ids[0]], ids, [None, -4], []):
+        request = _request(spark, wanted, 2)
+        got = cache.read_back(request, DEFAULT_PARAMS).collect()
+        expected = read_back(spark.read.schema(cache_schema()).parquet(plain).select(*CACHE_COLUMNS), request, DEFAULT_PARAMS)
+        assert sorted((r.P_ID, r.A_FK_Milestone) for r in got) == sorted((r.P_ID, r.A_FK_Milestone) for r in expected.collect())
+        assert len(got) == 20 * len([w for w in wanted if w in ids])
+        projects = request.select(F.col("project_id").alias("P_ID"))
+        read = _rows_read(stored_rows_of(cache.table(), projects, "P_ID", KeyBound(len(wanted))))
+        assert len(got) <= read <= n // 5, (wanted, read)
+
+
+def test_request_beyond_the_pushed_keys(spark, tmp_path):
+    """More projects than are pushed one by one: their range is pushed, the join does the rest."""
+    cache = ReportCache(spark, str(tmp_path))
+    cache.merge(_filler(spark, 3000, 4, 1))
+    ids = sorted(7919 * k % 1_000_003 for k in range(3000))[:2 * PUSHED_KEYS:2]
+    ids += [i + 1 for i in ids if i + 1 not in ids]
+    got = cache.read_back(_request(spark, ids, 1), DEFAULT_PARAMS).collect()
+    expected = {r.P_ID for r in cache.table().select("P_ID").distinct().collect()} & set(ids)
+    assert {r.P_ID for r in got} == expected and len(got) == 4 * len(expected)
+
+
+def test_cache_files_have_bloom_filters_and_sorted_projects(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    cache = ReportCache(spark, str(tmp_path))
+    cache.merge(_filler(spark, 3000, 20, 1))
+    files = list((tmp_path / "report_cache").rglob("*.parquet"))
+    assert files
+    for f in files:
+        meta = pq.ParquetFile(f).metadata
+        for g in range(meta.num_row_groups):
+            columns = {meta.row_group(g).column(i).path_in_schema: meta.row_group(g).column(i) for i in range(meta.num_columns)}
+            # the reader looks a value up in a chunk's dictionary, or, without one, in its Bloom filter
+            assert columns["P_ID"].has_dictionary_page or columns["P_ID"].bloom_filter_offset is not None
+        ids = pq.read_table(f, columns=["P_ID"]).column("P_ID").to_pylist()
+        assert ids == sorted(ids)

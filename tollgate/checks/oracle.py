@@ -612,6 +612,7 @@ SELECT project_id, EXISTS (SELECT 1 FROM snapshot_needed) AS gate_open FROM snap
 SELECT {P.report_cache_id} AS A_FK_REPORT_CACHE, {P.report_filter_cache_id} AS A_FK_REPORT_FILTER_CACHE,
        project_id, snapshot_id, last_modified, subset_hash FROM snapshot_needed"""
     o["cache_read_back"] = W(*COMMON, *cache_ctes(P)) + f"\nSELECT {cols} FROM readback"
+    o["cache_stored_read_back"] = o["cache_read_back"]
     rcols = ", ".join(f"r.{c}" for c in CACHE_COLS)
     order = ", ".join(f"{c} NULLS FIRST" for c in (
         "t.path", "r.DELAY_OVERDUE", "r.A_FK_Milestone", "r.RM_ID", "r.RM_OWNER", "r.RM_APPROVER", "r.WS_OWNER",

@@ -2,7 +2,9 @@
 
 The cache is a parquet table partitioned by (A_FK_REPORT_CACHE,
 A_FK_REPORT_FILTER_CACHE), so a read-back for one report prunes to its own
-directories. A merge appends only the rows whose 8-column key is not in the
+directories. Within one, each merge's files are range-clustered on the project and hold Bloom
+filters of it, so the anti join of a merge and a read-back skip the row groups and pages of
+other projects: the table grows with every project cached, a request touches a few. A merge appends only the rows whose 8-column key is not in the
 table yet (there is no update or delete branch). Keys compare with plain
 equality: a row with a NULL key column (a NULL base impact) never matches and is
 appended again on every run, as the source semantics require.
@@ -22,7 +24,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollgate.operators.joins import key_bounds, semi_join_keys
+from tollgate.operators.joins import key_bounds, stored_rows_of
 from tollgate.operators.ordering import with_ordinal
 from tollgate.params import ReportParams
 
@@ -51,6 +53,14 @@ _TYPES = {
     "A_ROADMAP_SUBSET_HASH": "bigint", "A_DICE_ENABLED": "boolean",
 }
 MERGE_KEY = [*ID_COLUMNS, *SNAPSHOT_COLUMNS, "P_ID", "A_FK_Milestone", "A_FK_BASE_IMPACT"]
+# Order of the rows in the files. The milestone splits a project that holds many of the rows.
+CLUSTER_KEY = [*ID_COLUMNS, "P_ID", "A_FK_Milestone"]
+# Row groups and pages small enough that a request's projects touch few; the size of a
+# Bloom filter follows the number of values in its row group.
+FILE_OPTIONS = {
+    "parquet.block.size": str(32 << 20), "parquet.page.row.count.limit": "2000",
+    "parquet.bloom.filter.enabled#P_ID": "true", "parquet.bloom.filter.adaptive.enabled": "true",
+}
 MARKER_COLUMNS = [*ID_COLUMNS, "project_id", "snapshot_id", "last_modified", "subset_hash", "marked_at"]
 MARKER_KEY = MARKER_COLUMNS[:-1]
 
@@ -128,7 +138,7 @@ def read_back(cache: DataFrame, in_report: DataFrame, p: ReportParams) -> DataFr
     """Cache rows of the report's project snapshots (all 52 columns). The cache partition
     is first cut to their projects."""
     projects = in_report.select(F.col("project_id").alias("P_ID"))
-    c = semi_join_keys(cache.where(_ids_match(p)), projects, "P_ID", key_bounds(projects, "P_ID")["P_ID"])
+    c = stored_rows_of(cache.where(_ids_match(p)), projects, "P_ID", key_bounds(projects, "P_ID")["P_ID"])
     r = snapshot_columns(in_report).withColumnRenamed("project_id", "r_project_id")
     cond = (
         (c.A_FK_SNAPSHOT == r.A_FK_SNAPSHOT)
@@ -201,9 +211,10 @@ class ReportCache:
             target = target.where(_ids_match(p))
         if needed is not None:
             projects = needed.select(F.col("project_id").alias("P_ID"))
-            target = semi_join_keys(target, projects, "P_ID", key_bounds(projects, "P_ID")["P_ID"])
+            target = stored_rows_of(target, projects, "P_ID", key_bounds(projects, "P_ID")["P_ID"])
         rows = rows_to_insert(new_rows.select(*CACHE_COLUMNS), target)
-        rows.write.mode("append").partitionBy(*ID_COLUMNS).parquet(self.table_path)
+        clustered = rows.repartitionByRange(*CLUSTER_KEY).sortWithinPartitions(*CLUSTER_KEY)
+        clustered.write.mode("append").partitionBy(*ID_COLUMNS).options(**FILE_OPTIONS).parquet(self.table_path)
 
     def mark(self, needed: DataFrame, p: ReportParams) -> None:
         """Record the needed project snapshots as cached (after the merge committed).

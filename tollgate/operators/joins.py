@@ -18,6 +18,9 @@ BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 KEY_ROW_BYTES = 16     # one fixed-width key
 WIDE_ROW_BYTES = 96    # a day, a currency and six decimal(18,6) rates
 NAMED_ROW_BYTES = 64   # an id and a short name or a decimal
+# Up to so many keys are pushed into a Parquet scan as values (session.py lets the reader
+# take as many one by one), more as their range.
+PUSHED_KEYS = 200
 
 
 @dataclasses.dataclass(frozen=True)
@@ -74,6 +77,20 @@ def semi_join_keys(df: DataFrame, keys: DataFrame, key: str, bound: KeyBound, bu
     return df.join(keys.select(key).distinct(), key, "left_semi")
 
 
+def stored_rows_of(df: DataFrame, keys: DataFrame, key: str, bound: KeyBound) -> DataFrame:
+    """Rows of a stored table whose `key` occurs in `keys`, cut where the files are read.
+
+    Parquet statistics, dictionaries and Bloom filters know predicates, not joins. Up to PUSHED_KEYS
+    checked rows the keys themselves become the predicate, so row groups and pages without any of
+    them are not read, and the predicate is exact. Beyond that the range of the keys is the
+    predicate, and `semi_join_keys` drops what is left between them. Null keys match nothing."""
+    if bound.rows <= PUSHED_KEYS:
+        found = keys.select(key).where(F.col(key).isNotNull()).distinct().collect()
+        return df.where(F.col(key).isin(sorted(r[0] for r in found)))
+    ends = keys.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).first()
+    return semi_join_keys(df.where(F.col(key).between(ends["lo"], ends["hi"])), keys, key, bound)
+
+
 def row_lookup(df: DataFrame, *columns: str) -> dict:
     """Values of `columns` in a lookup that yields at most one row ({col: None, ...}
     for no row), in one small job.

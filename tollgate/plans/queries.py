@@ -453,6 +453,17 @@ def cache_read_back(spark, sf_dir):
     return C.read_back(C.merged(new_rows, target), t.snapshot_in_report, P)
 
 
+def cache_stored_read_back(spark, sf_dir):
+    """The read-back from cache files, after two merges into them (the second run's rows meet the
+    first one's), as a request reads them."""
+    t = _t(spark, sf_dir)
+    new_rows, target = _cache_parts(t, P)
+    cache = C.ReportCache(spark, f"{checkpoint_dir(spark)}/cache-{uuid.uuid4()}")
+    cache.merge(target, P, t.snapshot_needed.where(F.col("snapshot_id") == PRIOR_RUN_SNAPSHOT))
+    cache.merge(new_rows, P, t.snapshot_needed)
+    return cache.read_back(t.snapshot_in_report, P)
+
+
 def final_report(spark, sf_dir):
     t = _t(spark, sf_dir)
     new_rows, target = _cache_parts(t, P)
@@ -504,5 +515,6 @@ QUERIES: dict[str, Query] = {
     "cache_after_merge": cache_after_merge,
     "cached_project_markers": cached_project_markers,
     "cache_read_back": cache_read_back,
+    "cache_stored_read_back": cache_stored_read_back,
     "final_report": final_report,
 }

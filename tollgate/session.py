@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from tollgate.operators.joins import PUSHED_KEYS
+
 # Runtime SQL settings: adaptive execution re-plans joins from measured sizes, splits
 # skewed shuffle partitions and coalesces small ones. An aggregate (the report's
 # DISTINCTs) shuffles on all of its keys instead of inheriting the partitioning of
@@ -17,6 +19,8 @@ RECOMMENDED_SQL_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.requireAllClusterKeysForDistribution": "true",
     "spark.sql.session.timeZone": "UTC",
+    # the keys of a small request reach Parquet's Bloom filters and dictionaries one by one
+    "spark.sql.parquet.pushdown.inFilterThreshold": str(PUSHED_KEYS),
 }
 
 
