@@ -6,6 +6,7 @@ import ctypes
 import string
 from collections.abc import Callable, Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -16,16 +17,34 @@ from tollgate.plans.materialize import materialize
 DECISION_BYTES = 128  # of a decision in a broadcast table
 
 
+def give_back() -> None:
+    """Freed memory of this worker to the system: Spark keeps the worker for later tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not in every C library
+    if trim is not None:
+        trim(0)
+
+
 def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
-    """`run`, after which the worker gives freed memory back: Spark keeps it for later tasks."""
+    """`run` over batches, after which the worker gives freed memory back."""
     def inner(batches: Iterator) -> Iterator:
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not in every C library
-            if trim is not None:
-                trim(0)
+            give_back()
+
+    return inner
+
+
+def tidy_group(run: Callable[[pd.DataFrame], pd.DataFrame], rows: int = 256) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """`run` over a group, after which the worker gives freed memory back where the group had
+    `rows` or more (a small one frees little, and there may be very many)."""
+    def inner(frame: pd.DataFrame) -> pd.DataFrame:
+        try:
+            return run(frame)
+        finally:
+            if len(frame) >= rows:
+                give_back()
 
     return inner
 

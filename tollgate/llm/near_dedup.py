@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tollgate.llm.common import text_of, tidy
+from tollgate.llm.common import text_of, tidy, tidy_group
 from tollgate.llm.words import WordHasher, chunks, mix, shingles
 from tollgate.operators.joins import fits_broadcast
 from tollgate.plans.materialize import materialize
@@ -273,7 +273,7 @@ def resembling(units: DataFrame) -> DataFrame:
         return frame.loc[like, ["unit", "class", "root"]]
 
     return units.select("unit", "class", "root", "samples").groupBy("unit").applyInPandas(
-        run, "unit bigint, class binary, root binary")
+        tidy_group(run), "unit bigint, class binary, root binary")
 
 
 def shared_weight(own: list[tuple[np.ndarray, np.ndarray]], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -322,7 +322,7 @@ def links_within(units: DataFrame, idf: np.ndarray) -> DataFrame:
                 group[group == group[new[0]]] = group[i]
         return pd.DataFrame(out, columns=["a", "b"])
 
-    return units.groupBy("unit").applyInPandas(run, "a binary, b binary")
+    return units.groupBy("unit").applyInPandas(tidy_group(run), "a binary, b binary")
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
