@@ -39,18 +39,29 @@ def base_rule(host, path):
     return max(fits)[1:] if fits else (None, None)
 
 
-def mined_reference(transactions, min_support, min_confidence, min_count):
-    """Every token combination counted outright."""
+def mined_reference(transactions, min_support, min_confidence, min_count, min_lift=1.1):
+    """Every combination of the tokens that tell something, counted outright."""
     n = len(transactions)
     need = max(min_support, min_count / max(n, 1)) * n
-    total, bad = Counter(), Counter()
+    rows_of = defaultdict(list)
+    for i, (tokens, _) in enumerate(transactions):
+        for t in tokens:
+            rows_of[t].append(i)
+    alike = defaultdict(list)
+    for t, rows in rows_of.items():
+        if len(rows) < n:
+            alike[tuple(rows)].append(t)
+    telling = {min(ts) for ts in alike.values()}
+    total, of_class = Counter(), Counter()
     for tokens, blocked in transactions:
-        for k in range(1, len(tokens) + 1):
-            for c in itertools.combinations(tokens, k):
+        here = [t for t in tokens if t in telling]
+        for k in range(1, len(here) + 1):
+            for c in itertools.combinations(here, k):
                 total[c] += 1
-                bad[c] += blocked
-    return {c: (bad[c], bad[c] / total[c]) for c in total
-            if bad[c] >= need - 1e-9 and bad[c] / total[c] >= min_confidence}
+                of_class[c, "block" if blocked else "allow"] += 1
+    share = Counter("block" if b else "allow" for _, b in transactions)
+    return {(c, v): (k, k / total[c]) for (c, v), k in of_class.items()
+            if k >= need - 1e-9 and k / total[c] >= max(min_confidence, min_lift * (share[v] / n))}
 
 
 def url_rows():
@@ -65,10 +76,12 @@ def url_rows():
 def test_mined_rules_match_brute_force(spark):
     labelled = spark.createDataFrame([(u, b) for _, u, b in url_rows()], "url string, blocked boolean")
     host, path = U.url_host(F.col("url")), U.url_path(F.col("url"))
-    tokens = labelled.select(U.url_tokens(F.col("url"), host, path).alias("tokens"), "blocked")
+    tokens = labelled.select(F.monotonically_increasing_id().alias("row"),
+                             U.url_tokens(F.col("url"), host, path).alias("tokens"), "blocked")
     want = mined_reference([(tuple(r.tokens), r.blocked) for r in tokens.collect()], 0.05, 0.7, 5)
-    got = {tuple(r.antecedent): (r.support_count, r.confidence) for r in U.mine_rules(tokens, 0.05, 0.7, 5).collect()}
-    assert got.keys() == want.keys() and len(want) > 5
+    got = {(tuple(r.antecedent), r.verdict): (r.support_count, r.confidence)
+           for r in U.mine_rules(tokens, 0.05, 0.7, 5, 1.1).collect()}
+    assert got.keys() == want.keys() and {v for _, v in want} == {"allow", "block"} and len(want) > 3
     assert all(got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) < 1e-9 for k in want)
 
 
@@ -91,10 +104,11 @@ def test_judged_urls(spark):
     for i, u in urls:
         by_id[i].append(u)
     for r in got:
-        fit = [(-c, -s, " & ".join(a)) for a, (s, c) in rules.items() if set(a) <= tokens[by_id[r.page_id][0]]]
-        best = min(fit) if fit else (None, None, None)
+        fit = [(-c, -s, " & ".join(a), v) for (a, v), (s, c) in rules.items() if set(a) <= tokens[by_id[r.page_id][0]]]
+        best = min(fit) if fit else (None, None, None, "allow")
         assert r.mined_rule == best[2]
-        assert r.verdict == (base_rule(r.host, r.path)[1] or ("block" if fit else "allow"))
+        assert r.verdict == (base_rule(r.host, r.path)[1] or best[3])
+    assert {r.verdict for r in got if r.rule is None and r.mined_rule} == {"allow", "block"}
 
 
 def labelled_tokens(spark, labelled):
@@ -102,6 +116,15 @@ def labelled_tokens(spark, labelled):
     return [(r.t, r.blocked) for r in rows.collect()]
 
 
+def test_tokens_that_go_together_add_no_combinations(spark):
+    """Forty tokens of one host would have 2 ** 40 frequent sets."""
+    long_host = ".".join(f"t{i}" for i in range(40))
+    rows = [(f"https://{long_host if i % 2 else 'good'}.com/{i}", i % 2 == 1) for i in range(40)]
+    pages = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(rows)], "page_id bigint, url string")
+    got = U.judge_urls(pages, spark.createDataFrame(rows, "url string, blocked boolean")).collect()
+    assert {(r.page_id % 2 == 1, r.verdict, r.mined_rule) for r in got} == {(True, "block", "h:t0"), (False, "allow", "h:good")}
+
+
 def test_urls_without_labels_or_pages(spark):
     pages = spark.createDataFrame([(1, "http://a.net/x"), (2, None)], "page_id bigint, url string")
     nothing = spark.createDataFrame([], "url string, blocked boolean")
@@ -117,6 +140,7 @@ def test_url_query(spark):
         host, path = split_url(urls[r.page_id])
         rule, verdict = base_rule(host, path)
         assert (r.host, r.path, r.rule) == (host, path, rule) and (rule is None or r.verdict == verdict)
+    assert sum(r.mined_rule is not None for r in got) > 0
 
 
 # ---- secret scan ------------------------------------------------------------
@@ -167,6 +191,15 @@ def test_ownership_tells_examples_from_live_secrets(spark):
     assert got[200] == []  # one that four owners have
 
 
+def test_many_repositories_of_one_owner_make_an_example(spark):
+    value, rare = "ZQ8VT2MLK9XWPB47RDHJ", "Zq8vT2mLk9XwPb47RdHj"
+    rows = [(i, f"see {value} {rare if i < 19 else ''}", "owner") for i in range(20)] + [(50, f"token={value}", "owner")]
+    got = {r.doc_id: r.hits for r in S.scan_secrets(spark.createDataFrame(rows, "doc_id bigint, text string, source string")).collect()}
+    assert [(h["class"], h["n_repos"]) for h in got[50]] == [("example", 21)]
+    assert [(h["class"], h["n_repos"], h["start"]) for h in got[3]] == [("live", 19, 25)]
+    assert got[19] == []
+
+
 def test_secret_edge_cases(edge, none):
     got = S.scan_secrets(edge).collect()
     assert Counter(r.doc_id for r in got) == Counter(r[0] for r in edge_rows())

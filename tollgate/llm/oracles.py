@@ -6,9 +6,13 @@ step by step and xxhash64 is not in DuckDB, so sharding is tested by brute force
 
 from __future__ import annotations
 
-from tollgate.llm.fingerprint import LEAF
-from tollgate.llm.secret_scan import ACCESS, ASSIGN, HEX, OPAQUE
-from tollgate.llm.url_filter import BASE_RULES
+# fixed values, stated here again so that a wrong one in an operator shows
+BASE_RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
+NAMES = ("password", "passwd", "secret", "token", "api_?key")
+ASSIGN = ("(" + "|".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in name) for name in NAMES) + ")"
+          + r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+ACCESS, HEX, OPAQUE = "AKIA[A-Z0-9]{16,}", "[0-9a-f]{24,}", "[A-Za-z0-9_-]{20,}"
+LEAF = r"(?:[^ ]*[^ .!?] +){0,15}[^ ]+ *| +"
 
 
 def _text(s: str) -> str:
@@ -19,7 +23,7 @@ def _lower(expr: str) -> str:
     return f"translate({expr}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
-def _url_filter(min_support: float = 0.002, min_confidence: float = 0.6, min_count: int = 10) -> str:
+def _url_filter(min_support: float = 0.002, min_confidence: float = 0.6, min_count: int = 10, min_lift: float = 1.1) -> str:
     def items(prefix: str, parts: str) -> str:
         return f"list_transform(list_filter({parts}, lambda x: x <> ''), lambda x: '{prefix}' || x)"
 
@@ -42,30 +46,41 @@ parsed AS (
     CASE {cases} END AS rule
   FROM parts),
 labelled AS (
-  SELECT tokens, coalesce(quality = 0 OR toxic = 1, FALSE) AS blocked FROM parsed
+  SELECT row_number() OVER () AS r, tokens, coalesce(quality = 0 OR toxic = 1, FALSE) AS blocked FROM parsed
   JOIN labels ON doc_id = TRY_CAST(regexp_extract(u, '://[^/?#]*[^?#]*?/([0-9]+)', 1) AS BIGINT)),
+rows_of AS (
+  SELECT token, list(r ORDER BY r) AS rs FROM (SELECT r, unnest(tokens) AS token FROM labelled) GROUP BY token),
+telling AS (
+  SELECT min(token) AS token FROM rows_of WHERE len(rs) < (SELECT count(*) FROM labelled) GROUP BY rs),
 sets AS (
   SELECT list_filter(tokens, lambda x, i: (mask >> (i - 1)) & 1 = 1) AS s, blocked
-  FROM (SELECT tokens, blocked, unnest(range(1, CAST(pow(2, len(tokens)) AS BIGINT))) AS mask FROM labelled)),
+  FROM (SELECT tokens, blocked, unnest(range(1, CAST(pow(2, len(tokens)) AS BIGINT))) AS mask
+        FROM (SELECT r, blocked, list_filter(tokens, lambda x: list_contains(known, x)) AS tokens
+              FROM labelled, (SELECT coalesce(list(token), []) AS known FROM telling)))),
+counts AS (
+  SELECT s, count(*) AS n, count(*) FILTER (WHERE blocked) AS bad FROM sets GROUP BY s),
+total AS (SELECT count(*) AS n, count(*) FILTER (WHERE blocked) AS bad FROM labelled),
 rules AS (
-  SELECT s, count(*) FILTER (WHERE blocked) AS support, count(*) FILTER (WHERE blocked) / count(*) AS confidence
-  FROM sets GROUP BY s
-  HAVING count(*) FILTER (WHERE blocked) >= greatest({min_count}, (SELECT ceil({min_support} * count(*)) FROM labelled))
-     AND count(*) FILTER (WHERE blocked) / count(*) >= {min_confidence}),
+  SELECT s, verdict, support, support / c.n AS confidence
+  FROM (SELECT s, n, 'block' AS verdict, bad AS support FROM counts
+        UNION ALL SELECT s, n, 'allow', n - bad FROM counts) c, total
+  WHERE support >= greatest({min_count}, ceil({min_support} * total.n))
+    AND support / c.n >= {min_confidence}
+    AND support / c.n >= CAST({min_lift} AS DOUBLE) * (CASE verdict WHEN 'block' THEN total.bad ELSE total.n - total.bad END / total.n)),
 best AS (
-  SELECT t.tokens, arg_min({{'r': array_to_string(s, ' & '), 'c': confidence}},
-                           {{'c': -confidence, 's': -support, 'r': array_to_string(s, ' & ')}}) AS b
+  SELECT t.tokens, arg_min({{'r': array_to_string(s, ' & '), 'c': confidence, 'v': verdict}},
+                           {{'c': -confidence, 's': -support, 'r': array_to_string(s, ' & '), 'v': verdict}}) AS b
   FROM (SELECT DISTINCT tokens FROM parsed) t JOIN rules ON list_has_all(t.tokens, s) GROUP BY t.tokens)
 SELECT page_id, host, path, rule,
-       coalesce(CASE rule {verdicts} END, CASE WHEN b IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict,
+       coalesce(CASE rule {verdicts} END, b.v, 'allow') AS verdict,
        b.r AS mined_rule, CAST(b.c AS DOUBLE) AS mined_confidence
 FROM parsed LEFT JOIN best USING (tokens)"""
 
 
-def _secret_scan(example_owners: int = 3) -> str:
+def _secret_scan(example_owners: int = 3, example_repos: int = 20) -> str:
     kinds = [("assign", ASSIGN, 2, "length(v) >= 6"), ("access", ACCESS, 0, "TRUE"), ("hex", HEX, 0, "TRUE"),
-             ("opaque", OPAQUE, 0, "length(v) >= 20 AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[a-z]') "
-              "AND regexp_matches(v, '[A-Z]') AND len(list_distinct(string_split(v, ''))) >= 10")]
+             ("opaque", OPAQUE, 0, "length(v) >= 20 AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Z]') "
+              "AND len(list_distinct(string_split(v, ''))) >= 10")]
     one = []
     for k, (name, pattern, group, keep) in enumerate(kinds):
         p = _text(pattern)
@@ -84,9 +99,11 @@ spans AS (
   SELECT * FROM found f WHERE kind < 3 OR NOT EXISTS (
     SELECT 1 FROM found g WHERE g.r = f.r AND g.kind < 3 AND g.start < f.stop AND f.start < g.stop)),
 owned AS (
-  SELECT v, count(*) AS n_owners FROM (SELECT DISTINCT v, source FROM spans) GROUP BY v),
+  SELECT v, count(DISTINCT (source IS NULL, source)) AS n_owners,
+         count(DISTINCT (source IS NULL, source, doc_id IS NULL, doc_id)) AS n_repos
+  FROM spans GROUP BY v),
 judged AS (
-  SELECT s.*, CASE WHEN n_owners >= {example_owners} THEN 'example'
+  SELECT s.*, CASE WHEN n_owners >= {example_owners} OR n_repos >= {example_repos} THEN 'example'
     WHEN n_owners = 1 AND length(s.v) >= 16 AND regexp_matches(s.v, '[0-9]') AND regexp_matches(s.v, '[A-Za-z]')
          AND len(list_distinct(string_split(s.v, ''))) >= 8 THEN 'live' ELSE 'unclear' END AS class
   FROM spans s JOIN owned o ON o.v = s.v),

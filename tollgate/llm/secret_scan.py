@@ -1,10 +1,11 @@
 r"""Secret scan with corpus-wide ownership frequency.
 
 Every text is searched for candidate values of four kinds: assignments, access ids and
-hex keys (always reported) and opaque tokens (long runs that mix letter cases and
-digits). Each distinct value is counted over the corpus: in how many repositories and
-under how many owners it occurs. A value under many owners is a widely copied example; one
-that a single owner has, and that looks random, is live-looking. Opaque tokens are
+hex keys (always reported) and opaque tokens (long varied runs with digits and capital
+letters). Each distinct value is counted over the corpus: in how many repositories and
+under how many owners it occurs. A value under many owners, or in many repositories of few
+owners, is a widely copied example; one that a single owner has in few repositories, and
+that looks random, is live-looking. Opaque tokens are
 reported only where they are live-looking and no other span overlaps them.
 
 Spans are code point offsets, end exclusive, of the whole match. Spark has no function
@@ -77,14 +78,14 @@ def ownership(candidates: DataFrame) -> DataFrame:
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
-                 example_owners: int = 3) -> DataFrame:
+                 example_owners: int = 3, example_repos: int = 20) -> DataFrame:
     """One row per document: id and `hits`, the array of (start, kind, end, value_hash,
-    class, n_repos, n_owners) in order of start and kind. `class` is live (one owner,
-    random-looking), example (at least `example_owners` owners) or unclear. A document
+    class, n_repos, n_owners) in order of start and kind. `class` is example (at least `example_owners`
+    owners or `example_repos` repositories), else live (one owner, random-looking), else unclear. A document
     is its own repository; `owner_col` names its owner."""
     text = text_of(text_col)
     opaque = F.filter(matches(text, OPAQUE, 3), lambda h: looks_random(h["value"], 20, 10)
-                      & h["value"].rlike("[a-z]") & h["value"].rlike("[A-Z]"))
+                      & h["value"].rlike("[A-Z]"))
     found = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(id_col), F.col(owner_col).alias("owner"),
         matches(text, ASSIGN, 0, 2, ASSIGN_MIN).alias("a"), matches(text, ACCESS, 1).alias("b"),
@@ -99,7 +100,8 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # on its own, so that the join can split a value that very many documents have
     counts = materialize(ownership(seen.select(F.col("hit.value_hash").alias("value_hash"), "owner", "repo")))
     judged = seen.withColumn("value_hash", F.col("hit.value_hash")).join(counts, "value_hash")
-    verdict = (F.when(F.col("n_owners") >= example_owners, "example")
+    copied = (F.col("n_owners") >= example_owners) | (F.col("n_repos") >= example_repos)
+    verdict = (F.when(copied, "example")
                .when((F.col("n_owners") == 1) & F.col("hit.random"), "live").otherwise("unclear"))
     hit = F.struct("hit.start", "hit.kind", "hit.end", "value_hash", verdict.alias("class"), "n_repos", "n_owners")
     # a document's hits are one cell of its own row, not a group over documents

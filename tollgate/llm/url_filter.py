@@ -2,14 +2,17 @@
 
 Hand-kept rules decide first; the longest that fits wins. The other URLs are judged by
 rules that FP-growth mines: each labelled URL is a transaction of its tokens and its
-class, and a token combination whose support and confidence for the class `block` reach
-the thresholds is a rule. Rules are looked up through an inverted index that posts each
-rule under its rarest token; a URL meets only the rules posted under its own tokens.
+class (block or allow), and a token combination whose support, confidence for a class and lift
+over the class's share reach the thresholds is a rule for that class. Rules are looked up through an
+inverted index that posts each rule under its rarest token; a URL meets only the rules posted
+under its own tokens, and the most confident one that fits decides.
 
 Defined results: a null URL, or one without `://`, has empty host and path, no tokens and
 no rule, so it is allowed. Repeated rows and repeated page ids each keep their own row.
-No labelled URL, or no rule that passes, leaves the hand-kept rules alone. Columns of the
-input other than the id and the URL are not read, so their names cannot clash.
+No labelled URL, or no rule that passes, leaves the hand-kept rules alone. Tokens that all
+labelled URLs have tell nothing and are in no rule; of tokens that occur in the same labelled URLs
+the first by text stands for all, so tokens that always go together add no combinations.
+Columns of the input other than the id and the URL are not read, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from tollgate.plans.materialize import materialize
 
 BLOCK, ALLOW = "block", "allow"
 CLASS_ITEM = "class:"
-RULE_ROW_BYTES = 512
+RULE_BYTES = 128  # of an index row beside its texts
 
 # fixed values: the rules the query is asked to start from
 BASE_RULES = (("net/", BLOCK), ("example.net/en/", ALLOW), ("example.com/de/", BLOCK), ("org/fr/", ALLOW))
@@ -74,51 +77,71 @@ def longest_rule(host: Column, path: Column, rules) -> Column:
     return F.coalesce(*hits) if hits else F.lit(None).cast("struct<rule:string,verdict:string>")
 
 
-def mine_rules(labelled: DataFrame, min_support: float, min_confidence: float, min_count: int) -> DataFrame:
-    """Rules from `labelled` (tokens array<string>, blocked boolean): antecedent
-    array<string> (sorted), support_count, confidence. A rule needs `min_support` of
-    the labelled URLs and at least `min_count` of them. FP-growth runs on Spark; only
+def telling_tokens(labelled: DataFrame, n: int) -> DataFrame:
+    """(row, tokens) of `labelled` (row, tokens) without tokens that all `n` rows have, and with one
+    token, the first by text, of those that occur in the same rows. Sets of rows are told apart by their
+    size and the sums of two hashes of their rows, so no list of rows is gathered."""
+    each = labelled.select("row", F.explode("tokens").alias("token"))
+    hashes = [F.sum(F.xxhash64(F.lit(seed), "row").cast("decimal(20,0)")).alias(f"h{seed}") for seed in (0, 1)]
+    rows_of = each.groupBy("token").agg(F.count("*").alias("n"), *hashes).where(F.col("n") < n)
+    first = materialize(rows_of.groupBy("n", "h0", "h1").agg(F.min("token").alias("token")).select("token"))
+    return each.join(first, "token").groupBy("row").agg(F.array_sort(F.collect_list("token")).alias("tokens"))
+
+
+def mine_rules(labelled: DataFrame, min_support: float, min_confidence: float, min_count: int,
+               min_lift: float) -> DataFrame:
+    """Rules from `labelled` (row, tokens array<string>, blocked boolean): antecedent
+    array<string> (sorted), verdict, support_count, confidence. A rule needs `min_support` of
+    the labelled URLs and at least `min_count` of them, and a confidence of `min_confidence` and of
+    `min_lift` times its class's share of them. FP-growth runs on Spark; only
     its table of single frequent items (at most tokens of a URL / min_support) passes
     through the driver."""
-    items = labelled.select(F.concat("tokens", F.array(
-        F.concat(F.lit(CLASS_ITEM), F.when(F.col("blocked"), BLOCK).otherwise(ALLOW)))).alias("items"))
-    n = items.count()
-    support = max(min_support, (min_count - 0.5) / max(n, 1))
+    total = labelled.agg(F.count("*").alias("n"), F.count(F.when(F.col("blocked"), 1)).alias("blocked")).first()
+    n = total["n"]
     if n < min_count:  # fewer labelled URLs than a rule needs
         return labelled.sparkSession.createDataFrame(
-            [], "antecedent array<string>, support_count bigint, confidence double")
+            [], "antecedent array<string>, verdict string, support_count bigint, confidence double")
+    of_class = F.concat(F.lit(CLASS_ITEM), F.when(F.col("blocked"), BLOCK).otherwise(ALLOW))
+    telling = labelled.select("row", "blocked").join(telling_tokens(labelled, n), "row", "left")
+    items = materialize(telling.select(
+        F.concat(F.coalesce("tokens", F.array().cast("array<string>")), F.array(of_class)).alias("items")))
+    support = max(min_support, (min_count - 0.5) / n)
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(items)
-    mined = model.associationRules.where(F.col("consequent")[0] == CLASS_ITEM + BLOCK)
-    return mined.select(F.array_sort("antecedent").alias("antecedent"),
-                        F.round(F.col("support") * n).cast("bigint").alias("support_count"), "confidence")
+    share = F.when(F.col("verdict") == BLOCK, F.lit(total["blocked"] / n)).otherwise(F.lit((n - total["blocked"]) / n))
+    mined = model.associationRules.where(F.col("consequent")[0].startswith(CLASS_ITEM)).withColumn(
+        "verdict", F.substring(F.col("consequent")[0], len(CLASS_ITEM) + 1, 1 << 20))
+    return mined.where(F.col("confidence") >= F.lit(float(min_lift)) * share).select(
+        F.array_sort("antecedent").alias("antecedent"), "verdict",
+        F.round(F.col("support") * n).cast("bigint").alias("support_count"), "confidence")
 
 
 def match_rules(token_sets: DataFrame, rules: DataFrame) -> DataFrame:
     """For each row of `token_sets` (distinct `tokens` arrays) that some rule fits: the
-    most confident such rule (then most support, then by text) as mined_rule and
-    mined_confidence."""
+    most confident such rule (then most support, then by text) as mined_rule,
+    mined_verdict and mined_confidence."""
     rules = materialize(rules.withColumn("rule_text", F.array_join("antecedent", " & ")))
-    n_rules = rules.count()
-    postings = rules.select("rule_text", F.explode("antecedent").alias("token"))
+    size = rules.agg(F.count("*").alias("n"), F.max(F.octet_length("rule_text")).alias("longest")).first()
+    postings = rules.select("rule_text", F.explode("antecedent").alias("token")).distinct()
     # a token in many rules is a frequent token: the fewer rules it is in, the rarer
     weight = postings.groupBy("token").agg(F.count("*").alias("n"))
     pivot = (postings.join(weight, "token").groupBy("rule_text")
              .agg(F.min(F.struct("n", "token")).alias("rarest"))
              .select("rule_text", F.col("rarest.token").alias("token")))
     index = rules.join(pivot, "rule_text").select(
-        "token", "antecedent", "rule_text", "support_count", "confidence")
-    if fits_broadcast(n_rules, RULE_ROW_BYTES):
+        "token", "antecedent", "rule_text", "verdict", "support_count", "confidence")
+    # the rule's tokens stand in a row as text, as a list (16 bytes a token more) and once more as the key
+    if fits_broadcast(size["n"], RULE_BYTES + 20 * (size["longest"] or 0)):
         index = F.broadcast(index)
     met = token_sets.select("tokens", F.explode("tokens").alias("token")).join(index, "token")
     fit = met.where(F.size(F.array_except("antecedent", "tokens")) == 0)
     best = fit.groupBy("tokens").agg(F.min(F.struct(
-        (-F.col("confidence")).alias("c"), (-F.col("support_count")).alias("s"), "rule_text")).alias("b"))
-    return best.select("tokens", F.col("b.rule_text").alias("mined_rule"),
+        (-F.col("confidence")).alias("c"), (-F.col("support_count")).alias("s"), "rule_text", "verdict")).alias("b"))
+    return best.select("tokens", F.col("b.rule_text").alias("mined_rule"), F.col("b.verdict").alias("mined_verdict"),
                        (-F.col("b.c")).alias("mined_confidence"))
 
 
 def judge_urls(pages: DataFrame, labelled_urls: DataFrame, rules=BASE_RULES, min_support: float = 0.002,
-               min_confidence: float = 0.6, min_count: int = 10, id_col: str = "page_id",
+               min_confidence: float = 0.6, min_count: int = 10, min_lift: float = 1.1, id_col: str = "page_id",
                url_col: str = "url") -> DataFrame:
     """One row per page: id, host, path, rule, verdict, mined_rule, mined_confidence.
 
@@ -130,13 +153,13 @@ def judge_urls(pages: DataFrame, labelled_urls: DataFrame, rules=BASE_RULES, min
     url = F.col(url_col)
     host, path = url_host(url), url_path(url)
     parsed = pages.select(id_col, host.alias("host"), path.alias("path"), url_tokens(url, host, path).alias("tokens"))
-    labelled = labelled_urls.select(url_tokens(url, host, path).alias("tokens"),
+    labelled = labelled_urls.select(F.monotonically_increasing_id().alias("row"), url_tokens(url, host, path).alias("tokens"),
                                     F.coalesce("blocked", F.lit(False)).alias("blocked"))
-    mined = mine_rules(materialize(labelled), min_support, min_confidence, min_count)
+    mined = mine_rules(materialize(labelled), min_support, min_confidence, min_count, min_lift)
     # on its own, so that the join can split a token set that very many URLs have
     hits = materialize(match_rules(parsed.select("tokens").distinct(), mined))
     hand = longest_rule(F.col("host"), F.col("path"), rules)
     judged = parsed.join(hits, "tokens", "left").withColumn("hand", hand)
-    method = F.when(F.col("mined_rule").isNotNull(), BLOCK).otherwise(ALLOW)
+    method = F.coalesce("mined_verdict", F.lit(ALLOW))
     return judged.select(id_col, "host", "path", F.col("hand.rule").alias("rule"),
                          F.coalesce("hand.verdict", method).alias("verdict"), "mined_rule", "mined_confidence")
