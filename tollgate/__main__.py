@@ -46,7 +46,7 @@ def parser() -> argparse.ArgumentParser:
     ap.add_argument("--exclude-one-time", action="store_true")
     ap.add_argument("--exclude-recurring", action="store_true")
     ap.add_argument("--text-collation", default=None,
-                    help="collation of text in the report's DISTINCTs, e.g. UNICODE_CI_RTRIM (default: binary)")
+                    help="collation of the report's text keys and DISTINCTs, e.g. UNICODE_CI_RTRIM (default: binary)")
     ap.add_argument("--text-ids", action="store_true", help="the tables' ids are texts (GUIDs), not numbers")
     ap.add_argument("--fold-multi-valued", action="store_true",
                     help="one cell for several holders of a role or tied statuses, not one row each")

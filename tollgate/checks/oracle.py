@@ -160,6 +160,34 @@ snapshot_needed AS (
   FROM customer WHERE c_acctbal > 0)
 """
 
+# The relations in several spellings (plans/queries.py `_spelled`) with one spelling a key: lower case
+# without trailing blanks; an attribute's value as the first of its spellings. Second accounts
+# of holders differ in case only, so their names are those of the first.
+_TYPED = DOMAIN.strip()
+for _name in ("impact", "base_impact", "base_impact_factor", "milestone_attribute"):
+    _TYPED = _TYPED.replace(f"\n{_name} AS (", f"\n{_name}_given AS (")
+SPELLED_DOMAIN = _TYPED + """,
+impact AS (
+  SELECT * REPLACE (rtrim(lower(CASE WHEN financial THEN lower(base_impact_id) || '  ' ELSE base_impact_id END)) AS base_impact_id)
+  FROM impact_given),
+base_impact AS (
+  SELECT * REPLACE (
+    rtrim(lower(CASE WHEN timing = 2 THEN lower(parent_id) || '  ' ELSE parent_id END)) AS parent_id,
+    rtrim(lower(CASE WHEN calculated THEN lower(base_impact_id) ELSE base_impact_id END)) AS base_impact_id)
+  FROM base_impact_given),
+base_impact_factor AS (SELECT * REPLACE (rtrim(lower(base_impact_id || ' ')) AS base_impact_id) FROM base_impact_factor_given),
+milestone_attribute AS (
+  SELECT milestone_id, attribute_id,
+         min(text_value) OVER (PARTITION BY milestone_id, attribute_id, rtrim(lower(text_value))) AS text_value
+  FROM (SELECT * FROM milestone_attribute_given UNION ALL
+        SELECT milestone_id, attribute_id, lower(text_value) || '  ' FROM milestone_attribute_given))"""
+
+
+def spelled(sql: str) -> str:
+    """The same query over the relations in several spellings."""
+    return sql.replace(DOMAIN.strip(), SPELLED_DOMAIN)
+
+
 def with_domain(*ctes: str) -> str:
     body = DOMAIN.strip()
     extra = ",\n".join(c.strip() for c in ctes if c.strip())
@@ -602,6 +630,12 @@ LEFT JOIN roadmap_stage rs ON rs.roadmap_id = rmv.roadmap_id AND rs.stage_id = {
     o["report_result"] = W(*COMMON, *result_ctes(P)) + "\nSELECT * FROM res"
     o["report_mode_none"] = W(*COMMON, *result_ctes(P_NONE)) + "\nSELECT * FROM res"
 
+    p_ci = P.with_(base_impact_id="n3")  # typed as 'n3 '
+    o["report_collated"] = spelled(W(*COMMON, *result_ctes(p_ci))) + "\nSELECT * REPLACE ('n3 ' AS A_FK_BASE_IMPACT) FROM res"
+    o["impact_rollup_collated"] = f"SELECT * REPLACE ('n3 ' AS base_impact_id) FROM ({spelled(valuation(p_ci, METRICS))})"
+    o["tree_attributes_collated"] = spelled(o["tree_attributes"])
+    o["attr_fanout_collated"] = spelled(o["attr_join_fanout"])
+
     o["exists_gate"] = W() + """
 SELECT project_id, EXISTS (SELECT 1 FROM snapshot_needed) AS gate_open FROM snapshot_in_report"""
     cols = ", ".join(CACHE_COLS)

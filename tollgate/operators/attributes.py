@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tollgate.functions.text import distinct_rows
 from tollgate.operators.joins import KeyBound, key_bounds, semi_join_keys
 
 # Attribute id -> report column (the seven narrative attributes).
@@ -23,7 +24,8 @@ VALUE_SEPARATOR = " | "
 
 
 def attribute_pivot(milestone_attribute: DataFrame, milestones: DataFrame | None = None,
-                    n_milestones: KeyBound | None = None, attribute_ids: dict | None = None) -> DataFrame:
+                    n_milestones: KeyBound | None = None, attribute_ids: dict | None = None,
+                    text_collation: str | None = None) -> DataFrame:
     """One row per milestone with a column per narrative attribute.
 
     A milestone with one value for an attribute gets that value; with several
@@ -31,7 +33,8 @@ def attribute_pivot(milestone_attribute: DataFrame, milestones: DataFrame | None
     per combination); with none, NULL. `milestones` (a frame with milestone_id)
     restricts the pivot to those milestones; with its checked size (`n_milestones`)
     within the broadcast budget by a broadcast semi join inside the scan stage, else by
-    a shuffled one. `attribute_ids` maps attribute ids to columns.
+    a shuffled one. `attribute_ids` maps attribute ids to columns. Values that are equal under
+    `text_collation` are one value, spelled as the first of them in binary order.
 
     The distinct (milestone, attribute, value) rows come first, by a hash aggregate
     that merges a hot milestone's repeats in every task before the shuffle; only the
@@ -42,7 +45,7 @@ def attribute_pivot(milestone_attribute: DataFrame, milestones: DataFrame | None
     eav = milestone_attribute.where(F.col("attribute_id").isin(list(ids)))
     if milestones is not None:
         eav = semi_join_keys(eav, milestones, "milestone_id", n_milestones or key_bounds(milestones, "milestone_id")["milestone_id"])
-    values = eav.select("milestone_id", "attribute_id", "text_value").distinct()
+    values = distinct_rows(eav.select("milestone_id", "attribute_id", "text_value"), text_collation)
     lists = [F.collect_list(F.when(F.col("attribute_id") == k, F.col("text_value"))).alias(name) for k, name in ids.items()]
     folded = [
         F.when(F.size(name) > 0, F.array_join(F.array_sort(name), VALUE_SEPARATOR)).alias(name)
@@ -51,7 +54,8 @@ def attribute_pivot(milestone_attribute: DataFrame, milestones: DataFrame | None
     return values.groupBy("milestone_id").agg(*lists).select("milestone_id", *folded)
 
 
-def attribute_fanout(milestone_attribute: DataFrame, milestones: DataFrame, attribute_ids: dict | None = None) -> DataFrame:
+def attribute_fanout(milestone_attribute: DataFrame, milestones: DataFrame, attribute_ids: dict | None = None,
+                     text_collation: str | None = None) -> DataFrame:
     """The source's seven attribute joins in factorised form: per milestone of `milestones` (milestone_id, once each),
     a list per attribute of (value, times), sorted, plus `literal_rows`, the rows those joins give,
     and `distinct_rows`, how many of them differ.
@@ -60,12 +64,15 @@ def attribute_fanout(milestone_attribute: DataFrame, milestones: DataFrame, attr
     values' times, and the rows are the product of the lists' sums; an attribute without
     rows counts once, with NULL. The lists say everything the product does in the sum of their
     sizes: no combination is ever made. Repeats are merged in every task before the
-    shuffle. A count beyond 38 digits is an error.
+    shuffle. A count beyond 38 digits is an error. Values that are equal under
+    `text_collation` are one value, as in `attribute_pivot`.
     """
     ids = attribute_ids or NARRATIVE_ATTRIBUTES
     names = list(ids.values())
-    times = milestone_attribute.where(F.col("attribute_id").isin(list(ids))).groupBy("milestone_id", "attribute_id", "text_value").agg(
-        F.count("*").alias("times"))
+    value = F.col("text_value") if text_collation is None else F.collate("text_value", text_collation)
+    times = milestone_attribute.where(F.col("attribute_id").isin(list(ids))).groupBy(
+        "milestone_id", "attribute_id", value.alias("one_value")).agg(
+        F.count("*").alias("times"), F.min("text_value").alias("text_value"))
     value = F.struct(F.col("text_value").alias("value"), "times")
     lists = times.groupBy("milestone_id").agg(
         *[F.array_sort(F.collect_list(F.when(F.col("attribute_id") == k, value))).alias(name) for k, name in ids.items()])

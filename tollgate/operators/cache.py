@@ -53,6 +53,7 @@ _TYPES = {
     "A_ROADMAP_SUBSET_HASH": "bigint", "A_DICE_ENABLED": "boolean",
 }
 MERGE_KEY = [*ID_COLUMNS, *SNAPSHOT_COLUMNS, "P_ID", "A_FK_Milestone", "A_FK_BASE_IMPACT"]
+TEXT_KEYS = ("A_FK_BASE_IMPACT",)  # of the merge key, those that are no ids of numbers or GUIDs
 # Order of the rows in the files. The milestone splits a project that holds many of the rows.
 CLUSTER_KEY = [*ID_COLUMNS, "P_ID", "A_FK_Milestone"]
 # Row groups and pages small enough that a request's projects touch few; the size of a
@@ -97,24 +98,26 @@ def cache_rows(report: DataFrame, needed: DataFrame, p: ReportParams) -> DataFra
     )
 
 
-def _key_match(new: DataFrame, old: DataFrame):
+def _key_match(new: DataFrame, old: DataFrame, collation: str | None = None):
     cond = None
     for k in MERGE_KEY:
-        c = new[k] == old[k]
+        under = collation is not None and k in TEXT_KEYS
+        c = (F.collate(new[k], collation) == F.collate(old[k], collation)) if under else new[k] == old[k]
         cond = c if cond is None else cond & c
     return cond
 
 
-def rows_to_insert(new_rows: DataFrame, target: DataFrame) -> DataFrame:
+def rows_to_insert(new_rows: DataFrame, target: DataFrame, text_collation: str | None = None) -> DataFrame:
     """Rows of `new_rows` whose merge key is absent from `target` (NULL keys never
-    match). Duplicate source rows are all kept, like an insert without a unique key."""
+    match). Duplicate source rows are all kept, like an insert without a unique key.
+    The key's text compares under `text_collation`, its ids and times stay binary."""
     tgt = target.select(*MERGE_KEY)
-    return new_rows.join(tgt, _key_match(new_rows, tgt), "left_anti")
+    return new_rows.join(tgt, _key_match(new_rows, tgt, text_collation), "left_anti")
 
 
-def merged(new_rows: DataFrame, target: DataFrame) -> DataFrame:
+def merged(new_rows: DataFrame, target: DataFrame, text_collation: str | None = None) -> DataFrame:
     """The cache table after the merge: the old rows plus the inserted ones."""
-    return target.select(*CACHE_COLUMNS).unionByName(rows_to_insert(new_rows, target).select(*CACHE_COLUMNS))
+    return target.select(*CACHE_COLUMNS).unionByName(rows_to_insert(new_rows, target, text_collation).select(*CACHE_COLUMNS))
 
 
 def markers(needed: DataFrame, p: ReportParams, marked_at: dt.datetime | None = None) -> DataFrame:
@@ -160,11 +163,12 @@ def _with_path(rows: DataFrame, tree: DataFrame) -> DataFrame:
     return rows.join(t, rows.P_ID == t.tree_project_id)
 
 
-def in_tree_order(rows: DataFrame, tree: DataFrame) -> DataFrame:
+def in_tree_order(rows: DataFrame, tree: DataFrame, text_collation: str | None = None) -> DataFrame:
     """Rows joined to the project tree (a project with several tree rows repeats)
     and sorted by tree path, then delay, then the tie-break. The sort is a
-    range-partitioned global sort, not a single-task one."""
-    order = [F.col(c).asc_nulls_first() for c in TREE_ORDER + TIE_BREAK]
+    range-partitioned global sort, not a single-task one. Paths sort under `text_collation`."""
+    path = F.col("A_PATH") if text_collation is None else F.collate("A_PATH", text_collation)
+    order = [path.asc_nulls_first(), *[F.col(c).asc_nulls_first() for c in [*TREE_ORDER[1:], *TIE_BREAK]]]
     return _with_path(rows, tree).orderBy(*order).select(*CACHE_COLUMNS)
 
 
@@ -212,7 +216,7 @@ class ReportCache:
         if needed is not None:
             projects = needed.select(F.col("project_id").alias("P_ID"))
             target = stored_rows_of(target, projects, "P_ID", key_bounds(projects, "P_ID")["P_ID"])
-        rows = rows_to_insert(new_rows.select(*CACHE_COLUMNS), target)
+        rows = rows_to_insert(new_rows.select(*CACHE_COLUMNS), target, None if p is None else p.text_collation)
         clustered = rows.repartitionByRange(*CLUSTER_KEY).sortWithinPartitions(*CLUSTER_KEY)
         clustered.write.mode("append").partitionBy(*ID_COLUMNS).options(**FILE_OPTIONS).parquet(self.table_path)
 

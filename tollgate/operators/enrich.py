@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tollgate.functions.labels import person_name
+from tollgate.functions.text import distinct_rows
 
 # Role codes of the user-role table.
 ROLE_WORKSTREAM_OWNER = 4
@@ -15,7 +16,8 @@ ROLE_ROADMAP_APPROVER = 6
 HOLDER_SEPARATOR = "; "
 
 
-def named_roles(user_role: DataFrame, users: DataFrame, roles: dict[int, str]) -> DataFrame:
+def named_roles(user_role: DataFrame, users: DataFrame, roles: dict[int, str],
+                text_collation: str | None = None) -> DataFrame:
     """(roadmap_id, project_id, role, holder): distinct holder names of the given roles
     (role code -> its key column), from one pass over the roles. A holder id with
     no user row gives ''."""
@@ -25,7 +27,7 @@ def named_roles(user_role: DataFrame, users: DataFrame, roles: dict[int, str]) -
     ur = user_role.where(wanted).select("roadmap_id", "project_id", "role", "user_id")
     named = ur.join(users.select("user_id", "last_name", "first_name"), "user_id", "left")
     name = person_name(F.col("last_name"), F.col("first_name"))
-    return named.select("roadmap_id", "project_id", "role", name.alias("holder")).distinct()
+    return distinct_rows(named.select("roadmap_id", "project_id", "role", name.alias("holder")), text_collation)
 
 
 def role_holders(named: DataFrame, role: int, key: str, fold: bool = False) -> DataFrame:

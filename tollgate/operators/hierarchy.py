@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollgate.functions.labels import flag, sort_segment
-from tollgate.functions.text import distinct_rows
+from tollgate.functions.text import collated, distinct_rows
 from tollgate.operators.joins import NAMED_ROW_BYTES, broadcast_if_bounded, key_bounds
 from tollgate.plans.materialize import materialize
+from tollgate.sources.tables import TEXT_KEYS
 
 
 def tree_path(spark: SparkSession, base_impact: DataFrame, program_id: int | str) -> DataFrame:
@@ -50,7 +51,9 @@ def tree_path(spark: SparkSession, base_impact: DataFrame, program_id: int | str
 
 def tree_attributes(spark: SparkSession, base_impact: DataFrame, program_id: int | str,
                     text_collation: str | None = None) -> DataFrame:
-    """Distinct base impacts of the program with flags, level and sort path."""
+    """Distinct base impacts of the program with flags, level and sort path. With a collation,
+    a parent's id matches its children's under it."""
+    base_impact = collated(base_impact, TEXT_KEYS, text_collation)
     paths = tree_path(spark, base_impact, program_id)
     bi = base_impact.where(F.col("program_id") == program_id)
     attrs = (

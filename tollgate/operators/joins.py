@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from tollgate.functions.text import compares_binary
 from tollgate.operators.bloom import block_count, bloom_filter, may_match
 
 # A broadcast must fit this budget: checked rows x bytes per row. Above it the join is
@@ -72,7 +73,8 @@ def semi_join_keys(df: DataFrame, keys: DataFrame, key: str, bound: KeyBound, bu
     if bound.rows * bound.row_bytes <= budget:
         return df.join(F.broadcast(keys.select(key)), key, "left_semi")
     blocks = block_count(bound.rows, budget)
-    if blocks:
+    # a filter of hashes would drop values that only a collation makes equal
+    if blocks and compares_binary(df, key) and compares_binary(keys, key):
         df = may_match(df, key, bloom_filter(keys, key, blocks), blocks)
     return df.join(keys.select(key).distinct(), key, "left_semi")
 

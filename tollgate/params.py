@@ -59,7 +59,8 @@ class ReportParams:
     fold_multi_valued: bool = False
     # attribute id -> narrative column, where the ids differ from the default ones
     attribute_ids: dict | None = None
-    # collation of text in the report's DISTINCTs; None = binary. The source
+    # collation of text in the report's DISTINCTs, groups and text keys (number and GUID
+    # ids stay binary); None = binary. The source
     # database's is case-insensitive, trailing blanks ignored: 'UNICODE_CI_RTRIM'
     text_collation: str | None = None
 

@@ -11,7 +11,7 @@ import uuid
 from collections.abc import Callable
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollgate.functions.html import strip_html
@@ -61,6 +61,8 @@ from tollgate.sources.testdata import derive_tables
 P = DEFAULT_PARAMS
 P_UNSET = P.with_(impact_mode=ImpactMode.UNSET, base_impact_id=None)
 P_NONE = P.with_(impact_mode=ImpactMode.NONE, base_impact_id=None)
+# the source database's collation, and a base impact as someone types it
+P_COLLATED = P.with_(text_collation="UNICODE_CI_RTRIM", base_impact_id="n3 ")
 P_FACTOR = P.with_(numeric_factor=Decimal("2.5000"))
 # projects whose cache rows a previous run already stored (the merge target)
 # a previous run cached the needed projects of one market segment (snapshot id 8)
@@ -266,8 +268,10 @@ def attr_pivot(spark, sf_dir):
 def attr_join_fanout(spark, sf_dir):
     """How many rows the source's seven attribute joins give per milestone, and the values they are made of."""
     t = _t(spark, sf_dir)
-    fan = attribute_fanout(t.milestone_attribute, t.milestone)
+    return _listed(attribute_fanout(t.milestone_attribute, t.milestone))
 
+
+def _listed(fan: DataFrame) -> DataFrame:
     def listed(name: str) -> F.Column:
         return F.array_join(F.transform(name, lambda x: F.concat(x["value"], F.lit(" x"), x["times"].cast("string"))), " | ").alias(name)
 
@@ -404,6 +408,47 @@ def report_mode_none(spark, sf_dir):
     return report_rows(_t(spark, sf_dir), P_NONE)
 
 
+def _spelled(t: Tables) -> Tables:
+    """The relations as people type them: keys, attribute values and holders in other letter
+    cases and with trailing blanks, some of them beside the first spelling."""
+    def other(key: str) -> Column:
+        return F.concat(F.lower(key), F.lit("  "))
+
+    eav, users, role = t.milestone_attribute, t.users, t.user_role
+    again = eav.withColumn("text_value", other("text_value"))
+    alias = F.lit(10**12)  # ids of the holders' second accounts
+    return t.replace(
+        impact=t.impact.withColumn("base_impact_id", F.when(F.col("financial"), other("base_impact_id")).otherwise(F.col("base_impact_id"))),
+        base_impact=t.base_impact.withColumn("parent_id", F.when(F.col("timing") == 2, other("parent_id")).otherwise(F.col("parent_id")))
+        .withColumn("base_impact_id", F.when(F.col("calculated"), F.lower("base_impact_id")).otherwise(F.col("base_impact_id"))),
+        base_impact_factor=t.base_impact_factor.withColumn("base_impact_id", F.concat("base_impact_id", F.lit(" "))),
+        milestone_attribute=eav.unionByName(again),
+        users=users.unionByName(users.withColumn("user_id", F.col("user_id") + alias).withColumn("last_name", F.lower("last_name"))),
+        user_role=role.unionByName(role.withColumn("user_id", F.col("user_id") + alias)),
+    )
+
+
+def report_collated(spark, sf_dir):
+    """The report under the source database's collation, over keys in many spellings."""
+    return report_rows(_spelled(_t(spark, sf_dir)), P_COLLATED)
+
+
+def impact_rollup_collated(spark, sf_dir):
+    return _valued(_spelled(_t(spark, sf_dir)), P_COLLATED).select(*KEY_COLUMNS, "numeric_factor", *METRIC_COLUMNS)
+
+
+def tree_attributes_collated(spark, sf_dir):
+    """Parents and children in different spellings; the result's ids in one."""
+    attrs = tree_attributes(spark, _spelled(_t(spark, sf_dir)).base_impact, P.program_id, P_COLLATED.text_collation)
+    return attrs.select(*[F.rtrim(F.lower(c)).alias(c) if c in ("BaseImpactID", "BaseImpactParentBaseImpactID") else F.col(c)
+                          for c in attrs.columns])
+
+
+def attr_fanout_collated(spark, sf_dir):
+    t = _spelled(_t(spark, sf_dir))
+    return _listed(attribute_fanout(t.milestone_attribute, t.milestone, text_collation=P_COLLATED.text_collation))
+
+
 # ---- step 8: cache ----------------------------------------------------------
 
 def exists_gate(spark, sf_dir):
@@ -509,6 +554,10 @@ QUERIES: dict[str, Query] = {
     "star_enrichment": star_enrichment,
     "report_result": report_result,
     "report_mode_none": report_mode_none,
+    "report_collated": report_collated,
+    "impact_rollup_collated": impact_rollup_collated,
+    "tree_attributes_collated": tree_attributes_collated,
+    "attr_fanout_collated": attr_fanout_collated,
     "exists_gate": exists_gate,
     "cache_insert_if_absent": cache_insert_if_absent,
     "cache_null_key_reinsert": cache_null_key_reinsert,

@@ -54,7 +54,7 @@ from tollgate.operators.valuation import METRICS, value_keys
 from tollgate.params import ImpactMode, ReportParams
 from tollgate.plans.constants import resolve_constants, run_concurrently
 from tollgate.plans.materialize import materialize
-from tollgate.sources.tables import Tables
+from tollgate.sources.tables import Tables, collate_keys
 
 KEY_COLUMNS = ["program_id", "project_id", "roadmap_id", "milestone_id", "base_impact_id"]
 
@@ -117,7 +117,8 @@ def filtered_milestones(t: Tables, p: ReportParams, projects: DataFrame | None =
     """
     if base is None:
         base, bounds = driving_set(t, p, projects)
-    attrs = attribute_pivot(t.milestone_attribute, base, bounds["milestone_id"], p.attribute_ids)
+    attrs = attribute_pivot(t.milestone_attribute, base, bounds["milestone_id"], p.attribute_ids,
+                            p.text_collation)
     return base.join(attrs, "milestone_id", "left").select(
         *KEY_COLUMNS,
         "milestone_name",
@@ -131,6 +132,7 @@ def valued_milestones(t: Tables, p: ReportParams, projects: DataFrame | None = N
     """Distinct milestone keys with their factor and six metrics (the valuation
     alone), planned like the report: constants and driving set resolved
     concurrently, impact rows pruned to the keys' roadmaps."""
+    t = collate_keys(t, p.text_collation)
     consts, extra = resolve_constants(t, p, {"base": lambda: driving_set(t, p, projects)})
     base, bounds = extra["base"]
     # roadmap-level metrics first (one row per roadmap and factor), checkpointed so
@@ -152,6 +154,7 @@ def status_frames(t: Tables, p: ReportParams, rows: DataFrame,
 def report_rows(t: Tables, p: ReportParams, projects: DataFrame | None = None) -> DataFrame:
     """The 48-column report (distinct rows) for the program, optionally restricted
     to `projects` before any work is done."""
+    t = collate_keys(t, p.text_collation)
     # The driving set is read by the attributes, the statuses, the valuation and the
     # headers: it is computed once and its lineage cut. That job and the small lookups
     # of the request's constants run concurrently. Its ids are counted once from the
@@ -190,7 +193,8 @@ def report_rows(t: Tables, p: ReportParams, projects: DataFrame | None = None) -
     parts = run_concurrently({
         "status": lambda: status_frames(t, p, base, bounds["roadmap_id"]),
         "roles": lambda: materialize(named_roles(roles, t.users, {
-            ROLE_WORKSTREAM_OWNER: "project_id", ROLE_ROADMAP_OWNER: "roadmap_id", ROLE_ROADMAP_APPROVER: "roadmap_id"})),
+            ROLE_WORKSTREAM_OWNER: "project_id", ROLE_ROADMAP_OWNER: "roadmap_id", ROLE_ROADMAP_APPROVER: "roadmap_id"},
+            p.text_collation)),
     })
     s14, s7 = parts["status"]
 

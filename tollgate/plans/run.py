@@ -28,4 +28,4 @@ def run_report(t: Tables, p: ReportParams, cache: ReportCache) -> DataFrame:
     if not needed.isEmpty():
         cache.merge(compute_cache_rows(t, p, needed), p, needed)
         cache.mark(needed, p)
-    return in_tree_order(cache.read_back(t.snapshot_in_report, p), t.tree)
+    return in_tree_order(cache.read_back(t.snapshot_in_report, p), t.tree, p.text_collation)

@@ -14,6 +14,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tollgate.functions.text import collated
+
 # relation name -> DDL schema
 RELATIONS: dict[str, str] = {
     "program": "program_id INT, program_name STRING, start_date DATE, end_date DATE, dice_enabled BOOLEAN",
@@ -100,6 +102,19 @@ def lower_ids(df: DataFrame) -> DataFrame:
     return df.select(*[F.lower(c).alias(c) if c in text else F.col(c) for c in df.columns])
 
 
+# The id columns that are texts in the declared schemas: not numbers, so the source
+# database compares them under its collation.
+TEXT_KEYS = tuple(sorted({c for ddl in RELATIONS.values() for c in re.findall(r"(\w+) STRING", ddl) if c in ID_COLUMNS}))
+
+
+def collate_keys(tables: Tables, collation: str | None) -> Tables:
+    """The relations with their text keys compared under the collation. Number ids stay binary, and so do
+    GUIDs (`lower_ids` spells each one way), so the large joins keep their hashes and pushed filters."""
+    if collation is None:
+        return tables
+    return Tables(**{f.name: collated(getattr(tables, f.name), TEXT_KEYS, collation) for f in dataclasses.fields(tables)})
+
+
 def read_tables(spark: SparkSession, root: str, text_ids: bool = False) -> Tables:
     """Open every relation as `<root>/<name>` parquet with its declared schema; with
     `text_ids` all ids are texts (GUIDs), read in lower case. The parameters' ids are
