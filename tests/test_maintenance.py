@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tollgate.operators import joins
 from tollgate.operators.asof import status_as_of
 from tollgate.operators.bloom import BLOCK_BYTES, block_count, bloom_filter, may_match
+from tollgate.operators import impact_totals
 from tollgate.operators.impact_totals import ImpactTotals, full_totals
 from tollgate.operators.joins import KeyBound, key_bounds, semi_join_keys
 from tollgate.operators.requests import value_requests
@@ -232,3 +233,15 @@ def test_no_discounted_line_is_left_out_of_the_impacts(spark):
 
 def test_key_bound_of_text_counts_its_width():
     assert not KeyBound(1_000_000, 80).fits and KeyBound(100_000, 80).fits
+
+
+def test_totals_are_added_up_in_parts_of_a_bounded_size(spark, tmp_path, monkeypatch):
+    """More rows make more tasks, not larger ones (AQE would coalesce them by their compressed size)."""
+    r = random.Random(3)
+    impact = spark.createDataFrame([impact_row(r) for _ in range(400)], IMPACT)
+    want = rows(full_totals(impact))
+    monkeypatch.setattr(impact_totals, "TASK_ROWS", 100)
+    view = ImpactTotals(spark, str(tmp_path))
+    view.load(impact)
+    assert full_totals(impact).rdd.getNumPartitions() == 12 and rows(full_totals(impact)) == want
+    assert view.read().rdd.getNumPartitions() > 1 and rows(view.read()) == want
