@@ -22,9 +22,11 @@ taken as the library takes them: as one id, unless `plain_specials` is set.
 
 from __future__ import annotations
 
+import codecs
 import hashlib
 import json
 import os
+import re
 import sys
 import uuid
 import zlib
@@ -45,7 +47,10 @@ from tollgate.plans.materialize import checkpoint_dir
 END_ID = 2
 MAX_CACHED = 400_000
 MAX_CACHED_CHARS = 48
-SIGNS = ".,;:!?"
+# a piece of plain letters with or without signs after it: up to U+024F, but for U+0130, the library lower-cases
+# like Python, letter by letter, and has nothing to compose
+PLAIN = re.compile("^[A-Za-z\\u00c0-\\u00d6\\u00d8-\\u00f6\\u00f8-\\u012f\\u0131-\\u024f]+[.,;:!?]*$", re.MULTILINE)
+SIGN_RUN = re.compile("[.,;:!?]+")
 BATCH_CHARS = 2_000_000  # of text in one batch of rows that a task hands on
 
 # The rules of a vocabulary (as its file spells them) that never join anything across
@@ -93,46 +98,48 @@ class PieceEncoder:
         suffix = rules["model"].get("end_of_word_suffix") or ""
         self.ends = np.zeros(1 + max(rules["model"]["vocab"].values()), dtype=bool)
         self.ends[[i for t, i in rules["model"]["vocab"].items() if suffix and t.endswith(suffix)]] = True
-        self.shown = byte_characters()
+        # the character of each byte, for `codecs`; blanks stay between words
+        self.shown = "".join(" " if b == 0x20 else c for b, c in enumerate(byte_characters()))
         self.cache: dict[str, bytes] = {"": b""}
         self.signs: dict[str, bytes] = {"": b""}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.model.encode_batch(texts, add_special_tokens=False)]
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _letters(self, words: list[str]) -> Iterator[bytes]:
+    def _letters(self, words: list[str]) -> list[bytes]:
         """Ids of words of lower-case letters: in one text; a word's last token, and no other, has
         the mark of a word's end."""
-        shown = self.shown
+        out: list[bytes] = []
         for at in range(0, len(words), 5000):
             part = words[at:at + 5000]
-            text = " ".join([w if w.isascii() else "".join([shown[b] for b in w.encode()]) for w in part])
-            ids = np.array(self.letters.encode(text, add_special_tokens=False).ids, dtype="<u4")
-            ends = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            text = codecs.charmap_decode(" ".join(part).encode(), "strict", self.shown)[0]
+            found = self.letters.encode_batch_fast([text], add_special_tokens=False)[0]
+            ids = np.array(found.ids, dtype="<u4")
+            ends = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
             if len(ends) != len(part):
-                yield from self._whole(part)
+                out += self._whole(part)
                 continue
             raw = ids.tobytes()
-            yield from (raw[4 * i:4 * j] for i, j in zip([0, *ends], ends))
+            out += [raw[i:j] for i, j in zip([0, *ends], ends)]
+        return out
 
-    def _learn(self, new: set[str]) -> dict[str, bytes]:
-        split, other = {}, []
-        for w in new:
-            core = w if w.isalpha() else w.rstrip(SIGNS)
-            # up to U+024F the library lower-cases like Python and has nothing to compose
-            if core.isalpha() and (core.isascii() or max(core) < "\u0250") and (low := core.lower()).isalpha():
-                split[w] = low, w[len(core):]
-            else:
-                other.append(w)
+    def _learn(self, new: list[str]) -> dict[str, bytes]:
+        """Ids of pieces without line ends."""
+        plain = PLAIN.findall("\n".join(new))
+        other = list(set(new).difference(plain)) if len(plain) < len(new) else []
         out = dict(zip(other, self._whole(other)))
+        if not plain:
+            return out
+        # every plain piece's letters, lower-cased one to one, and the signs after them
+        cores = SIGN_RUN.sub("", "\n".join(plain).lower()).split("\n")
+        tails = [w[len(c):] for w, c in zip(plain, cores)]
         signs = self.signs
-        unseen = list({s for _, s in split.values()} - signs.keys())
+        unseen = list(set(tails).difference(signs))
         signs.update(zip(unseen, self._whole(unseen)))
-        cores = list({c for c, _ in split.values()} - self.cache.keys())
-        known = dict(zip(cores, self._letters(cores)))
-        for w, (c, s) in split.items():
-            ids = known.get(c)
-            out[w] = (self.cache[c] if ids is None else ids) + signs[s]
+        known = list(set(cores).difference(self.cache))
+        ids = dict(zip(known, self._letters(known)))
+        cache = self.cache
+        out.update((w, (ids[c] if c in ids else cache[c]) + signs[s]) for w, c, s in zip(plain, cores, tails))
         if len(signs) > 10_000:
             signs.clear()
             signs[""] = b""
@@ -143,14 +150,13 @@ class PieceEncoder:
             return self._whole(texts)
         cut = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
         cache = self.cache
-        found = [list(map(cache.get, words)) for words in cut]
-        new = {w for words, ids in zip(cut, found) if None in ids for w, i in zip(words, ids) if i is None}
+        new = list(set().union(*cut).difference(cache))
         if new:
-            learned = self._learn(new)
-            found = [ids if None not in ids else [learned[w] if i is None else i for w, i in zip(words, ids)]
-                     for words, ids in zip(cut, found)]
-            cache.update((w, i) for w, i in learned.items() if len(w) <= MAX_CACHED_CHARS)
-        out = [b"".join(ids) for ids in found]
+            cache.update(self._learn(new))
+        out = [b"".join(map(cache.__getitem__, words)) for words in cut]
+        for w in new:
+            if len(w) > MAX_CACHED_CHARS:
+                del cache[w]
         if len(cache) > MAX_CACHED:  # pieces met first are the frequent ones
             self.cache = dict(islice(cache.items(), MAX_CACHED // 2))
         return out
