@@ -101,3 +101,16 @@ for name in ("op4_toxicity", "op5_byte_bpe", "op7_near_dedup", "op8_mixing", "op
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True)
     assert out.stdout.count(" 200") == 5, out.stderr[-2000:]
+
+
+def test_texts_go_to_the_workers_in_small_batches(spark, documents):
+    """Ten thousand texts a batch filled both sides' memory; a session's own number stays."""
+    key, tokenize = "spark.sql.execution.arrow.maxRecordsPerBatch", dict(C.STAGES)["byte_bpe"]
+    before = spark.conf.get(key)
+    try:
+        for own, used in (("10000", "1000"), ("77", "77")):
+            spark.conf.set(key, own)
+            assert tokenize(spark, documents.limit(3), SF).count() == 3
+            assert spark.conf.get(key) == used
+    finally:
+        spark.conf.set(key, before)

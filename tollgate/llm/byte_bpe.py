@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from tollgate.llm.common import text_of, tidy
+from tollgate.llm.common import small_batches, text_of, tidy
 from tollgate.llm.words import chunks
 
 MAX_CACHED = 100_000  # pre-tokens whose ids a task remembers: about 20 MB
@@ -124,6 +124,7 @@ class ByteBpe:
 def _codec_maker(spark: SparkSession, path: str, pattern: str):
     """A function that makes the codec in a task; vocabulary and model are read and
     serialised once, on the driver, and broadcast (a few MB, whatever the data)."""
+    small_batches(spark)
     tokens = read_ranks(path)
     sent = spark.sparkContext.broadcast((tokens, sentencepiece_model(tokens)))
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollgate.llm.common import hash_fraction, text_of, tidy
+from tollgate.llm.common import hash_fraction, small_batches, text_of, tidy
 
 UNDETERMINED = "und"
 FIT_TASKS = 12
@@ -202,6 +202,7 @@ def detector(spark: SparkSession, model: Model) -> Callable[[Column], Column]:
     `known`, the share of the text's n-grams that some landmark has, tells texts of
     languages that were never learned. Only the text goes to the Python worker and only
     the result comes back."""
+    small_batches(spark)
     sent = spark.sparkContext.broadcast((model.languages, model.grams, model.weights))
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
