@@ -1,10 +1,13 @@
 """Text keys, groups and DISTINCT under the source database's collation."""
 
+import random
+import re
+
 from pyspark.sql import functions as F
 
 from tollgate.functions.text import collated, distinct_rows
 from tollgate.operators import cache as C
-from tollgate.operators.attributes import attribute_fanout, attribute_pivot
+from tollgate.operators.attributes import NARRATIVE_ATTRIBUTES, attribute_fanout, attribute_pivot
 from tollgate.operators.enrich import named_roles
 from tollgate.operators.joins import KeyBound, semi_join_keys
 from tollgate.plans.queries import P_COLLATED, _spelled
@@ -65,6 +68,31 @@ def test_groups_follow_the_collation(spark):
     assert [r.holder for r in named_roles(roles, users, {5: "roadmap_id"}, CI).collect()] == ["DOE "]
 
 
+def test_spellings_merge_without_a_collated_group_or_shuffle(spark):
+    """The collation is asked only for values of one attribute of one milestone, not for every row of a sort or shuffle."""
+    r = random.Random(4)
+    texts = ["late", "LATE ", "Late", "new", "NEW  ", "stra\u00dfe", "STRASSE", "\u00e9t\u00e9", "E\u0301TE\u0301", "\u00c9T\u00c9 ", "", " ", None]
+    data = [(r.randrange(9), r.randrange(1, 9), r.choice(texts)) for _ in range(500)]
+    eav = spark.createDataFrame(data, "milestone_id bigint, attribute_id int, text_value string").repartition(5)
+    want = {}
+    for m, a, first, n in eav.groupBy("milestone_id", "attribute_id", F.collate("text_value", CI).alias("one")).agg(
+            F.min("text_value"), F.count("*")).drop("one").collect():
+        want.setdefault((m, a), []).append((first, n))
+    fan = attribute_fanout(eav, spark.range(10).toDF("milestone_id"), text_collation=CI)
+    pivot = attribute_pivot(eav, text_collation=CI)
+    for df in (fan, pivot):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan and not re.search(r"hashpartitioning\([^)]*(collate|_group|one_value)", plan, re.IGNORECASE)
+    for row in fan.collect():
+        for k, name in NARRATIVE_ATTRIBUTES.items():
+            cell = want.get((row.milestone_id, k), [])
+            assert [tuple(x) for x in row[name]] == sorted(cell, key=lambda x: (x[0] is not None, x[0] or ""))
+    for row in pivot.collect():
+        for k, name in NARRATIVE_ATTRIBUTES.items():
+            cell = sorted(v for v, _ in want.get((row.milestone_id, k), []) if v is not None)
+            assert row[name] == (" | ".join(cell) if cell else None)
+
+
 def test_a_merge_compares_the_base_impact_under_the_collation(spark):
     schema = C.cache_schema()
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tollgate.functions.text import distinct_rows
 from tollgate.operators.joins import KeyBound, key_bounds, semi_join_keys
 
 # Attribute id -> report column (the seven narrative attributes).
@@ -45,13 +46,64 @@ def attribute_pivot(milestone_attribute: DataFrame, milestones: DataFrame | None
     eav = milestone_attribute.where(F.col("attribute_id").isin(list(ids)))
     if milestones is not None:
         eav = semi_join_keys(eav, milestones, "milestone_id", n_milestones or key_bounds(milestones, "milestone_id")["milestone_id"])
-    values = distinct_rows(eav.select("milestone_id", "attribute_id", "text_value"), text_collation)
-    lists = [F.collect_list(F.when(F.col("attribute_id") == k, F.col("text_value"))).alias(name) for k, name in ids.items()]
+    values = eav.select("milestone_id", "attribute_id", "text_value").distinct()
+    cells = attribute_cells(values.withColumn("times", F.lit(1).cast("bigint")), text_collation)
+    lists = cells.select("milestone_id", *[
+        F.transform(F.filter("_cells", is_value_of(k)), lambda x: x["value"]).alias(name) for k, name in ids.items()])
     folded = [
         F.when(F.size(name) > 0, F.array_join(F.array_sort(name), VALUE_SEPARATOR)).alias(name)
         for name in names
     ]
-    return values.groupBy("milestone_id").agg(*lists).select("milestone_id", *folded)
+    return lists.select("milestone_id", *folded)
+
+
+def is_entry_of(attribute_id: int) -> Callable[[Column], Column]:
+    return lambda x: x["attribute_id"] == attribute_id
+
+
+def is_value_of(attribute_id: int) -> Callable[[Column], Column]:
+    return lambda x: (x["attribute_id"] == attribute_id) & x["value"].isNotNull()
+
+
+def attribute_cells(times: DataFrame, text_collation: str | None = None) -> DataFrame:
+    """One row per milestone with `_cells`, a list of (attribute_id, value, times), from distinct rows (milestone_id,
+    attribute_id, text_value) with their times. Values that are equal under `text_collation` are one entry."""
+    # one shuffle of plain rows: they are spread over all tasks, so partial lists would hold one row each
+    lists = times.repartition("milestone_id").groupBy("milestone_id").agg(
+        F.collect_list(F.struct("attribute_id", F.col("text_value").alias("value"), "times")).alias("_cells"))
+    return merged_spellings(lists, "_cells", text_collation)
+
+
+def merged_spellings(cells: DataFrame, column: str, collation: str | None) -> DataFrame:
+    """Rows whose list `column` of (attribute_id, value, times) has one entry for the values of an attribute that are equal
+    under the collation: the first spelling in binary order, with the sum of their times.
+
+    The collation's library compares behind one lock for all tasks of an executor, and a shuffle or group by a
+    collated text asks it several times a row. Here it is asked only for two values of one attribute of one row: the
+    list is sorted by attribute, value under the collation and spelling, and each run of equal values is one slice.
+    """
+    if collation is None:
+        return cells
+    kept = [c for c in cells.columns if c != column]
+    order = F.sort_array(F.transform(column, lambda x: F.struct(
+        x["attribute_id"].alias("attribute_id"), F.collate(x["value"], collation).alias("one_value"), x["value"].alias("value"), x["times"].alias("times"))))
+    at = F.col("_sorted")
+
+    def first(x: Column, i: Column) -> Column:
+        before = F.get(at, i - 1)
+        return (i == 0) | (x["attribute_id"] != before["attribute_id"]) | ~x["one_value"].eqNullSafe(before["one_value"])
+
+    firsts = F.filter(F.transform("_sorted", lambda x, i: F.when(first(x, i), i)), lambda i: i.isNotNull())
+
+    def run(i: Column, nth: Column) -> Column:
+        end = F.coalesce(F.get(F.col("_firsts"), nth + 1), F.size("_sorted"))
+        x = F.get(at, i)
+        total = F.aggregate(F.slice("_sorted", i + 1, end - i), F.lit(0).cast("bigint"), lambda n, y: n + y["times"])
+        return F.struct(x["attribute_id"].alias("attribute_id"), x["value"].alias("value"), total.alias("times"))
+
+    ordered = cells.select(*kept, order.alias("_sorted"))
+    marked = ordered.select(*kept, "_sorted", firsts.alias("_firsts"))
+    return marked.select(*kept, F.transform("_firsts", run).alias(column))
 
 
 def attribute_fanout(milestone_attribute: DataFrame, milestones: DataFrame, attribute_ids: dict | None = None,
@@ -69,13 +121,12 @@ def attribute_fanout(milestone_attribute: DataFrame, milestones: DataFrame, attr
     """
     ids = attribute_ids or NARRATIVE_ATTRIBUTES
     names = list(ids.values())
-    value = F.col("text_value") if text_collation is None else F.collate("text_value", text_collation)
     times = milestone_attribute.where(F.col("attribute_id").isin(list(ids))).groupBy(
-        "milestone_id", "attribute_id", value.alias("one_value")).agg(
-        F.count("*").alias("times"), F.min("text_value").alias("text_value"))
-    value = F.struct(F.col("text_value").alias("value"), "times")
-    lists = times.groupBy("milestone_id").agg(
-        *[F.array_sort(F.collect_list(F.when(F.col("attribute_id") == k, value))).alias(name) for k, name in ids.items()])
+        "milestone_id", "attribute_id", "text_value").agg(F.count("*").alias("times"))
+    cells = attribute_cells(times, text_collation)
+    lists = cells.select("milestone_id", *[
+        F.sort_array(F.transform(F.filter("_cells", is_entry_of(k)), lambda x: F.struct(x["value"], x["times"]))).alias(name)
+        for k, name in ids.items()])
     one = F.lit(1).cast("decimal(38,0)")
     rows, different = one, one
     for name in names:
