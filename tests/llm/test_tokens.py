@@ -140,6 +140,31 @@ def test_pieces_encode_like_whole_texts():
     assert [encoder([t])[0] for t in texts] == want
 
 
+def test_signs_at_a_words_end_are_pieces_of_their_own():
+    with open(VOCABULARY, encoding="utf-8") as f:
+        vocabulary = f.read()
+    encoder = T.PieceEncoder(vocabulary)
+    encoder(["word. word, word; word\nword!", "word? word"])
+    assert set(encoder.cache) == {"", "word", *".,;!?"}  # the word is learned and kept once
+    texts = ["a. . b", "5. 6, x", "it's. he'S, x'. y", '"a". b', "a.. b... c.!", "_. a_. b", "x\x1c. a", "\u0130. x\u0130.", "\u00bd. \u00d7. \u00f7, \u00aa.",
+             "\u0149. \u01c0, \u024f; \u0250.", "e\u0301. \u0301. a.\u0301", "<|endoftext|>. a<|endoftext|>b.", ".", ". a .", "a.\n.b.\t.", "a.\u00a0b. c.\r"]
+    texts += [chr(c) + s + e for c in range(0x260) for s in (".", "?") for e in ("", " x")]
+    want = [np.array(x.ids, dtype="<u4").tobytes() for x in Tokenizer.from_str(vocabulary).encode_batch(texts, add_special_tokens=False)]
+    assert encoder(texts) == want
+    assert [encoder([t])[0] for t in texts[:40]] == want[:40] and encoder([]) == []
+    other = Tokenizer.from_str(vocabulary)
+    other.add_special_tokens(["stop."])  # a sign that belongs to a special token stays with it
+    assert T.PieceEncoder(other.to_str())(["a stop. b."])[0] == np.array(
+        other.encode("a stop. b.", add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+
+def test_spans_keep_every_row():
+    for sizes in ([], [5], [0, 0, 0], [9, 1, 1, 1, 12, 0, 3, 3]):
+        got = list(T.spans(np.array(sizes, dtype=np.int32), 4))
+        assert [i for a, b in got for i in range(a, b)] == list(range(len(sizes)))
+        assert all(b - a == 1 or sum(sizes[a:b]) <= 4 for a, b in got)
+
+
 def test_other_vocabularies_are_encoded_text_by_text():
     path = public_tokenizers.path("byte_bpe_50k.json")
     with open(path, encoding="utf-8") as f:

@@ -36,12 +36,12 @@ from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollgate.llm.byte_bpe import byte_characters
 from tollgate.llm.common import text_of, tidy
-from tollgate.llm.words import chunks
 from tollgate.plans.materialize import checkpoint_dir
 
 END_ID = 2
@@ -51,7 +51,11 @@ MAX_CACHED_CHARS = 48
 # like Python, letter by letter, and has nothing to compose
 PLAIN = re.compile("^[A-Za-z\\u00c0-\\u00d6\\u00d8-\\u00f6\\u00f8-\\u012f\\u0131-\\u024f]+[.,;:!?]*$", re.MULTILINE)
 SIGN_RUN = re.compile("[.,;:!?]+")
-BATCH_CHARS = 2_000_000  # of text in one batch of rows that a task hands on
+WITHIN_PIECES = re.compile("[.,;:!?\\s]")
+# a sign after a letter or digit and before a blank or the end is a word of its own to the splitter (lower-cased,
+# U+0130 ends with a mark, which the splitter takes together with the sign)
+SIGN_AFTER_WORD = "([0-9A-Za-z\\x{c0}-\\x{d6}\\x{d8}-\\x{f6}\\x{f8}-\\x{12f}\\x{131}-\\x{24f}])([.,;:!?])( |$)"
+BATCH_BYTES = 2_000_000  # of text in one batch of rows that a task hands on
 
 # The rules of a vocabulary (as its file spells them) that never join anything across
 # a blank and take a run of letters as one word.
@@ -92,7 +96,9 @@ class PieceEncoder:
         self.model = Tokenizer.from_str(vocabulary)
         if plain_specials:
             self.model.encode_special_tokens = True
-        self.by_piece = rules["normalizer"] == NORMALIZER and rules["pre_tokenizer"] == SPLITTER
+        # an added token must not reach over a cut between pieces, nor stand within plain letters
+        apart = all(not WITHIN_PIECES.search(t["content"]) and not PLAIN.search(t["content"]) for t in rules["added_tokens"])
+        self.by_piece = rules["normalizer"] == NORMALIZER and rules["pre_tokenizer"] == SPLITTER and apart
         self.letters = Tokenizer(self.model.model)
         self.letters.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         suffix = rules["model"].get("end_of_word_suffix") or ""
@@ -145,15 +151,13 @@ class PieceEncoder:
             signs[""] = b""
         return out
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        if not self.by_piece:
-            return self._whole(texts)
-        cut = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
+    def _pieces(self, words: list[str]) -> list[bytes]:
+        """Ids of different pieces."""
         cache = self.cache
-        new = list(set().union(*cut).difference(cache))
+        new = [w for w in words if w not in cache]
         if new:
             cache.update(self._learn(new))
-        out = [b"".join(map(cache.__getitem__, words)) for words in cut]
+        out = [cache[w] for w in words]
         for w in new:
             if len(w) > MAX_CACHED_CHARS:
                 del cache[w]
@@ -161,6 +165,38 @@ class PieceEncoder:
             self.cache = dict(islice(cache.items(), MAX_CACHED // 2))
         return out
 
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after another, and how many each has. Arrow cuts the texts and numbers the
+        different pieces, so only those become Python strings; a sign at a word's end is a piece of its own."""
+        if self.by_piece:
+            flat = pc.replace_substring(pc.replace_substring(texts, "\n", " "), "\t", " ")
+            flat = pc.replace_substring_regex(flat, SIGN_AFTER_WORD, "\\1 \\2\\3")
+            lists = pc.split_pattern(flat, " ")
+            numbered = lists.flatten().dictionary_encode()
+            found, which = self._pieces(numbered.dictionary.to_pylist()), numbered.indices.to_numpy()
+            bounds = np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy())))
+        else:
+            found, which, bounds = self._whole(texts.to_pylist()), np.arange(len(texts)), np.arange(len(texts) + 1)
+        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+        n = sizes[which]
+        ends = np.concatenate(([0], np.cumsum(n)))
+        # the place of each id among those of the different pieces
+        place = np.repeat((np.cumsum(sizes) - sizes)[which] - ends[:-1], n) + np.arange(ends[-1])
+        return np.frombuffer(b"".join(found), dtype="<u4")[place], np.diff(ends[bounds])
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        ids, n = self.encode(pa.array(texts, pa.string()))
+        return [x.tobytes() for x in np.split(ids, np.cumsum(n)[:-1])] if texts else []
+
+
+def spans(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Consecutive spans (a, b) of at most `most` in sum, or of one."""
+    ends, a = np.cumsum(sizes, dtype=np.int64), 0
+    while a < len(ends):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + most, side="right")))
+        yield a, b
+        a = b
+
 
 def shared_encoder(vocabulary: str, plain_specials: bool) -> PieceEncoder:
     """The encoder of this Python worker, which Spark uses for task after task: what one task has
@@ -176,20 +212,19 @@ def shared_encoder(vocabulary: str, plain_specials: bool) -> PieceEncoder:
 def _encoded(ordered: DataFrame, id_col: str, vocabulary: str, end_id: int, plain_specials: bool) -> DataFrame:
     """part, id, ids, n_tokens and at, in the order of `ordered` (id, text, part)."""
     sent = ordered.sparkSession.sparkContext.broadcast(vocabulary)
-    end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, before = shared_encoder(sent.value, plain_specials), 0
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in chunks(texts, BATCH_CHARS):
-                raw = [x + end for x in encoder(texts[a:b])]
-                n = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw)) // 4
+            texts = batch.column(1)
+            for a, b in spans(pc.binary_length(texts).to_numpy(), BATCH_BYTES):
+                found, n = encoder.encode(texts.slice(a, b - a))
+                ids = np.insert(found, np.cumsum(n), end_id)
+                n = n + 1
                 ends = np.cumsum(n)
-                ids = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()),
-                                               pa.array(np.frombuffer(b"".join(raw), dtype="<i4"), pa.int32()))
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), pa.array(ids.view("<i4"), pa.int32()))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(2).slice(a, b - a), batch.column(0).slice(a, b - a), ids, pa.array(n), pa.array(before + ends - n)],
+                    [batch.column(2).slice(a, b - a), batch.column(0).slice(a, b - a), lists, pa.array(n), pa.array(before + ends - n)],
                     names=["part", id_col, "ids", "n_tokens", "at"])
                 before += int(ends[-1])
 
