@@ -148,6 +148,8 @@ def test_signs_at_a_words_end_are_pieces_of_their_own():
     assert set(encoder.cache) == {"", "word", *".,;!?"}  # the word is learned and kept once
     texts = ["a. . b", "5. 6, x", "it's. he'S, x'. y", '"a". b', "a.. b... c.!", "_. a_. b", "x\x1c. a", "\u0130. x\u0130.", "\u00bd. \u00d7. \u00f7, \u00aa.",
              "\u0149. \u01c0, \u024f; \u0250.", "e\u0301. \u0301. a.\u0301", "<|endoftext|>. a<|endoftext|>b.", ".", ". a .", "a.\n.b.\t.", "a.\u00a0b. c.\r"]
+    texts += ["w$ord &co, a--b (x) [Y]_{z}... \u00c9t\u00e9*; <|ENDOFTEXT|> <|endoftext|>x$ $<|startoftext|>", "a'b$c o'$ '$ 5$a", "-\u0130-a \u0250$x \u00d7$a"]
+    texts += ["b" + chr(c) + "A" for c in range(0x260)] + ["$" + chr(c) for c in range(0x260)]
     texts += [chr(c) + s + e for c in range(0x260) for s in (".", "?") for e in ("", " x")]
     want = [np.array(x.ids, dtype="<u4").tobytes() for x in Tokenizer.from_str(vocabulary).encode_batch(texts, add_special_tokens=False)]
     assert encoder(texts) == want

@@ -47,15 +47,19 @@ from tollgate.plans.materialize import checkpoint_dir
 END_ID = 2
 MAX_CACHED = 400_000
 MAX_CACHED_CHARS = 48
-# a piece of plain letters with or without signs after it: up to U+024F, but for U+0130, the library lower-cases
-# like Python, letter by letter, and has nothing to compose
-PLAIN = re.compile("^[A-Za-z\\u00c0-\\u00d6\\u00d8-\\u00f6\\u00f8-\\u012f\\u0131-\\u024f]+[.,;:!?]*$", re.MULTILINE)
-SIGN_RUN = re.compile("[.,;:!?]+")
+# plain letters: up to U+024F, but for U+0130, the library lower-cases like Python, letter by letter, and has
+# nothing to compose; the splitter knows them from signs (the apostrophe starts contractions)
+PLAIN = "A-Za-z\\u00c0-\\u00d6\\u00d8-\\u00f6\\u00f8-\\u012f\\u0131-\\u024f"
+PLAIN_SIGNS = "!-&(-/:-@[-`{-~"
+LETTERS = re.compile(f"^[{PLAIN}]+$", re.MULTILINE)
+MIXED = re.compile(f"^[{PLAIN}{PLAIN_SIGNS}]+$", re.MULTILINE)
+RUN = re.compile(f"[^{PLAIN_SIGNS}]+|[{PLAIN_SIGNS}]+")
 WITHIN_PIECES = re.compile("[.,;:!?\\s]")
 # a sign after a letter or digit and before a blank or the end is a word of its own to the splitter (lower-cased,
 # U+0130 ends with a mark, which the splitter takes together with the sign)
 SIGN_AFTER_WORD = "([0-9A-Za-z\\x{c0}-\\x{d6}\\x{d8}-\\x{f6}\\x{f8}-\\x{12f}\\x{131}-\\x{24f}])([.,;:!?])( |$)"
-BATCH_BYTES = 2_000_000  # of text in one batch of rows that a task hands on
+LETTERS_AT_ONCE = 500  # words in one call of the library's model
+BATCH_BYTES = 4_000_000  # of text in one batch of rows that a task hands on
 
 # The rules of a vocabulary (as its file spells them) that never join anything across
 # a blank and take a run of letters as one word.
@@ -96,8 +100,9 @@ class PieceEncoder:
         self.model = Tokenizer.from_str(vocabulary)
         if plain_specials:
             self.model.encode_special_tokens = True
+        self.added = [t["content"].lower() for t in rules["added_tokens"]]
         # an added token must not reach over a cut between pieces, nor stand within plain letters
-        apart = all(not WITHIN_PIECES.search(t["content"]) and not PLAIN.search(t["content"]) for t in rules["added_tokens"])
+        apart = all(not WITHIN_PIECES.search(t) and not LETTERS.search(t) for t in self.added)
         self.by_piece = rules["normalizer"] == NORMALIZER and rules["pre_tokenizer"] == SPLITTER and apart
         self.letters = Tokenizer(self.model.model)
         self.letters.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
@@ -107,7 +112,7 @@ class PieceEncoder:
         # the character of each byte, for `codecs`; blanks stay between words
         self.shown = "".join(" " if b == 0x20 else c for b, c in enumerate(byte_characters()))
         self.cache: dict[str, bytes] = {"": b""}
-        self.signs: dict[str, bytes] = {"": b""}
+        self.signs: dict[str, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
@@ -116,8 +121,8 @@ class PieceEncoder:
         """Ids of words of lower-case letters: in one text; a word's last token, and no other, has
         the mark of a word's end."""
         out: list[bytes] = []
-        for at in range(0, len(words), 5000):
-            part = words[at:at + 5000]
+        for at in range(0, len(words), LETTERS_AT_ONCE):
+            part = words[at:at + LETTERS_AT_ONCE]
             text = codecs.charmap_decode(" ".join(part).encode(), "strict", self.shown)[0]
             found = self.letters.encode_batch_fast([text], add_special_tokens=False)[0]
             ids = np.array(found.ids, dtype="<u4")
@@ -130,34 +135,38 @@ class PieceEncoder:
         return out
 
     def _learn(self, new: list[str]) -> dict[str, bytes]:
-        """Ids of pieces without line ends."""
-        plain = PLAIN.findall("\n".join(new))
-        other = list(set(new).difference(plain)) if len(plain) < len(new) else []
-        out = dict(zip(other, self._whole(other)))
-        if not plain:
-            return out
-        # every plain piece's letters, lower-cased one to one, and the signs after them
-        cores = SIGN_RUN.sub("", "\n".join(plain).lower()).split("\n")
-        tails = [w[len(c):] for w, c in zip(plain, cores)]
-        signs = self.signs
-        unseen = list(set(tails).difference(signs))
+        """Ids of different pieces without line ends."""
+        cache, signs, joined = self.cache, self.signs, "\n".join(new)
+        # most are letters alone: lower-cased one to one
+        letters = LETTERS.findall(joined)
+        cores = "\n".join(letters).lower().split("\n")
+        # letters and signs: runs of either, as the splitter takes them
+        rest = sorted(set(new).difference(letters))
+        mixed = [w for w in MIXED.findall("\n".join(rest)) if not any(t in w.lower() for t in self.added)]
+        runs = [RUN.findall(w) for w in "\n".join(mixed).lower().split("\n")]
+        parts = set().union(*runs)
+        unseen = [r for r in parts if not r.isalpha() and r not in signs]
         signs.update(zip(unseen, self._whole(unseen)))
-        known = list(set(cores).difference(self.cache))
+        known = [c for c in dict.fromkeys([*cores, *filter(str.isalpha, parts)]) if c not in cache]
         ids = dict(zip(known, self._letters(known)))
-        cache = self.cache
-        out.update((w, (ids[c] if c in ids else cache[c]) + signs[s]) for w, c, s in zip(plain, cores, tails))
+        out = {w: ids[c] if c in ids else cache[c] for w, c in zip(letters, cores)}
+        held = {r: ids[r] if r in ids else cache[r] if r.isalpha() else signs[r] for r in parts}
+        out.update((w, b"".join([held[r] for r in own])) for w, own in zip(mixed, runs))
+        other = [w for w in rest if w not in out]
+        out.update(zip(other, self._whole(other)))
         if len(signs) > 10_000:
             signs.clear()
-            signs[""] = b""
         return out
 
     def _pieces(self, words: list[str]) -> list[bytes]:
         """Ids of different pieces."""
         cache = self.cache
-        new = [w for w in words if w not in cache]
+        out = [cache.get(w) for w in words]
+        new = [w for w, ids in zip(words, out) if ids is None]
         if new:
-            cache.update(self._learn(new))
-        out = [cache[w] for w in words]
+            learned = self._learn(new)
+            cache.update(learned)
+            out = [learned[w] if ids is None else ids for w, ids in zip(words, out)]
         for w in new:
             if len(w) > MAX_CACHED_CHARS:
                 del cache[w]
