@@ -45,7 +45,7 @@ from tollgate.llm.common import text_of, tidy
 from tollgate.plans.materialize import checkpoint_dir
 
 END_ID = 2
-MAX_CACHED = 400_000
+MAX_CACHED = 700_000
 MAX_CACHED_CHARS = 48
 # plain letters: up to U+024F, but for U+0130, the library lower-cases like Python, letter by letter, and has
 # nothing to compose; the splitter knows them from signs (the apostrophe starts contractions)
