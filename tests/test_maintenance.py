@@ -1,7 +1,10 @@
 """Bloom reduction, status snapshots, stored impact totals and several requests in one pass."""
 
 import datetime as dt
+import glob
+import os
 import random
+import time
 from collections import Counter
 from decimal import Decimal
 
@@ -18,6 +21,8 @@ from tollgate.operators.requests import value_requests
 from tollgate.operators.snapshots import StatusSnapshots
 from tollgate.params import DEFAULT_PARAMS as P
 from tollgate.params import ImpactMode
+from tollgate.plans.materialize import checkpoint_dir
+from tollgate.plans.queries import impact_rollup_stored
 from tollgate.plans.report import valued_milestones
 from tollgate.sources.testdata import derive_tables, path_segment
 
@@ -245,3 +250,71 @@ def test_totals_are_added_up_in_parts_of_a_bounded_size(spark, tmp_path, monkeyp
     view.load(impact)
     assert full_totals(impact).rdd.getNumPartitions() == 12 and rows(full_totals(impact)) == want
     assert view.read().rdd.getNumPartitions() > 1 and rows(view.read()) == want
+
+
+def shuffles_on_disk(spark):
+    names = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().mkString(" ")
+    return {x.split("_")[1] for x in names.split() if x.startswith("shuffle_")}
+
+
+def left_over(spark, before):
+    """Shuffles that stay on disk beside those of before; they are deleted in the background."""
+    until = time.time() + 20
+    while (left := shuffles_on_disk(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    return left
+
+
+@pytest.mark.parametrize("pass_rows", [50, 10**6])
+def test_stored_totals_leave_no_shuffle_files_and_hold_no_changes_that_cancel_out(spark, tmp_path, monkeypatch, pass_rows):
+    monkeypatch.setattr(impact_totals, "TASK_ROWS", 100)
+    monkeypatch.setattr(impact_totals, "PASS_ROWS", pass_rows)
+    r = random.Random(17)
+    data = [impact_row(r) for _ in range(200)]
+    impact, again = spark.createDataFrame(data, IMPACT), spark.createDataFrame(data[:60], IMPACT)
+    both = again.withColumn("sign", F.lit(1)).unionByName(again.withColumn("sign", F.lit(-1)))
+    want = rows(full_totals(impact))
+    before = shuffles_on_disk(spark)
+    view = ImpactTotals(spark, str(tmp_path))
+    view.load(impact)
+    view.apply(both, 1)
+    view.apply(again.withColumn("sign", F.lit(1)), 2)
+    view = view.compact()
+    view.apply(again.withColumn("sign", F.lit(-1)), 1)
+    assert left_over(spark, before) == set()
+    assert spark.read.parquet(f"{tmp_path}/gen=0/batch=1").isEmpty()
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) is None
+    if pass_rows == 50:  # files of one kind each
+        kinds = [spark.read.parquet(f).select("kind").distinct().count() for f in glob.glob(f"{tmp_path}/gen=*/batch=*/*.parquet")]
+        assert max(kinds) == 1
+    assert rows(view.read()) == want and rows(view.compact().read()) == want
+
+
+def test_a_batch_is_seen_when_all_its_passes_are_done(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(impact_totals, "PASS_ROWS", 50)
+    r = random.Random(19)
+    impact = spark.createDataFrame([impact_row(r) for _ in range(100)], IMPACT)
+    more = spark.createDataFrame([(*impact_row(r), 1) for _ in range(100)], IMPACT + ", sign int")
+    view = ImpactTotals(spark, str(tmp_path))
+    view.load(impact)
+    want = rows(view.read())
+    broken = more.withColumn("forecast_slope", F.raise_error(F.lit("no such rate")).cast("decimal(19,4)"))
+    with pytest.raises(Exception, match="no such rate"):  # the last of three passes
+        view.apply(broken, 1)
+    assert os.path.isdir(tmp_path / "gen=0/_batch-1") and rows(view.read()) == want
+    view.apply(more, 1)
+    assert rows(view.read()) == rows(full_totals(impact.unionByName(more.drop("sign"))))
+    new = view.compact()
+    assert rows(view.read()) == rows(new.read())
+    view.drop()
+    assert os.listdir(tmp_path) == ["gen=1"]
+
+
+def test_the_stored_rollup_keeps_the_last_generation_only(spark):
+    def folders():
+        return set(glob.glob(f"{checkpoint_dir(spark).removeprefix('file:')}/impact-*"))
+
+    before = folders()
+    impact_rollup_stored(spark, SMALL)
+    [folder] = folders() - before
+    assert os.listdir(folder) == ["view"] and os.listdir(f"{folder}/view") == ["gen=1"]
